@@ -46,8 +46,10 @@ def gap_fill(quotes: DataFrame, key: str = "currency", date: str = "date",
     rows; with ``include_quotes=False`` only the added rows are returned.
     """
     q = _clean(quotes, key, date, value)
-    stop_at = _end_column(q, date, end)
     daily = q.groupBy(key, date).agg(F.min(value).alias(value))
+    # The end comes from the daily quotes, whose shuffle the fill branch also
+    # reads: adaptive execution runs that stage once for both.
+    stop_at = _end_column(daily, date, end)
     nxt = F.lead(F.col(date)).over(Window.partitionBy(key).orderBy(date))
     stop = F.least(F.coalesce(F.date_sub(nxt, 1), stop_at), stop_at)
     fills = (
@@ -103,18 +105,30 @@ def with_base_rows(series: DataFrame, base: str = "EUR", key: str = "currency",
 
 def attach_rate(fact: DataFrame, rates: DataFrame, fact_key: str, fact_date: str,
                 key: str = "currency", date: str = "date", value: str = "exchange_rate",
-                how: str = "inner") -> DataFrame:
+                how: str = "inner", rates_unique: bool = False, strategy: str = "merge") -> DataFrame:
     """Join each fact row to the rate of its key on its date.
 
     Several quotes for one key and day collapse to the smallest first, so a
-    fact row never multiplies. The rate table is not broadcast blindly: it
-    grows with keys x days, so the strategy is left to the planner and to
-    adaptive execution, which switches to a broadcast only after measuring the
-    rate side's shuffle output.
+    fact row never multiplies; pass ``rates_unique=True`` when the rate table
+    has one row per key and day already (a gap fill of one-per-day quotes
+    does) to skip that aggregation and its shuffle.
+
+    ``strategy``: the rate table grows with keys x days, and when it comes
+    out of a gap fill the planner's size estimate ignores the ``explode`` (it
+    sees the sparse quotes), so a plain join may broadcast a table ten or a
+    thousand times larger than estimated. The default ``"merge"`` shuffles
+    both sides on (key, date) — safe at any size, and a hot key spreads over
+    its days. ``"broadcast"`` is for callers that bounded the table (e.g. a
+    few hundred currencies); ``"auto"`` leaves it to the planner.
     """
-    r = (
-        rates.select(F.col(key).alias("_rk"), F.col(date).cast("date").alias("_rd"), F.col(value))
-        .groupBy("_rk", "_rd").agg(F.min(value).alias(value))
-    )
+    r = rates.select(F.col(key).alias("_rk"), F.col(date).cast("date").alias("_rd"), F.col(value))
+    if not rates_unique:
+        r = r.groupBy("_rk", "_rd").agg(F.min(value).alias(value))
+    if strategy == "merge":
+        r = r.hint("merge")
+    elif strategy == "broadcast":
+        r = F.broadcast(r)
+    elif strategy != "auto":
+        raise ValueError("strategy must be 'merge', 'broadcast' or 'auto'")
     cond = (F.col(fact_key) == F.col("_rk")) & (F.col(fact_date).cast("date") == F.col("_rd"))
     return fact.join(r, cond, how).drop("_rk", "_rd")

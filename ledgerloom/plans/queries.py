@@ -196,7 +196,8 @@ def rate_conversion(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
     fact = li.join(o, li.l_orderkey == o.o_orderkey).withColumn("supplier", F.col("l_suppkey").cast("string"))
-    joined = ser.attach_rate(fact, rates, "supplier", "order_date")
+    # one quote per supplier and day, so the filled series is unique per (supplier, day)
+    joined = ser.attach_rate(fact, rates, "supplier", "order_date", rates_unique=True)
     return joined.select(
         "l_orderkey", "l_linenumber", F.col("supplier").alias("currency"), F.col("order_date").alias("date"),
         "l_extendedprice", "exchange_rate",
