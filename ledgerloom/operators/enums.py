@@ -19,6 +19,19 @@ ENUM_SCHEMA = T.StructType([
 ])
 # Fixed value: the longest label an enum keeps; longer ones are cut and reported.
 MAX_LABEL_CHARS = 63
+# Dictionaries with at most this many labels are broadcast to the fact's tasks.
+BROADCAST_LABELS = 100_000
+
+
+def _dictionary_side(enum: DataFrame, cols: list) -> DataFrame:
+    """The dictionary, broadcast only after counting that it is small.
+
+    The count stops at BROADCAST_LABELS + 1 rows; a larger dictionary is
+    joined by shuffling both sides on the label instead."""
+    d = enum.select(*cols)
+    if enum.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        return F.broadcast(d)
+    return d
 
 
 def _from_list(spark: SparkSession, values: list[str]) -> DataFrame:
@@ -78,17 +91,13 @@ def long_labels(values: DataFrame | list[str], column: str | None = None,
 
 
 def with_ordinal(df: DataFrame, column: str, enum: DataFrame, out: str | None = None) -> DataFrame:
-    """Attach each row's label ordinal (NULL for labels outside the enum).
-
-    The dictionary is joined without a broadcast hint: its size is not known
-    here, and adaptive execution broadcasts it once its shuffle output is
-    measured small."""
+    """Attach each row's label ordinal (NULL for labels outside the enum)."""
     name = out or f"{column}_ordinal"
-    d = enum.select(F.col("value").alias("_label"), F.col("ordinal").alias(name))
+    d = _dictionary_side(enum, [F.col("value").alias("_label"), F.col("ordinal").alias(name)])
     return df.join(d, F.col(column) == F.col("_label"), "left").drop("_label")
 
 
 def outside_enum(df: DataFrame, column: str, enum: DataFrame) -> DataFrame:
     """Rows whose non-NULL label is not in the enum."""
-    d = enum.select(F.col("value").alias("_label"))
+    d = _dictionary_side(enum, [F.col("value").alias("_label")])
     return df.where(F.col(column).isNotNull()).join(d, F.col(column) == F.col("_label"), "left_anti")

@@ -1,0 +1,8 @@
+"""Nothing to stream.
+
+The feature set this package reproduces has no streaming sources, watermarks,
+windows over event time or state; every operation is a batch job over whole
+tables. Incremental behaviour (adding only absent days, durations or enum
+labels; replacing only written partitions) is expressed with anti joins and
+dynamic partition overwrite in the batch operators.
+"""
