@@ -14,11 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerloom.session import ensure_checkpoint_dir
+
 
 def number_in_order(df: DataFrame, order_cols: list[str], out: str = "ordinal",
                     start: Column | int = 0) -> DataFrame:
     """Add ``out`` = start + 1, start + 2, ... following ``order_cols``
     (ascending, NULLs first). Ties get distinct numbers in arbitrary order."""
+    ensure_checkpoint_dir(df.sparkSession)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     placed = (
         df.repartitionByRange(*order)

@@ -57,6 +57,14 @@ def attributes_table(spark, sf):
     return attr.attribute_counts(table(spark, sf, "part"))
 
 
+@register("attributes_sink", PART_ATTRS_SQL)
+def attributes_sink(spark, sf):
+    """The attribute table written one folder per attribute, read back."""
+    path = scratch_path(spark, "part_attributes")
+    attr.write_attributes(attr.attribute_counts(table(spark, sf, "part")), path)
+    return spark.read.parquet(path).select("attribute", "value", "row_count")
+
+
 @register("attribute_autocomplete", f"""
 SELECT value, row_count FROM ({PART_ATTRS_SQL}) a
 WHERE attribute = 'p_name' AND lower(value) LIKE '%re%'
@@ -584,6 +592,22 @@ def columnar_from_view(spark, sf):
     return spark.table(f"{db}.orders_c")
 
 
+@register("columnar_partition", "SELECT * FROM orders")
+def columnar_partition(spark, sf):
+    """A columnar table partitioned by order status, loaded in two runs; each
+    run replaces only the partitions it writes."""
+    db = unique_name("colpart")
+    root = scratch_path(spark, db)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    o = _t(spark, sf, "orders")
+    lay.create_partitioned_table(spark, o, f"{db}.orders_p", f"{root}/orders_p", "o_orderstatus")
+    first = F.col("o_orderstatus") == F.lit("F")
+    lay.write_partition(o.where(first), f"{db}.orders_p")
+    # the second load replaces only the partitions it holds
+    lay.write_partition(o.where(~first | F.col("o_orderstatus").isNull()), f"{db}.orders_p")
+    return spark.table(f"{db}.orders_p").select(*o.columns)
+
+
 @register("clustered_layout", "SELECT * FROM lineitem")
 def clustered_layout(spark, sf):
     path = scratch_path(spark, "lineitem_by_shipdate")
