@@ -133,3 +133,31 @@ def hours_of(df: DataFrame, ts_column: str) -> DataFrame:
         df.select(F.hour(F.col(ts_column)).alias("h")).where(h.isNotNull()).distinct()
         .select(h.cast("smallint").alias("hour_of_day_id"), hour_name(h).alias("hour_of_day_name"))
     )
+
+
+# Fixed value: by default the dimensions cover the last 365 days up to today.
+DEFAULT_LOOKBACK_DAYS = 365
+
+
+def default_range(today: _dt.date | None = None) -> tuple[_dt.date, _dt.date]:
+    """(first, last) date of the dimensions when none are given: a year back to today."""
+    today = today or _dt.date.today()
+    return today - _dt.timedelta(days=DEFAULT_LOOKBACK_DAYS), today
+
+
+def time_dimensions(spark: SparkSession, start: _dt.date | None = None, end: _dt.date | None = None,
+                    as_of: _dt.date | None = None, existing_days: DataFrame | None = None,
+                    existing_durations: DataFrame | None = None,
+                    pad_day_names: bool = True) -> dict[str, DataFrame]:
+    """The three time tables in one call: ``day``, ``duration`` and ``hour_of_day``.
+
+    ``start``/``end`` default to a year back to today; ``as_of`` (today in the
+    original, which made reruns on different days differ) defaults to ``end``.
+    With existing tables, only absent rows are added and the full tables are
+    returned."""
+    d0, d1 = default_range()
+    start, end = start or d0, end or d1
+    as_of = as_of or end
+    days = populate_days(existing_days, bounds(spark, start, end), pad_day_names)
+    durations = extend_durations(existing_durations, bounds(spark, start, as_of, names=("start", "as_of")))
+    return {"day": days, "duration": durations, "hour_of_day": hour_of_day(spark)}

@@ -68,3 +68,17 @@ def melt_rates(wide: DataFrame, date_column: str = DATE_COLUMN, date_format: str
 def load_rates(spark: SparkSession, path: str) -> DataFrame:
     """Read a wide rate file and return the long rate table."""
     return melt_rates(read_rate_file(spark, path))
+
+
+def build_rate_table(spark: SparkSession, path: str, end=None, base: str = "EUR") -> DataFrame:
+    """The complete daily rate table from a wide rate file: load, carry the
+    last quote forward through ``end`` (default: the last quoted day), add
+    ``base`` at rate 1 on every date."""
+    from ledgerloom.operators.series import gap_fill, with_base_rows
+    return with_base_rows(gap_fill(load_rates(spark, path), end=end), base=base)
+
+
+def write_rate_table(rates: DataFrame, path: str) -> None:
+    """Store the rate table laid out for (currency, date) lookups."""
+    from ledgerloom.sources.layout import write_search_layout
+    write_search_layout(rates, path, column_names=["currency", "date"], replace=True)

@@ -105,3 +105,13 @@ def test_attach_rate_never_multiplies(spark):
     fact = spark.createDataFrame([(1, "A", D(2020, 1, 1)), (2, "B", D(2020, 1, 1))], "id int, cur string, d date")
     got = [tuple(r) for r in ser.attach_rate(fact, rates, "cur", "d").collect()]
     assert got == [(1, "A", D(2020, 1, 1), 1.0)]
+
+
+def test_build_rate_table_from_file(spark, f2, tmp_out):
+    rates = rc.build_rate_table(spark, f2, end=D(2020, 1, 4))
+    got = sorted(tuple(r) for r in rates.collect())
+    assert ("BGN", 1.9, D(2020, 1, 4)) in got and ("EUR", 1.0, D(2020, 1, 2)) in got
+    assert len(got) == 3 + 3 + 3  # USD, BGN and EUR each on 02..04
+    path = tmp_out("rates")
+    rc.write_rate_table(rates, path)
+    assert spark.read.parquet(path).count() == len(got)

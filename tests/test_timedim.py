@@ -110,3 +110,13 @@ def test_hour_of_day(spark):
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     got = {r.hour_of_day_id: r.hour_of_day_name for r in td.hours_of(ev, "ts").collect()}
     assert all(rows[h] == n for h, n in got.items())
+
+
+def test_time_dimensions_bundle(spark):
+    t = td.time_dimensions(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 31))
+    assert set(t) == {"day", "duration", "hour_of_day"}
+    assert t["day"].count() == 32 and t["hour_of_day"].count() == 24
+    assert t["duration"].count() == 31 + 33 + 1
+    again = td.time_dimensions(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 31),
+                               existing_days=t["day"], existing_durations=t["duration"])
+    assert again["day"].count() == 32 and again["duration"].count() == 65
