@@ -60,16 +60,26 @@ def write_partition(df: DataFrame, table: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def write_list_partitions(df: DataFrame, path: str, key: str) -> None:
-    """One folder per key value; folders of keys not in ``df`` are untouched.
+def clustered_by(df: DataFrame, key: str) -> DataFrame:
+    """Range-partition on (key, row hash) before a partitioned write.
+
+    Without it every task writes a file for every key it holds (tasks x keys
+    files); with ``repartition(key)`` a key holding a third of the data lands
+    in one task. Range bounds on (key, hash of the row) give balanced tasks
+    that each write about one key, and split a hot key over many tasks. The
+    hash is deterministic, so a retried task gets the same rows."""
+    return df.repartitionByRange(F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+
 
-    Rows are spread by (key, range of a second hash) so a key holding a third
-    of the data is written by many tasks, not one."""
+def write_list_partitions(df: DataFrame, path: str, key: str, cluster: bool = True) -> None:
+    """One folder per key value; folders of keys not in ``df`` are untouched.
+    ``cluster`` range-partitions first (see :func:`clustered_by`)."""
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.write.mode("overwrite").partitionBy(key).parquet(path)
+        out = clustered_by(df, key) if cluster else df
+        out.write.mode("overwrite").partitionBy(key).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
@@ -89,8 +99,11 @@ def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -
 
 def write_hash_partitions(df: DataFrame, table: str, key: str, n: int, path: str) -> DataFrame:
     """``n`` buckets by hash of ``key``; joins and aggregations on ``key``
-    against a table bucketed the same way need no shuffle."""
-    (df.write.format("parquet").bucketBy(n, key).sortBy(key)
+    against a table bucketed the same way need no shuffle.
+
+    The rows are first hash-partitioned into ``n`` tasks with the bucketing
+    hash, so each bucket is one file instead of one file per task and bucket."""
+    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key)
      .option("path", path).mode("overwrite").saveAsTable(table))
     return df.sparkSession.table(table)
 

@@ -99,3 +99,24 @@ def test_analyze(spark, tmp_out):
     spark.read.parquet(f"{SF}/nation.parquet").write.option("path", f"{root}/n").saveAsTable(f"{db}.n")
     rows = {r.column_name: (r.null_count, r.row_count) for r in lay.analyze_table(spark, f"{db}.n").collect()}
     assert rows["n_name"] == (0, 25)
+
+
+def test_buckets_one_file_each_and_join_without_shuffle(spark, tmp_out):
+    db = unique_name("bk")
+    root = tmp_out(db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}'")
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    a = lay.write_hash_partitions(o, f"{db}.o", "o_orderkey", 8, f"{root}/o")
+    b = lay.write_hash_partitions(li.withColumnRenamed("l_orderkey", "o_orderkey"), f"{db}.l", "o_orderkey", 8,
+                                  f"{root}/l")
+    assert a.select(F.input_file_name()).distinct().count() == 8
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = a.join(b, "o_orderkey")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == li.join(o, li.l_orderkey == o.o_orderkey).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
