@@ -245,7 +245,7 @@ def chunk_ids(spark, sf):
 
 
 @register("chunk_select", f"""
-SELECT CAST({TEXT_CHUNK_SQL} AS INTEGER) AS chunk, count(*) AS documents, sum(n_chars) AS total_chars,
+SELECT CAST({TEXT_CHUNK_SQL} AS INTEGER) AS chunk, count(*) AS documents, CAST(sum(n_chars) AS BIGINT) AS total_chars,
        min(doc_id) AS first_doc, max(doc_id) AS last_doc
 FROM (SELECT doc_id, n_chars, CAST('0x' || substr(md5(text), 1, 8) AS BIGINT) AS h FROM documents)
 GROUP BY 1

@@ -20,6 +20,13 @@ sys.path.insert(0, ROOT)
 from ledgerloom.plans.tables import TABLES  # noqa: E402
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+    "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for t in TABLES:
@@ -69,6 +76,12 @@ def compare(spark, con, name: str, fn, sql: str | None, sf_dir: str) -> dict:
     if len(s_rows) != len(d_rows):
         out["status"] = f"ROWCOUNT spark={len(s_rows)} duck={len(d_rows)}"
         return out
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    d_types = {c[0]: str(c[1]) for c in res.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols
+                 if SPARK_TO_DUCK.get(s_types[c], s_types[c]).upper() != d_types[c].upper()}
+    if bad_types:
+        out["types"] = bad_types
     a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
     if a != b:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
@@ -93,7 +106,7 @@ def main(argv):
             r = compare(spark, con, name, qs[name], sqls.get(name), sf_dir)
         except Exception as e:  # report and go on
             r = {"name": name, "status": f"ERROR {type(e).__name__}: {str(e)[:400]}"}
-        if r["status"] not in ("ok", "rows-only"):
+        if r["status"] not in ("ok", "rows-only") or r.get("types"):
             bad += 1
         print(r, flush=True)
     print(f"{bad} problems")
