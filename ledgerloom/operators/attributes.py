@@ -69,21 +69,27 @@ def write_attributes(attrs: DataFrame, path: str, mode: str = "overwrite") -> No
 
 
 def autocomplete(attrs: DataFrame, attribute: str, typed: str, k: int = 10,
-                 mode: str = "substring") -> DataFrame:
+                 mode: str = "substring", case_sensitive: bool = False) -> DataFrame:
     """Top-k values of one attribute containing (or starting with) ``typed``,
-    case-insensitive, most frequent first, ties by value.
+    most frequent first, ties by value.
 
     The ``attribute`` filter prunes partitions of a table written by
     :func:`write_attributes`; the top-k is a bounded ``TakeOrderedAndProject``.
+    A case-sensitive prefix lookup is pushed into the Parquet scan, where the
+    value-sorted files let row-group statistics skip everything else.
     """
     if mode not in ("substring", "prefix"):
         raise ValueError("mode must be 'substring' or 'prefix'")
-    pattern = like_escape(typed.lower()) + "%"
-    if mode == "substring":
-        pattern = "%" + pattern
+    if case_sensitive:
+        match = F.col("value").startswith(typed) if mode == "prefix" else F.col("value").contains(typed)
+    else:
+        pattern = like_escape(typed.lower()) + "%"
+        if mode == "substring":
+            pattern = "%" + pattern
+        match = F.lower(F.col("value")).like(pattern)
     return (
         attrs.where(F.col("attribute") == F.lit(attribute))
-        .where(F.lower(F.col("value")).like(pattern))
+        .where(match)
         .select("value", "row_count")
         .orderBy(F.col("row_count").desc(), F.col("value").asc())
         .limit(k)

@@ -244,6 +244,50 @@ def check_expressions(df: DataFrame, checks: dict[str, Column | str]) -> DataFra
         F.lit(0.0).alias("right_value"), "detail")
 
 
+def check_aggregates(df: DataFrame, checks: dict[str, Column | tuple]) -> DataFrame:
+    """Scalar checks over one table in a single aggregate pass.
+
+    Each check is either a boolean aggregate (``F.min('x') > 0``; NULL does
+    not fail, as in :func:`check_true`) or a ``(left, relation, right)``
+    tuple of aggregates (as in :func:`check_relation`: a NULL operand fails),
+    or ``("almost", fraction, left, right)`` (as :func:`check_almost_equal`).
+    Running ten checks against one table reads it once instead of ten times.
+    """
+    names = list(checks)
+    if not names:
+        return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
+    aggs, rows = [], []
+    for i, nm in enumerate(names):
+        c = checks[nm]
+        if isinstance(c, tuple) and len(c) == 4 and c[0] == "almost":
+            _, frac, left, right = c
+            aggs += [left.alias(f"_l{i}"), right.alias(f"_r{i}")]
+            l, r = F.col(f"_l{i}"), F.col(f"_r{i}")
+            rel = F.coalesce(F.abs((r - l) / F.nullif(l, F.lit(0))), F.lit(0))
+            passed = F.when(l.isNull() | r.isNull(), F.lit(False)).otherwise(rel < F.lit(frac))
+            rows.append((nm, passed, l, r, f"relative difference < {frac}"))
+        elif isinstance(c, tuple):
+            left, relation, right = c
+            if relation not in RELATIONS:
+                raise ValueError(f"relation must be one of {sorted(RELATIONS)}")
+            aggs += [left.alias(f"_l{i}"), right.alias(f"_r{i}")]
+            l, r = F.col(f"_l{i}"), F.col(f"_r{i}")
+            passed = F.when(l.isNull() | r.isNull(), F.lit(False)).otherwise(RELATIONS[relation](l, r))
+            rows.append((nm, passed, l, r, f"left {relation} right"))
+        else:
+            aggs.append(c.alias(f"_b{i}"))
+            rows.append((nm, F.col(f"_b{i}"), None, None, None))
+    none = F.lit(None).cast("double")
+    structs = [
+        F.struct(F.lit(nm).alias("check_name"), p.cast("boolean").alias("passed"),
+                 (none if l is None else l.cast("double")).alias("left_value"),
+                 (none if r is None else r.cast("double")).alias("right_value"),
+                 F.lit(d).cast("string").alias("detail"))
+        for nm, p, l, r, d in rows
+    ]
+    return df.agg(*aggs).select(F.inline(F.array(*structs)))
+
+
 def check_unique(name: str, df: DataFrame, keys: list[Column | str], where: Column | str | None = None) -> DataFrame:
     """Uniqueness of key columns or expressions, optionally among rows matching
     ``where``. Rows with a NULL key part are exempt, as in a unique index.

@@ -62,3 +62,12 @@ def test_similarity_finds_typos(spark):
     # word trigrams: "smal" has 5 ("  s"," sm","sma","mal","al "), "gere" 5; "small" 6, "gear" 5
     # shared: "  s"," sm","sma","mal","  g"," ge" = 6; union 10 + 11 - 6 = 15
     assert abs(rows[0].similarity - round(6 / 15, 6)) < 1e-9
+
+
+def test_case_sensitive_prefix_is_pushed_down(spark, tmp_out):
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    path = tmp_out("attrs_cs")
+    write_attributes(attribute_counts(part), path)
+    q = autocomplete(spark.read.parquet(path), "p_name", "red", mode="prefix", case_sensitive=True)
+    assert "StringStartsWith(value,red)" in q._jdf.queryExecution().executedPlan().toString()
+    assert all(r.value.startswith("red") for r in q.collect())

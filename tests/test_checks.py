@@ -112,3 +112,17 @@ def test_enforce_lists_failures(spark):
                     ck.check_equal("bad", one(spark, 1), one(spark, 2)))
     with pytest.raises(ck.CheckFailed, match="bad"):
         ck.enforce(res)
+
+
+def test_aggregate_checks_share_one_scan(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    res = ck.check_aggregates(li, {
+        "qty_positive": F.min("l_quantity") > 0,
+        "disc_le_tenth": (F.max("l_discount"), "<=", F.lit(0.1)),
+        "net_close": ("almost", 0.1, F.sum("l_extendedprice"),
+                      F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")))),
+        "null_bool": F.max(F.lit(None).cast("boolean")),
+    })
+    assert res._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r.check_name: r.passed for r in res.collect()}
+    assert got == {"qty_positive": True, "disc_le_tenth": True, "net_close": True, "null_bool": None}
