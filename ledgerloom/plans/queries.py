@@ -467,6 +467,35 @@ def check_expression(spark, sf):
     return ck.check_expressions(_t(spark, sf, "lineitem"), _EXPR_CHECKS)
 
 
+@register("check_table_scalars", """
+SELECT 'quantity_positive' AS check_name, min(l_quantity) > 0 AS passed, CAST(NULL AS DOUBLE) AS left_value,
+       CAST(NULL AS DOUBLE) AS right_value, CAST(NULL AS VARCHAR) AS detail FROM lineitem
+UNION ALL
+SELECT 'tax_below_discount_cap',
+       CASE WHEN max(l_tax) IS NULL OR max(l_discount) IS NULL THEN false ELSE max(l_tax) <= max(l_discount) END,
+       CAST(max(l_tax) AS DOUBLE),
+       CAST(max(l_discount) AS DOUBLE), 'left <= right' FROM lineitem
+UNION ALL
+SELECT 'net_close_to_gross',
+       CASE WHEN l IS NULL OR r IS NULL THEN false ELSE coalesce(abs((r - l) / nullif(l, 0)), 0) < 0.1 END,
+       CAST(l AS DOUBLE), CAST(r AS DOUBLE),
+       'relative difference < 0.1'
+FROM (SELECT sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS l,
+             sum(CAST(l_extendedprice AS DECIMAL(18, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2)))) AS r
+      FROM lineitem)
+""")
+def check_table_scalars(spark, sf):
+    """Boolean, relation and almost-equal checks of one table in one scan."""
+    li = _t(spark, sf, "lineitem")
+    gross = F.col("l_extendedprice").cast("decimal(18,2)")
+    net = gross * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    return ck.check_aggregates(li, {
+        "quantity_positive": F.min("l_quantity") > 0,
+        "tax_below_discount_cap": (F.max("l_tax"), "<=", F.max("l_discount")),
+        "net_close_to_gross": ("almost", 0.1, F.sum(gross), F.sum(net)),
+    })
+
+
 @register("check_unique_partial", """
 SELECT 'large_part_brand_unique' AS check_name, n = 0 AS passed, CAST(n AS DOUBLE) AS left_value,
        CAST(0 AS DOUBLE) AS right_value, 'unique' AS detail

@@ -18,7 +18,7 @@ def con():
 
 def test_every_query_but_one_has_a_twin():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"hll_estimate"}
+    assert set(QUERIES) - set(SQL) == {"hll_estimate"}  # approximate: rows only
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
