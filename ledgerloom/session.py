@@ -39,14 +39,17 @@ def build_session(cpus: str | int = "*", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote (Connect) sessions have no local context
+        sc = None
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = _LOCAL_ROOT.get(id(sc))
+        root = _LOCAL_ROOT.get(id(spark))
         if root is None:
             root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-            _LOCAL_ROOT[id(sc)] = root
-    if sc.getCheckpointDir() is None:
+            _LOCAL_ROOT[id(spark)] = root
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root.rstrip("/") + "/checkpoints")
     return root.rstrip("/")
 
