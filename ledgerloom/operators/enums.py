@@ -43,9 +43,10 @@ def _from_list(spark: SparkSession, values: list[str]) -> DataFrame:
 
 
 def create_enum(values: DataFrame | list[str], column: str | None = None,
-                spark: SparkSession | None = None) -> DataFrame:
+                spark: SparkSession | None = None, order_by: str | None = None) -> DataFrame:
     """A new dictionary. From a list: labels in list order. From a DataFrame:
-    the distinct non-NULL values of ``column``, in sorted order."""
+    the distinct non-NULL values of ``column``, sorted by label, or by the
+    smallest ``order_by`` value seen with each label (ties by label)."""
     if isinstance(values, list):
         if spark is None:
             raise ValueError("a SparkSession is needed to build an enum from a list")
@@ -54,6 +55,10 @@ def create_enum(values: DataFrame | list[str], column: str | None = None,
         labels = _from_list(spark, values)
         return number_in_order(labels, ["_pos"]).select("value", "ordinal")
     col = column or values.columns[0]
+    if order_by is not None:
+        labels = (values.select(F.col(col).cast("string").alias("value"), F.col(order_by).alias("_key"))
+                  .where("value IS NOT NULL").groupBy("value").agg(F.min("_key").alias("_key")))
+        return number_in_order(labels, ["_key", "value"]).select("value", "ordinal")
     labels = values.select(F.col(col).cast("string").alias("value")).where("value IS NOT NULL").distinct()
     return number_in_order(labels, ["value"]).select("value", "ordinal")
 

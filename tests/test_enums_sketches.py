@@ -42,3 +42,9 @@ def test_hll_rollup_close_to_exact(spark):
     assert abs(total - exact) <= 0.03 * exact
     coarse = sk.hll_union(detail, ["l_suppkey"])
     assert coarse.count() == li.select("l_suppkey").distinct().count()
+
+
+def test_enum_ordered_by_another_column(spark):
+    df = spark.createDataFrame([("low", 3), ("high", 1), ("mid", 2), ("high", 9)], "label string, rank int")
+    e = en.create_enum(df, "label", order_by="rank").orderBy("ordinal").collect()
+    assert [r.value for r in e] == ["high", "mid", "low"]
