@@ -61,3 +61,18 @@ def test_attribute_counts_hot_value(spark):
     assert sum(got.values()) == n and got["1"] >= n // 3
     plan = attr.attribute_counts(df)._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_fk_check_counts_child_keys_before_the_join_shuffle(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet")
+    supplier = spark.read.parquet("/root/testdata/sf0.01/supplier.parquet")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with a large parent table
+    try:
+        plan = ck.check_foreign_key("fk", li, "l_suppkey", supplier, "s_suppkey") \
+            ._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    inputs = _exchange_inputs(plan)
+    child = [x for x in inputs if "l_suppkey" in x]
+    assert child and all("partial_count" in x for x in child)
