@@ -72,12 +72,12 @@ def add_enum_values(enum: DataFrame, values: DataFrame | list[str], column: str
         fresh = _from_list(spark, values)
     else:
         col = column or values.columns[0]
-        fresh = values.select(F.col(col).cast("string").alias("value")).where("value IS NOT NULL").distinct() \
-            .withColumn("_pos", F.lit(0))
+        fresh = values.select(F.col(col).cast("string").alias("value"), F.lit(0).alias("_pos")) \
+            .where("value IS NOT NULL")
     fresh = (
         fresh.withColumn("value", F.substring("value", 1, MAX_LABEL_CHARS))
         .groupBy("value").agg(F.min("_pos").alias("_pos"))
-        .join(enum.select("value"), "value", "left_anti")
+        .join(_dictionary_side(enum, [F.col("value")]), "value", "left_anti")
     )
     top = enum.agg(F.coalesce(F.max("ordinal"), F.lit(0))).scalar()
     added = number_in_order(fresh, ["_pos", "value"], start=top).select("value", "ordinal")
