@@ -63,3 +63,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def unique_name(prefix: str) -> str:
     """A database or table name that does not collide between calls."""
     return f"{prefix}_{uuid.uuid4().hex[:10]}"
+
+
+# Target bytes per shuffle partition and per scan split.
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+SCAN_SPLIT_BYTES = 512 * 1024 * 1024
+
+
+def cluster_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of Parquet on ``total_cores``.
+
+    Shuffle partitions: enough for ~256 MB each (so a task's share of a
+    shuffle fits executor memory and spills little), and at least three waves
+    of tasks; AQE then coalesces small ones and splits skewed ones. Scans
+    split at 512 MB. Static broadcasts stay at Spark's 10 MB default; the
+    operators here never hint a broadcast of a side whose size is unchecked.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }

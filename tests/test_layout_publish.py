@@ -120,3 +120,11 @@ def test_buckets_one_file_each_and_join_without_shuffle(spark, tmp_out):
         assert joined.count() == li.join(o, li.l_orderkey == o.o_orderkey).count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_cluster_conf_scales_partitions():
+    from ledgerloom.session import cluster_conf
+    big = cluster_conf(100 * 1024**4, 8000)   # 100 TB on 1000 executors x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = cluster_conf(10 * 1024**2, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
