@@ -68,7 +68,7 @@ def clustered_by(df: DataFrame, key: str) -> DataFrame:
     in one task. Range bounds on (key, hash of the row) give balanced tasks
     that each write about one key, and split a hot key over many tasks. The
     hash is deterministic, so a retried task gets the same rows."""
-    return df.repartitionByRange(F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    return df.repartitionByRange(F.col(key), _row_hash(df))
 
 
 def write_list_partitions(df: DataFrame, path: str, key: str, cluster: bool = True) -> None:
@@ -97,13 +97,20 @@ def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -
     return added
 
 
+def _row_hash(df: DataFrame):
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def write_hash_partitions(df: DataFrame, table: str, key: str, n: int, path: str) -> DataFrame:
     """``n`` buckets by hash of ``key``; joins and aggregations on ``key``
     against a table bucketed the same way need no shuffle.
 
-    The rows are first hash-partitioned into ``n`` tasks with the bucketing
-    hash, so each bucket is one file instead of one file per task and bucket."""
-    (df.repartition(n, key).write.format("parquet").bucketBy(n, key).sortBy(key)
+    Before writing, rows are range-partitioned on (bucket id, row hash): each
+    task writes about one bucket (files stay near the task count instead of
+    tasks x buckets), and a bucket holding a hot key is split over several
+    tasks, each writing one file of that bucket."""
+    bucket = F.expr(f"pmod(hash(`{key}`), {int(n)})")
+    (df.repartitionByRange(bucket, _row_hash(df)).write.format("parquet").bucketBy(n, key).sortBy(key)
      .option("path", path).mode("overwrite").saveAsTable(table))
     return df.sparkSession.table(table)
 
@@ -134,7 +141,8 @@ def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None
     writer_df = data
     options = {}
     if method in ("btree", "brin"):
-        writer_df = data.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        # the row hash lets equal keys (a hot value) spread over several tasks
+        writer_df = data.repartitionByRange(*keys, _row_hash(data)).sortWithinPartitions(*keys)
     else:
         for k in keys:
             options[f"parquet.bloom.filter.enabled#{k}"] = "true"
@@ -155,7 +163,7 @@ def write_foreign_key_layout(df: DataFrame, path: str, excluded: list[str] | Non
     ``'%_fk'``, whose underscore matches any character."""
     fks = [c for c in columns_like(df, "%_fk") if c not in set(excluded or [])]
     options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in fks}
-    out = df.repartitionByRange(fks[0]).sortWithinPartitions(fks[0]) if fks else df
+    out = df.repartitionByRange(fks[0], _row_hash(df)).sortWithinPartitions(fks[0]) if fks else df
     out.write.format("parquet").options(**options).mode("overwrite" if replace else "ignore").save(path)
     return fks
 
