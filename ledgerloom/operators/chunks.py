@@ -44,8 +44,10 @@ def chunk_sizes(df: DataFrame, key: str, n: int = DEFAULT_CHUNKS) -> DataFrame:
 def write_by_chunk(df: DataFrame, key: str, path: str, n: int = DEFAULT_CHUNKS, mode: str = "overwrite") -> None:
     """Lay out a table by chunk so that one chunk is one folder.
 
-    Range partitioning on (chunk, key hash) gives balanced tasks that each
-    write about one chunk, so files do not multiply by tasks x chunks."""
+    Range partitioning on (chunk, row hash) gives balanced tasks that each
+    write about one chunk, so files do not multiply by tasks x chunks, and
+    rows of a hot key are spread over several tasks."""
     chunked = with_chunk(df, key, n).withColumn("chunk", F.col("chunk").cast("int"))
-    chunked.repartitionByRange(F.col("chunk"), F.xxhash64(F.col(key))) \
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    chunked.repartitionByRange(F.col("chunk"), row_hash) \
         .write.mode(mode).partitionBy("chunk").parquet(path)
