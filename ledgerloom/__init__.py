@@ -8,7 +8,7 @@ operators/  DataFrame -> DataFrame operations (attributes, time dimensions,
 sources/    readers and writers (wide rate files, catalog listings, table
             layouts, schema copy and publish)
 plans/      the named queries registered for the driver, with their SQL twins
-streaming/  nothing to stream: the reference has no streaming code
+streaming/  nothing to stream: the original toolkit has no streaming code
 """
 
 __version__ = "0.1.0"

@@ -8,7 +8,7 @@ user typed, most frequent first.
 Plan: one scan of the text columns, one ``Expand`` (unpivot) and a two-phase
 hash aggregate — partial counts are combined map-side before the shuffle, so a
 column with few distinct values (or one value holding most rows) moves only
-one row per value and task. The reference issued one scan per column.
+one row per value and task. The original toolkit issued one scan per column.
 """
 
 from __future__ import annotations

@@ -66,7 +66,7 @@ def _row(spark: SparkSession, name: str, passed: Column, left: Column | None = N
 
 def check_true(name: str, query: DataFrame, description: str | None = None) -> DataFrame:
     """Passes when the one-value query is true; NULL (or no row) stays NULL and
-    does not fail, as in the reference."""
+    does not fail, as in the original toolkit."""
     return _row(query.sparkSession, name, _scalar(query), detail=description)
 
 

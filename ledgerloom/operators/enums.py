@@ -1,6 +1,6 @@
 """Enumerations kept as ordered dictionaries ``(value, ordinal)``.
 
-An enum column in the reference is a text column restricted to a list of
+An enum column in the original toolkit is a text column restricted to a list of
 labels with a defined order. Here the list is a small DataFrame; membership
 is a join, order is the ``ordinal`` column.
 """

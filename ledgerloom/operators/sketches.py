@@ -1,11 +1,11 @@
 """Distinct counts that roll up: HyperLogLog sketches.
 
-The reference sums stored HLL values (union, then cardinality). Spark's
+The original toolkit sums stored HLL values (union, then cardinality). Spark's
 built-in sketches are Apache DataSketches HLL: mergeable binary columns, so a
 detail table stores one sketch per group and any coarser grouping is a union
 of those — without going back to the raw rows and without an exact
 ``count(distinct)`` shuffle. Sketches are not byte-compatible with the
-reference's; only the estimates are comparable.
+original toolkit's; only the estimates are comparable.
 """
 
 from __future__ import annotations

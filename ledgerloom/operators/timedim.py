@@ -80,7 +80,7 @@ def duration_dimension(bounds_df: DataFrame, start: str = "start", as_of: str =
     Negative half: n from (start - as_of) to 0, id n - 1.  Non-negative half:
     n from 0 to (as_of - start + 2).  Plus the sentinel row -30000 'before'.
     The duration half depends on ``start`` and ``as_of`` (today in the
-    reference), not on the end of the day table.
+    original toolkit), not on the end of the day table.
     """
     s, a = F.col(start), F.col(as_of)
     lo = _guarded(s, a, F.datediff(s, a))

@@ -1,5 +1,5 @@
 """Table layouts: what indexes, partitions and columnar storage gave the
-reference, expressed as how Parquet files are written.
+original toolkit, expressed as how Parquet files are written.
 
 - btree / brin index, clustering  -> range-partition + sort on the columns;
   Parquet min/max per row group then skips most of the file on a filter.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.checks import check_unique, enforce
 from ledgerloom.sources.catalog import columns_like
 
-# Index methods the reference accepts.
+# Index methods the original toolkit accepts.
 METHODS = ("btree", "brin", "hash")
 
 
@@ -159,7 +159,7 @@ def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None
 def write_foreign_key_layout(df: DataFrame, path: str, excluded: list[str] | None = None,
                              replace: bool = True) -> list[str]:
     """Lay out for lookups on every ``*_fk`` column: bloom filters on each,
-    rows sorted by the first. As in the reference the pattern is LIKE
+    rows sorted by the first. As in the original toolkit the pattern is LIKE
     ``'%_fk'``, whose underscore matches any character."""
     fks = [c for c in columns_like(df, "%_fk") if c not in set(excluded or [])]
     options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in fks}
