@@ -12,7 +12,7 @@ rows are produced after the window, never sorted or shuffled; a key's window
 group holds at most one row per quoted day, whatever its share of raw rows.
 
 ``gap_fill_windowed`` is the formulation with a dense calendar, a right join
-and two running windows; same result, kept to measure against.
+and running windows; same result, kept to measure against.
 """
 
 from __future__ import annotations
@@ -65,29 +65,33 @@ def gap_fill(quotes: DataFrame, key: str = "currency", date: str = "date",
 def gap_fill_windowed(quotes: DataFrame, key: str = "currency", date: str = "date",
                       value: str = "exchange_rate", end: _dt.date | str | None = None,
                       include_quotes: bool = True) -> DataFrame:
-    """Same result as :func:`gap_fill`, via a dense calendar and two windows.
+    """Same result as :func:`gap_fill`, via a dense calendar and running windows.
 
     The calendar of each key runs from its own first quote to ``end`` (rows
     before the first quote could never be filled), so no key x day cross
-    product is built. Quotes are right-joined onto it; a running ``max`` gives
-    the date of the last quote, and ``min`` over that quote's group its value.
+    product is built. The daily quotes are right-joined onto it; a running
+    ``max`` gives the date of the last quote (W1) and the last non-NULL daily
+    minimum its value (W2). Quotes are reduced to one per key and day first,
+    so that value equals the minimum over the last quote's group, and both
+    windows share one sort.
     """
     q = _clean(quotes, key, date, value)
-    stop_at = _end_column(q, date, end)
-    firsts = q.groupBy(key).agg(F.min(date).alias("_first"))
+    daily = q.groupBy(key, date).agg(F.min(value).alias(value))
+    stop_at = _end_column(daily, date, end)
+    firsts = daily.groupBy(key).agg(F.min(date).alias("_first"))
     calendar = (
         firsts.where(F.col("_first") <= stop_at)
         .select(key, F.explode(F.sequence(F.col("_first"), stop_at)).alias(date))
     )
-    joined = q.join(calendar, [key, date], "right")
+    joined = daily.join(calendar, [key, date], "right")
     running = Window.partitionBy(key).orderBy(date).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    with_last = joined.withColumn(
-        "_last", F.max(F.when(F.col(value).isNotNull(), F.col(date))).over(running))
-    per_quote = Window.partitionBy(key, "_last").orderBy(date).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    filled = with_last.withColumn("_carried", F.min(value).over(per_quote))
+    filled = joined.select(
+        key, date, value,
+        F.max(F.when(F.col(value).isNotNull(), F.col(date))).over(running).alias("_last"),
+        F.last(F.col(value), ignorenulls=True).over(running).alias("_carried"),
+    )
     fills = (
-        filled.where(F.col(value).isNull() & F.col("_carried").isNotNull())
+        filled.where(F.col(value).isNull() & F.col("_last").isNotNull())
         .select(key, F.col("_carried").alias(value), date)
     )
     if not include_quotes:
