@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the default number of chunks.
+# The default number of chunks, and how many leading hex digits
+# of a text key's md5 make its (signed 32-bit) hash.
 DEFAULT_CHUNKS = 7
+MD5_PREFIX_HEX_DIGITS = 8
 
 
 def _col(c: Column | str) -> Column:
@@ -31,7 +33,7 @@ def chunk_of_text(x: Column | str, n: int = DEFAULT_CHUNKS) -> Column:
     value whose ``abs`` overflows a 32-bit int (0x80000000) is kept in bigint
     and maps to 2147483648 mod n instead of failing.
     """
-    unsigned = F.conv(F.substring(F.md5(_col(x).cast("string")), 1, 8), 16, 10).cast("bigint")
+    unsigned = F.conv(F.substring(F.md5(_col(x).cast("string")), 1, MD5_PREFIX_HEX_DIGITS), 16, 10).cast("bigint")
     signed = F.when(unsigned >= F.lit(2**31), unsigned - F.lit(2**32)).otherwise(unsigned)
     return chunk_of_bigint(signed, n)
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# How a failing row is printed: 'a = 1, b = null'.
+KEY_VALUE_SEPARATOR = " = "
+PAIR_SEPARATOR = ", "
+NULL_TEXT = "null"
+# Trigram padding of a word: two blanks before, one after.
+WORD_PAD_BEFORE = "  "
+WORD_PAD_AFTER = " "
+
 
 def row_text(columns: list[str]) -> Column:
     """``k = v, k = v`` for one row; NULL values print as ``null``."""
     parts = [
-        F.concat(F.lit(f"{c} = "), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("null")))
+        F.concat(F.lit(c + KEY_VALUE_SEPARATOR), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_TEXT)))
         for c in columns
     ]
-    return F.concat_ws(", ", *parts)
+    return F.concat_ws(PAIR_SEPARATOR, *parts)
 
 
 def like_escape(text: str) -> str:
@@ -36,7 +44,7 @@ def trigrams(text: Column) -> Column:
         words,
         lambda w: F.transform(
             F.sequence(F.lit(1), F.length(w) + 1),
-            lambda i: F.substring(F.concat(F.lit("  "), w, F.lit(" ")), i, 3),
+            lambda i: F.substring(F.concat(F.lit(WORD_PAD_BEFORE), w, F.lit(WORD_PAD_AFTER)), i, 3),
         ),
     )
     return F.array_distinct(F.flatten(grams))
