@@ -81,13 +81,13 @@ SELECT value, row_count, similarity FROM (
       CASE WHEN len(g) + len(t) - len(list_intersect(g, t)) > 0
            THEN len(list_intersect(g, t)) / (len(g) + len(t) - len(list_intersect(g, t)))
            ELSE 0.0 END AS sim
-    FROM (SELECT value, row_count, {S.trigram_sql('value')} AS g, {S.trigram_sql("'smal gere'")} AS t
+    FROM (SELECT value, row_count, {S.trigram_sql('value')} AS g, {S.trigram_sql("'small gear'")} AS t
           FROM ({PART_ATTRS_SQL}) a WHERE attribute = 'p_name') x) y
   WHERE sim >= 0.3
   ORDER BY sim DESC, row_count DESC, value LIMIT 10)
 """)
 def attribute_similarity(spark, sf):
-    return attr.similar_values(attr.attribute_counts(table(spark, sf, "part")), "p_name", "smal gere", k=10)
+    return attr.similar_values(attr.attribute_counts(table(spark, sf, "part")), "p_name", "small gear", k=10)
 
 
 # ---------------------------------------------------------- time dimensions
