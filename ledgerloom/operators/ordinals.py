@@ -20,7 +20,11 @@ from ledgerloom.session import ensure_checkpoint_dir
 def number_in_order(df: DataFrame, order_cols: list[str], out: str = "ordinal",
                     start: Column | int = 0) -> DataFrame:
     """Add ``out`` = start + 1, start + 2, ... following ``order_cols``
-    (ascending, NULLs first). Ties get distinct numbers in arbitrary order."""
+    (ascending, NULLs first). Ties get distinct numbers in arbitrary order.
+
+    Meant for unique orderings (distinct labels, positions): range bounds
+    cannot split equal keys, so a value repeated many times would make one
+    range partition large."""
     ensure_checkpoint_dir(df.sparkSession)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     placed = (

@@ -22,6 +22,8 @@ from ledgerloom.sources.catalog import columns_like
 
 # Index methods the original toolkit accepts.
 METHODS = ("btree", "brin", "hash")
+# Partitions registered per ALTER TABLE statement.
+PARTITIONS_PER_STATEMENT = 500
 
 
 def create_columnar_table(spark: SparkSession, view: str, table: str, path: str,
@@ -92,8 +94,9 @@ def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -
     wanted = [r[0] for r in keys.select(F.col(keys.columns[0]).cast("string")).distinct().collect()
               if r[0] is not None]
     added = [k for k in sorted(wanted) if k not in present]
-    for k in added:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({key} = '{k}')")
+    for i in range(0, len(added), PARTITIONS_PER_STATEMENT):
+        specs = " ".join(f"PARTITION ({key} = '{k}')" for k in added[i:i + PARTITIONS_PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     return added
 
 
