@@ -91,7 +91,9 @@ def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -
     lacks. The key list is a partition list, so it is collected."""
     existing = spark.sql(f"SHOW PARTITIONS {table}")
     present = {r[0].split("=", 1)[1] for r in existing.collect()}
-    wanted = [r[0] for r in keys.select(F.col(keys.columns[0]).cast("string")).distinct().collect()
+    # normalise through the partition column's type ('01' and '1' are one int key)
+    ptype = dict(spark.table(table).dtypes)[key]
+    wanted = [r[0] for r in keys.select(F.col(keys.columns[0]).cast(ptype).cast("string")).distinct().collect()
               if r[0] is not None]
     added = [k for k in sorted(wanted) if k not in present]
     for i in range(0, len(added), PARTITIONS_PER_STATEMENT):

@@ -130,3 +130,13 @@ def test_cluster_conf_scales_partitions():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = cluster_conf(10 * 1024**2, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
+
+
+def test_add_partitions_normalises_key_spelling(spark, tmp_out):
+    db = unique_name("parts2")
+    root = tmp_out(db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}'")
+    ev = spark.read.parquet(f"{SF}/events.parquet").withColumn("k", F.dayofmonth("ts"))
+    lay.create_partitioned_table(spark, ev, f"{db}.ev", f"{root}/ev", "k")
+    keys = spark.createDataFrame([("01",), ("1",), ("2",)], "k string")
+    assert lay.add_partitions(spark, f"{db}.ev", "k", keys) == ["1", "2"]
