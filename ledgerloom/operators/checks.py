@@ -134,7 +134,9 @@ def check_not_found(name: str, failing: DataFrame, order_by: list[str] | None =
     ``order_by``, default all columns, NULLs first) as ``k = v, k = v`` lines."""
     spark = failing.sparkSession
     cols = failing.columns
-    order = [F.col(f"`{c}`").asc_nulls_first() for c in (order_by or cols)]
+    # map columns cannot be ordered; the others still fix which rows are shown
+    orderable = [f.name for f in failing.schema.fields if not isinstance(f.dataType, T.MapType)]
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in (order_by or orderable)]
     top = failing.orderBy(*order).limit(shown)
     lines = top.select(
         F.row_number().over(Window.orderBy(*order)).alias("_rn"),
@@ -308,6 +310,8 @@ def check_unique(name: str, df: DataFrame, keys: list[Column | str], where: Colu
 
 def report(*results: DataFrame) -> DataFrame:
     """All check rows in one DataFrame."""
+    if not results:
+        raise ValueError("report() needs at least one check result")
     out = results[0]
     for r in results[1:]:
         out = out.unionByName(r)

@@ -126,3 +126,11 @@ def test_aggregate_checks_share_one_scan(spark):
     assert res._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     got = {r.check_name: r.passed for r in res.collect()}
     assert got == {"qty_positive": True, "disc_le_tenth": True, "net_close": True, "null_bool": None}
+
+
+def test_not_found_with_map_column_and_empty_report(spark):
+    failing = spark.createDataFrame([(1, {"a": "b"})], "k int, m map<string,string>")
+    row = ck.check_not_found("nf", failing).first()
+    assert row.passed is False and row.detail.startswith("k = 1, m = ")
+    with pytest.raises(ValueError):
+        ck.report()
