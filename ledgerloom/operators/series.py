@@ -39,14 +39,16 @@ def _clean(quotes: DataFrame, key: str, date: str, value: str) -> DataFrame:
 
 def gap_fill(quotes: DataFrame, key: str = "currency", date: str = "date",
              value: str = "exchange_rate", end: _dt.date | str | None = None,
-             include_quotes: bool = True) -> DataFrame:
+             include_quotes: bool = True, one_per_day: bool = False) -> DataFrame:
     """Quotes plus carried-forward rows ``(key, value, date)`` through ``end``.
 
     ``end`` defaults to the last quoted day. Quotes after ``end`` create no
     rows; with ``include_quotes=False`` only the added rows are returned.
+    ``one_per_day=True`` promises at most one quote per key and day (e.g. an
+    aggregated quote table) and skips the per-day minimum.
     """
     q = _clean(quotes, key, date, value)
-    daily = q.groupBy(key, date).agg(F.min(value).alias(value))
+    daily = q if one_per_day else q.groupBy(key, date).agg(F.min(value).alias(value))
     # The end comes from the daily quotes, whose shuffle the fill branch also
     # reads: adaptive execution runs that stage once for both.
     stop_at = _end_column(daily, date, end)
@@ -64,7 +66,7 @@ def gap_fill(quotes: DataFrame, key: str = "currency", date: str = "date",
 
 def gap_fill_windowed(quotes: DataFrame, key: str = "currency", date: str = "date",
                       value: str = "exchange_rate", end: _dt.date | str | None = None,
-                      include_quotes: bool = True) -> DataFrame:
+                      include_quotes: bool = True, one_per_day: bool = False) -> DataFrame:
     """Same result as :func:`gap_fill`, via a dense calendar and running windows.
 
     The calendar of each key runs from its own first quote to ``end`` (rows
@@ -76,7 +78,7 @@ def gap_fill_windowed(quotes: DataFrame, key: str = "currency", date: str = "dat
     windows share one sort.
     """
     q = _clean(quotes, key, date, value)
-    daily = q.groupBy(key, date).agg(F.min(value).alias(value))
+    daily = q if one_per_day else q.groupBy(key, date).agg(F.min(value).alias(value))
     stop_at = _end_column(daily, date, end)
     firsts = daily.groupBy(key).agg(F.min(date).alias("_first"))
     calendar = (

@@ -158,15 +158,23 @@ def rates_melt(spark, sf):
 
 
 def _line_quotes(spark, sf) -> DataFrame:
+    """The quote table: one (smallest) unit price per supplier and ship day.
+
+    Aggregated on the bigint supplier key (cheaper to hash than its text),
+    which becomes the text ``currency`` column on the aggregated rows."""
     li = table(spark, sf, "lineitem")
     q = li.select(
-        F.col("l_suppkey").cast("string").alias("currency"),
+        "l_suppkey",
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("exchange_rate"),
         F.col("l_shipdate").cast("date").alias("date"),
-    )
-    # The quote table: one (smallest) unit price per supplier and ship day.
-    return q.where("currency IS NOT NULL AND date IS NOT NULL AND exchange_rate IS NOT NULL") \
-        .groupBy("currency", "date").agg(F.min("exchange_rate").alias("exchange_rate"))
+    ).where("l_suppkey IS NOT NULL AND date IS NOT NULL AND exchange_rate IS NOT NULL")
+    daily = q.groupBy("l_suppkey", "date").agg(F.min("exchange_rate").alias("exchange_rate"))
+    return daily.select(F.col("l_suppkey").cast("string").alias("currency"), "exchange_rate", "date")
+
+
+def _filled(spark, sf, windowed: bool = False) -> DataFrame:
+    fill = ser.gap_fill_windowed if windowed else ser.gap_fill
+    return fill(_line_quotes(spark, sf), one_per_day=True)
 
 
 GAP_FILL_SQL = "WITH " + S.GAP_FILL + "SELECT currency, exchange_rate, date FROM filled"
@@ -174,12 +182,12 @@ GAP_FILL_SQL = "WITH " + S.GAP_FILL + "SELECT currency, exchange_rate, date FROM
 
 @register("rates_gap_fill", GAP_FILL_SQL)
 def rates_gap_fill(spark, sf):
-    return ser.gap_fill(_line_quotes(spark, sf))
+    return _filled(spark, sf)
 
 
 @register("rates_gap_fill_window", GAP_FILL_SQL)
 def rates_gap_fill_window(spark, sf):
-    return ser.gap_fill_windowed(_line_quotes(spark, sf))
+    return _filled(spark, sf, windowed=True)
 
 
 @register("rates_with_base", "WITH " + S.GAP_FILL + """
@@ -188,7 +196,7 @@ UNION ALL
 SELECT 'EUR' AS currency, CAST(1.0 AS DOUBLE) AS exchange_rate, date FROM (SELECT DISTINCT date FROM filled)
 """)
 def rates_with_base(spark, sf):
-    return ser.with_base_rows(ser.gap_fill(_line_quotes(spark, sf)))
+    return ser.with_base_rows(_filled(spark, sf))
 
 
 @register("rate_conversion", "WITH " + S.GAP_FILL + """,
@@ -200,7 +208,7 @@ JOIN r ON r.currency = CAST(l.l_suppkey AS VARCHAR) AND r.date = CAST(o.o_orderd
 """)
 def rate_conversion(spark, sf):
     """Each line converted at its supplier's rate on the day the order was placed."""
-    rates = ser.gap_fill(_line_quotes(spark, sf))
+    rates = _filled(spark, sf)
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
     fact = li.join(o, li.l_orderkey == o.o_orderkey).withColumn("supplier", F.col("l_suppkey").cast("string"))

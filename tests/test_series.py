@@ -131,3 +131,11 @@ def test_attach_rate_strategies(spark):
     assert "SortMergeJoin" in plans[("checked", 1)]
     with pytest.raises(ValueError):
         ser.attach_rate(fact, rates, "cur", "d", strategy="nope")
+
+
+@pytest.mark.parametrize("fill", [ser.gap_fill, ser.gap_fill_windowed])
+def test_one_per_day_shortcut_same_result(spark, fill):
+    q = _f3(spark)
+    a = sorted(tuple(r) for r in fill(q, end=D(2020, 1, 6)).collect())
+    b = sorted(tuple(r) for r in fill(q, end=D(2020, 1, 6), one_per_day=True).collect())
+    assert a == b
