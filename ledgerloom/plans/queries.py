@@ -157,11 +157,12 @@ def rates_melt(spark, sf):
     return rc.load_rates(spark, path)
 
 
-def _line_quotes(spark, sf) -> DataFrame:
+def _line_quotes(spark, sf, text_key: bool = True) -> DataFrame:
     """The quote table: one (smallest) unit price per supplier and ship day.
 
     Aggregated on the bigint supplier key (cheaper to hash than its text),
-    which becomes the text ``currency`` column on the aggregated rows."""
+    which becomes the text ``currency`` column on the aggregated rows unless
+    ``text_key`` is false."""
     li = table(spark, sf, "lineitem")
     q = li.select(
         "l_suppkey",
@@ -169,6 +170,8 @@ def _line_quotes(spark, sf) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("date"),
     ).where("l_suppkey IS NOT NULL AND date IS NOT NULL AND exchange_rate IS NOT NULL")
     daily = q.groupBy("l_suppkey", "date").agg(F.min("exchange_rate").alias("exchange_rate"))
+    if not text_key:
+        return daily
     return daily.select(F.col("l_suppkey").cast("string").alias("currency"), "exchange_rate", "date")
 
 
@@ -208,15 +211,17 @@ JOIN r ON r.currency = CAST(l.l_suppkey AS VARCHAR) AND r.date = CAST(o.o_orderd
 """)
 def rate_conversion(spark, sf):
     """Each line converted at its supplier's rate on the day the order was placed."""
-    rates = _filled(spark, sf)
+    # The series keeps the bigint supplier key here: the 2.5 M-row join side
+    # hashes and sorts a bigint, and only the joined rows get the text key.
+    rates = ser.gap_fill(_line_quotes(spark, sf, text_key=False), key="l_suppkey", one_per_day=True)
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
-    fact = li.join(o, li.l_orderkey == o.o_orderkey).withColumn("supplier", F.col("l_suppkey").cast("string"))
+    fact = li.join(o, li.l_orderkey == o.o_orderkey)
     # one quote per supplier and day, so the filled series is unique per (supplier, day)
-    joined = ser.attach_rate(fact, rates, "supplier", "order_date", rates_unique=True)
+    joined = ser.attach_rate(fact, rates, "l_suppkey", "order_date", key="l_suppkey", rates_unique=True)
     return joined.select(
-        "l_orderkey", "l_linenumber", F.col("supplier").alias("currency"), F.col("order_date").alias("date"),
-        "l_extendedprice", "exchange_rate",
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("currency"),
+        F.col("order_date").alias("date"), "l_extendedprice", "exchange_rate",
         (F.col("l_extendedprice") * F.col("exchange_rate")).alias("converted_amount"))
 
 
