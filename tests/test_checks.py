@@ -134,3 +134,17 @@ def test_not_found_with_map_column_and_empty_report(spark):
     assert row.passed is False and row.detail.startswith("k = 1, m = ")
     with pytest.raises(ValueError):
         ck.report()
+
+
+def test_every_check_kind_can_fail(spark):
+    assert passed(ck.check_true("b", one(spark, False, "boolean"))) is False
+    df = spark.createDataFrame([(1, 10.0), (2, -1.0)], "k int, v double")
+    res = {r.check_name: r.passed for r in ck.check_aggregates(df, {
+        "positive": F.min("v") > 0,
+        "sum_le": (F.sum("v"), "<=", F.lit(5.0)),
+        "close": ("almost", 0.01, F.max("v"), F.sum("v")),
+        "null_operand": (F.max(F.lit(None).cast("double")), "=", F.lit(1.0)),
+    }).collect()}
+    assert res == {"positive": False, "sum_le": False, "close": False, "null_operand": False}
+    with pytest.raises(ck.CheckFailed, match="positive"):
+        ck.enforce(ck.check_aggregates(df, {"positive": F.min("v") > 0}))
