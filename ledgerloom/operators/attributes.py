@@ -116,3 +116,23 @@ def similar_values(attrs: DataFrame, attribute: str, typed: str, k: int = 10,
         .limit(k)
         .select("value", "row_count", F.round("_sim", 6).alias("similarity"))
     )
+
+
+# Fixed value: the default name suffix of an attribute table.
+ATTRIBUTES_SUFFIX = "_attributes"
+
+
+def create_attributes_table(spark, source_table: str, suffix: str = ATTRIBUTES_SUFFIX,
+                            path: str | None = None) -> str:
+    """Build ``<source_table><suffix>`` as a catalog table partitioned by
+    attribute (replacing an existing one) and return its name."""
+    target = source_table + suffix
+    attrs = attribute_counts(spark.table(source_table))
+    writer = (
+        attrs.repartitionByRange("attribute", "value").sortWithinPartitions("attribute", "value")
+        .write.format("parquet").mode("overwrite").partitionBy("attribute")
+    )
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(target)
+    return target

@@ -161,3 +161,32 @@ def time_dimensions(spark: SparkSession, start: _dt.date | None = None, end: _dt
     days = populate_days(existing_days, bounds(spark, start, end), pad_day_names)
     durations = extend_durations(existing_durations, bounds(spark, start, as_of, names=("start", "as_of")))
     return {"day": days, "duration": durations, "hour_of_day": hour_of_day(spark)}
+
+
+def write_time_dimensions(spark: SparkSession, database: str, start: _dt.date | None = None,
+                          end: _dt.date | None = None, as_of: _dt.date | None = None,
+                          pad_day_names: bool = True) -> dict[str, str]:
+    """Create or extend ``<database>.day``, ``.duration`` and ``.hour_of_day``.
+
+    Existing tables keep their rows; only absent days and durations are
+    appended (the hour table is written once). Returns the table names."""
+    from ledgerloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    names = {t: f"{database}.{t}" for t in ("day", "duration", "hour_of_day")}
+    have = {t: spark.catalog.tableExists(n) for t, n in names.items()}
+    d0, d1 = default_range()
+    start, end = start or d0, end or d1
+    as_of = as_of or end
+    new_days = add_absent_days(spark.table(names["day"]) if have["day"] else None,
+                               bounds(spark, start, end), pad_day_names)
+    new_durations = insert_if_absent(
+        spark.table(names["duration"]) if have["duration"] else None,
+        duration_dimension(bounds(spark, start, as_of, names=("start", "as_of"))), ["duration_id"])
+    # materialise before appending: the new rows are computed against the
+    # table they are appended to
+    for t, rows in (("day", new_days), ("duration", new_durations)):
+        rows = rows.checkpoint(eager=True)
+        rows.write.format("parquet").mode("append" if have[t] else "overwrite").saveAsTable(names[t])
+    if not have["hour_of_day"]:
+        hour_of_day(spark).write.format("parquet").saveAsTable(names["hour_of_day"])
+    return names

@@ -71,3 +71,18 @@ def test_case_sensitive_prefix_is_pushed_down(spark, tmp_out):
     q = autocomplete(spark.read.parquet(path), "p_name", "red", mode="prefix", case_sensitive=True)
     assert "StringStartsWith(value,red)" in q._jdf.queryExecution().executedPlan().toString()
     assert all(r.value.startswith("red") for r in q.collect())
+
+
+def test_create_attributes_table_in_catalog(spark, tmp_out):
+    from ledgerloom.operators.attributes import create_attributes_table
+    from ledgerloom.session import unique_name
+    db = unique_name("attrdb")
+    root = tmp_out(db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}'")
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").write.option("path", f"{root}/part") \
+        .saveAsTable(f"{db}.part")
+    name = create_attributes_table(spark, f"{db}.part")
+    assert name == f"{db}.part_attributes"
+    t = spark.table(name)
+    assert set(t.columns) == {"attribute", "value", "row_count"}
+    assert t.groupBy().sum("row_count").first()[0] == 3 * 200

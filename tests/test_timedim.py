@@ -120,3 +120,19 @@ def test_time_dimensions_bundle(spark):
     again = td.time_dimensions(spark, dt.date(2020, 1, 1), dt.date(2020, 1, 31),
                                existing_days=t["day"], existing_durations=t["duration"])
     assert again["day"].count() == 32 and again["duration"].count() == 65
+
+
+def test_write_time_dimensions_incrementally(spark, tmp_out):
+    from ledgerloom.session import unique_name
+    db = unique_name("time")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{tmp_out(db)}'")
+    names = td.write_time_dimensions(spark, db, dt.date(2020, 1, 10), dt.date(2020, 1, 20))
+    assert spark.table(names["day"]).count() == 12
+    assert spark.table(names["hour_of_day"]).count() == 24
+    n_dur = spark.table(names["duration"]).count()
+    td.write_time_dimensions(spark, db, dt.date(2020, 1, 5), dt.date(2020, 1, 25))
+    assert spark.table(names["day"]).count() == 22  # 01-04 .. 01-25, no duplicates
+    assert spark.table(names["day"]).select("_date").distinct().count() == 22
+    assert spark.table(names["duration"]).count() > n_dur
+    assert spark.table(names["duration"]).select("duration_id").distinct().count() == \
+        spark.table(names["duration"]).count()
