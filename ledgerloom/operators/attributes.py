@@ -52,13 +52,22 @@ def attribute_counts(df: DataFrame, columns: list[str] | None = None) -> DataFra
     return long.groupBy("attribute", "value").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def write_attributes(attrs: DataFrame, path: str, mode: str = "overwrite") -> None:
+# Column holding a value's precomputed trigrams in a stored attribute table.
+TRIGRAM_COLUMN = "value_trigrams"
+
+
+def write_attributes(attrs: DataFrame, path: str, mode: str = "overwrite",
+                     with_trigrams: bool = False) -> None:
     """One folder per attribute, values sorted inside the files.
 
     Range-partitioning on (attribute, value) keeps a large attribute from
     landing in a single task and gives each file tight min/max statistics on
-    ``value``, so prefix lookups skip row groups.
+    ``value``, so prefix lookups skip row groups. ``with_trigrams`` stores
+    each value's trigrams (the counterpart of a trigram index), so similarity
+    lookups read them instead of recomputing them.
     """
+    if with_trigrams:
+        attrs = attrs.withColumn(TRIGRAM_COLUMN, trigrams(F.col("value")))
     (
         attrs.repartitionByRange("attribute", "value")
         .sortWithinPartitions("attribute", "value")
@@ -107,7 +116,8 @@ def similar_values(attrs: DataFrame, attribute: str, typed: str, k: int = 10,
     if threshold <= 0:
         raise ValueError("threshold must be > 0")
     query = trigrams(F.lit(typed))
-    sim = trigram_similarity(trigrams(F.col("value")), query)
+    grams = F.col(TRIGRAM_COLUMN) if TRIGRAM_COLUMN in attrs.columns else trigrams(F.col("value"))
+    sim = trigram_similarity(grams, query)
     return (
         attrs.where(F.col("attribute") == F.lit(attribute))
         .select("value", "row_count", sim.alias("_sim"))

@@ -86,3 +86,15 @@ def test_create_attributes_table_in_catalog(spark, tmp_out):
     t = spark.table(name)
     assert set(t.columns) == {"attribute", "value", "row_count"}
     assert t.groupBy().sum("row_count").first()[0] == 3 * 200
+
+
+def test_stored_trigrams_give_the_same_matches(spark, tmp_out):
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    attrs = attribute_counts(part)
+    path = tmp_out("attrs_tri")
+    write_attributes(attrs, path, with_trigrams=True)
+    stored = spark.read.parquet(path)
+    assert "value_trigrams" in stored.columns
+    a = [tuple(r) for r in similar_values(stored, "p_name", "small gear").collect()]
+    b = [tuple(r) for r in similar_values(attrs, "p_name", "small gear").collect()]
+    assert a == b and len(a) == 10
