@@ -72,6 +72,7 @@ def write_attributes(attrs: DataFrame, path: str, mode: str = "overwrite",
         attrs.repartitionByRange("attribute", "value")
         .sortWithinPartitions("attribute", "value")
         .write.mode(mode)
+        .option("partitionOverwriteMode", "static")  # a rewrite drops attributes that are gone
         .partitionBy("attribute")
         .parquet(path)
     )
@@ -136,6 +137,7 @@ def create_attributes_table(spark, source_table: str, suffix: str = ATTRIBUTES_S
                             path: str | None = None) -> str:
     """Build ``<source_table><suffix>`` as a catalog table partitioned by
     attribute (replacing an existing one) and return its name."""
+    from ledgerloom.session import partition_overwrite
     target = source_table + suffix
     attrs = attribute_counts(spark.table(source_table))
     writer = (
@@ -144,5 +146,6 @@ def create_attributes_table(spark, source_table: str, suffix: str = ATTRIBUTES_S
     )
     if path is not None:
         writer = writer.option("path", path)
-    writer.saveAsTable(target)
+    with partition_overwrite(spark, "static"):  # a rebuild drops attributes that are gone
+        writer.saveAsTable(target)
     return target

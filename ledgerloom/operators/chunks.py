@@ -50,4 +50,4 @@ def write_by_chunk(df: DataFrame, key: str, path: str, n: int = DEFAULT_CHUNKS,
     chunked = with_chunk(df, key, n).withColumn("chunk", F.col("chunk").cast("int"))
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     chunked.repartitionByRange(F.col("chunk"), row_hash) \
-        .write.mode(mode).partitionBy("chunk").parquet(path)
+        .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("chunk").parquet(path)

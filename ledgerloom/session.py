@@ -8,7 +8,9 @@ is unset (local tests) do we pick a fresh folder ourselves.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,7 +31,6 @@ def build_session(cpus: str | int = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -89,6 +90,25 @@ def cluster_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(SHUFFLE_PARTITION_BYTES),
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.compression.codec": "zstd",
     }
+
+
+_CONF_LOCK = threading.Lock()
+
+
+@contextmanager
+def partition_overwrite(spark: SparkSession, mode: str):
+    """Run catalog writes with ``spark.sql.sources.partitionOverwriteMode``
+    set to ``mode`` ("static" replaces the whole table, "dynamic" only the
+    partitions written). For catalog tables the session setting is the way to
+    choose: a write option would be stored with the table and override every
+    later insert. Writes to plain paths pass the option per write instead."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    with _CONF_LOCK:
+        prev = spark.conf.get(key)
+        spark.conf.set(key, mode)
+        try:
+            yield
+        finally:
+            spark.conf.set(key, prev)

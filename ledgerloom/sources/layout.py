@@ -14,10 +14,13 @@ original toolkit, expressed as how Parquet files are written.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.checks import check_unique, enforce
+from ledgerloom.session import partition_overwrite
 from ledgerloom.sources.catalog import columns_like
 
 # Index methods the original toolkit accepts.
@@ -45,8 +48,9 @@ def append_rows(df: DataFrame, table: str) -> None:
 def create_partitioned_table(spark: SparkSession, like: DataFrame, table: str, path: str,
                              key: str, compression: str = "zstd") -> DataFrame:
     """An empty Parquet table partitioned by ``key`` with ``like``'s schema."""
-    (spark.createDataFrame([], like.schema).write.format("parquet").option("compression", compression)
-     .partitionBy(key).option("path", path).mode("overwrite").saveAsTable(table))
+    with partition_overwrite(spark, "static"):  # re-creating over old files empties them
+        (spark.createDataFrame([], like.schema).write.format("parquet").option("compression", compression)
+         .partitionBy(key).option("path", path).mode("overwrite").saveAsTable(table))
     return spark.table(table)
 
 
@@ -54,12 +58,8 @@ def write_partition(df: DataFrame, table: str) -> None:
     """Replace the partitions present in ``df`` and leave every other
     partition as it is (dynamic partition overwrite)."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with partition_overwrite(spark, "dynamic"):
         df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
 def clustered_by(df: DataFrame, key: str) -> DataFrame:
@@ -76,28 +76,28 @@ def clustered_by(df: DataFrame, key: str) -> DataFrame:
 def write_list_partitions(df: DataFrame, path: str, key: str, cluster: bool = True) -> None:
     """One folder per key value; folders of keys not in ``df`` are untouched.
     ``cluster`` range-partitions first (see :func:`clustered_by`)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out = clustered_by(df, key) if cluster else df
-        out.write.mode("overwrite").partitionBy(key).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    out = clustered_by(df, key) if cluster else df
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
+
+
+def _sql_text(value: str) -> str:
+    """A value for a single-quoted Spark SQL literal."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -> list:
     """Register an (empty) partition for every key from ``keys`` the table
     lacks. The key list is a partition list, so it is collected."""
     existing = spark.sql(f"SHOW PARTITIONS {table}")
-    present = {r[0].split("=", 1)[1] for r in existing.collect()}
+    # partition names are path-escaped ('a/b' is listed as 'a%2Fb')
+    present = {unquote(r[0].split("=", 1)[1]) for r in existing.collect()}
     # normalise through the partition column's type ('01' and '1' are one int key)
     ptype = dict(spark.table(table).dtypes)[key]
     wanted = [r[0] for r in keys.select(F.col(keys.columns[0]).cast(ptype).cast("string")).distinct().collect()
               if r[0] is not None]
     added = [k for k in sorted(wanted) if k not in present]
     for i in range(0, len(added), PARTITIONS_PER_STATEMENT):
-        specs = " ".join(f"PARTITION ({key} = '{k}')" for k in added[i:i + PARTITIONS_PER_STATEMENT])
+        specs = " ".join(f"PARTITION (`{key}` = '{_sql_text(k)}')" for k in added[i:i + PARTITIONS_PER_STATEMENT])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     return added
 
