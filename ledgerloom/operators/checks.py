@@ -136,7 +136,10 @@ def check_not_found(name: str, failing: DataFrame, order_by: list[str] | None =
     cols = failing.columns
     # map columns cannot be ordered; the others still fix which rows are shown
     orderable = [f.name for f in failing.schema.fields if not isinstance(f.dataType, T.MapType)]
-    order = [F.col(f"`{c}`").asc_nulls_first() for c in (order_by or orderable)]
+    if order_by or orderable:
+        order = [F.col(f"`{c}`").asc_nulls_first() for c in (order_by or orderable)]
+    else:  # nothing orderable: order by the printed row
+        order = [row_text(cols).asc_nulls_first()]
     top = failing.orderBy(*order).limit(shown)
     lines = top.select(
         F.row_number().over(Window.orderBy(*order)).alias("_rn"),

@@ -37,6 +37,9 @@ def _dictionary_side(enum: DataFrame, cols: list) -> DataFrame:
 def _from_list(spark: SparkSession, values: list[str]) -> DataFrame:
     seen: dict[str, int] = {}
     for v in values:
+        if v is None:
+            continue
+        v = v[:MAX_LABEL_CHARS]
         if v not in seen:
             seen[v] = len(seen)
     return spark.createDataFrame([(v, i) for v, i in seen.items()], "value string, _pos int")
@@ -46,20 +49,22 @@ def create_enum(values: DataFrame | list[str], column: str | None = None,
                 spark: SparkSession | None = None, order_by: str | None = None) -> DataFrame:
     """A new dictionary. From a list: labels in list order. From a DataFrame:
     the distinct non-NULL values of ``column``, sorted by label, or by the
-    smallest ``order_by`` value seen with each label (ties by label)."""
+    smallest ``order_by`` value seen with each label (ties by label).
+    NULLs are skipped and labels are cut to 63 characters, as when appending."""
     if isinstance(values, list):
         if spark is None:
             raise ValueError("a SparkSession is needed to build an enum from a list")
-        if not values:
-            return spark.createDataFrame([], ENUM_SCHEMA)
         labels = _from_list(spark, values)
+        if labels.isEmpty():
+            return spark.createDataFrame([], ENUM_SCHEMA)
         return number_in_order(labels, ["_pos"]).select("value", "ordinal")
     col = column or values.columns[0]
+    label = F.substring(F.col(col).cast("string"), 1, MAX_LABEL_CHARS).alias("value")
     if order_by is not None:
-        labels = (values.select(F.col(col).cast("string").alias("value"), F.col(order_by).alias("_key"))
+        labels = (values.select(label, F.col(order_by).alias("_key"))
                   .where("value IS NOT NULL").groupBy("value").agg(F.min("_key").alias("_key")))
         return number_in_order(labels, ["_key", "value"]).select("value", "ordinal")
-    labels = values.select(F.col(col).cast("string").alias("value")).where("value IS NOT NULL").distinct()
+    labels = values.select(label).where("value IS NOT NULL").distinct()
     return number_in_order(labels, ["value"]).select("value", "ordinal")
 
 

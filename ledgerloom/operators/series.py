@@ -42,8 +42,9 @@ def gap_fill(quotes: DataFrame, key: str = "currency", date: str = "date",
              include_quotes: bool = True, one_per_day: bool = False) -> DataFrame:
     """Quotes plus carried-forward rows ``(key, value, date)`` through ``end``.
 
-    ``end`` defaults to the last quoted day. Quotes after ``end`` create no
-    rows; with ``include_quotes=False`` only the added rows are returned.
+    ``end`` defaults to the last quoted day. Original quotes are returned as
+    they are, including any after ``end``, which create no filled rows; with
+    ``include_quotes=False`` only the added rows are returned.
     ``one_per_day=True`` promises at most one quote per key and day (e.g. an
     aggregated quote table) and skips the per-day minimum.
     """

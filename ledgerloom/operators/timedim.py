@@ -21,6 +21,9 @@ from ledgerloom.functions.calendar import (
 
 # Fixed value: SMALLINT day counts must stay clear of the -30000 sentinel.
 MAX_SPAN_DAYS = 30000
+# The negative durations reach id -(span + 1): a span of 29,999 days would
+# give id -30000, the sentinel's.
+MAX_DURATION_SPAN_DAYS = 29999
 
 
 def bounds(spark: SparkSession, start: _dt.date, end: _dt.date,
@@ -36,10 +39,10 @@ def bounds_of(df: DataFrame, column: str, names: tuple[str, str] = ("start", "en
     return df.agg(F.min(c).alias(names[0]), F.max(c).alias(names[1]))
 
 
-def _guarded(a: Column, b: Column, value: Column) -> Column:
-    """``value``, or a runtime error when a and b are 30,000 days apart or more."""
-    return F.when(F.abs(F.datediff(b, a)) >= F.lit(MAX_SPAN_DAYS),
-                  F.raise_error(F.lit(f"date range of {MAX_SPAN_DAYS} days or more"))).otherwise(value)
+def _guarded(a: Column, b: Column, value: Column, limit: int = MAX_SPAN_DAYS) -> Column:
+    """``value``, or a runtime error when a and b are ``limit`` days apart or more."""
+    return F.when(F.abs(F.datediff(b, a)) >= F.lit(limit),
+                  F.raise_error(F.lit(f"date range of {limit} days or more"))).otherwise(value)
 
 
 def calendar_days(bounds_df: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
@@ -83,7 +86,7 @@ def duration_dimension(bounds_df: DataFrame, start: str = "start", as_of: str =
     original toolkit), not on the end of the day table.
     """
     s, a = F.col(start), F.col(as_of)
-    lo = _guarded(s, a, F.datediff(s, a))
+    lo = _guarded(s, a, F.datediff(s, a), MAX_DURATION_SPAN_DAYS)
     hi = F.datediff(a, s) + 2
     neg = (
         bounds_df.where(lo <= 0)
@@ -92,7 +95,7 @@ def duration_dimension(bounds_df: DataFrame, start: str = "start", as_of: str =
     )
     pos = (
         bounds_df.where(hi >= 0)
-        .select(F.explode(F.sequence(F.lit(0), _guarded(s, a, hi))).alias("n"))
+        .select(F.explode(F.sequence(F.lit(0), _guarded(s, a, hi, MAX_DURATION_SPAN_DAYS))).alias("n"))
         .select(*duration_columns(F.col("n"), negative=False))
     )
     spark = bounds_df.sparkSession

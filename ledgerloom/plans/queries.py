@@ -525,7 +525,7 @@ def check_unique_partial(spark, sf):
 
 PRIORITY_ENUM_SQL = """
 SELECT value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS ordinal
-FROM (SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderpriority IS NOT NULL)
+FROM (SELECT DISTINCT substr(o_orderpriority, 1, 63) AS value FROM orders WHERE o_orderpriority IS NOT NULL)
 """
 
 

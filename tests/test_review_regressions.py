@@ -97,3 +97,32 @@ def test_partition_loads_after_create_keep_each_other(spark, tmp_out):
     lay.write_partition(ev.where("k = 'a'"), f"{db}.p")
     lay.write_partition(ev.where("k = 'b'"), f"{db}.p")
     assert sorted(tuple(r) for r in spark.table(f"{db}.p").collect()) == [(1, "a"), (2, "b")]
+
+
+def test_duration_span_that_would_hit_the_sentinel_is_rejected(spark):
+    import pytest
+    from ledgerloom.operators import timedim as td
+    start = dt.date(2000, 1, 1)
+    ok = td.bounds(spark, start, start + dt.timedelta(days=29998), names=("start", "as_of"))
+    ids = td.duration_dimension(ok).groupBy("duration_id").count().where("count > 1").count()
+    assert ids == 0
+    bad = td.bounds(spark, start, start + dt.timedelta(days=29999), names=("start", "as_of"))
+    with pytest.raises(Exception):
+        td.duration_dimension(bad).count()
+
+
+def test_enum_lists_skip_nulls_and_cut_long_labels(spark):
+    from ledgerloom.operators import enums as en
+    e = en.create_enum(["a", None, "b", "x" * 70], spark=spark)
+    assert sorted(tuple(r) for r in e.collect()) == [("a", 1), ("b", 2), ("x" * 63, 3)]
+    e2 = en.add_enum_values(e, ["c", None, "x" * 70])
+    assert sorted(tuple(r) for r in e2.collect())[-2:] == [("c", 4), ("x" * 63, 3)]
+    assert e2.count() == 4
+    assert en.create_enum([None], spark=spark).count() == 0
+
+
+def test_not_found_with_only_map_columns(spark):
+    from ledgerloom.operators import checks as ck
+    failing = spark.createDataFrame([({"a": 1},), ({"b": 2},)], "m map<string,int>")
+    row = ck.check_not_found("nf", failing).first()
+    assert row.passed is False and row.left_value == 2 and row.detail.count("\n") == 1
