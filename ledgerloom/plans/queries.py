@@ -138,6 +138,7 @@ def hour_of_day(spark, sf):
 SELECT substr(o_orderpriority, 3, 3) AS currency, min(o_totalprice) AS exchange_rate,
        CAST(o_orderdate AS DATE) AS date
 FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL
+  AND length(trim(substr(o_orderpriority, 3, 3))) = 3   -- only three-letter codes are rate columns
 GROUP BY 1, 3
 """)
 def rates_melt(spark, sf):
@@ -394,9 +395,9 @@ def _avg_by_line(li: DataFrame) -> DataFrame:
 
 
 @register("check_array", """
-WITH a AS (SELECT list(q ORDER BY l_linenumber) AS v FROM
+WITH a AS (SELECT coalesce(list(q ORDER BY l_linenumber NULLS FIRST), []) AS v FROM
              (SELECT l_linenumber, avg(l_quantity) AS q FROM lineitem GROUP BY 1)),
-b AS (SELECT list(q ORDER BY l_linenumber) AS v FROM
+b AS (SELECT coalesce(list(q ORDER BY l_linenumber NULLS FIRST), []) AS v FROM
              (SELECT l_linenumber, avg(l_quantity) AS q FROM lineitem WHERE l_tax < 0.02 GROUP BY 1)),
 p AS (SELECT (SELECT v FROM a) AS av, (SELECT v FROM b) AS bv),
 d AS (SELECT len(list_filter(list_transform(range(1, greatest(len(av), len(bv)) + 1),
@@ -580,7 +581,10 @@ def hll_rollup(spark, sf):
     li, est = _supplier_sketches(spark, sf)
     exact = li.where("l_partkey IS NOT NULL").groupBy("l_suppkey").agg(
         F.count_distinct("l_partkey").alias("exact"))
-    return est.join(exact, "l_suppkey").select(
+    # null-safe: rows without a supplier form their own group on both sides
+    joined = est.join(exact, est.l_suppkey.eqNullSafe(exact.l_suppkey)).select(
+        est.l_suppkey, "distinct_estimate", "exact")
+    return joined.select(
         "l_suppkey", (F.abs(F.col("distinct_estimate") - F.col("exact")) <= 0.05 * F.col("exact"))
         .alias("within_tolerance"))
 
@@ -620,8 +624,10 @@ def hash_partition_write(spark, sf):
     tbl = lay.write_hash_partitions(_t(spark, sf, "orders"), f"{db}.orders_b", "o_orderkey", 8, f"{root}/orders_b")
     tagged = tbl.select("o_orderkey", F.regexp_extract(F.input_file_name(), r"_(\d{5})[.-]", 1).alias("bucket"))
     per_key = tagged.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("bucket").alias("b"))
-    return per_key.agg(F.sum("n").alias("total_rows"), F.count(F.lit(1)).alias("distinct_keys"),
-                       F.coalesce(F.max("b") <= 1, F.lit(True)).alias("colocated"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.count("o_orderkey").alias("distinct_keys"),  # the NULL key group is not a key
+        F.coalesce(F.max(F.when(F.col("o_orderkey").isNotNull(), F.col("b"))) <= 1, F.lit(True)).alias("colocated"))
 
 
 @register("columnar_from_view", "SELECT * FROM orders")

@@ -46,6 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares; "
+                               "a machine-local folder only works in local mode")
         root = _LOCAL_ROOT.get(id(spark))
         if root is None:
             root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
@@ -94,7 +98,7 @@ def cluster_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
     }
 
 
-_CONF_LOCK = threading.Lock()
+_CONF_LOCK = threading.RLock()
 
 
 @contextmanager

@@ -18,6 +18,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.checks import check_unique, enforce
 from ledgerloom.session import partition_overwrite
@@ -176,15 +177,21 @@ def write_foreign_key_layout(df: DataFrame, path: str, excluded: list[str] | Non
 def analyze_table(spark: SparkSession, table: str, columns: list[str] | None = None) -> DataFrame:
     """Compute table and column statistics; returns ``(column_name,
     null_count)`` per column plus ``row_count`` for the table."""
-    cols = columns or [c.name for c in spark.catalog.listColumns(table)]
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {', '.join(cols)}")
+    if columns is None:
+        # column statistics exist for atomic types only
+        atomic = (T.ArrayType, T.MapType, T.StructType)
+        cols = [f.name for f in spark.table(table).schema.fields if not isinstance(f.dataType, atomic)]
+    else:
+        cols = list(columns)
+    quoted = ", ".join(f"`{c}`" for c in cols)
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR COLUMNS {quoted}")
     rows = []
     total = None
     for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
         if r[0] == "Statistics" and r[1] and "rows" in r[1]:
             total = int(r[1].split(",")[1].strip().split(" ")[0])
     for c in cols:
-        info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table} {c}").collect()}
+        info = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table} `{c}`").collect()}
         nulls = info.get("num_nulls")
         rows.append((c, int(nulls) if nulls not in (None, "NULL") else None, total))
     return spark.createDataFrame(rows, "column_name string, null_count bigint, row_count bigint")

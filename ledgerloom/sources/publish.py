@@ -64,10 +64,16 @@ def publish(spark: SparkSession, live: str, version: str, live_location: str,
             drop_previous: bool = True) -> str | None:
     """Point the views of ``live`` at the tables of ``version``; views of tables
     the new version lacks are dropped, then the previous version is dropped.
-    Returns the previous version's name."""
+    Returns the previous version's name.
+
+    Queries still reading the previous version fail once its files are gone;
+    pass ``drop_previous=False`` and drop it later when readers run long. A
+    version without tables is refused rather than emptying the live views."""
+    names = copyable_tables(spark, version)
+    if not names:
+        raise ValueError(f"{version} holds no tables; refusing to publish it")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {live} LOCATION '{live_location}'")
     previous = current_version(spark, live)
-    names = copyable_tables(spark, version)
     for t in names:
         spark.sql(f"CREATE OR REPLACE VIEW {live}.{t} AS SELECT * FROM {version}.{t}")
     for v in spark.catalog.listTables(live):

@@ -126,3 +126,19 @@ def test_not_found_with_only_map_columns(spark):
     failing = spark.createDataFrame([({"a": 1},), ({"b": 2},)], "m map<string,int>")
     row = ck.check_not_found("nf", failing).first()
     assert row.passed is False and row.left_value == 2 and row.detail.count("\n") == 1
+
+
+def test_publish_refuses_an_empty_version_and_analyze_handles_odd_columns(spark, tmp_out):
+    import pytest
+    from ledgerloom.sources import publish as pub
+    empty = unique_name("empty")
+    pub.create_database(spark, empty, tmp_out(empty))
+    with pytest.raises(ValueError):
+        pub.publish(spark, unique_name("live"), empty, tmp_out("live"))
+    db = unique_name("odd")
+    root = tmp_out(db)
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{root}'")
+    spark.createDataFrame([(1, [1, 2], "x")], "`a b` int, arr array<int>, `select` string") \
+        .write.option("path", f"{root}/t").saveAsTable(f"{db}.t")
+    rows = {r.column_name: r.null_count for r in lay.analyze_table(spark, f"{db}.t").collect()}
+    assert rows == {"a b": 0, "select": 0}
