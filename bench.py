@@ -32,7 +32,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
+    repeats = max(1, int(os.environ.get("BENCH_REPEATS", "5")))
     names = sys.argv[1:] or HEADLINE
 
     from ledgerloom.session import build_session

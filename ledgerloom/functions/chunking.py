@@ -21,8 +21,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _check_n(n: int) -> None:
+    if not 1 <= n <= 32767:
+        raise ValueError("the number of chunks must be between 1 and 32767 (chunk ids are SMALLINT)")
+
+
 def chunk_of_bigint(x: Column | str, n: int = DEFAULT_CHUNKS) -> Column:
     """|x| mod n as smallint; NULL keys go to chunk 0."""
+    _check_n(n)
     return F.coalesce(F.abs(_col(x).cast("bigint")) % F.lit(n), F.lit(0)).cast("smallint")
 
 

@@ -29,6 +29,11 @@ ATTRIBUTE_SCHEMA = T.StructType([
 DEFAULT_SIMILARITY_THRESHOLD = 0.3
 
 
+def quote_name(name: str) -> str:
+    """A column name as a backtick-quoted identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_columns(df: DataFrame) -> list[str]:
     """Names of all string-typed columns (text, varchar, char, enum labels)."""
     return [
@@ -44,11 +49,10 @@ def attribute_counts(df: DataFrame, columns: list[str] | None = None) -> DataFra
     spark = df.sparkSession
     if not cols:
         return spark.createDataFrame([], ATTRIBUTE_SCHEMA)
-    long = (
-        df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in cols])
-        .unpivot([], cols, "attribute", "value")
-        .where(F.col("value").isNotNull())
-    )
+    # names may hold dots or backticks: refer to each column by a quoted name
+    # and let the alias carry the attribute name
+    values = [F.col(quote_name(c)).cast("string").alias(c) for c in cols]
+    long = df.unpivot([], values, "attribute", "value").where(F.col("value").isNotNull())
     return long.groupBy("attribute", "value").agg(F.count(F.lit(1)).alias("row_count"))
 
 

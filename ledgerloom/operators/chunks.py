@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.chunking import DEFAULT_CHUNKS, chunk_of
 
@@ -24,11 +25,14 @@ def with_chunk(df: DataFrame, key: str, n: int = DEFAULT_CHUNKS, out: str = "chu
     return df.withColumn(out, chunk_of(df, key, n))
 
 
-def select_chunk(df: DataFrame, key: str, chunk: int, n: int = DEFAULT_CHUNKS) -> DataFrame:
-    """Rows of one chunk. On a table laid out by chunk, filter the ``chunk``
-    column instead so the scan prunes partitions."""
-    if "chunk" in df.columns:
-        return df.where(F.col("chunk") == F.lit(chunk))
+def select_chunk(df: DataFrame, key: str, chunk: int, n: int = DEFAULT_CHUNKS,
+                 layout_column: str | None = None) -> DataFrame:
+    """Rows of one chunk, computed from ``key``. For a table laid out by
+    :func:`write_by_chunk` (with the same key and ``n``), pass
+    ``layout_column="chunk"`` to filter the stored column instead, so the scan
+    prunes partitions."""
+    if layout_column is not None:
+        return df.where(F.col(layout_column) == F.lit(chunk))
     return df.where(chunk_of(df, key, n) == F.lit(chunk))
 
 
@@ -46,8 +50,11 @@ def write_by_chunk(df: DataFrame, key: str, path: str, n: int = DEFAULT_CHUNKS,
 
     Range partitioning on (chunk, row hash) gives balanced tasks that each
     write about one chunk, so files do not multiply by tasks x chunks, and
-    rows of a hot key are spread over several tasks."""
+    rows of a hot key are spread over several tasks (identical rows hash
+    alike and stay together: the hash must be deterministic for retries).
+    Map columns cannot be hashed and are left out of the hash."""
     chunked = with_chunk(df, key, n).withColumn("chunk", F.col("chunk").cast("int"))
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)] or [key]
+    row_hash = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in hashable])
     chunked.repartitionByRange(F.col("chunk"), row_hash) \
         .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("chunk").parquet(path)

@@ -272,7 +272,7 @@ def chunk_select(spark, sf):
     chk.write_by_chunk(table(spark, sf, "documents"), "text", path)
     laid = spark.read.parquet(path)
     parts = [
-        chk.select_chunk(laid, "text", k).groupBy("chunk").agg(
+        chk.select_chunk(laid, "text", k, layout_column="chunk").groupBy("chunk").agg(
             F.count(F.lit(1)).alias("documents"), F.sum("n_chars").alias("total_chars"),
             F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
         for k in range(7)

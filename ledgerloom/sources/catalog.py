@@ -16,7 +16,9 @@ def _like_regex(pattern: str, escape: str | None = None) -> re.Pattern:
     out, i = [], 0
     while i < len(pattern):
         ch = pattern[i]
-        if escape is not None and ch == escape and i + 1 < len(pattern):
+        if escape is not None and ch == escape:
+            if i + 1 == len(pattern):
+                raise ValueError("a LIKE pattern cannot end with the escape character")
             out.append(re.escape(pattern[i + 1]))
             i += 2
             continue

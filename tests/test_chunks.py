@@ -36,6 +36,6 @@ def test_select_chunk_prunes_layout(spark, tmp_out):
     path = tmp_out("by_chunk")
     chk.write_by_chunk(orders, "o_orderkey", path)
     laid = spark.read.parquet(path)
-    one = chk.select_chunk(laid, "o_orderkey", 3)
+    one = chk.select_chunk(laid, "o_orderkey", 3, layout_column="chunk")
     assert "PartitionFilters: [isnotnull(chunk" in one._jdf.queryExecution().executedPlan().toString()
     assert one.count() == chk.select_chunk(orders, "o_orderkey", 3).count()

@@ -142,3 +142,22 @@ def test_publish_refuses_an_empty_version_and_analyze_handles_odd_columns(spark,
         .write.option("path", f"{root}/t").saveAsTable(f"{db}.t")
     rows = {r.column_name: r.null_count for r in lay.analyze_table(spark, f"{db}.t").collect()}
     assert rows == {"a b": 0, "select": 0}
+
+
+def test_fourth_review_cases(spark, tmp_out):
+    import pytest
+    from ledgerloom.functions.chunking import chunk_of_bigint
+    from ledgerloom.sources.catalog import like_matches
+    df = spark.createDataFrame([("x", "y", "z")], "`a.b` string, c string, `d``e` string")
+    got = sorted(tuple(r) for r in attr.attribute_counts(df).collect())
+    assert got == [("a.b", "x", 1), ("c", "y", 1), ("d`e", "z", 1)]
+    maps = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2})], "k bigint, m map<string,int>")
+    path = tmp_out("chunk_maps")
+    chk.write_by_chunk(maps, "k", path)
+    assert spark.read.parquet(path).count() == 2
+    laid = spark.read.parquet(path)
+    assert chk.select_chunk(laid, "k", 1, n=16).count() == 1  # computed from the key, not the stored column
+    with pytest.raises(ValueError):
+        chunk_of_bigint("k", 40000)
+    with pytest.raises(ValueError):
+        like_matches("abc", "abc\\", escape="\\")
