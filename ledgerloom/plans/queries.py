@@ -57,6 +57,19 @@ def attributes_table(spark, sf):
     return attr.attribute_counts(table(spark, sf, "part"))
 
 
+@register("attributes_documents", """
+SELECT attribute, value, count(*) AS row_count FROM (
+  SELECT 'text' AS attribute, text AS value FROM documents
+  UNION ALL SELECT 'lang', lang FROM documents
+  UNION ALL SELECT 'source', source FROM documents)
+WHERE value IS NOT NULL GROUP BY attribute, value
+""")
+def attributes_documents(spark, sf):
+    """The attribute table of a text-heavy table: whole document texts are
+    values too, so exact copies show up with a row count above one."""
+    return attr.attribute_counts(table(spark, sf, "documents"))
+
+
 @register("attributes_sink", PART_ATTRS_SQL)
 def attributes_sink(spark, sf):
     """The attribute table written one folder per attribute, read back."""
