@@ -627,6 +627,25 @@ def list_partition_write(spark, sf):
     return back.groupBy("day_key").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@register("list_partitions_from_keys", """
+SELECT DISTINCT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day_key FROM events WHERE ts IS NOT NULL
+""")
+def list_partitions_from_keys(spark, sf):
+    """A partition for every key a key query returns, made only if absent:
+    the first days are loaded, then every day key of the events is
+    registered; the table's partition list is read back."""
+    db = unique_name("keyparts")
+    root = scratch_path(spark, db)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    ev = _t(spark, sf, "events").withColumn("day_key", F.date_format("ts", "yyyyMMdd").cast("int"))
+    lay.create_partitioned_table(spark, ev, f"{db}.events_p", f"{root}/events_p", "day_key")
+    middle = ev.agg(F.percentile_approx("day_key", 0.5)).scalar()
+    lay.write_partition(ev.where(F.col("day_key") <= middle), f"{db}.events_p")
+    lay.add_partitions(spark, f"{db}.events_p", "day_key", ev.select("day_key").where("day_key IS NOT NULL"))
+    listing = spark.sql(f"SHOW PARTITIONS {db}.events_p")
+    return listing.select(F.split(F.col("partition"), "=").getItem(1).cast("int").alias("day_key"))
+
+
 @register("hash_partition_write", """
 SELECT count(*) AS total_rows, count(DISTINCT o_orderkey) AS distinct_keys, true AS colocated FROM orders
 """)
