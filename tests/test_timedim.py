@@ -136,3 +136,10 @@ def test_write_time_dimensions_incrementally(spark, tmp_out):
     assert spark.table(names["duration"]).count() > n_dur
     assert spark.table(names["duration"]).select("duration_id").distinct().count() == \
         spark.table(names["duration"]).count()
+
+
+def test_default_range_is_a_year_to_today():
+    first, last = td.default_range(dt.date(2024, 3, 1))
+    assert (first, last) == (dt.date(2023, 3, 2), dt.date(2024, 3, 1))
+    first, last = td.default_range()
+    assert last == dt.date.today() and (last - first).days == 365
