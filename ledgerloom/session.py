@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # remote (Connect) sessions have no local context
         sc = None
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None and sc.getCheckpointDir():
+        root = sc.getCheckpointDir()  # set with setCheckpointDir rather than the conf key
     if not root:
         master = spark.conf.get("spark.master", "local")
         if not master.startswith("local"):
