@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.graph import stored
 
 NUM, DEN = 4, 5  # similarity of at least 0.8
-SKETCH_BITS = 20
+SKETCH_BITS = 18
 # ASCII white space besides the space and the line feed.
 OTHER_SPACE = "\t\x0b\x0c\r"
 
@@ -109,13 +109,18 @@ def _size_class(n: Column, num: int, den: int) -> Column:
 def candidate_pairs(ranked: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """``(a1, a2, b1, b2)``: keys of lines that pass all three filters, the
     larger set first. One exchange by prefix word serves both sides."""
-    n = F.size("ws")
+    n = F.coalesce(F.size("ws"), F.lit(0))
     mask = F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
-    sized = ranked.where(n > 0).select("k1", "k2", n.alias("n"), mask.alias("mask"), F.slice(
-        "ws", F.lit(1), _prefix_of(n, _ceil(n, num, den))).alias("pre"))
-    filed = sized.select("k1", "k2", "n", "mask", F.posexplode("pre").alias("i", "w")).repartition("w")
-    own = _size_class(F.col("n"), num, den)
+    size = F.size("ws")
+    prefix = F.slice("ws", F.lit(1), _prefix_of(size, _ceil(size, num, den)))
+    sized = ranked.select("k1", "k2", n.alias("n"), F.coalesce(mask, F.lit(0).cast("long")).alias("mask"),
+                          F.when(size > 0, prefix).alias("pre"))
+    # an inner explode would have the optimizer work out the words a second time, to filter on them;
+    # and as no column is null any more, neither side of the join gets filters of its own below the exchange
+    filed = (sized.select("k1", "k2", "n", "mask", F.posexplode_outer("pre").alias("i", "w"))
+             .where("w is not null and i is not null").repartition("w"))
+    own = F.coalesce(_size_class(F.col("n"), num, den), F.lit(0))
     probe = filed.select(*[F.col(c).alias("a_" + c) for c in filed.columns],
                          F.explode(F.array(own, own - 1)).alias("a_class"))
     # the smaller of two similar sets has a common word even earlier: only those places are looked up
