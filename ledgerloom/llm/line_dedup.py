@@ -55,10 +55,17 @@ def place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``(k1, k2, first, line)``: one row per distinct line."""
-    lines = lines_of(docs)
-    return (lines.select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"), "line")
-            .groupBy("k1", "k2").agg(F.min("p").alias("first"), F.first("line").alias("line")))
+    """``(k1, k2, line)``: one row per distinct line. Every later use keeps
+    these columns, so that they all read one exchange."""
+    return (lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), "line")
+            .groupBy("k1", "k2").agg(F.first("line").alias("line")))
+
+
+def first_places(docs: DataFrame) -> DataFrame:
+    """``(k1, k2, first)``: where each distinct line occurs first (null: only
+    in documents without id)."""
+    return (lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"))
+            .groupBy("k1", "k2").agg(F.min("p").alias("first")))
 
 
 def rarity_sketch(distinct: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
@@ -82,10 +89,10 @@ def ranked_words(spark: SparkSession, distinct: DataFrame, sketch: DataFrame, bi
     A number is the bucket's level and the upper 58 bits of the word's hash."""
     hashed = distinct.withColumn("h", F.array_remove(F.array_distinct(
         F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD))
-    seen = hashed.select("k1", "k2", "first", "h", sketch.scalar().alias("s"))
+    seen = hashed.select("k1", "k2", "h", sketch.scalar().alias("s"))
     number = lambda h: (F.shiftleft(F.get(F.col("s"), h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).cast("long"), 58)
                         .bitwiseOR(F.shiftrightunsigned(h, 6)))
-    return seen.select("k1", "k2", "first", F.sort_array(F.transform("h", number)).alias("ws"))
+    return seen.select("k1", "k2", F.sort_array(F.transform("h", number)).alias("ws"))
 
 
 #: XXH64 with seed 42 of the empty string, which splitting leaves between two spaces.
@@ -152,28 +159,47 @@ def _joins_on_part_of_the_key(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def later_matches(spark: SparkSession, distinct: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+def _alike(pairs: DataFrame, distinct: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of ``pairs`` (later and earlier key) whose word sets are similar."""
+    keys = ["l1", "l2", "e1", "e2"]
+    sets = distinct.select("k1", "k2", F.array_remove(F.array_distinct(
+        F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD).alias("h"))
+    sides = pairs.select(*keys, F.explode(F.array(
+        F.struct(F.col("l1").alias("k1"), F.col("l2").alias("k2"), F.lit(True).alias("later")),
+        F.struct(F.col("e1").alias("k1"), F.col("e2").alias("k2"), F.lit(False).alias("later")))).alias("s"))
+    sides = sides.select(*keys, "s.k1", "s.k2", "s.later").join(sets, ["k1", "k2"])
+    both = sides.groupBy(*keys).agg(F.max(F.when(F.col("later"), F.col("h"))).alias("a"),
+                                    F.max(F.when(~F.col("later"), F.col("h"))).alias("b"))
+    common = F.size(F.array_intersect("a", "b"))
+    return both.where(common * den >= (F.size("a") + F.size("b") - common) * num).select(*keys)
+
+
+def later_matches(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """``(k1, k2)`` of the distinct lines that are similar to an earlier one,
-    as a written table."""
+    as a written table.
+
+    One earlier match removes a line, so each line is first verified against
+    its earliest candidate alone, and only lines that fail there against all
+    others: a crowd of near copies costs one verification a line, not one a
+    pair."""
+    distinct, firsts = distinct_lines(docs), first_places(docs)
     ranked = ranked_words(spark, distinct, rarity_sketch(distinct))
     pairs = candidate_pairs(ranked, num, den)
-    sets = distinct.select("k1", "k2", "first", F.array_remove(F.array_distinct(
-        F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD).alias("h"))
-    half = pairs.join(sets.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("first").alias("a_first"),
-                                  F.col("h").alias("a_h")), ["a1", "a2"])
-    both = half.join(sets.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("first").alias("b_first"),
-                                 F.col("h").alias("b_h")), ["b1", "b2"])
-    common = F.size(F.array_intersect("a_h", "b_h"))
-    alike = both.where(common * den >= (F.size("a_h") + F.size("b_h") - common) * num)
-    a_later = F.col("a_first") > F.col("b_first")
-    later = alike.where("a_first <> b_first").select(
-        F.when(a_later, F.col("a1")).otherwise(F.col("b1")).alias("k1"),
-        F.when(a_later, F.col("a2")).otherwise(F.col("b2")).alias("k2"))
-    nameless = alike.where("(a_first is null) <> (b_first is null)").select(
-        F.when(F.col("a_first").isNull(), F.col("a1")).otherwise(F.col("b1")).alias("k1"),
-        F.when(F.col("a_first").isNull(), F.col("a2")).otherwise(F.col("b2")).alias("k2"))
+    at = lambda side: firsts.select(F.col("k1").alias(side + "1"), F.col("k2").alias(side + "2"),
+                                    F.col("first").alias(side))
+    placed = pairs.join(at("a"), ["a1", "a2"]).join(at("b"), ["b1", "b2"])
+    a_later = F.coalesce(F.col("a") > F.col("b"), F.col("a").isNull())
+    keys = {"l1": ("a1", "b1"), "l2": ("a2", "b2"), "e1": ("b1", "a1"), "e2": ("b2", "a2"), "e": ("b", "a")}
+    ordered = placed.where("a is not null or b is not null").where("a is null or b is null or a <> b").select(
+        *[F.when(a_later, F.col(x)).otherwise(F.col(y)).alias(name) for name, (x, y) in keys.items()])
+    earliest = ordered.groupBy("l1", "l2").agg(F.min(F.struct("e", "e1", "e2")).alias("m"))
+    earliest = earliest.select("l1", "l2", "m.e1", "m.e2")
+    found = _alike(earliest, distinct, num, den).select("l1", "l2")
+    rest = ordered.select("l1", "l2", "e1", "e2").join(found, ["l1", "l2"], "left_anti").join(
+        earliest, ["l1", "l2", "e1", "e2"], "left_anti")
+    later = found.unionByName(_alike(rest, distinct, num, den).select("l1", "l2")).distinct()
     with _joins_on_part_of_the_key(spark):
-        return stored(spark, later.unionByName(nameless).distinct(), "later")
+        return stored(spark, later.select(F.col("l1").alias("k1"), F.col("l2").alias("k2")), "later")
 
 
 def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -186,7 +212,7 @@ def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
     same document. Documents without id come after all others, as one
     document, and are not told apart: a line they alone hold stays wherever it
     is. Tokens are compared by 64-bit hashes. An empty table gives no rows."""
-    later = later_matches(spark, distinct_lines(docs), num, den).withColumn("similar", F.lit(True))
+    later = later_matches(spark, docs, num, den).withColumn("similar", F.lit(True))
     lines = docs.select(F.col("doc_id"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line")).select(
         "doc_id", "line_no", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"),
         F.rlike(F.col("line"), F.lit(r"[^\x20\x09-\x0D]")).alias("worded"))
