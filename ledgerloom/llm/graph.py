@@ -8,16 +8,23 @@ the lineage stays short and a lost executor costs one round at most.
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.session import scratch_path
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a written table in the shared folder."""
+def stored(spark: SparkSession, df: DataFrame, name: str, release: bool = False) -> DataFrame:
+    """``df`` as a written table in the shared folder. ``release`` has Spark
+    notice at once that the shuffles behind it are no longer needed, which it
+    otherwise does when the driver next collects its garbage."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    if release:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

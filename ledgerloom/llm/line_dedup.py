@@ -190,16 +190,17 @@ def later_matches(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
     placed = pairs.join(at("a"), ["a1", "a2"]).join(at("b"), ["b1", "b2"])
     a_later = F.coalesce(F.col("a") > F.col("b"), F.col("a").isNull())
     keys = {"l1": ("a1", "b1"), "l2": ("a2", "b2"), "e1": ("b1", "a1"), "e2": ("b2", "a2"), "e": ("b", "a")}
-    ordered = placed.where("a is not null or b is not null").where("a is null or b is null or a <> b").select(
+    placed = placed.where("a is not null or b is not null").where("a is null or b is null or a <> b").select(
         *[F.when(a_later, F.col(x)).otherwise(F.col(y)).alias(name) for name, (x, y) in keys.items()])
+    with _joins_on_part_of_the_key(spark):
+        ordered = stored(spark, placed, "candidates", release=True)
     earliest = ordered.groupBy("l1", "l2").agg(F.min(F.struct("e", "e1", "e2")).alias("m"))
     earliest = earliest.select("l1", "l2", "m.e1", "m.e2")
     found = _alike(earliest, distinct, num, den).select("l1", "l2")
     rest = ordered.select("l1", "l2", "e1", "e2").join(found, ["l1", "l2"], "left_anti").join(
         earliest, ["l1", "l2", "e1", "e2"], "left_anti")
     later = found.unionByName(_alike(rest, distinct, num, den).select("l1", "l2")).distinct()
-    with _joins_on_part_of_the_key(spark):
-        return stored(spark, later.select(F.col("l1").alias("k1"), F.col("l2").alias("k2")), "later")
+    return stored(spark, later.select(F.col("l1").alias("k1"), F.col("l2").alias("k2")), "later", release=True)
 
 
 def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
