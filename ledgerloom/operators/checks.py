@@ -208,11 +208,11 @@ def check_foreign_key(name: str, child: DataFrame, column: str, parent: DataFram
         child.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("_k")).agg(F.count(F.lit(1)).alias("_rows"))
     )
-    parents = parent.select(F.col(parent_column).alias("_p")).where(F.col("_p").isNotNull())
+    # distinct (combined map-side): a parent key that repeats is one row
+    parents = parent.select(F.col(parent_column).alias("_p")).where(F.col("_p").isNotNull()).distinct()
     # A left outer join + IS NULL rather than a left anti join: the optimizer
     # pushes an anti join below the aggregate, which would shuffle every child
-    # row for the join instead of one row per key and task. Duplicate parent
-    # keys only multiply matched rows, which the filter drops.
+    # row for the join instead of one row per key and task.
     orphans = keys.join(parents, F.col("_k") == F.col("_p"), "left").where(F.col("_p").isNull())
     stats = orphans.agg(F.struct(F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows"),
                                  F.count(F.lit(1)).alias("keys"))).scalar()

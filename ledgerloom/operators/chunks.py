@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerloom.functions.chunking import DEFAULT_CHUNKS, chunk_of
 
@@ -22,6 +21,9 @@ def all_chunks(spark: SparkSession, n: int = DEFAULT_CHUNKS) -> DataFrame:
 
 
 def with_chunk(df: DataFrame, key: str, n: int = DEFAULT_CHUNKS, out: str = "chunk") -> DataFrame:
+    """``df`` with the chunk id as column ``out``, which must be a new name."""
+    if out in df.columns:
+        raise ValueError(f"the table has a column {out} already; choose another name")
     return df.withColumn(out, chunk_of(df, key, n))
 
 
@@ -38,23 +40,21 @@ def select_chunk(df: DataFrame, key: str, chunk: int, n: int = DEFAULT_CHUNKS,
 
 def chunk_sizes(df: DataFrame, key: str, n: int = DEFAULT_CHUNKS) -> DataFrame:
     """Every chunk id with its row count (0 for empty chunks)."""
-    counts = with_chunk(df, key, n).groupBy("chunk").agg(F.count(F.lit(1)).alias("row_count"))
+    counts = df.groupBy(chunk_of(df, key, n).alias("chunk")).agg(F.count(F.lit(1)).alias("row_count"))
     ids = all_chunks(df.sparkSession, n)
     # Both sides have at most n rows.
     return ids.join(F.broadcast(counts), "chunk", "left").select(
         "chunk", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"))
 
 
-def write_by_chunk(df: DataFrame, key: str, path: str, n: int = DEFAULT_CHUNKS, mode: str = "overwrite") -> None:
+def write_by_chunk(df: DataFrame, key: str, path: str, n: int = DEFAULT_CHUNKS, mode: str = "overwrite",
+                   out: str = "chunk") -> None:
     """Lay out a table by chunk so that one chunk is one folder.
 
-    Range partitioning on (chunk, row hash) gives balanced tasks that each
-    write about one chunk, so files do not multiply by tasks x chunks, and
-    rows of a hot key are spread over several tasks (identical rows hash
-    alike and stay together: the hash must be deterministic for retries).
-    Map columns cannot be hashed and are left out of the hash."""
-    chunked = with_chunk(df, key, n).withColumn("chunk", F.col("chunk").cast("int"))
-    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)] or [key]
-    row_hash = F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in hashable])
-    chunked.repartitionByRange(F.col("chunk"), row_hash) \
-        .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("chunk").parquet(path)
+    Rows are rebalanced by chunk: small chunks are gathered and large ones
+    split by measured size, so files do not multiply by tasks x chunks and the
+    input is read once. ``out`` names the folder column; a column of that name
+    in ``df`` is an error."""
+    chunked = with_chunk(df, key, n, out).withColumn(out, F.col(out).cast("int"))
+    chunked.hint("rebalance", F.col(out)) \
+        .write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(out).parquet(path)

@@ -17,21 +17,8 @@ ENUM_SCHEMA = T.StructType([
     T.StructField("value", T.StringType(), False),
     T.StructField("ordinal", T.IntegerType(), False),
 ])
-# Fixed value: the longest label an enum keeps; longer ones are cut and reported.
+# Fixed value: labels longer than this are reported by long_labels (never cut).
 MAX_LABEL_CHARS = 63
-# Dictionaries with at most this many labels are broadcast to the fact's tasks.
-BROADCAST_LABELS = 100_000
-
-
-def _dictionary_side(enum: DataFrame, cols: list) -> DataFrame:
-    """The dictionary, broadcast only after counting that it is small.
-
-    The count stops at BROADCAST_LABELS + 1 rows; a larger dictionary is
-    joined by shuffling both sides on the label instead."""
-    d = enum.select(*cols)
-    if enum.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
-        return F.broadcast(d)
-    return d
 
 
 def _from_list(spark: SparkSession, values: list[str]) -> DataFrame:
@@ -39,7 +26,6 @@ def _from_list(spark: SparkSession, values: list[str]) -> DataFrame:
     for v in values:
         if v is None:
             continue
-        v = v[:MAX_LABEL_CHARS]
         if v not in seen:
             seen[v] = len(seen)
     return spark.createDataFrame([(v, i) for v, i in seen.items()], "value string, _pos int")
@@ -50,7 +36,7 @@ def create_enum(values: DataFrame | list[str], column: str | None = None,
     """A new dictionary. From a list: labels in list order. From a DataFrame:
     the distinct non-NULL values of ``column``, sorted by label, or by the
     smallest ``order_by`` value seen with each label (ties by label).
-    NULLs are skipped and labels are cut to 63 characters, as when appending."""
+    NULLs are skipped; labels are kept whole."""
     if isinstance(values, list):
         if spark is None:
             raise ValueError("a SparkSession is needed to build an enum from a list")
@@ -59,7 +45,7 @@ def create_enum(values: DataFrame | list[str], column: str | None = None,
             return spark.createDataFrame([], ENUM_SCHEMA)
         return number_in_order(labels, ["_pos"]).select("value", "ordinal")
     col = column or values.columns[0]
-    label = F.substring(F.col(col).cast("string"), 1, MAX_LABEL_CHARS).alias("value")
+    label = F.col(col).cast("string").alias("value")
     if order_by is not None:
         labels = (values.select(label, F.col(order_by).alias("_key"))
                   .where("value IS NOT NULL").groupBy("value").agg(F.min("_key").alias("_key")))
@@ -70,8 +56,7 @@ def create_enum(values: DataFrame | list[str], column: str | None = None,
 
 def add_enum_values(enum: DataFrame, values: DataFrame | list[str], column: str | None = None) -> DataFrame:
     """The dictionary with new labels appended after the current largest
-    ordinal. Labels already present add nothing; labels longer than 63
-    characters are cut to 63 (see :func:`long_labels`)."""
+    ordinal. Labels already present add nothing; labels are kept whole."""
     spark = enum.sparkSession
     if isinstance(values, list):
         fresh = _from_list(spark, values)
@@ -80,9 +65,8 @@ def add_enum_values(enum: DataFrame, values: DataFrame | list[str], column: str
         fresh = values.select(F.col(col).cast("string").alias("value"), F.lit(0).alias("_pos")) \
             .where("value IS NOT NULL")
     fresh = (
-        fresh.withColumn("value", F.substring("value", 1, MAX_LABEL_CHARS))
-        .groupBy("value").agg(F.min("_pos").alias("_pos"))
-        .join(_dictionary_side(enum, [F.col("value")]), "value", "left_anti")
+        fresh.groupBy("value").agg(F.min("_pos").alias("_pos"))
+        .join(enum.select("value"), "value", "left_anti")
     )
     top = enum.agg(F.coalesce(F.max("ordinal"), F.lit(0))).scalar()
     added = number_in_order(fresh, ["_pos", "value"], start=top).select("value", "ordinal")
@@ -91,7 +75,7 @@ def add_enum_values(enum: DataFrame, values: DataFrame | list[str], column: str
 
 def long_labels(values: DataFrame | list[str], column: str | None = None,
                 spark: SparkSession | None = None) -> DataFrame:
-    """Labels over 63 characters, with their length: the values a load would cut."""
+    """Labels over 63 characters, with their length: candidates for a review before a load."""
     if isinstance(values, list):
         values = (spark or SparkSession.active()).createDataFrame([(v,) for v in values], "value string")
         column = "value"
@@ -103,11 +87,11 @@ def long_labels(values: DataFrame | list[str], column: str | None = None,
 def with_ordinal(df: DataFrame, column: str, enum: DataFrame, out: str | None = None) -> DataFrame:
     """Attach each row's label ordinal (NULL for labels outside the enum)."""
     name = out or f"{column}_ordinal"
-    d = _dictionary_side(enum, [F.col("value").alias("_label"), F.col("ordinal").alias(name)])
+    d = enum.select(F.col("value").alias("_label"), F.col("ordinal").alias(name))
     return df.join(d, F.col(column) == F.col("_label"), "left").drop("_label")
 
 
 def outside_enum(df: DataFrame, column: str, enum: DataFrame) -> DataFrame:
     """Rows whose non-NULL label is not in the enum."""
-    d = _dictionary_side(enum, [F.col("value").alias("_label")])
+    d = enum.select(F.col("value").alias("_label"))
     return df.where(F.col(column).isNotNull()).join(d, F.col(column) == F.col("_label"), "left_anti")

@@ -113,7 +113,7 @@ def with_base_rows(series: DataFrame, base: str = "EUR", key: str = "currency",
 def attach_rate(fact: DataFrame, rates: DataFrame, fact_key: str, fact_date: str,
                 key: str = "currency", date: str = "date", value: str = "exchange_rate",
                 how: str = "inner", rates_unique: bool = False, strategy: str = "merge",
-                max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                out: str | None = None) -> DataFrame:
     """Join each fact row to the rate of its key on its date.
 
     Several quotes for one key and day collapse to the smallest first, so a
@@ -126,23 +126,19 @@ def attach_rate(fact: DataFrame, rates: DataFrame, fact_key: str, fact_date: str
     sees the sparse quotes), so a plain join may broadcast a table ten or a
     thousand times larger than estimated. The default ``"merge"`` shuffles
     both sides on (key, date) — safe at any size, and a hot key spreads over
-    its days. ``"checked"`` counts the rate table (stopping at
-    ``max_broadcast_rows`` + 1) and broadcasts it only below that bound —
-    cheap when the rates are read from storage, a second evaluation when they
-    are computed in the same plan. ``"broadcast"`` is for callers that bounded
-    the table themselves; ``"auto"`` leaves it to the planner.
+    its days. ``"auto"`` leaves the choice to the planner and to adaptive
+    execution. ``out`` names the rate column (``value`` by default); a fact
+    column of that name is an error.
     """
-    r = rates.select(F.col(key).alias("_rk"), F.col(date).cast("date").alias("_rd"), F.col(value))
+    out = out or value
+    if out in fact.columns:
+        raise ValueError(f"the fact has a column {out} already; pass out with another name")
+    r = rates.select(F.col(key).alias("_rk"), F.col(date).cast("date").alias("_rd"), F.col(value).alias(out))
     if not rates_unique:
-        r = r.groupBy("_rk", "_rd").agg(F.min(value).alias(value))
-    if strategy == "checked":
-        small = r.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-        r = F.broadcast(r) if small else r.hint("merge")
-    elif strategy == "merge":
+        r = r.groupBy("_rk", "_rd").agg(F.min(out).alias(out))
+    if strategy == "merge":
         r = r.hint("merge")
-    elif strategy == "broadcast":
-        r = F.broadcast(r)
     elif strategy != "auto":
-        raise ValueError("strategy must be 'merge', 'checked', 'broadcast' or 'auto'")
+        raise ValueError("strategy must be 'merge' or 'auto'")
     cond = (F.col(fact_key) == F.col("_rk")) & (F.col(fact_date).cast("date") == F.col("_rd"))
     return fact.join(r, cond, how).drop("_rk", "_rd")

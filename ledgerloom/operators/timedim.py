@@ -19,13 +19,6 @@ from ledgerloom.functions.calendar import (
     DAY_COLUMNS, DURATION_COLUMNS, before_columns, day_columns, duration_columns, hour_name,
 )
 
-# Fixed value: SMALLINT day counts must stay clear of the -30000 sentinel.
-MAX_SPAN_DAYS = 30000
-# The negative durations reach id -(span + 1): a span of 29,999 days would
-# give id -30000, the sentinel's.
-MAX_DURATION_SPAN_DAYS = 29999
-
-
 def bounds(spark: SparkSession, start: _dt.date, end: _dt.date,
            names: tuple[str, str] = ("start", "end")) -> DataFrame:
     """A one-row DataFrame of two literal dates."""
@@ -39,18 +32,12 @@ def bounds_of(df: DataFrame, column: str, names: tuple[str, str] = ("start", "en
     return df.agg(F.min(c).alias(names[0]), F.max(c).alias(names[1]))
 
 
-def _guarded(a: Column, b: Column, value: Column, limit: int = MAX_SPAN_DAYS) -> Column:
-    """``value``, or a runtime error when a and b are ``limit`` days apart or more."""
-    return F.when(F.abs(F.datediff(b, a)) >= F.lit(limit),
-                  F.raise_error(F.lit(f"date range of {limit} days or more"))).otherwise(value)
-
-
 def calendar_days(bounds_df: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """One row ``_date`` per day from ``start - 1 day`` through ``end``."""
     first = F.date_sub(F.col(start), 1)
     return (
         bounds_df.where(F.col(end) >= first)
-        .select(F.explode(F.sequence(first, _guarded(first, F.col(end), F.col(end)))).alias("_date"))
+        .select(F.explode(F.sequence(first, F.col(end))).alias("_date"))
     )
 
 
@@ -86,7 +73,7 @@ def duration_dimension(bounds_df: DataFrame, start: str = "start", as_of: str =
     original toolkit), not on the end of the day table.
     """
     s, a = F.col(start), F.col(as_of)
-    lo = _guarded(s, a, F.datediff(s, a), MAX_DURATION_SPAN_DAYS)
+    lo = F.datediff(s, a)
     hi = F.datediff(a, s) + 2
     neg = (
         bounds_df.where(lo <= 0)
@@ -95,20 +82,26 @@ def duration_dimension(bounds_df: DataFrame, start: str = "start", as_of: str =
     )
     pos = (
         bounds_df.where(hi >= 0)
-        .select(F.explode(F.sequence(F.lit(0), _guarded(s, a, hi, MAX_DURATION_SPAN_DAYS))).alias("n"))
+        .select(F.explode(F.sequence(F.lit(0), hi)).alias("n"))
         .select(*duration_columns(F.col("n"), negative=False))
     )
     spark = bounds_df.sparkSession
     before = spark.range(1).select(*before_columns())
-    return neg.unionByName(pos).unionByName(before)
+    both = neg.unionByName(pos)
+    # where a real row has the sentinel's id, the sentinel gives way
+    before = before.join(both.select("duration_id"), "duration_id", "left_anti").select(*both.columns)
+    return both.unionByName(before)
 
 
 def insert_if_absent(existing: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``new`` whose key is not in ``existing`` (ON CONFLICT DO NOTHING).
 
-    Duplicates inside ``new`` keep one row per key.
+    Rows of ``new`` that share a key keep the least one, in the order of the
+    columns.
     """
-    fresh = new.dropDuplicates(keys)
+    rest = [c for c in new.columns if c not in keys]
+    fresh = new.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(
+        *[c if c in keys else F.col("_row").getField(c).alias(c) for c in new.columns]) if rest else new.distinct()
     if existing is not None:
         fresh = fresh.join(existing.select(*keys), keys, "left_anti")
     return fresh

@@ -84,7 +84,7 @@ WHERE attribute = 'p_name' AND lower(value) LIKE '%re%'
 ORDER BY row_count DESC, value LIMIT 10
 """)
 def attribute_autocomplete(spark, sf):
-    return attr.autocomplete(attr.attribute_counts(table(spark, sf, "part")), "p_name", "Re", k=10)
+    return attr.autocomplete(attr.attribute_counts(table(spark, sf, "part"), ["p_name"]), "p_name", "Re", k=10)
 
 
 @register("attribute_similarity", f"""
@@ -100,7 +100,7 @@ SELECT value, row_count, similarity FROM (
   ORDER BY sim DESC, row_count DESC, value LIMIT 10)
 """)
 def attribute_similarity(spark, sf):
-    return attr.similar_values(attr.attribute_counts(table(spark, sf, "part")), "p_name", "small gear", k=10)
+    return attr.similar_values(attr.attribute_counts(table(spark, sf, "part"), ["p_name"]), "p_name", "small gear", k=10)
 
 
 # ---------------------------------------------------------- time dimensions
@@ -209,9 +209,10 @@ def rates_gap_fill_window(spark, sf):
 
 
 @register("rates_with_base", "WITH " + S.GAP_FILL + """
-SELECT currency, exchange_rate, date FROM filled
-UNION ALL
-SELECT 'EUR' AS currency, CAST(1.0 AS DOUBLE) AS exchange_rate, date FROM (SELECT DISTINCT date FROM filled)
+SELECT currency, max(exchange_rate) AS exchange_rate, date
+FROM (FROM filled SELECT currency, exchange_rate, date
+      UNION ALL SELECT 'EUR', 1.0::DOUBLE, date FROM filled)
+GROUP BY currency, date
 """)
 def rates_with_base(spark, sf):
     return ser.with_base_rows(_filled(spark, sf))
@@ -539,7 +540,7 @@ def check_unique_partial(spark, sf):
 
 PRIORITY_ENUM_SQL = """
 SELECT value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS ordinal
-FROM (SELECT DISTINCT substr(o_orderpriority, 1, 63) AS value FROM orders WHERE o_orderpriority IS NOT NULL)
+FROM (SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderpriority IS NOT NULL)
 """
 
 
@@ -550,8 +551,8 @@ def enum_from_query(spark, sf):
 
 @register("enum_append", f"""
 WITH e AS ({PRIORITY_ENUM_SQL}),
-fresh AS (SELECT DISTINCT substr(p_type, 1, 63) AS value FROM part
-          WHERE p_type IS NOT NULL AND substr(p_type, 1, 63) NOT IN (SELECT value FROM e))
+fresh AS (SELECT DISTINCT p_type AS value FROM part
+          WHERE p_type IS NOT NULL AND p_type NOT IN (SELECT value FROM e))
 SELECT value, ordinal FROM e
 UNION ALL
 SELECT value, CAST((SELECT coalesce(max(ordinal), 0) FROM e) + row_number() OVER (ORDER BY value) AS INTEGER)
@@ -759,3 +760,38 @@ def publish_schema(spark, sf):
         _load_star(spark, sf, version, scratch_path(spark, version))
         pub.publish(spark, live, version, live_root)
     return _star(spark, live)
+
+
+@register("enum_long_labels", """
+SELECT value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS ordinal
+FROM (SELECT DISTINCT text AS value FROM documents WHERE text IS NOT NULL)
+""")
+def enum_long_labels(spark, sf):
+    """Labels far longer than 63 characters, some sharing long prefixes, stay whole and apart."""
+    return en.create_enum(table(spark, sf, "documents"), "text")
+
+
+@register("hour_of_day_events", """
+SELECT CAST(h AS INTEGER) AS hour, count(e.ts) AS n_events
+FROM (SELECT unnest(range(24)) AS h) LEFT JOIN (SELECT ts FROM events) e ON extract(hour FROM e.ts) = h
+GROUP BY 1
+""")
+def hour_of_day_events(spark, sf):
+    """Events per hour over all 24 rows of the hour dimension."""
+    hours = td.hour_of_day(spark)
+    key = hours.columns[0]
+    events = table(spark, sf, "events").groupBy(F.hour("ts").alias("_h")).agg(F.count("*").alias("n"))
+    return hours.join(events, F.col(key) == F.col("_h"), "left").select(
+        F.col(key).cast("int").alias("hour"), F.coalesce("n", F.lit(0)).alias("n_events"))
+
+
+@register("time_day_wide", """
+SELECT count(*) AS days, min(d) AS first_day, max(d) AS last_day
+FROM (SELECT CAST(unnest(generate_series((SELECT min(o_orderdate) FROM orders) - INTERVAL '100 years' - INTERVAL 1 DAY,
+                                         (SELECT max(o_orderdate) FROM orders), INTERVAL 1 DAY)) AS DATE) AS d)
+""")
+def time_day_wide(spark, sf):
+    """A day table of well over 30,000 days: bounds of ``orders``, a century longer."""
+    span = td.bounds_of(table(spark, sf, "orders"), "o_orderdate").withColumn("start", F.add_months("start", -1200))
+    return td.day_dimension(span).agg(F.count("*").alias("days"), F.min("_date").alias("first_day"),
+                                      F.max("_date").alias("last_day"))

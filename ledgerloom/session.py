@@ -48,7 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not root and sc is not None and sc.getCheckpointDir():
         root = sc.getCheckpointDir()  # set with setCheckpointDir rather than the conf key
     if not root:
-        master = spark.conf.get("spark.master", "local")
+        master = spark.conf.get("spark.master", "unknown")
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor shares; "
                                "a machine-local folder only works in local mode")

@@ -14,12 +14,12 @@ original toolkit, expressed as how Parquet files are written.
 
 from __future__ import annotations
 
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.attributes import quote_name
 from ledgerloom.operators.checks import check_unique, enforce
 from ledgerloom.session import partition_overwrite
 from ledgerloom.sources.catalog import columns_like
@@ -60,23 +60,26 @@ def write_partition(df: DataFrame, table: str) -> None:
     partition as it is (dynamic partition overwrite)."""
     spark = df.sparkSession
     with partition_overwrite(spark, "dynamic"):
-        df.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        # rebalanced by the partition columns: about one file per partition, hot ones split by size
+        keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        out = df.select(*[quote_name(c) for c in spark.table(table).columns])
+        out = out.hint("rebalance", *[F.col(quote_name(k)) for k in keys]) if keys else out
+        out.write.mode("overwrite").insertInto(table)
 
 
 def clustered_by(df: DataFrame, key: str) -> DataFrame:
-    """Range-partition on (key, row hash) before a partitioned write.
+    """Rebalance by ``key`` before a partitioned write.
 
     Without it every task writes a file for every key it holds (tasks x keys
     files); with ``repartition(key)`` a key holding a third of the data lands
-    in one task. Range bounds on (key, hash of the row) give balanced tasks
-    that each write about one key, and split a hot key over many tasks. The
-    hash is deterministic, so a retried task gets the same rows."""
-    return df.repartitionByRange(F.col(key), _row_hash(df))
+    in one task. The hint gathers small keys and splits large ones by measured
+    size, reading its input once."""
+    return df.hint("rebalance", F.col(quote_name(key)))
 
 
 def write_list_partitions(df: DataFrame, path: str, key: str, cluster: bool = True) -> None:
     """One folder per key value; folders of keys not in ``df`` are untouched.
-    ``cluster`` range-partitions first (see :func:`clustered_by`)."""
+    ``cluster`` rebalances first (see :func:`clustered_by`)."""
     out = clustered_by(df, key) if cluster else df
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).parquet(path)
 
@@ -88,23 +91,25 @@ def _sql_text(value: str) -> str:
 
 def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -> list:
     """Register an (empty) partition for every key from ``keys`` the table
-    lacks. The key list is a partition list, so it is collected."""
-    existing = spark.sql(f"SHOW PARTITIONS {table}")
-    # partition names are path-escaped ('a/b' is listed as 'a%2Fb')
-    present = {unquote(r[0].split("=", 1)[1]) for r in existing.collect()}
+    lacks (an anti join finds them)."""
     # normalise through the partition column's type ('01' and '1' are one int key)
     ptype = dict(spark.table(table).dtypes)[key]
-    wanted = [r[0] for r in keys.select(F.col(keys.columns[0]).cast(ptype).cast("string")).distinct().collect()
-              if r[0] is not None]
-    added = [k for k in sorted(wanted) if k not in present]
+    wanted = keys.select(F.col(quote_name(keys.columns[0])).cast(ptype).cast("string").alias("k")).where("k is not null").distinct()
+    # partition names are path-escaped ('a/b' is listed as 'a%2Fb'); a plus sign is not
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring_index("partition", "=", -1).alias("p"))
+    present = listed.select(F.url_decode(F.replace("p", F.lit("+"), F.lit("%2B"))).alias("k"))
+    # only the absent ones reach the driver, which has to name each in a statement
+    added = sorted(r["k"] for r in wanted.join(present, "k", "left_anti").toLocalIterator())
     for i in range(0, len(added), PARTITIONS_PER_STATEMENT):
         specs = " ".join(f"PARTITION (`{key}` = '{_sql_text(k)}')" for k in added[i:i + PARTITIONS_PER_STATEMENT])
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
     return added
 
 
-def _row_hash(df: DataFrame):
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def row_hash(df: DataFrame):
+    """A hash of the row over the columns that can be hashed (MAPs cannot)."""
+    fit = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*[F.col(quote_name(c)) for c in fit]) if fit else F.lit(0).cast("long")
 
 
 def write_hash_partitions(df: DataFrame, table: str, key: str, n: int, path: str) -> DataFrame:
@@ -116,7 +121,7 @@ def write_hash_partitions(df: DataFrame, table: str, key: str, n: int, path: str
     tasks x buckets), and a bucket holding a hot key is split over several
     tasks, each writing one file of that bucket."""
     bucket = F.expr(f"pmod(hash(`{key}`), {int(n)})")
-    (df.repartitionByRange(bucket, _row_hash(df)).write.format("parquet").bucketBy(n, key).sortBy(key)
+    (df.repartitionByRange(bucket, row_hash(df)).write.format("parquet").bucketBy(n, key).sortBy(key)
      .option("path", path).mode("overwrite").saveAsTable(table))
     return df.sparkSession.table(table)
 
@@ -124,7 +129,8 @@ def write_hash_partitions(df: DataFrame, table: str, key: str, n: int, path: str
 def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None = None,
                         expression: str | None = None, unique: bool = False, method: str = "btree",
                         partial_condition: str | None = None, replace: bool = False,
-                        table: str | None = None, analyze: bool = False) -> None:
+                        table: str | None = None, analyze: bool = False,
+                        index_key: str = "index_key") -> None:
     """Write ``df`` laid out for fast lookups on some columns or an expression.
 
     btree/brin: range-partitioned and sorted on the key, so Parquet row-group
@@ -139,20 +145,25 @@ def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None
         raise ValueError(f"method must be one of {METHODS}")
     data = df if partial_condition is None else df.where(F.expr(partial_condition))
     keys = list(column_names or [])
+    if analyze and table is None:
+        raise ValueError("statistics belong to a catalog table: pass table as well")
     if expression is not None:
-        data = data.withColumn("index_key", F.expr(expression))
-        keys = ["index_key"]
+        if index_key in data.columns:
+            raise ValueError(f"the table has a column {index_key} already; choose another index_key")
+        data = data.withColumn(index_key, F.expr(expression))
+        keys = [index_key]
     if unique:
         enforce(check_unique("unique layout key", data, keys))
     writer_df = data
     options = {}
     if method in ("btree", "brin"):
         # the row hash lets equal keys (a hot value) spread over several tasks
-        writer_df = data.repartitionByRange(*keys, _row_hash(data)).sortWithinPartitions(*keys)
+        sort = [F.col(quote_name(k)) for k in keys]
+        writer_df = data.repartitionByRange(*sort, row_hash(data)).sortWithinPartitions(*sort)
     else:
         for k in keys:
             options[f"parquet.bloom.filter.enabled#{k}"] = "true"
-        writer_df = data.sortWithinPartitions(*keys)
+        writer_df = data.sortWithinPartitions(*[F.col(quote_name(k)) for k in keys])
     writer = writer_df.write.format("parquet").options(**options).mode("overwrite" if replace else "ignore")
     if table is None:
         writer.save(path)
@@ -169,7 +180,7 @@ def write_foreign_key_layout(df: DataFrame, path: str, excluded: list[str] | Non
     ``'%_fk'``, whose underscore matches any character."""
     fks = [c for c in columns_like(df, "%_fk") if c not in set(excluded or [])]
     options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in fks}
-    out = df.repartitionByRange(fks[0], _row_hash(df)).sortWithinPartitions(fks[0]) if fks else df
+    out = df.repartitionByRange(fks[0], row_hash(df)).sortWithinPartitions(fks[0]) if fks else df
     out.write.format("parquet").options(**options).mode("overwrite" if replace else "ignore").save(path)
     return fks
 

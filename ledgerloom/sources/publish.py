@@ -15,7 +15,9 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from ledgerloom.operators.attributes import quote_name
 from ledgerloom.sources.catalog import copyable_tables
 
 # Fixed value: how many tables are copied at the same time by default.
@@ -23,26 +25,49 @@ DEFAULT_PARALLEL_COPIES = 4
 _VERSION_KEY = "ledgerloom.version"
 
 
-def create_database(spark: SparkSession, name: str, location: str, replace: bool = True) -> None:
+def create_database(spark: SparkSession, name: str, location: str, replace: bool = False) -> None:
+    """Make a database; ``replace`` drops one of that name with its tables first."""
     if replace:
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
 
+def table_shape(spark: SparkSession, table: str) -> tuple[list[str], list[str], int, list[str]]:
+    """(partition columns, bucket columns, number of buckets, sort columns)."""
+    columns = spark.catalog.listColumns(table)
+    partitions = [c.name for c in columns if c.isPartition]
+    buckets = [c.name for c in columns if c.isBucket]
+    said = {r[0]: r[1] or "" for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    sorts = [x.strip().strip("`") for x in said.get("Sort Columns", "").strip("[]").split(",") if x.strip()]
+    return partitions, buckets, int(said.get("Num Buckets") or 0), sorts
+
+
 def copy_database(spark: SparkSession, source: str, target: str, location: str,
                   parallel: int = DEFAULT_PARALLEL_COPIES, tables: list[str] | None = None) -> list[str]:
-    """Drop and recreate ``target`` and copy every table of ``source`` into it.
+    """Drop and recreate ``target`` and copy every table of ``source`` into it,
+    with its partition, bucket and sort columns.
 
     Views are not copied (only tables hold rows). Each table copy is one
     distributed job; up to ``parallel`` of them run at once, which keeps the
     cluster busy when many small tables are copied.
     """
+    if source.strip("`").lower() == target.strip("`").lower():
+        raise ValueError("source and target are the same database")
     names = tables if tables is not None else copyable_tables(spark, source)
-    create_database(spark, target, location)
+    create_database(spark, target, location, replace=True)
 
     def copy(t: str) -> str:
-        (spark.table(f"{source}.{t}").write.format("parquet").mode("overwrite")
-         .option("path", f"{location}/{t}").saveAsTable(f"{target}.{t}"))
+        partitions, buckets, count, sorts = table_shape(spark, f"{source}.{t}")
+        df = spark.table(f"{source}.{t}")
+        if partitions:
+            df = df.hint("rebalance", *[F.col(quote_name(c)) for c in partitions])
+        writer = df.write.format("parquet").mode("overwrite").option("path", f"{location}/{t}")
+        if partitions:
+            writer = writer.partitionBy(*partitions)
+        if buckets:
+            writer = writer.bucketBy(count, *buckets)
+            writer = writer.sortBy(*sorts) if sorts else writer
+        writer.saveAsTable(f"{target}.{t}")
         return t
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:

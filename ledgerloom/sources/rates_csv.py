@@ -33,7 +33,6 @@ def read_rate_file(spark: SparkSession, path: str, missing: str = MISSING) -> Da
     return (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("nullValue", missing)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
@@ -49,22 +48,38 @@ def rate_columns(wide: DataFrame, date_column: str = DATE_COLUMN) -> list[str]:
 def melt_rates(wide: DataFrame, date_column: str = DATE_COLUMN, date_format: str = "yyyy-MM-dd",
                missing: str = MISSING) -> DataFrame:
     """Wide -> long ``(currency, exchange_rate double, date date)``; missing
-    cells are dropped."""
+    cells (``missing``, N/A by default) are dropped. Every other cell must be a
+    number and every date a date: a blank one fails the load, as the table's
+    columns are NOT NULL (:func:`blank_cells` lists them beforehand)."""
     codes = rate_columns(wide, date_column)
     if not codes:
         return wide.sparkSession.createDataFrame([], LONG_SCHEMA)
     long = (
         wide.select(F.col(f"`{date_column}`").alias("_d"), *[F.col(f"`{c}`").cast("string").alias(c) for c in codes])
         .unpivot(["_d"], codes, "currency", "_rate")
-        .where(F.col("_rate").isNotNull() & (F.trim(F.col("_rate")) != F.lit(missing)))
+        .where(F.trim(F.coalesce(F.col("_rate"), F.lit(""))) != F.lit(missing))
     )
     return long.select(
         "currency",
-        F.trim(F.col("_rate")).cast("double").alias("exchange_rate"),
-        F.to_date(F.col("_d"), date_format).alias("date"),
+        _required(F.trim(F.col("_rate")), "exchange rate").cast("double").alias("exchange_rate"),
+        F.to_date(_required(F.trim(F.col("_d").cast("string")), "date"), date_format).alias("date"),
     )
 
 
+def _required(cell, what: str):
+    return F.when(F.coalesce(cell, F.lit("")) == "", F.raise_error(F.lit(f"a blank {what} in the rate file"))).otherwise(cell)
+
+
+def blank_cells(wide: DataFrame, date_column: str = DATE_COLUMN) -> DataFrame:
+    """``(date, currency)`` of blank cells, currency null for a blank date."""
+    blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    cells = [F.when(blank(f"`{c}`"), F.lit(c)) for c in rate_columns(wide, date_column)]
+    found = F.array_compact(F.array(*cells)) if cells else F.array().cast("array<string>")
+    d = F.col(f"`{date_column}`").cast("string")
+    return wide.select(d.alias("date"), F.explode(found).alias("currency")).unionByName(
+        wide.where(blank(f"`{date_column}`")).select(d.alias("date"), F.lit(None).cast("string").alias("currency")))
+
+
 def load_rates(spark: SparkSession, path: str) -> DataFrame:
     """Read a wide rate file and return the long rate table."""
     return melt_rates(read_rate_file(spark, path))

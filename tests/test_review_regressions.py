@@ -99,28 +99,74 @@ def test_partition_loads_after_create_keep_each_other(spark, tmp_out):
     assert sorted(tuple(r) for r in spark.table(f"{db}.p").collect()) == [(1, "a"), (2, "b")]
 
 
-def test_duration_span_that_would_hit_the_sentinel_is_rejected(spark):
-    import pytest
+def test_duration_span_that_reaches_the_sentinel_keeps_the_real_row(spark):
     from ledgerloom.operators import timedim as td
     start = dt.date(2000, 1, 1)
-    ok = td.bounds(spark, start, start + dt.timedelta(days=29998), names=("start", "as_of"))
-    ids = td.duration_dimension(ok).groupBy("duration_id").count().where("count > 1").count()
-    assert ids == 0
-    bad = td.bounds(spark, start, start + dt.timedelta(days=29999), names=("start", "as_of"))
-    with pytest.raises(Exception):
-        td.duration_dimension(bad).count()
+    span = td.bounds(spark, start, start + dt.timedelta(days=30500), names=("start", "as_of"))
+    rows = td.duration_dimension(span)
+    assert rows.groupBy("duration_id").count().where("count > 1").count() == 0
+    assert "before" not in list(rows.where("duration_id = -30000").first())
 
 
-def test_enum_lists_skip_nulls_and_cut_long_labels(spark):
+def test_enum_lists_skip_nulls_and_keep_long_labels(spark):
     from ledgerloom.operators import enums as en
-    e = en.create_enum(["a", None, "b", "x" * 70], spark=spark)
-    assert sorted(tuple(r) for r in e.collect()) == [("a", 1), ("b", 2), ("x" * 63, 3)]
+    e = en.create_enum(["a", None, "b", "x" * 70, "x" * 71], spark=spark)
+    assert sorted(tuple(r) for r in e.collect()) == [("a", 1), ("b", 2), ("x" * 70, 3), ("x" * 71, 4)]
     e2 = en.add_enum_values(e, ["c", None, "x" * 70])
-    assert sorted(tuple(r) for r in e2.collect())[-2:] == [("c", 4), ("x" * 63, 3)]
-    assert e2.count() == 4
+    assert sorted(tuple(r) for r in e2.collect())[2:] == [("c", 5), ("x" * 70, 3), ("x" * 71, 4)]
+    facts = spark.createDataFrame([("x" * 70,), ("x" * 72,)], "label string")
+    assert [r.label for r in en.outside_enum(facts, "label", e2).collect()] == ["x" * 72]
     assert en.create_enum([None], spark=spark).count() == 0
 
 
+def test_user_columns_are_not_replaced(spark, tmp_out):
+    import pytest
+    from ledgerloom.operators import chunks as chk, series as ser
+    from ledgerloom.sources import layout as lay
+    df = spark.createDataFrame([(1, 2, 3, {"a": 1})], "id long, chunk int, index_key int, m map<string,int>")
+    with pytest.raises(ValueError):
+        chk.write_by_chunk(df, "id", tmp_out("c"))
+    chk.write_by_chunk(df, "id", tmp_out("c2"), out="part")
+    with pytest.raises(ValueError):
+        lay.write_search_layout(df, tmp_out("l"), expression="id + 1")
+    with pytest.raises(ValueError):
+        lay.write_search_layout(df, tmp_out("l"), column_names=["id"], analyze=True)
+    path = tmp_out("l2")
+    lay.write_search_layout(df, path, column_names=["id"], unique=True)
+    assert spark.read.parquet(path).count() == 1
+    fact = spark.createDataFrame([("A", 5.0, dt.date(2020, 1, 1))], "cur string, exchange_rate double, d date")
+    rates = spark.createDataFrame([("A", 2.0, dt.date(2020, 1, 1))], "currency string, exchange_rate double, date date")
+    with pytest.raises(ValueError):
+        ser.attach_rate(fact, rates, "cur", "d")
+    assert ser.attach_rate(fact, rates, "cur", "d", out="rate").first().rate == 2.0
+
+
+def test_blank_rate_cells_and_dates_fail_loudly(spark):
+    import pytest
+    from ledgerloom.sources import rates_csv as rc
+    wide = spark.createDataFrame([("2020-01-01", "1.5", ""), (" ", "N/A", "2")], "Date string, USD string, BGN string")
+    assert sorted((tuple(r) for r in rc.blank_cells(wide).collect()), key=str) == [(" ", None), ("2020-01-01", "BGN")]
+    for part in (wide.where("Date = '2020-01-01'"), wide.where("Date = ' '")):
+        with pytest.raises(Exception, match="blank"):
+            rc.melt_rates(part).collect()
+
+
+def test_copy_keeps_partitions_and_buckets_and_refuses_itself(spark, tmp_out):
+    import pytest
+    from ledgerloom.sources import publish as pub
+    src, dst = unique_name("src"), unique_name("dst")
+    pub.create_database(spark, src, tmp_out(src))
+    spark.range(20).selectExpr("id", "id % 3 AS p").write.partitionBy("p").saveAsTable(f"{src}.parts")
+    spark.range(20).selectExpr("id", "id % 3 AS p").write.bucketBy(4, "id").sortBy("id").saveAsTable(f"{src}.buckets")
+    with pytest.raises(ValueError):
+        pub.copy_database(spark, src, src, tmp_out("x"))
+    pub.copy_database(spark, src, dst, tmp_out(dst))
+    for t in ("parts", "buckets"):
+        assert pub.table_shape(spark, f"{dst}.{t}") == pub.table_shape(spark, f"{src}.{t}")
+        assert spark.table(f"{dst}.{t}").count() == 20
+    assert pub.table_shape(spark, f"{dst}.buckets")[2] == 4
+
+
 def test_not_found_with_only_map_columns(spark):
     from ledgerloom.operators import checks as ck
     failing = spark.createDataFrame([({"a": 1},), ({"b": 2},)], "m map<string,int>")

@@ -121,14 +121,11 @@ def test_attach_rate_strategies(spark):
     rates = spark.createDataFrame([("A", 2.0, D(2020, 1, 1)), ("B", 3.0, D(2020, 1, 1))],
                                   "currency string, exchange_rate double, date date")
     fact = spark.createDataFrame([(1, "A", D(2020, 1, 1)), (2, "B", D(2020, 1, 1))], "id int, cur string, d date")
-    plans = {}
-    for strategy, bound in (("merge", 10), ("checked", 10), ("checked", 1), ("broadcast", 10), ("auto", 10)):
-        j = ser.attach_rate(fact, rates, "cur", "d", strategy=strategy, max_broadcast_rows=bound)
+    for strategy in ("merge", "auto"):
+        j = ser.attach_rate(fact, rates, "cur", "d", strategy=strategy)
         assert sorted(r.exchange_rate for r in j.collect()) == [2.0, 3.0]
-        plans[(strategy, bound)] = j._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plans[("merge", 10)]
-    assert "BroadcastHashJoin" in plans[("checked", 10)]
-    assert "SortMergeJoin" in plans[("checked", 1)]
+        if strategy == "merge":
+            assert "SortMergeJoin" in j._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError):
         ser.attach_rate(fact, rates, "cur", "d", strategy="nope")
 
