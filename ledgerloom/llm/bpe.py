@@ -27,7 +27,7 @@ from ledgerloom.llm.workers import ready
 import public_tokenizers
 
 DEFAULT = "byte_bpe_50k.json"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 LONG_WORD = 1024
 # Fixed value: white space as the pattern's \s means it (Unicode White_Space).
 SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"

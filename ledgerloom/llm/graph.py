@@ -9,6 +9,7 @@ the lineage stays short and a lost executor costs one round at most.
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,10 @@ def stored(spark: SparkSession, df: DataFrame, name: str, release: bool = False)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     if release:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
+        for _ in range(2):  # the first finds the shuffles unreachable, the second what they held
+            gc.collect()
+            spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -29,7 +29,7 @@ from ledgerloom.llm.workers import ready
 SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 100_000, 100_000
 LONGEST = 4
 UNKNOWN = "und"
-CACHE_TOKENS = 400_000
+CACHE_TOKENS = 250_000
 _LETTERS = re.compile(r"[^\W\d_]+").findall
 
 

@@ -231,8 +231,8 @@ def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
 def drop_similar_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs`` without the removed lines; a document that loses all of its
     words that way goes. Documents without an id are not changed."""
-    removed = removed_lines(spark, docs, num, den).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("removed").alias("_removed"))
+    removed = stored(spark, removed_lines(spark, docs, num, den).where("n_removed > 0").select(
+        F.col("doc_id").alias("_id"), F.col("removed").alias("_removed")), "removed", release=True)
     joined = docs.join(removed, F.col("doc_id") == F.col("_id"), "left")
     parts = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
