@@ -51,7 +51,7 @@ class Model:
         self.languages = languages
         self.prior = np.log(np.array(prior, dtype=float) / max(1, sum(prior))) if languages else np.zeros(0)
         self.row = {g: i for i, g in enumerate(counts)}
-        table = np.array(list(counts.values()), dtype=float).reshape(-1, len(languages))
+        table = np.array(list(counts.values()), dtype=float).reshape(len(counts), len(languages))
         kind = np.array([0 if g[0] == "w" else int(g[0]) for g in counts], dtype=int)
         sums = totals[kind] if len(counts) else np.zeros((0, len(languages)))
         self.log = np.log((table + 0.5) / (sums + 0.5 * max(1, len(counts))))

@@ -171,20 +171,16 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, **options) -> DataFram
     that share id, source and size share their copies in the order of a hash of
     the whole row, so the result is the same on every run."""
     plan = mix(spark, docs, **options).where("copies > 0")
-    per = plan.groupBy("doc_id", "source", "size").agg(F.count("*").alias("_n"), F.sum("copies").alias("_copies"))
-    sized = docs.withColumn("_size", n_words())
-    on = (sized["doc_id"].eqNullSafe(per["doc_id"]) & sized["source"].eqNullSafe(per["source"])
-          & (sized["_size"] == per["size"]))
-    cols = [sized[c] for c in docs.columns]
-    joined = sized.join(per, on).select(*cols, "_n", "_copies")
-    order = [F.xxhash64(*docs.columns)]
-    one = joined.where("_n = 1 and _copies > 0")
-    # rows that share id, source and size but not every column
-    more = joined.where("_n > 1")
-    out = one.select(*docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_c"))
-    rank = F.row_number().over(W.Window.partitionBy("doc_id", "source", F.length("text")).orderBy(*order))
-    share = more.withColumn("_r", rank).withColumn(
-        "_mine", (F.floor(F.col("_copies") / F.col("_n")) + (F.col("_r") <= F.pmod("_copies", "_n")).cast("long")).cast("long"))
-    out2 = share.where("_mine > 0").select(
-        *docs.columns, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mine"))).alias("_c"))
-    return out.unionByName(out2).select(*docs.columns)
+    per = plan.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n"), F.sum("copies").alias("copies"))
+    # the row travels as one column, so none of its names can clash
+    sized = docs.select(F.struct(*docs.columns).alias("doc"), n_words().alias("words"))
+    on = (F.col("doc.doc_id").eqNullSafe(per["doc_id"]) & F.col("doc.source").eqNullSafe(per["source"])
+          & (F.col("words") == per["size"]))
+    joined = sized.join(per, on).select("doc", "words", "n", "copies")
+    rank = F.row_number().over(W.Window.partitionBy("doc.doc_id", "doc.source", "words").orderBy(F.xxhash64("doc")))
+    one = joined.where("n = 1").select("doc", "copies")
+    # rows that share id, source and size
+    more = joined.where("n > 1").withColumn("r", rank).select("doc", (
+        F.floor(F.col("copies") / F.col("n")) + (F.col("r") <= F.pmod("copies", "n")).cast("long")).cast("long").alias("copies"))
+    return (one.unionByName(more).where("copies > 0")
+            .select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("doc.*"))
