@@ -99,8 +99,8 @@ WITH RECURSIVE ok AS (
   SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), linked AS (
   SELECT a.r AS ar, b.r AS br, a.vec_id AS a, b.vec_id AS b
   FROM ok a JOIN ok b ON a.label = b.label AND a.r <> b.r
