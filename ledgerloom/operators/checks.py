@@ -3,9 +3,10 @@
 Every check returns a one-row DataFrame with the common report schema
 ``(check_name, passed, left_value, right_value, detail)``; several checks are
 combined with :func:`report` and turned into an exception by :func:`enforce`.
-Queries passed to a check are DataFrames; scalar ones are read through scalar
-subqueries, which fail when a query yields more than one row and give NULL
-when it yields none.
+Queries passed to a check are DataFrames or SQL texts (run in the active
+session; the text is then part of ``detail``). Scalar ones are read through
+scalar subqueries, which fail when a query yields more than one row and give
+NULL when it yields none.
 
 Cost at scale: expression checks of one table share a single aggregate pass
 (:func:`check_expressions`); key checks need one shuffle each, and foreign
@@ -45,6 +46,17 @@ class CheckFailed(AssertionError):
     """Raised by :func:`enforce` with the failing report rows."""
 
 
+def _frame(query: DataFrame | str) -> DataFrame:
+    """A query given as SQL text, or the DataFrame itself."""
+    return SparkSession.active().sql(query) if isinstance(query, str) else query
+
+
+def _with_texts(text: str | None, **queries: DataFrame | str) -> str | None:
+    """``text`` followed by a line for each query given as SQL text."""
+    lines = [f"{name}: {q.strip()}" for name, q in queries.items() if isinstance(q, str)]
+    return "\n".join(([text] if text else []) + lines) or None
+
+
 def _scalar(query: DataFrame) -> Column:
     if len(query.columns) != 1:
         query = query.select(query.columns[0])
@@ -64,22 +76,23 @@ def _row(spark: SparkSession, name: str, passed: Column, left: Column | None = N
     )
 
 
-def check_true(name: str, query: DataFrame, description: str | None = None) -> DataFrame:
+def check_true(name: str, query: DataFrame | str, description: str | None = None) -> DataFrame:
     """Passes when the one-value query is true; NULL (or no row) stays NULL and
     does not fail, as in the original toolkit."""
-    return _row(query.sparkSession, name, _scalar(query), detail=description)
+    asked = _frame(query)
+    return _row(asked.sparkSession, name, _scalar(asked), detail=_with_texts(description, query=query))
 
 
-def check_relation(name: str, left: DataFrame, right: DataFrame, relation: str,
+def check_relation(name: str, left: DataFrame | str, right: DataFrame | str, relation: str,
                    description: str | None = None) -> DataFrame:
     """``left <relation> right`` for two one-value queries. A NULL operand fails."""
     if relation not in RELATIONS:
         raise ValueError(f"relation must be one of {sorted(RELATIONS)}")
-    spark = left.sparkSession
-    pair = spark.range(1).select(_scalar(left).alias("l"), _scalar(right).alias("r"))
+    text = _with_texts(description or f"left {relation} right", left=left, right=right)
+    left, right = _frame(left), _frame(right)
+    pair = left.sparkSession.range(1).select(_scalar(left).alias("l"), _scalar(right).alias("r"))
     l, r = F.col("l"), F.col("r")
     null = l.isNull() | r.isNull()
-    text = description or f"left {relation} right"
     return pair.select(
         F.lit(name).alias("check_name"),
         F.when(null, F.lit(False)).otherwise(RELATIONS[relation](l, r)).alias("passed"),
@@ -89,35 +102,35 @@ def check_relation(name: str, left: DataFrame, right: DataFrame, relation: str,
     )
 
 
-def check_equal(name: str, left: DataFrame, right: DataFrame, description: str | None = None) -> DataFrame:
+def check_equal(name: str, left: DataFrame | str, right: DataFrame | str, description: str | None = None) -> DataFrame:
     return check_relation(name, left, right, "=", description)
 
 
-def check_not_equal(name: str, left: DataFrame, right: DataFrame, description: str | None = None) -> DataFrame:
+def check_not_equal(name: str, left: DataFrame | str, right: DataFrame | str, description: str | None = None) -> DataFrame:
     return check_relation(name, left, right, "!=", description)
 
 
-def check_at_most(name: str, left: DataFrame, right: DataFrame, description: str | None = None) -> DataFrame:
+def check_at_most(name: str, left: DataFrame | str, right: DataFrame | str, description: str | None = None) -> DataFrame:
     """left <= right"""
     return check_relation(name, left, right, "<=", description)
 
 
-def check_at_least(name: str, left: DataFrame, right: DataFrame, description: str | None = None) -> DataFrame:
+def check_at_least(name: str, left: DataFrame | str, right: DataFrame | str, description: str | None = None) -> DataFrame:
     """left >= right"""
     return check_relation(name, left, right, ">=", description)
 
 
-def check_almost_equal(name: str, fraction: float, left: DataFrame, right: DataFrame,
+def check_almost_equal(name: str, fraction: float, left: DataFrame | str, right: DataFrame | str,
                        description: str | None = None) -> DataFrame:
     """``|right - left| / |left| < fraction`` (strict); a zero ``left`` passes
     for any positive fraction; a NULL operand fails. Pass decimals for money:
     double sums depend on summation order."""
-    spark = left.sparkSession
-    pair = spark.range(1).select(_scalar(left).alias("l"), _scalar(right).alias("r"))
+    text = _with_texts(description or f"relative difference < {fraction}", left=left, right=right)
+    left, right = _frame(left), _frame(right)
+    pair = left.sparkSession.range(1).select(_scalar(left).alias("l"), _scalar(right).alias("r"))
     l, r = F.col("l"), F.col("r")
     null = l.isNull() | r.isNull()
     rel = F.coalesce(F.abs((r - l) / F.nullif(l, F.lit(0))), F.lit(0))
-    text = description or f"relative difference < {fraction}"
     return pair.select(
         F.lit(name).alias("check_name"),
         F.when(null, F.lit(False)).otherwise(rel < F.lit(fraction)).alias("passed"),
@@ -127,11 +140,12 @@ def check_almost_equal(name: str, fraction: float, left: DataFrame, right: DataF
     )
 
 
-def check_not_found(name: str, failing: DataFrame, order_by: list[str] | None = None,
+def check_not_found(name: str, failing: DataFrame | str, order_by: list[str] | None = None,
                     shown: int = FAILING_ROWS_SHOWN) -> DataFrame:
     """Passes when ``failing`` is empty. ``left_value`` counts the failing
     rows; ``detail`` lists the first ``shown`` of them (ordered by
     ``order_by``, default all columns, NULLs first) as ``k = v, k = v`` lines."""
+    asked, failing = _with_texts(None, query=failing), _frame(failing)
     spark = failing.sparkSession
     cols = failing.columns
     # map columns cannot be ordered; the others still fix which rows are shown
@@ -157,17 +171,18 @@ def check_not_found(name: str, failing: DataFrame, order_by: list[str] | None =
         (n == 0).alias("passed"),
         n.cast("double").alias("left_value"),
         F.lit(0.0).alias("right_value"),
-        F.when(n > 0, F.col("m")).alias("detail"),
+        F.when(n > 0, F.concat_ws("\n", F.lit(asked).cast("string"), F.col("m"))).alias("detail"),
     )
 
 
-def check_almost_equal_array(name: str, left: DataFrame, right: DataFrame, delta: float,
+def check_almost_equal_array(name: str, left: DataFrame | str, right: DataFrame | str, delta: float,
                              description: str | None = None) -> DataFrame:
     """Arrays compared element by element: an element fails when
     ``|left - right| > delta``. Positions beyond the shorter array are not
     counted. ``left_value`` = failing elements, ``right_value`` = delta."""
-    spark = left.sparkSession
-    pair = spark.range(1).select(
+    description = _with_texts(description, left=left, right=right)
+    left, right = _frame(left), _frame(right)
+    pair = left.sparkSession.range(1).select(
         _scalar(left).cast("array<double>").alias("a"), _scalar(right).cast("array<double>").alias("b"))
     diffs = F.zip_with(F.col("a"), F.col("b"), lambda x, y: x - y)
     n_err = F.size(F.filter(diffs, lambda d: F.abs(d) > F.lit(delta)))

@@ -148,3 +148,24 @@ def test_every_check_kind_can_fail(spark):
     assert res == {"positive": False, "sum_le": False, "close": False, "null_operand": False}
     with pytest.raises(ck.CheckFailed, match="positive"):
         ck.enforce(ck.check_aggregates(df, {"positive": F.min("v") > 0}))
+
+
+def test_sql_texts_are_run_and_quoted_in_the_detail(spark):
+    spark.range(3).createOrReplaceTempView("three_ids")
+    count = "SELECT count(*) FROM three_ids"
+    made = ck.report(
+        ck.check_true("t", "SELECT min(id) > 0 FROM three_ids", "ids are positive"),
+        ck.check_equal("eq", count, "SELECT 4"),
+        ck.check_at_most("le", count, spark.range(1).select(F.lit(9))),
+        ck.check_almost_equal("near", 0.1, count, "SELECT 3.1"),
+        ck.check_not_found("nf", "SELECT id FROM three_ids WHERE id > 1"),
+        ck.check_almost_equal_array("arr", "SELECT array(1, 2)", "SELECT array(1, 3)", 0.5))
+    rows = {r["check_name"]: r for r in made.collect()}
+    assert {k: r["passed"] for k, r in rows.items()} == {
+        "t": False, "eq": False, "le": True, "near": True, "nf": False, "arr": False}
+    assert rows["t"]["detail"] == "ids are positive\nquery: SELECT min(id) > 0 FROM three_ids"
+    assert rows["eq"]["detail"] == f"left = right\nleft: {count}\nright: SELECT 4"
+    assert rows["le"]["detail"] == f"left <= right\nleft: {count}"
+    assert rows["nf"]["detail"] == "query: SELECT id FROM three_ids WHERE id > 1\nid = 2"
+    with pytest.raises(ck.CheckFailed, match="SELECT 4"):
+        ck.enforce(made)
