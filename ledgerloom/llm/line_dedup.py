@@ -3,11 +3,12 @@
 A line is the set of its words. Lines with a Jaccard similarity of at least
 num / den to an earlier line (by doc_id, then line number) are removed.
 
-1. Equal lines are grouped by two hashes (96 bits) of their text, with the
-   place of the first; the rest works on these distinct lines.
-2. Words get a global order by rarity: a fixed-size count sketch of all words
-   of all distinct lines (one byte per hash bucket, a logarithm of its count)
-   followed by the word's hash. Any total order is exact; rarity makes it fast.
+1. Words get a global order by rarity: a fixed-size count sketch of all words
+   of all lines (one byte per hash bucket, a logarithm of its count) followed
+   by the word's hash. Any total order is exact; rarity makes it fast.
+2. Equal lines are grouped by two hashes (96 bits) of their text, with the
+   place of the first and what the join needs of the line: its number of words,
+   a parity bitmap and its prefix. This table gives each distinct line an id.
 3. Each line is filed under its prefix, its n - ceil(t n) + 1 rarest words:
    two lines that similar share a prefix word. A pair meeting there survives
    if the lengths allow the similarity (length filter), if enough words follow
@@ -55,25 +56,17 @@ def place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``(k1, k2, line)``: one row per distinct line. Every later use keeps
-    these columns, so that they all read one exchange."""
+    """``(k1, k2, line)``: one row per distinct line."""
     return (lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), "line")
             .groupBy("k1", "k2").agg(F.first("line").alias("line")))
 
 
-def first_places(docs: DataFrame) -> DataFrame:
-    """``(k1, k2, first)``: where each distinct line occurs first (null: only
-    in documents without id)."""
-    return (lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"))
-            .groupBy("k1", "k2").agg(F.min("p").alias("first")))
-
-
-def rarity_sketch(distinct: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+def rarity_sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
     """One row, one array ``s`` of 2 ** bits bytes: a logarithm of the number
-    of words in each hash bucket, over all distinct lines."""
+    of words in each hash bucket, over all lines."""
     size = 1 << bits
-    spark = distinct.sparkSession
-    words = distinct.select(F.explode(words_of(F.col("line"))).alias("w")).select(
+    spark = docs.sparkSession
+    words = lines_of(docs).select(F.explode(words_of(F.col("line"))).alias("w")).select(
         F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("b"))
     counted = words.groupBy("b").agg(F.count("*").alias("n"))
     every = counted.unionByName(spark.range(size).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n")))
@@ -84,17 +77,6 @@ def rarity_sketch(distinct: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
     return chunks.agg(F.flatten(F.array_sort(F.collect_list(F.struct("g", "a"))).getField("a")).alias("s"))
 
 
-def ranked_words(spark: SparkSession, distinct: DataFrame, sketch: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
-    """``distinct`` with ``ws``: its word set as sorted numbers, rarest first.
-    A number is the bucket's level and the upper 58 bits of the word's hash."""
-    hashed = distinct.withColumn("h", F.array_remove(F.array_distinct(
-        F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD))
-    seen = hashed.select("k1", "k2", "h", sketch.scalar().alias("s"))
-    number = lambda h: (F.shiftleft(F.get(F.col("s"), h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).cast("long"), 58)
-                        .bitwiseOR(F.shiftrightunsigned(h, 6)))
-    return seen.select("k1", "k2", F.sort_array(F.transform("h", number)).alias("ws"))
-
-
 #: XXH64 with seed 42 of the empty string, which splitting leaves between two spaces.
 EMPTY_WORD = -7444071767201028348
 
@@ -113,19 +95,37 @@ def _size_class(n: Column, num: int, den: int) -> Column:
     return F.floor(F.log(n) / F.log(F.lit(den / num)) + 1e-9).cast("int")
 
 
-def candidate_pairs(ranked: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(a1, a2, b1, b2)``: keys of lines that pass all three filters, the
-    larger set first. One exchange by prefix word serves both sides."""
-    n = F.coalesce(F.size("ws"), F.lit(0))
+def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKETCH_BITS) -> DataFrame:
+    """``(k1, k2, first, n, mask, pre, id)``: one row per distinct line.
+
+    ``first`` is where it occurs first (null: only in documents without id),
+    ``n`` its number of words, ``mask`` their parity bitmap, ``pre`` its prefix,
+    rarest word first (null: no words). A word is a number there: its bucket's
+    level and the upper 58 bits of its hash. Only these, never the text, are
+    exchanged. ``id`` is worked out anew on every run: write the table first."""
+    lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"),
+                                  F.array_remove(F.array_distinct(F.transform(
+                                      words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD).alias("h"))
+    seen = lines.select("k1", "k2", "p", "h", rarity_sketch(docs, bits).scalar().alias("s"))
+    number = lambda h: (F.shiftleft(F.get(F.col("s"), h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).cast("long"), 58)
+                        .bitwiseOR(F.shiftrightunsigned(h, 6)))
+    ranked = seen.select("k1", "k2", "p", F.sort_array(F.transform("h", number)).alias("ws"))
+    size = F.size("ws")
     mask = F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
-    size = F.size("ws")
-    prefix = F.slice("ws", F.lit(1), _prefix_of(size, _ceil(size, num, den)))
-    sized = ranked.select("k1", "k2", n.alias("n"), F.coalesce(mask, F.lit(0).cast("long")).alias("mask"),
-                          F.when(size > 0, prefix).alias("pre"))
-    # an inner explode would have the optimizer work out the words a second time, to filter on them;
-    # and as no column is null any more, neither side of the join gets filters of its own below the exchange
-    filed = (sized.select("k1", "k2", "n", "mask", F.posexplode_outer("pre").alias("i", "w"))
+    sized = ranked.select("k1", "k2", "p", size.alias("n"), mask.alias("mask"), F.when(
+        size > 0, F.slice("ws", F.lit(1), _prefix_of(size, _ceil(size, num, den)))).alias("pre"))
+    return (sized.groupBy("k1", "k2").agg(F.min("p").alias("first"), F.first("n").alias("n"),
+                                          F.first("mask").alias("mask"), F.first("pre").alias("pre"))
+            .withColumn("id", F.monotonically_increasing_id()))
+
+
+def candidate_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(a, b)``: ids of lines that pass all three filters, the larger set
+    first. One exchange by prefix word serves both sides."""
+    known = [F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) for c, t in (("id", "long"), ("n", "int"), ("mask", "long"))]
+    # as no column is null, neither side of the join gets filters of its own below the exchange
+    filed = (table.select(*known, F.posexplode_outer("pre").alias("i", "w"))
              .where("w is not null and i is not null").repartition("w"))
     own = F.coalesce(_size_class(F.col("n"), num, den), F.lit(0))
     probe = filed.select(*[F.col(c).alias("a_" + c) for c in filed.columns],
@@ -136,15 +136,13 @@ def candidate_pairs(ranked: DataFrame, num: int = NUM, den: int = DEN) -> DataFr
                          F.when(early, own).otherwise(F.lit(-9)).alias("b_class"))
     total = F.col("a_n") + F.col("b_n")
     least = _ceil(total, num, num + den)
-    larger = ((F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (
-        (F.col("a_k1") > F.col("b_k1")) | ((F.col("a_k1") == F.col("b_k1")) & (F.col("a_k2") > F.col("b_k2"))))))
+    larger = (F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") > F.col("b_id")))
     met = probe.join(
         index.hint("shuffle_hash"), (F.col("a_w") == F.col("b_w")) & (F.col("a_class") == F.col("b_class")) & larger
         & (F.col("b_n") * den >= F.col("a_n") * num)
         & (F.col("a_n") - F.col("a_i") >= least) & (F.col("b_n") - F.col("b_i") >= least)
         & (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= total - 2 * least))
-    return met.select(F.col("a_k1").alias("a1"), F.col("a_k2").alias("a2"), F.col("b_k1").alias("b1"),
-                      F.col("b_k2").alias("b2")).distinct()
+    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
 
 
 @contextmanager
@@ -174,28 +172,29 @@ def _alike(pairs: DataFrame, distinct: DataFrame, num: int, den: int) -> DataFra
     return both.where(common * den >= (F.size("a") + F.size("b") - common) * num).select(*keys)
 
 
-def later_matches(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(k1, k2)`` of the distinct lines that are similar to an earlier one,
-    as a written table.
+def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: int = NUM,
+                  den: int = DEN) -> DataFrame:
+    """``(k1, k2)`` of the distinct lines of the written line ``table`` that
+    are similar to an earlier one, as a written table.
 
     One earlier match removes a line, so each line is first verified against
     its earliest candidate alone, and only lines that fail there against all
     others: a crowd of near copies costs one verification a line, not one a
     pair."""
-    distinct, firsts = distinct_lines(docs), first_places(docs)
-    ranked = ranked_words(spark, distinct, rarity_sketch(distinct))
-    pairs = candidate_pairs(ranked, num, den)
-    at = lambda side: firsts.select(F.col("k1").alias(side + "1"), F.col("k2").alias(side + "2"),
-                                    F.col("first").alias(side))
-    placed = pairs.join(at("a"), ["a1", "a2"]).join(at("b"), ["b1", "b2"])
-    a_later = F.coalesce(F.col("a") > F.col("b"), F.col("a").isNull())
-    keys = {"l1": ("a1", "b1"), "l2": ("a2", "b2"), "e1": ("b1", "a1"), "e2": ("b2", "a2"), "e": ("b", "a")}
-    placed = placed.where("a is not null or b is not null").where("a is null or b is null or a <> b").select(
-        *[F.when(a_later, F.col(x)).otherwise(F.col(y)).alias(name) for name, (x, y) in keys.items()])
+    at = lambda side: table.select(F.col("id").alias(side), F.struct("first", "k1", "k2").alias(side + "_"))
+    placed = candidate_pairs(table, num, den).join(at("a"), "a").join(at("b"), "b")
+    placed = placed.where("a_.first is not null or b_.first is not null").where(
+        "a_.first is null or b_.first is null or a_.first <> b_.first")
+    a_later = F.coalesce(F.col("a_.first") > F.col("b_.first"), F.col("a_.first").isNull())
+    placed = placed.select(F.when(a_later, F.col("a_")).otherwise(F.col("b_")).alias("l"),
+                           F.when(a_later, F.col("b_")).otherwise(F.col("a_")).alias("e"))
+    placed = placed.select(F.col("l.k1").alias("l1"), F.col("l.k2").alias("l2"), F.col("e.k1").alias("e1"),
+                           F.col("e.k2").alias("e2"), F.col("e.first").alias("e"))
     with _joins_on_part_of_the_key(spark):
         ordered = stored(spark, placed, "candidates", release=True)
     earliest = ordered.groupBy("l1", "l2").agg(F.min(F.struct("e", "e1", "e2")).alias("m"))
     earliest = earliest.select("l1", "l2", "m.e1", "m.e2")
+    distinct = distinct_lines(docs)
     found = _alike(earliest, distinct, num, den).select("l1", "l2")
     rest = ordered.select("l1", "l2", "e1", "e2").join(found, ["l1", "l2"], "left_anti").join(
         earliest, ["l1", "l2", "e1", "e2"], "left_anti")
@@ -213,12 +212,12 @@ def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
     same document. Documents without id come after all others, as one
     document, and are not told apart: a line they alone hold stays wherever it
     is. Tokens are compared by 64-bit hashes. An empty table gives no rows."""
-    later = later_matches(spark, docs, num, den).withColumn("similar", F.lit(True))
+    table = stored(spark, line_table(docs, num, den), "lines", release=True)
+    later = later_matches(spark, docs, table, num, den).withColumn("similar", F.lit(True))
     lines = docs.select(F.col("doc_id"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line")).select(
-        "doc_id", "line_no", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"),
-        F.rlike(F.col("line"), F.lit(r"[^\x20\x09-\x0D]")).alias("worded"))
-    firsts = lines.where("worded").groupBy("k1", "k2").agg(F.min("p").alias("first"))
-    known = firsts.join(later, ["k1", "k2"], "left")
+        "doc_id", "line_no", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"))
+    worded = table.where("n > 0").select("k1", "k2", "first", F.lit(True).alias("worded"))
+    known = worded.join(later, ["k1", "k2"], "left")
     judged = lines.join(known, ["k1", "k2"], "left")
     copy = F.coalesce(F.col("p") > F.col("first"), F.col("p").isNull() & F.col("first").isNotNull())
     gone = F.coalesce(F.col("worded") & (copy | F.coalesce("similar", F.lit(False))), F.lit(False))
