@@ -195,7 +195,7 @@ def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: i
     earliest = ordered.groupBy("l1", "l2").agg(F.min(F.struct("e", "e1", "e2")).alias("m"))
     earliest = earliest.select("l1", "l2", "m.e1", "m.e2")
     distinct = distinct_lines(docs)
-    found = _alike(earliest, distinct, num, den).select("l1", "l2")
+    found = stored(spark, _alike(earliest, distinct, num, den).select("l1", "l2"), "found", release=True)
     rest = ordered.select("l1", "l2", "e1", "e2").join(found, ["l1", "l2"], "left_anti").join(
         earliest, ["l1", "l2", "e1", "e2"], "left_anti")
     later = found.unionByName(_alike(rest, distinct, num, den).select("l1", "l2")).distinct()
