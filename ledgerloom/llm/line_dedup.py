@@ -8,13 +8,15 @@ num / den to an earlier line (by doc_id, then line number) are removed.
    by the word's hash. Any total order is exact; rarity makes it fast.
 2. Equal lines are grouped by two hashes (96 bits) of their text, with the
    place of the first and what the join needs of the line: its number of words,
-   a parity bitmap and its prefix. This table gives each distinct line an id.
+   a parity bitmap and its prefix. This table gives each distinct line an id,
+   in the order of the places.
 3. Each line is filed under its prefix, its n - ceil(t n) + 1 rarest words:
    two lines that similar share a prefix word. A pair meeting there survives
    if the lengths allow the similarity (length filter), if enough words follow
    both positions (positional filter), and if the lines' parity bitmaps differ
    in no more bits than the sets may differ in words (bitmap filter).
-4. Survivors are verified on their whole word sets.
+4. Survivors are verified on their whole word sets, each line against its
+   earliest candidate first.
 
 A hot line is one distinct line; words that very many lines share come last in
 the order and are hardly ever in a prefix.
@@ -33,6 +35,8 @@ NUM, DEN = 4, 5  # similarity of at least 0.8
 SKETCH_BITS = 18
 # ASCII white space besides the space and the line feed.
 OTHER_SPACE = "\t\x0b\x0c\r"
+#: XXH64 with seed 42 of the empty string, which splitting leaves between two spaces.
+EMPTY_WORD = -7444071767201028348
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -49,6 +53,11 @@ def words_of(line: Column) -> Column:
     return F.split(F.when(odd, F.translate(line, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(line), " ")
 
 
+def word_set(line: str) -> Column:
+    """The line's distinct words as 64-bit hashes."""
+    return F.array_remove(F.array_distinct(F.transform(words_of(F.col(line)), lambda w: F.xxhash64(w))), EMPTY_WORD)
+
+
 def place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
     """One sortable number for (doc_id, line_no)."""
     return (F.col(doc_id).cast("decimal(20,0)") * F.lit(10_000_000_000).cast("decimal(11,0)")
@@ -77,10 +86,6 @@ def rarity_sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
     return chunks.agg(F.flatten(F.array_sort(F.collect_list(F.struct("g", "a"))).getField("a")).alias("s"))
 
 
-#: XXH64 with seed 42 of the empty string, which splitting leaves between two spaces.
-EMPTY_WORD = -7444071767201028348
-
-
 def _prefix_of(n: Column, overlap: Column) -> Column:
     """Words of a set of n that must hold one of ``overlap`` common words."""
     return (n - overlap + 1).cast("int")
@@ -102,10 +107,10 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
     ``n`` its number of words, ``mask`` their parity bitmap, ``pre`` its prefix,
     rarest word first (null: no words). A word is a number there: its bucket's
     level and the upper 58 bits of its hash. Only these, never the text, are
-    exchanged. ``id`` is worked out anew on every run: write the table first."""
+    exchanged. ``id`` grows with ``first`` (nulls last), so that of two lines the
+    one with the smaller id is the earlier; write the table before using it."""
     lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"),
-                                  F.array_remove(F.array_distinct(F.transform(
-                                      words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD).alias("h"))
+                                  word_set("line").alias("h"))
     seen = lines.select("k1", "k2", "p", "h", rarity_sketch(docs, bits).scalar().alias("s"))
     number = lambda h: (F.shiftleft(F.get(F.col("s"), h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).cast("long"), 58)
                         .bitwiseOR(F.shiftrightunsigned(h, 6)))
@@ -115,8 +120,10 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
         F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
     sized = ranked.select("k1", "k2", "p", size.alias("n"), mask.alias("mask"), F.when(
         size > 0, F.slice("ws", F.lit(1), _prefix_of(size, _ceil(size, num, den)))).alias("pre"))
+    order = [F.col("first").asc_nulls_last(), F.col("k1")]
     return (sized.groupBy("k1", "k2").agg(F.min("p").alias("first"), F.first("n").alias("n"),
                                           F.first("mask").alias("mask"), F.first("pre").alias("pre"))
+            .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("id", F.monotonically_increasing_id()))
 
 
@@ -157,49 +164,45 @@ def _joins_on_part_of_the_key(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def _alike(pairs: DataFrame, distinct: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of ``pairs`` (later and earlier key) whose word sets are similar."""
-    keys = ["l1", "l2", "e1", "e2"]
-    sets = distinct.select("k1", "k2", F.array_remove(F.array_distinct(
-        F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w))), EMPTY_WORD).alias("h"))
-    sides = pairs.select(*keys, F.explode(F.array(
-        F.struct(F.col("l1").alias("k1"), F.col("l2").alias("k2"), F.lit(True).alias("later")),
-        F.struct(F.col("e1").alias("k1"), F.col("e2").alias("k2"), F.lit(False).alias("later")))).alias("s"))
-    sides = sides.select(*keys, "s.k1", "s.k2", "s.later").join(sets, ["k1", "k2"])
-    both = sides.groupBy(*keys).agg(F.max(F.when(F.col("later"), F.col("h"))).alias("a"),
-                                    F.max(F.when(~F.col("later"), F.col("h"))).alias("b"))
+def candidate_texts(docs: DataFrame, table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(id, first, line)`` of the lines that occur in ``pairs``."""
+    needed = pairs.select(F.explode(F.array("l", "e")).alias("id")).distinct()
+    keys = table.select("id", "first", "k1", "k2").join(needed, "id", "left_semi")
+    return keys.join(distinct_lines(docs), ["k1", "k2"]).select("id", "first", "line")
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
+    """``l`` of those ``pairs`` (later and earlier id) whose word sets are
+    similar. Texts travel rather than sets of hashes, which are larger. Lines
+    at the same place (documents that share an id, or have none) are neither
+    earlier nor later."""
+    at = lambda side: texts.select(F.col("id").alias(side), F.col("first").alias(side + "_first"),
+                                   F.col("line").alias(side + "_line"))
+    both = pairs.join(at("l"), "l").join(at("e"), "e").where(~F.col("l_first").eqNullSafe(F.col("e_first")))
+    both = both.select("l", word_set("l_line").alias("a"), word_set("e_line").alias("b"))
     common = F.size(F.array_intersect("a", "b"))
-    return both.where(common * den >= (F.size("a") + F.size("b") - common) * num).select(*keys)
+    return both.where(common * den >= (F.size("a") + F.size("b") - common) * num).select("l")
 
 
 def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: int = NUM,
                   den: int = DEN) -> DataFrame:
-    """``(k1, k2)`` of the distinct lines of the written line ``table`` that
-    are similar to an earlier one, as a written table.
+    """``id`` of the distinct lines of the written line ``table`` that are
+    similar to an earlier one, as a written table.
 
     One earlier match removes a line, so each line is first verified against
     its earliest candidate alone, and only lines that fail there against all
     others: a crowd of near copies costs one verification a line, not one a
     pair."""
-    at = lambda side: table.select(F.col("id").alias(side), F.struct("first", "k1", "k2").alias(side + "_"))
-    placed = candidate_pairs(table, num, den).join(at("a"), "a").join(at("b"), "b")
-    placed = placed.where("a_.first is not null or b_.first is not null").where(
-        "a_.first is null or b_.first is null or a_.first <> b_.first")
-    a_later = F.coalesce(F.col("a_.first") > F.col("b_.first"), F.col("a_.first").isNull())
-    placed = placed.select(F.when(a_later, F.col("a_")).otherwise(F.col("b_")).alias("l"),
-                           F.when(a_later, F.col("b_")).otherwise(F.col("a_")).alias("e"))
-    placed = placed.select(F.col("l.k1").alias("l1"), F.col("l.k2").alias("l2"), F.col("e.k1").alias("e1"),
-                           F.col("e.k2").alias("e2"), F.col("e.first").alias("e"))
     with _joins_on_part_of_the_key(spark):
-        ordered = stored(spark, placed, "candidates", release=True)
-    earliest = ordered.groupBy("l1", "l2").agg(F.min(F.struct("e", "e1", "e2")).alias("m"))
-    earliest = earliest.select("l1", "l2", "m.e1", "m.e2")
-    distinct = distinct_lines(docs)
-    found = stored(spark, _alike(earliest, distinct, num, den).select("l1", "l2"), "found", release=True)
-    rest = ordered.select("l1", "l2", "e1", "e2").join(found, ["l1", "l2"], "left_anti").join(
-        earliest, ["l1", "l2", "e1", "e2"], "left_anti")
-    later = found.unionByName(_alike(rest, distinct, num, den).select("l1", "l2")).distinct()
-    return stored(spark, later.select(F.col("l1").alias("k1"), F.col("l2").alias("k2")), "later", release=True)
+        pairs = stored(spark, candidate_pairs(table, num, den).select(
+            F.greatest("a", "b").alias("l"), F.least("a", "b").alias("e")), "candidates", release=True)
+    texts = stored(spark, candidate_texts(docs, table, pairs), "texts", release=True)
+    earliest = pairs.groupBy("l").agg(F.min("e").alias("e"))
+    found = stored(spark, _alike(earliest, texts, num, den), "found", release=True)
+    open_lines = earliest.join(found, "l", "left_anti").withColumnRenamed("e", "tried")
+    rest = pairs.join(open_lines, "l").where("e > tried").select("l", "e")
+    later = found.unionByName(_alike(rest, texts, num, den).distinct())
+    return stored(spark, later.withColumnRenamed("l", "id"), "later", release=True)
 
 
 def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -213,11 +216,11 @@ def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
     document, and are not told apart: a line they alone hold stays wherever it
     is. Tokens are compared by 64-bit hashes. An empty table gives no rows."""
     table = stored(spark, line_table(docs, num, den), "lines", release=True)
-    later = later_matches(spark, docs, table, num, den).withColumn("similar", F.lit(True))
+    similar = later_matches(spark, docs, table, num, den).withColumn("similar", F.lit(True))
     lines = docs.select(F.col("doc_id"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line")).select(
         "doc_id", "line_no", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"))
-    worded = table.where("n > 0").select("k1", "k2", "first", F.lit(True).alias("worded"))
-    known = worded.join(later, ["k1", "k2"], "left")
+    worded = table.where("n > 0").select("id", "k1", "k2", "first", F.lit(True).alias("worded"))
+    known = worded.join(similar, "id", "left").drop("id")
     judged = lines.join(known, ["k1", "k2"], "left")
     copy = F.coalesce(F.col("p") > F.col("first"), F.col("p").isNull() & F.col("first").isNotNull())
     gone = F.coalesce(F.col("worded") & (copy | F.coalesce("similar", F.lit(False))), F.lit(False))
