@@ -17,6 +17,9 @@ num / den to an earlier line (by doc_id, then line number) are removed.
    in no more bits than the sets may differ in words (bitmap filter).
 4. Survivors are verified on their whole word sets, each line against its
    earliest candidate first.
+5. Before the join, a line is verified against its hub, the earliest line under
+   the prefix words it has. Lines found there do not look for further partners,
+   so that a crowd of near copies is not joined all with all.
 
 A hot line is one distinct line; words that very many lines share come last in
 the order and are hardly ever in a prefix.
@@ -127,20 +130,51 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
             .withColumn("id", F.monotonically_increasing_id()))
 
 
-def candidate_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(a, b)``: ids of lines that pass all three filters, the larger set
-    first. One exchange by prefix word serves both sides."""
+#: Lines with longer prefixes look for their hub under a quarter of the words.
+WHOLE_PREFIX = 16
+
+
+def hub_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(l, e)``: at most one earlier line for each line, the hub it meets most.
+
+    The hub of a prefix word and size class is the earliest line there. Members
+    of a crowd of near copies share most of their prefix and so their hub: one
+    pair a member finds them, where a join would pair all with all."""
+    m = F.size("pre")
+    filed = table.where("pre is not null").select(
+        "id", "n", "mask", m.alias("m"), _size_class(F.col("n"), num, den).alias("c"), F.explode("pre").alias("w"))
+    filed = filed.where((F.col("m") <= WHOLE_PREFIX) | (F.col("w").bitwiseAND(F.lit(3)) == 0)).repartition("w")
+    hubs = filed.groupBy("w", "c").agg(F.min("id").alias("e"), F.min_by("n", "id").alias("e_n"),
+                                       F.min_by("mask", "id").alias("e_mask"), F.count("*").alias("lines"))
+    total = F.col("n") + F.col("e_n")
+    least = _ceil(total, num, num + den)
+    met = filed.join(hubs.where("lines > 1"), ["w", "c"]).where(
+        (F.col("e") < F.col("id")) & (F.greatest("n", "e_n") * num <= F.least("n", "e_n") * den)
+        & (F.bit_count(F.col("mask").bitwiseXOR(F.col("e_mask"))) <= total - 2 * least))
+    shared = met.groupBy(F.col("id").alias("l"), "e", "m").agg(F.count("*").alias("met"))
+    often = shared.where(F.col("met") * F.when(F.col("m") <= WHOLE_PREFIX, 3).otherwise(12) >= F.col("m"))
+    return often.groupBy("l").agg(F.max_by("e", "met").alias("e"))
+
+
+def candidate_pairs(table: DataFrame, done: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(l, e)``: ids of lines that pass all three filters, the later one
+    first, but for lines ``l`` in ``done``. One exchange by prefix word serves
+    both sides."""
     known = [F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) for c, t in (("id", "long"), ("n", "int"), ("mask", "long"))]
+    known.append(F.col("done").isNotNull().alias("done"))
+    table = table.join(done.select(F.col("l").alias("id"), F.lit(1).alias("done")), "id", "left")
     # as no column is null, neither side of the join gets filters of its own below the exchange
     filed = (table.select(*known, F.posexplode_outer("pre").alias("i", "w"))
              .where("w is not null and i is not null").repartition("w"))
     own = F.coalesce(_size_class(F.col("n"), num, den), F.lit(0))
+    # even classes hold the lines not done, odd ones those done, which only the former look up
     probe = filed.select(*[F.col(c).alias("a_" + c) for c in filed.columns],
-                         F.explode(F.array(own, own - 1)).alias("a_class"))
+                         F.explode(F.array(own * 2, own * 2 - 2, F.when(~F.col("done"), own * 2 + 1),
+                                           F.when(~F.col("done"), own * 2 - 1))).alias("a_class"))
     # the smaller of two similar sets has a common word even earlier: only those places are looked up
     early = F.col("i") < _prefix_of(F.col("n"), _ceil(F.col("n"), 2 * num, num + den))
     index = filed.select(*[F.col(c).alias("b_" + c) for c in filed.columns],
-                         F.when(early, own).otherwise(F.lit(-9)).alias("b_class"))
+                         F.when(early, own * 2 + F.col("done").cast("int")).otherwise(F.lit(-9)).alias("b_class"))
     total = F.col("a_n") + F.col("b_n")
     least = _ceil(total, num, num + den)
     larger = (F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") > F.col("b_id")))
@@ -148,8 +182,9 @@ def candidate_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFra
         index.hint("shuffle_hash"), (F.col("a_w") == F.col("b_w")) & (F.col("a_class") == F.col("b_class")) & larger
         & (F.col("b_n") * den >= F.col("a_n") * num)
         & (F.col("a_n") - F.col("a_i") >= least) & (F.col("b_n") - F.col("b_i") >= least)
+        & ~F.when(F.col("a_id") > F.col("b_id"), F.col("a_done")).otherwise(F.col("b_done"))
         & (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= total - 2 * least))
-    return met.select(F.col("a_id").alias("a"), F.col("b_id").alias("b")).distinct()
+    return met.select(F.greatest("a_id", "b_id").alias("l"), F.least("a_id", "b_id").alias("e")).distinct()
 
 
 @contextmanager
@@ -190,18 +225,20 @@ def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: i
     similar to an earlier one, as a written table.
 
     One earlier match removes a line, so each line is first verified against
-    its earliest candidate alone, and only lines that fail there against all
-    others: a crowd of near copies costs one verification a line, not one a
-    pair."""
+    its hub alone. Those found there need no other partner, though they stay
+    partners of the others. Lines left are verified against their earliest
+    candidate, and those that fail there against all others."""
+    with _joins_on_part_of_the_key(spark):
+        hubs = stored(spark, hub_pairs(table, num, den), "hubs", release=True)
+    copies = stored(spark, _alike(hubs, candidate_texts(docs, table, hubs), num, den), "copies", release=True)
     with _joins_on_part_of_the_key(spark):
-        pairs = stored(spark, candidate_pairs(table, num, den).select(
-            F.greatest("a", "b").alias("l"), F.least("a", "b").alias("e")), "candidates", release=True)
+        pairs = stored(spark, candidate_pairs(table, copies, num, den), "candidates", release=True)
     texts = stored(spark, candidate_texts(docs, table, pairs), "texts", release=True)
     earliest = pairs.groupBy("l").agg(F.min("e").alias("e"))
     found = stored(spark, _alike(earliest, texts, num, den), "found", release=True)
     open_lines = earliest.join(found, "l", "left_anti").withColumnRenamed("e", "tried")
     rest = pairs.join(open_lines, "l").where("e > tried").select("l", "e")
-    later = found.unionByName(_alike(rest, texts, num, den).distinct())
+    later = copies.unionByName(found).unionByName(_alike(rest, texts, num, den).distinct())
     return stored(spark, later.withColumnRenamed("l", "id"), "later", release=True)
 
 
