@@ -87,6 +87,23 @@ def test_line_dedup_is_the_brute_force_result(spark, docs):
     assert None in got and len(got) == len({r[0] for r in documents()})
 
 
+def test_line_dedup_of_crowds_of_near_copies(spark):
+    rng = random.Random(9)
+    rows = []
+    for length, edits in ((150, 4), (150, 16), (30, 2), (6, 1)):
+        base = [f"b{length}x{edits}x{i}" for i in range(length)]
+        for _ in range(30):
+            words = list(base)
+            for at in rng.sample(range(length), edits):
+                words[at] = "z%d" % rng.randrange(500)
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(spark, table).collect()}
+    want = brute_lines(rows)
+    assert got == want and sum(map(len, want.values())) > 50
+
+
 def test_line_dedup_drops_lines_and_emptied_documents(spark, docs, none):
     kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_similar_lines(spark, docs).collect() if r["doc_id"] is not None}
     rows = {r[0]: r[1] for r in documents() if r[0] is not None}
