@@ -1,14 +1,17 @@
 """Main text of web pages by tag-path ratios.
 
-A page is cut into text nodes, each with its root-to-leaf tag path (tag names
-with their class words). Per path: characters of text, punctuation marks,
-characters inside links and number of nodes. Both ratios (text per node and
-punctuation per node) are smoothed over the page's order, fused by their
-product, damped by the share of link text, and weighed by what the path says
-of itself: inside ``article`` or ``main`` a path is content, inside menus,
-forms, adverts and the like it never is. Paths at or above the page's threshold are
-content; without an ``article`` or ``main``, everything but such side matter
-between the first and the last content node of their common element counts.
+A page is cut into blocks of text, each with the root-to-leaf path of block
+elements around it (tag names with their class words; ids of containers too).
+Inline elements do not lengthen a path, so no sentence is cut at its bold word.
+Per path: characters of text, punctuation marks, characters inside links and
+number of blocks. Both ratios (text per block and punctuation per block) are
+smoothed over the page's order within a container (``div``, ``article`` and the
+like), fused by their geometric mean, damped by the share of link text, and
+weighted by what the path says of itself: more inside ``article`` or ``main``,
+nothing inside menus, forms, adverts and the like. Paths at or above the page's threshold are content. What lies
+with them in their containers, and in the containers around those up to the
+``article`` or the common element, is part of the same text (headings, short
+items, linked paragraphs) unless it weighs less or is a list of links.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +32,11 @@ from ledgerloom.llm.workers import ready
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
                    "small span strike strong sub sup time tt u var ruby rb rt rp wbr img br".split())
-SIDE_TAGS = frozenset("head title nav header footer aside form script style noscript template button select option "
-                      "textarea input menu dialog iframe object svg math canvas audio video figure picture "
-                      "fieldset datalist map frameset noframes".split()) - {"figure"}
+UNSEEN = frozenset("head title script style noscript template button select option textarea input iframe object svg "
+                   "math canvas audio video picture datalist map frameset noframes".split())
+APART = frozenset("nav header footer aside form menu dialog fieldset".split())
+CONTAINERS = (frozenset("html body div article main".split()) | APART) - {"header"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu "
                        "menubar toolbar status tablist".split())
 SIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
@@ -51,47 +57,85 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
                        re.I)
 WORDS = re.compile(r"[a-z0-9]+")
-CONTENT, SIDE, PLAIN = 2, 0, 1
-
-
-def _role(tag: str, attributes: str, outer: int) -> tuple[int, str]:
-    """(what the element says of its text, its class words)."""
-    if outer == SIDE or (tag in SIDE_TAGS and not (tag == "header" and outer == CONTENT)):
-        return SIDE, ""
-    names = ""
-    role = CONTENT if tag in ("article", "main") else outer
-    if attributes:
-        for m in ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key in ("class", "id"):
-                words = set(WORDS.findall(value))
-                names += "." + value
-                if words & SIDE_WORDS and tag not in ("html", "body", "article", "main"):
-                    return SIDE, names
-                if tag in ("article", "main", "section", "div") and words & {"comment", "comments", "reply"}:
-                    return SIDE, names
-            elif key == "role":
-                if value in SIDE_ROLES:
-                    return SIDE, names
-                if value in ("main", "article"):
-                    role = CONTENT
-            elif key == "itemprop" and value == "articlebody":
-                role = CONTENT
-            elif key == "hidden" or (key == "aria-hidden" and value == "true") or (
-                    key == "style" and "display:none" in value.replace(" ", "")):
-                return SIDE, names
-    return role, names
-
-
-def text_nodes(page: str) -> list[tuple[int, str, int, bool, str]]:
-    """(block number, tag path, role, in a link, decoded text) in page order."""
-    out = []
-    stack: list[tuple[str, str, int]] = [("", "", PLAIN)]  # tag, path, role
+#: Weights of a path's score, the least that link text leaves of it, and the share of the page's mean score that content reaches.
+CONTENT, PLAIN, LINKED, THRESHOLD = 2.0, 1.0, 0.03, 0.5
+
+
+class Element(NamedTuple):
+    """An open element. Text in it has ``path`` and ``weight``; ``container`` is
+    the path of the container around it; ``unseen``: not shown by a browser."""
+    tag: str
+    path: str
+    weight: float
+    container: str
+    unseen: bool
+
+
+class Block(NamedTuple):
+    path: str
+    tag: str
+    weight: float
+    container: str
+    texts: list[tuple[str, bool]]  # text, in a link
+
+
+def _open(tag: str, attributes: str, outer: Element, containers: dict[str, tuple[str, bool]]) -> Element:
+    """The element that a start tag opens inside ``outer``."""
+    inline = tag in INLINE
+    classes = names = ""
+    unseen, content = outer.unseen or tag in UNSEEN, tag in ("article", "main")
+    nothing = tag in APART and not (tag == "header" and outer.weight >= CONTENT)
+    for m in ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key in ("class", "id"):
+            words = set(WORDS.findall(value)) & SIDE_WORDS
+            if tag in ("article", "main"):
+                words &= {"comment", "comments", "reply"}
+            if words and tag not in ("html", "body"):
+                nothing = True
+            if key == "class":
+                classes += "." + value
+            elif tag in CONTAINERS:
+                names += "#" + value
+        elif key == "role":
+            nothing = nothing or value in SIDE_ROLES
+            content = content or value in ("main", "article")
+        elif key == "itemprop":
+            content = content or value == "articlebody"
+        elif tag not in ("html", "body") and (key == "hidden" or (key == "aria-hidden" and value == "true") or (
+                key == "style" and "display:none" in value.replace(" ", ""))):
+            unseen = True
+    if inline:
+        return outer._replace(tag=tag, unseen=unseen or nothing)
+    weight = CONTENT if content and outer.weight else outer.weight
+    weight *= 0.0 if nothing else 1.0
+    path = f"{outer.path}/{tag}{classes}{names}"
+    if tag in CONTAINERS or content or (tag == "section" and classes):
+        containers.setdefault(path, (outer.container, content))
+        return Element(tag, path, weight, path, unseen)
+    return Element(tag, path, weight, outer.container, unseen)
+
+
+def text_blocks(page: str) -> tuple[list[Block], dict[str, tuple[str, bool]]]:
+    """The blocks with text in page order, and per container the one around it
+    and whether it declares itself content."""
+    containers: dict[str, tuple[str, bool]] = {}
+    blocks: dict[int, Block] = {}
+    stack = [Element("", "", PLAIN, "", False)]
     block, at, links = 0, 0, 0
+
+    def text(value: str, linked: bool) -> None:
+        e = stack[-1]
+        if e.unseen:
+            return
+        if block not in blocks:
+            tag = next((x.tag for x in reversed(stack) if x.tag not in INLINE), "")
+            blocks[block] = Block(e.path, tag, e.weight, e.container, [])
+        blocks[block].texts.append((html.unescape(value), linked))
+
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            _, path, role = stack[-1]
-            out.append((block, path, role, links > 0, html.unescape(page[at:m.start()])))
+            text(page[at:m.start()], links > 0)
         at = m.end()
         tag = m[3]
         if tag is None:
@@ -100,19 +144,19 @@ def text_nodes(page: str) -> list[tuple[int, str, int, bool, str]]:
             continue
         tag = tag.lower()
         if tag == "br":
-            out.append((block, stack[-1][1], stack[-1][2], False, " "))
+            text(" ", False)
             continue
         is_block = tag not in INLINE
         block += is_block
         if m[2]:
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    links -= sum(x[0] == "a" for x in stack[i:])
+                if stack[i].tag == tag:
+                    links -= sum(x.tag == "a" for x in stack[i:])
                     del stack[i:]
                     break
-                if not is_block and stack[i][0] not in INLINE:
+                if not is_block and stack[i].tag not in INLINE:
                     break
-                if stack[i][0] in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
+                if stack[i].tag in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
                     break
             continue
         if tag in VOID:
@@ -120,21 +164,19 @@ def text_nodes(page: str) -> list[tuple[int, str, int, bool, str]]:
         if is_block:
             shut = SIBLINGS.get(tag, CLOSED_BY_BLOCK)
             for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in shut:
-                    links -= sum(x[0] == "a" for x in stack[i:])
+                if stack[i].tag in shut:
+                    links -= sum(x.tag == "a" for x in stack[i:])
                     del stack[i:]
                     break
-                if stack[i][0] not in INLINE and stack[i][0] not in ("p", "dt", "dd", "td", "th", "tr"):
+                if stack[i].tag not in INLINE and stack[i].tag not in ("p", "dt", "dd", "td", "th", "tr"):
                     break
-        _, path, outer = stack[-1]
         if m[4].endswith("/>") and tag not in ("a", "p", "div", "span") and is_block:
             continue
-        role, names = _role(tag, m[4], outer)
         links += tag == "a"
-        stack.append((tag, f"{path}/{tag}{names}", role))
+        stack.append(_open(tag, m[4], stack[-1], containers))
     if at < len(page):
-        out.append((block, stack[-1][1], stack[-1][2], links > 0, html.unescape(page[at:])))
-    return out
+        text(page[at:], links > 0)
+    return [b for b in blocks.values() if any(t.strip() for t, _ in b.texts)], containers
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -142,65 +184,84 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return np.convolve(np.pad(values, 1, mode="edge"), kernel, mode="valid")
 
 
-def path_scores(nodes: list[tuple[int, str, int, bool, str]]) -> dict[str, float]:
-    """Fused, smoothed score of each tag path with text."""
-    order: dict[str, int] = {}
-    rows: list[list[float]] = []
-    for _, path, role, linked, text in nodes:
-        n = len(text.strip())
-        if not n:
-            continue
-        if path not in order:
-            order[path] = len(rows)
-            rows.append([0, 0, 0, 0, role])
-        r = rows[order[path]]
-        r[0] += n
-        r[1] += len(PUNCTUATION.findall(text))
-        r[2] += n * linked
+class Path(NamedTuple):
+    score: float
+    links: float  # share of the characters
+    chars: int
+    weight: float
+    container: str
+
+
+def path_scores(blocks: list[Block]) -> dict[tuple[str, float], Path]:
+    """Smoothed, fused and weighted score of each tag path with text, by (path, weight)."""
+    sums: dict[tuple[str, float], list[int]] = {}
+    runs: dict[str, list[tuple[str, float]]] = {}
+    for b in blocks:
+        key = (b.path, b.weight)
+        if key not in sums:
+            sums[key] = [0, 0, 0, 0]
+            runs.setdefault(b.container, []).append(key)
+        r = sums[key]
+        for t, linked in b.texts:
+            n = len(t.strip())
+            r[0] += n
+            r[1] += len(PUNCTUATION.findall(t))
+            r[2] += n * linked
         r[3] += 1
-    if not rows:
-        return {}
-    a = np.array(rows)
-    ratio, marks = _smooth(a[:, 0] / a[:, 3]), _smooth(a[:, 1] / a[:, 3])
-    fused = ratio * (1 + marks) * (1 - a[:, 2] / np.maximum(a[:, 0], 1)) ** 2
-    return dict(zip(order, np.where(a[:, 4] == SIDE, 0.0, fused)))
+    out = {}
+    for container, keys in runs.items():
+        a = np.array([sums[k] for k in keys], dtype=float)
+        ratio, marks = _smooth(a[:, 0] / a[:, 3]), _smooth(a[:, 1] / a[:, 3])
+        links = a[:, 2] / a[:, 0]
+        fused = np.sqrt(ratio * (1 + marks)) * np.maximum(1 - links, LINKED)
+        for k, f, share, n in zip(keys, fused.tolist(), links.tolist(), a[:, 0].tolist()):
+            out[k] = Path(f * k[1], share, int(n), k[1], container)
+    return out
+
+
+def _around(hits: list[Path], containers: dict[str, tuple[str, bool]]) -> tuple[dict[str, float], dict[str, float]]:
+    """(containers whose text belongs to that of the hits, all containers around
+    the hits), each with the least weight of the hits inside."""
+    chains = {}
+    for h in hits:
+        chain = [h.container]
+        while chain[-1]:
+            chain.append(containers[chain[-1]][0])
+        chains[h.container] = chain
+    common = next(c for c in max(chains.values(), key=len) if all(c in x for x in chains.values()))
+    belong: dict[str, float] = {}
+    outer: dict[str, float] = {}
+    for h in hits:
+        chain = chains[h.container]
+        declared = [i for i, c in enumerate(chain) if c and containers[c][1]]
+        last = declared[0] if declared else chain.index(common)
+        for i, c in enumerate(chain):
+            outer[c] = min(outer.get(c, h.weight), h.weight)
+            if i <= last:
+                belong[c] = min(belong.get(c, h.weight), h.weight)
+    return belong, outer
 
 
 def main_text(page: str | None) -> str:
     """The page's main text, one line per block; empty if there is none."""
-    nodes = text_nodes(page or "")
-    scores = path_scores(nodes)
-    if not scores:
+    blocks, containers = text_blocks(page or "")
+    scores = path_scores(blocks)
+    mass = sum(p.chars * p.weight for p in scores.values())
+    if not mass:
         return ""
-    own = [n for n in nodes if n[2] == CONTENT]
-    if any(n[4].strip() for n in own):
-        chosen = own
-    else:
-        rest = [n for n in nodes if n[2] != SIDE]
-        live = [scores[n[1]] for n in rest if scores.get(n[1], 0) > 0]
-        if not live:
-            return ""
-        threshold = 0.5 * float(np.mean(live))
-        hits = [n[1] for n in rest if scores.get(n[1], 0) >= threshold and n[4].strip()]
-        parts = [p.split("/") for p in dict.fromkeys(hits)]
-        depth = 0
-        while all(len(p) > depth for p in parts) and len({p[depth] for p in parts}) == 1:
-            depth += 1
-        # the common element of the content paths, with all its text that is not side matter
-        if len(parts) == 1 and depth > 2:
-            depth -= 1
-        root = "/".join(parts[0][:depth])
-        chosen = [n for n in rest if n[1] == root or n[1].startswith(root + "/")]
-        linked: dict[int, list[int]] = {}
-        for n in chosen:
-            c = linked.setdefault(n[0], [0, 0])
-            c[0] += len(n[4].strip())
-            c[1] += len(n[4].strip()) * n[3]
-        chosen = [n for n in chosen if not linked[n[0]][1] == linked[n[0]][0] > 0]  # blocks of links only
-    blocks: dict[int, list[str]] = {}
-    for n in chosen:
-        blocks.setdefault(n[0], []).append(n[4])
-    lines = (" ".join("".join(b).split()) for b in blocks.values())
+    threshold = THRESHOLD * sum(p.score * p.chars * p.weight for p in scores.values()) / mass
+    hits = {k: p for k, p in scores.items() if p.score >= threshold}
+    belong, outer = _around(list(hits.values()), containers)
+
+    def chosen(b: Block) -> bool:
+        key = (b.path, b.weight)
+        if key in hits:
+            return True
+        if b.container in belong and b.weight >= belong[b.container]:
+            return scores[key].links <= 0.5 or b.tag in HEADINGS or b.tag in ("p", "blockquote")
+        return b.tag == "h1" and b.weight >= outer.get(b.container, np.inf)
+
+    lines = (" ".join("".join(t for t, _ in b.texts).split()) for b in blocks if chosen(b))
     return "\n".join(x for x in lines if x)
 
 

@@ -292,6 +292,22 @@ def test_html_text(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
 
 
+LONG = " ".join(["Long text of the matter, with many words in it, and more. It goes on, and on; then it ends here."] * 3)
+
+
+def test_html_scores_choose_on_pages_with_article():
+    teaser = (f'<body><nav><a href="/">Site</a></nav><div class="x"><h1>Head</h1><p>{LONG}</p><p>Short.</p></div>'
+              '<article><h3>Teaser</h3><p>Read this.</p></article><footer>f.</footer></body>')
+    assert html_text.main_text(teaser) == f"Head\n{LONG}\nShort."
+    inside = (f'<body><article><header><h1>Head</h1></header><p>{LONG}</p><div class="q1">Buy now!</div><h2>Part</h2><p>Short.</p>'
+              '<div class="z"><ul><li><a href="1">One link</a><li><a href="2">Two</a></ul></div><ul><li>One<li>Two</ul>'
+              f'<p>{LONG}</p><div class="r"><p>Nice one.</p><p>First!</p></div></article></body>')
+    assert html_text.main_text(inside) == f"Head\n{LONG}\nPart\nShort.\nOne\nTwo\n{LONG}"
+    entry = f'<body><article><h1>Head</h1><div class="entry"><p>{LONG}</p></div></article><div class="n"><p>x</p></div></body>'
+    assert html_text.main_text(entry) == f"Head\n{LONG}"
+    assert html_text.main_text('<nav><a href="/">A</a></nav><footer>c. 2020.</footer>') == ""
+
+
 # -- 6 language id
 
 def test_language_id_backs_off_and_says_und(spark):
