@@ -8,7 +8,9 @@ number of blocks. Both ratios (text per block and punctuation per block) are
 smoothed over the page's order within a container (``div``, ``article`` and the
 like), fused by their geometric mean, damped by the share of link text, and
 weighted by what the path says of itself: more inside ``article`` or ``main``,
-nothing inside menus, forms, adverts and the like. Paths at or above the page's threshold are content. What lies
+little inside headers, forms and elements that name themselves adverts, menus
+and the like, nothing inside ``nav``, ``aside``, ``footer`` and what a browser
+does not show. Paths at or above the page's threshold are content. What lies
 with them in their containers, and in the containers around those up to the
 ``article`` or the common element, is part of the same text (headings, short
 items, linked paragraphs) unless it weighs less or is a list of links.
@@ -34,10 +36,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "small span strike strong sub sup time tt u var ruby rb rt rp wbr img br".split())
 UNSEEN = frozenset("head title script style noscript template button select option textarea input iframe object svg "
                    "math canvas audio video picture datalist map frameset noframes".split())
-APART = frozenset("nav header footer aside form menu dialog fieldset".split())
-CONTAINERS = (frozenset("html body div article main".split()) | APART) - {"header"}
+APART = frozenset("nav aside footer menu dialog".split())
+DOUBTFUL = frozenset("header form fieldset".split())
+CONTAINERS = frozenset("html body div article main form fieldset".split()) | APART
+HEAD_ONLY = frozenset("title style script meta link base noscript template head".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-SIDE_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu "
+SIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu "
                        "menubar toolbar status tablist".split())
 SIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
                        "cookie cookies consent gdpr notice notices alert alerts sidebar side rail menu menus nav navbar "
@@ -45,6 +49,8 @@ SIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor
                        "replies respond discussion disqus related recommended share sharing social newsletter subscribe "
                        "subscription popup modal overlay login signin signup widget widgets pagination pager toolbar "
                        "skip hidden copyright tags byline-links paywall search".split())
+APART_WORDS = frozenset("comment comments commentlist reply replies respond discussion disqus related recommended".split())
+MAIN_WORDS = frozenset("content main article post entry story body".split())
 CLOSED_BY_BLOCK = frozenset({"p"})
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
             "th": {"td", "th"}, "option": {"option"}}
@@ -57,17 +63,22 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)\b\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
                        re.I)
 WORDS = re.compile(r"[a-z0-9]+")
-#: Weights of a path's score, the least that link text leaves of it, and the share of the page's mean score that content reaches.
-CONTENT, PLAIN, LINKED, THRESHOLD = 2.0, 1.0, 0.03, 0.5
+# "no-sidebar", "page-with-header": says what is or is not beside the element
+BESIDE = re.compile(r"(?<![a-z0-9])(?:no|not|without|with|has|have)[-_]\S*")
+
+#: Weights of a path's score, and the share of the page's mean score that content reaches.
+CONTENT, PLAIN, SIDE, THRESHOLD = 2.0, 1.0, 0.03, 0.5
 
 
 class Element(NamedTuple):
     """An open element. Text in it has ``path`` and ``weight``; ``container`` is
-    the path of the container around it; ``unseen``: not shown by a browser."""
+    the path of the container around it; ``apart``: among comments, menus or the
+    like; ``unseen``: not shown by a browser."""
     tag: str
     path: str
     weight: float
     container: str
+    apart: bool
     unseen: bool
 
 
@@ -79,26 +90,40 @@ class Block(NamedTuple):
     texts: list[tuple[str, bool]]  # text, in a link
 
 
+def _side_words(value: str) -> set[str]:
+    """Words of a class or id that name side matter."""
+    tokens = [set(WORDS.findall(t)) for t in BESIDE.sub(" ", value).split()]
+    if any(t and t <= MAIN_WORDS for t in tokens):
+        return set()
+    return set().union(*tokens) & SIDE_WORDS
+
+
 def _open(tag: str, attributes: str, outer: Element, containers: dict[str, tuple[str, bool]]) -> Element:
     """The element that a start tag opens inside ``outer``."""
     inline = tag in INLINE
     classes = names = ""
-    unseen, content = outer.unseen or tag in UNSEEN, tag in ("article", "main")
-    nothing = tag in APART and not (tag == "header" and outer.weight >= CONTENT)
+    unseen, apart = outer.unseen or tag in UNSEEN, outer.apart or tag in APART
+    content, nothing, doubt = tag in ("article", "main"), tag in APART, False
+    if tag in DOUBTFUL:
+        doubt = not (tag == "header" and outer.weight >= CONTENT)
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key in ("class", "id"):
-            words = set(WORDS.findall(value)) & SIDE_WORDS
+        if key == "class" or (key == "id" and (tag in CONTAINERS or tag == "section")):
+            if inline:
+                continue
+            words = _side_words(value)
             if tag in ("article", "main"):
-                words &= {"comment", "comments", "reply"}
+                words &= APART_WORDS
             if words and tag not in ("html", "body"):
-                nothing = True
+                doubt = True
+                apart = apart or bool(words & APART_WORDS)
             if key == "class":
                 classes += "." + value
             elif tag in CONTAINERS:
                 names += "#" + value
         elif key == "role":
-            nothing = nothing or value in SIDE_ROLES
+            nothing, apart = nothing or value in SIDE_ROLES, apart or value in SIDE_ROLES
+            doubt = doubt or value == "form"
             content = content or value in ("main", "article")
         elif key == "itemprop":
             content = content or value == "articlebody"
@@ -106,14 +131,18 @@ def _open(tag: str, attributes: str, outer: Element, containers: dict[str, tuple
                 key == "style" and "display:none" in value.replace(" ", ""))):
             unseen = True
     if inline:
-        return outer._replace(tag=tag, unseen=unseen or nothing)
-    weight = CONTENT if content and outer.weight else outer.weight
-    weight *= 0.0 if nothing else 1.0
+        return outer._replace(tag=tag, unseen=unseen)
+    weight = outer.weight
+    if tag == "main":
+        weight, apart = CONTENT, False
+    elif content:
+        weight = SIDE if apart else CONTENT
+    weight *= (0.0 if nothing else 1.0) * (SIDE if doubt else 1.0)
     path = f"{outer.path}/{tag}{classes}{names}"
     if tag in CONTAINERS or content or (tag == "section" and classes):
         containers.setdefault(path, (outer.container, content))
-        return Element(tag, path, weight, path, unseen)
-    return Element(tag, path, weight, outer.container, unseen)
+        return Element(tag, path, weight, path, apart, unseen)
+    return Element(tag, path, weight, outer.container, apart, unseen)
 
 
 def text_blocks(page: str) -> tuple[list[Block], dict[str, tuple[str, bool]]]:
@@ -121,7 +150,7 @@ def text_blocks(page: str) -> tuple[list[Block], dict[str, tuple[str, bool]]]:
     and whether it declares itself content."""
     containers: dict[str, tuple[str, bool]] = {}
     blocks: dict[int, Block] = {}
-    stack = [Element("", "", PLAIN, "", False)]
+    stack = [Element("", "", PLAIN, "", False, False)]
     block, at, links = 0, 0, 0
 
     def text(value: str, linked: bool) -> None:
@@ -133,9 +162,14 @@ def text_blocks(page: str) -> tuple[list[Block], dict[str, tuple[str, bool]]]:
             blocks[block] = Block(e.path, tag, e.weight, e.container, [])
         blocks[block].texts.append((html.unescape(value), linked))
 
+    def raw(value: str) -> None:
+        if stack[-1].tag == "head" and value.strip():  # text ends the head
+            stack.pop()
+        text(value, links > 0)
+
     for m in TOKEN.finditer(page):
         if m.start() > at:
-            text(page[at:m.start()], links > 0)
+            raw(page[at:m.start()])
         at = m.end()
         tag = m[3]
         if tag is None:
@@ -143,6 +177,9 @@ def text_blocks(page: str) -> tuple[list[Block], dict[str, tuple[str, bool]]]:
                 block += 1
             continue
         tag = tag.lower()
+        if not m[2] and tag not in HEAD_ONLY and (stack[-1].tag == "head" or tag == "body"):
+            i = next((i for i, x in enumerate(stack) if x.tag == "head"), len(stack))
+            del stack[i:]
         if tag == "br":
             text(" ", False)
             continue
@@ -175,7 +212,7 @@ def text_blocks(page: str) -> tuple[list[Block], dict[str, tuple[str, bool]]]:
         links += tag == "a"
         stack.append(_open(tag, m[4], stack[-1], containers))
     if at < len(page):
-        text(page[at:], links > 0)
+        raw(page[at:])
     return [b for b in blocks.values() if any(t.strip() for t, _ in b.texts)], containers
 
 
@@ -213,7 +250,7 @@ def path_scores(blocks: list[Block]) -> dict[tuple[str, float], Path]:
         a = np.array([sums[k] for k in keys], dtype=float)
         ratio, marks = _smooth(a[:, 0] / a[:, 3]), _smooth(a[:, 1] / a[:, 3])
         links = a[:, 2] / a[:, 0]
-        fused = np.sqrt(ratio * (1 + marks)) * np.maximum(1 - links, LINKED)
+        fused = np.sqrt(ratio * (1 + marks)) * np.maximum(1 - links, SIDE)
         for k, f, share, n in zip(keys, fused.tolist(), links.tolist(), a[:, 0].tolist()):
             out[k] = Path(f * k[1], share, int(n), k[1], container)
     return out

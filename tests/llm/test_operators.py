@@ -308,6 +308,24 @@ def test_html_scores_choose_on_pages_with_article():
     assert html_text.main_text('<nav><a href="/">A</a></nav><footer>c. 2020.</footer>') == ""
 
 
+@pytest.mark.parametrize("page, text", [
+    (f'<div class="content no-sidebar"><p>{LONG}</p></div><div class="x"><p>Junk.</p></div>', LONG),
+    (f'<div class="content sidebar-right"><p>{LONG}</p></div><div class="x"><p>Junk.</p></div>', LONG),
+    (f'<div id="page-with-header"><nav><a href="/">A</a></nav><p>{LONG}</p></div>', LONG),
+    (f'<body><form id="f"><nav><a href="/">A</a></nav><div><p>{LONG}</p><p>Short.</p></div><footer>c</footer></form></body>', f"{LONG}\nShort."),
+    (f'<div class="sidebar-layout"><article><p>{LONG}</p></article></div><div><p>Other.</p></div>', LONG),
+    (f'<article><h2 id="related-work">Related work</h2><p id="search">Search it.</p><p>{LONG}</p></article>', f"Related work\nSearch it.\n{LONG}"),
+    (f"<html><head><title>T</title><body><p>{LONG}</p></body></html>", LONG),
+    (f"<html><head><title>T</title><p>{LONG}</p></html>", LONG),
+    (f"<head><title>T</title><style>p{{}}</style>{LONG}", LONG),
+    (f'<div id="c"><p>{LONG}</p><p><a href="/">A linked sentence.</a></p></div>', f"{LONG}\nA linked sentence."),
+    (f'<article><p>{LONG}</p></article><div id="comments">' + f'<article class="c"><p>{LONG}</p></article>' * 9 + "</div>", LONG),
+    (f'<div id="c"><p>{LONG}</p><p hidden>{LONG}</p></div>', LONG),
+])
+def test_html_side_words_weigh_and_do_not_drop(page, text):
+    assert html_text.main_text(page) == text
+
+
 # -- 6 language id
 
 def test_language_id_backs_off_and_says_und(spark):
