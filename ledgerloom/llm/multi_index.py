@@ -174,8 +174,9 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
                        fit_rows: int = FIT_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows of
     ``vectors`` found for each row of ``queries``, by cosine in double
-    precision, ties to the smaller id; all others if there are fewer. A row
-    is not its own neighbour (rows of equal id and vector are the same row).
+    precision, ties to the smaller id; all others if there are fewer. Rows of
+    equal id and vector are the same row: asked once, found once, and not its
+    own neighbour.
 
     Vectors that are null, zero or hold a null or non-finite component take no
     part on either side, nor do null ids. Vectors of a table share one length.
@@ -194,7 +195,8 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
     mean, matrix = learn_rotations(x / np.linalg.norm(x, axis=1, keepdims=True), bits)
     dims = x.shape[1]
     blocks = stored(spark, _blocked(data, BLOCK, "blocks").withColumn("b", F.monotonically_increasing_id()), "blocks")
-    asked = stored(spark, _blocked(clean(queries).repartition(1 + queries.count() // QUERY_BLOCK, "id"),
+    asked = stored(spark, _blocked(clean(queries).dropDuplicates(["id", "row"])
+                                   .repartition(1 + queries.count() // QUERY_BLOCK, "id"),
                                    QUERY_BLOCK, "queries").withColumn("q", F.monotonically_increasing_id())
                    .selectExpr("ids as q_ids", "rows as q_rows", "vs as q_vs", "q"), "queries")
     # every block of queries meets every block of vectors: their numbers pair up first, then fetch the blocks
@@ -206,18 +208,23 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
             for r in batch.to_pylist():
                 ids, rows = np.array(r["ids"], dtype=np.int64), np.array(r["rows"], dtype=np.int64)
                 vs = np.frombuffer(r["vs"]).reshape(-1, dims)
+                once = np.sort(np.unique(np.stack([ids, rows]), axis=1, return_index=True)[1])
+                ids, rows, vs = ids[once], rows[once], vs[once]
                 qids, qrows = np.array(r["q_ids"], dtype=np.int64), np.array(r["q_rows"], dtype=np.int64)
                 qs = np.frombuffer(r["q_vs"]).reshape(-1, dims)
                 unit = [a / np.sqrt(np.einsum("ij,ij->i", a, a))[:, None] for a in (vs, qs)]
                 index = BlockIndex(codes_of(unit[0], mean, matrix))
-                found = [(np.full(len(got), qids[q]), np.full(len(got), qrows[q]), ids[got], cos) for q, got, cos in search_block(
-                    index, ids, vs, qids, qs, codes_of(unit[1], mean, matrix), k, reach, rows, qrows)]
+                hits = search_block(index, ids, vs, qids, qs, codes_of(unit[1], mean, matrix), k, reach, rows, qrows)
+                found = [(np.full(len(got), qids[q]), np.full(len(got), qrows[q]), ids[got], rows[got], cos)
+                         for q, got, cos in hits]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)],
-                                                     names=["query_id", "query_row", "vec_id", "score"])
+                                                     names=["query_id", "query_row", "vec_id", "vec_row", "score"])
 
     found = work.select("ids", "rows", "vs", "q_ids", "q_rows", "q_vs").mapInArrow(
-        run, "query_id long, query_row long, vec_id long, score double")
+        run, "query_id long, query_row long, vec_id long, vec_row long, score double")
+    # a row that lies in several blocks is found in each
+    found = found.repartition("query_id", "query_row").dropDuplicates(["query_id", "query_row", "vec_id", "vec_row"])
     order = W.Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -478,6 +478,25 @@ def test_nearest_neighbours(spark):
     assert multi_index.nearest_neighbours(spark, table.where("false"), table).count() == 0
 
 
+def test_nearest_neighbours_of_repeated_rows(spark):
+    rows = [(i, v) for i, v, _ in vectors()[:240]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+    def found(data, queries):
+        return sorted(map(tuple, multi_index.nearest_neighbours(spark, data, queries).collect()))
+
+    asked = table.where("vec_id % 40 = 0")
+    want = found(table, asked)
+    assert len(want) == 6 * 5
+    many = functools.reduce(lambda a, b: a.unionAll(b), [asked] * 6)
+    assert found(table, many) == want
+    assert found(table.unionAll(many), many) == want
+    # the same id with another vector is another row, on both sides
+    other = spark.createDataFrame([(0, rows[41][1])], table.schema)
+    got = multi_index.nearest_neighbours(spark, table.unionAll(other), other.unionAll(other)).collect()
+    assert len(got) == 5 and got[0]["vec_id"] == 41
+
+
 def test_recall_on_the_embeddings_table(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"]) for r in table.collect()]
