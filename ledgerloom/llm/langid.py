@@ -7,9 +7,11 @@ falling back to shorter ones where none of a length is known. A text's score
 for a language is the sum over all its words.
 
 The model is fitted on a bounded sample of labelled rows (``sample_rows``,
-chosen by a hash of the text and id, all rows if there are fewer) and holds at most
-``max_words`` words and ``max_grams`` n-grams, the most frequent ones; both
-bounds are parameters. Every text is scored whole.
+chosen by a hash of the id and text): small languages give all their rows, the
+others share the rest evenly, at least about ``LEAST_ROWS`` rows each. It holds
+every word and n-gram of the sample, down to those seen once, as long as a
+language has at most ``max_words`` words and ``max_grams`` n-grams; of more, its
+most frequent ones. All bounds are parameters. Every text is scored whole.
 """
 
 from __future__ import annotations
@@ -20,13 +22,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.llm.graph import stored
 from ledgerloom.llm.workers import ready
 
 SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 100_000, 100_000
+LEAST_ROWS = 20
 LONGEST = 4
 UNKNOWN = "und"
 CACHE_TOKENS = 250_000
@@ -46,15 +51,14 @@ def held_out(id_col: str = "doc_id") -> Column:
 class Model:
     """Fitted tables: gram -> row of log frequencies, one column a language."""
 
-    def __init__(self, languages: list[str], prior: list[int], counts: dict[str, list[int]],
-                 totals: np.ndarray):
+    def __init__(self, languages: list[str], prior: list[int], names: list[str], table: np.ndarray):
         self.languages = languages
         self.prior = np.log(np.array(prior, dtype=float) / max(1, sum(prior))) if languages else np.zeros(0)
-        self.row = {g: i for i, g in enumerate(counts)}
-        table = np.array(list(counts.values()), dtype=float).reshape(len(counts), len(languages))
-        kind = np.array([0 if g[0] == "w" else int(g[0]) for g in counts], dtype=int)
-        sums = totals[kind] if len(counts) else np.zeros((0, len(languages)))
-        self.log = np.log((table + 0.5) / (sums + 0.5 * max(1, len(counts))))
+        self.row = {g: i for i, g in enumerate(names)}
+        kind = np.array([0 if g[0] == "w" else int(g[0]) for g in names], dtype=int)
+        totals = np.zeros((LONGEST + 1, len(languages)))
+        np.add.at(totals, kind, table)
+        self.log = np.log((table + 0.5) / (totals[kind] + 0.5 * max(1, len(names))))
 
     def rows_of(self, word: str) -> list[int]:
         """Rows that score a word: its own, or its longest known n-grams'."""
@@ -118,6 +122,36 @@ def _has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
+def even_share(sizes: list[int], rows: int) -> float:
+    """Rows a language may give so that all give ``rows`` together: those with
+    fewer give all, the others as many each; no bound if all fit."""
+    left = float(rows)
+    for i, n in enumerate(sorted(sizes)):
+        share = left / (len(sizes) - i)
+        if n > share:
+            return share
+        left -= n
+    return float("inf")
+
+
+def _most_frequent(counted: DataFrame, max_words: int, max_grams: int) -> DataFrame:
+    """Per language at most about ``max_words`` words and ``max_grams`` n-grams
+    of ``counted``, the most frequent; of those as frequent as the last, some by hash."""
+    word = F.col("gram").startswith("w")
+    found = counted.groupBy("lang", word.alias("word"), "n").agg(F.count("*").alias("k")).collect()
+    keep = F.lit(True)
+    for lang, is_word in {(x["lang"], x["word"]) for x in found}:
+        left = max_words if is_word else max_grams
+        for x in sorted((x for x in found if (x["lang"], x["word"]) == (lang, is_word)), key=lambda x: -x["n"]):
+            if x["k"] > left:
+                some = F.pmod(F.xxhash64("gram"), F.lit(1 << 30)) < int((1 << 30) * left / x["k"])
+                keep = F.when((F.col("lang") == lang) & (word == is_word),
+                              (F.col("n") > x["n"]) | ((F.col("n") == x["n"]) & some)).otherwise(keep)
+                break
+            left -= x["k"]
+    return counted.where(keep)
+
+
 def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS, max_words: int = MAX_WORDS,
         max_grams: int = MAX_GRAMS) -> Model:
@@ -125,13 +159,18 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                        (usable if usable is not None else F.lit(True)).alias("use"))
     rows = rows.where("use and lang is not null")
-    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()}
-    languages, n = sorted(per), sum(per.values())
-    if n == 0:
-        return Model([], [], {}, np.zeros((LONGEST + 1, 0)))
-    if n > sample_rows:
-        rows = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * sample_rows / n))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count("text").alias("texts")).orderBy("lang").collect()
+    per = {r["lang"]: r["n"] for r in sizes}
+    languages = sorted(per)
+    if not languages:
+        return Model([], [], [], np.zeros((0, 0)))
     rows = rows.where("text is not null")
+    share = max(LEAST_ROWS, even_share([r["texts"] for r in sizes], sample_rows))
+    rates = [x for r in sizes if r["texts"] > share
+             for x in (F.lit(r["lang"]), F.lit(int((1 << 30) * share / r["texts"])))]
+    if rates:
+        rate = F.coalesce(F.try_element_at(F.create_map(*rates), F.col("lang")), F.lit(1 << 30))
+        rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < rate)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, Counter] = {}
@@ -154,17 +193,12 @@ def fit(docs: DataFrame, usable: Column | None = None, id_col: str = "doc_id", t
 
     counted = (ready(rows).select("text", "lang").mapInArrow(count, "gram string, lang string, n long")
                .groupBy("gram", "lang").agg(F.sum("n").alias("n")))
-    wide = (counted.groupBy("gram").agg(F.sum("n").alias("total"),
-                                        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-            .where("total > 1"))
-    words = wide.where("gram like 'w%'").orderBy(F.desc("total"), "gram").limit(max_words)
-    others = wide.where("gram not like 'w%'").orderBy(F.desc("total"), "gram").limit(max_grams)
-    kept = sorted(words.unionByName(others).collect(), key=lambda r: r["gram"])
-    counts = {r["gram"]: [r["by"].get(x, 0) for x in languages] for r in kept}
-    totals = np.zeros((LONGEST + 1, len(languages)))
-    for g, c in counts.items():
-        totals[0 if g[0] == "w" else int(g[0])] += c
-    return Model(languages, [per[x] for x in languages], counts, totals)
+    counted = _most_frequent(stored(docs.sparkSession, counted, "grams"), max_words, max_grams)
+    got = counted.select("gram", "lang", "n").toArrow()
+    names = pc.unique(got["gram"])
+    table = np.zeros((len(names), len(languages)))
+    table[pc.index_in(got["gram"], names).to_numpy(), pc.index_in(got["lang"], pa.array(languages)).to_numpy()] = got["n"].to_numpy()
+    return Model(languages, [per[x] for x in languages], names.to_pylist(), table)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",

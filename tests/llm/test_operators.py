@@ -328,6 +328,21 @@ def test_html_side_words_weigh_and_do_not_drop(page, text):
 
 # -- 6 language id
 
+def test_language_model_draws_and_keeps_per_language(spark):
+    assert langid.even_share([5, 100, 1000], 305) == 200 and langid.even_share([5, 7], 12) == float("inf")
+    rows = [(i, f"aab{i} bba abab", "big") for i in range(6000)]
+    rows += [(10_000 + i, "zyx" + "xyz"[i % 3] + "qvw"[i // 3] + " zzz", "small") for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, sample_rows=100)
+    assert model.languages == ["big", "small"]
+    assert all("w" + w in model.row for _, t, lang in rows if lang == "small" for w in t.split())  # seen once, too
+    names, _ = langid.Scorer(model).predict(["zyxxq zzz", "abab bba"])
+    assert names == ["small", "big"]
+    # bounds hold per language: the words of the large one do not push out the small one's
+    tight = langid.fit(docs, max_words=3, max_grams=10)
+    assert "wzzz" in tight.row and {"waab", "wbba", "wabab"} <= set(tight.row)
+
+
 def test_language_id_backs_off_and_says_und(spark):
     rows = []
     for i in range(300):
