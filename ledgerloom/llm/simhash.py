@@ -73,6 +73,18 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
     return ready(docs).select(id_col, text_col).mapInArrow(run, schema)
 
 
+def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    """The rows of ``docs`` with the fingerprint of their text as ``_row_fp``."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))], names=[*b.schema.names, "_row_fp"])
+
+    return ready(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_row_fp", T.LongType())]))
+
+
 def _syndromes(words: np.ndarray) -> np.ndarray:
     """Remainder of each 23-bit word by the generator."""
     rest = words.copy()
@@ -174,13 +186,24 @@ def simhash_groups(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE,
 def simhash_dedup(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE,
                   max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` that stay: of each group the document with the
-    smallest doc_id (once, if its row is repeated; a group whose ids are all
-    null keeps one row). Columns are those of ``docs``."""
+    smallest doc_id (once, if its row is repeated; of rows that share this id
+    the one with the group's smallest fingerprint, then text; a group whose ids
+    are all null keeps one row). Columns are those of ``docs``."""
     groups = simhash_groups(spark, docs, shingle, max_bits)
-    kept = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy(F.col("doc_id").alias("_id"), F.col("root").alias("_root"))
-            .agg(F.first("fp").alias("_fp")).where("_id is not null").select("_id").distinct())
-    named = docs.join(kept, docs["doc_id"] == kept["_id"], "left_semi").dropDuplicates(["doc_id"])
+    kept = (groups.where("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("k"))
+            .select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_fp")))
+    ids = kept.select("_id").distinct()
+    shared = stored(spark, groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count()
+                    .where("count > 1").select("_id"), "shared")
+    named = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
+    if not shared.isEmpty():
+        # rows that share an id may differ in text: the fingerprint tells which of them the group keeps
+        several = _with_fingerprint(named.join(shared, named["doc_id"] == shared["_id"], "left_semi"), shingle)
+        several = several.join(kept, (several["doc_id"] == kept["_id"]) & several["_row_fp"].eqNullSafe(kept["_fp"]), "left_semi")
+        several = (several.groupBy("doc_id", "_row_fp")
+                   .agg(F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns))).alias("_row"))
+                   .select("_row.*"))
+        named = named.join(shared, named["doc_id"] == shared["_id"], "left_anti").unionByName(several)
     lost = groups.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
     if lost.isEmpty():
         return named

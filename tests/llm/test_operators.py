@@ -183,6 +183,14 @@ def test_components_of_chains_and_hubs(spark):
 
 # -- 3 mixing
 
+def test_simhash_dedup_of_rows_that_share_an_id(spark):
+    draw = random.Random(3)
+    a, b, c = (" ".join(draw.choice(VOCABULARY) + draw.choice("abcdefgh") for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, b), (4, c)]
+    kept = simhash.simhash_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect())) == sorted([(1, a), (1, b), (4, c)])
+
+
 def test_fit_counts_closes_the_budget():
     rng = np.random.default_rng(3)
     for _ in range(30):
