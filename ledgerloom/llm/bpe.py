@@ -4,7 +4,14 @@ The words of a batch of documents lie in one flat array of symbols. A round
 looks every neighbouring pair up in the sorted pair keys by binary search,
 takes each word's lowest rank, and merges all its places at once, left to
 right where places overlap; words without a mergeable pair drop out. Words met
-before come from a bounded cache. The vocabulary file's path is a parameter;
+before come from a bounded cache.
+
+Words of more than ``LONG_WORD`` = 1,024 bytes leave that method for a heap of
+pairs in plain Python, with the same ids: a round merges one rank per word, so
+a word of n bytes can take on the order of n rounds, each a pass over all of
+it, while the heap touches only the neighbours of a merge.
+
+The vocabulary file's path is a parameter;
 the file is read on the driver and its merge table (bounded by the vocabulary)
 travels with the tasks.
 """
