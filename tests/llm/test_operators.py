@@ -534,3 +534,46 @@ def test_recall_on_the_embeddings_table(spark):
         cosine[q] = -2
         recall.append(len(found[ids[q]] & set(ids[np.argsort(-cosine)[:5]])) / 5)
     assert np.mean(recall) >= 0.9
+
+
+# -- pipeline
+
+def test_pipeline_stages_keep_the_rows_of_a_brute_force_chain(spark, tmp_path):
+    tokenizers = pytest.importorskip("tokenizers")
+    import corpus_pipeline
+    draw = random.Random(11)
+    letters = {"en": "abcde", "fr": "vwxyz"}
+    line = lambda lang, n: " ".join("".join(draw.choice(letters[lang]) for _ in range(6)) for _ in range(n))
+    texts = [(line(x, 24) + "\n" + line(x, 9), x) for x in ["en", "fr"] * 12]
+    cut = [(" ".join(t.split()[:16]) + "\n" + " ".join(t.split()[16:]), x) for t, x in texts[:5]]  # same shingles, other lines
+    more = [(line(x, 7) + "\n" + t.split("\n")[1], x) for t, x in texts[5:9]]  # a line met before
+    texts += [*cut, *more, texts[9], ("123 ... !", "en"), ("", "fr"), (None, "en")]
+    rows = [(i, t, x, f"src{i % 3}", len(t or "")) for i, (t, x) in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+
+    def step(name, rows):
+        return Counter(map(tuple, stages[name](spark, spark.createDataFrame(rows, schema), str(tmp_path)).collect()))
+
+    want = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    assert step("language_id", rows) == Counter(want) and len(want) == len(rows) - 3
+    removed, rows = brute_lines(want), want
+    want = [(i, "\n".join(x for n, x in enumerate(t.split("\n")) if n not in removed[i]), *rest) for i, t, *rest in rows]
+    want = [r for r in want if r[1].split()]
+    assert step("line_dedup", rows) == Counter(want) and sum(map(len, removed.values())) >= 6
+    rows, fp = want, {r[0]: brute_fingerprint(r[1]) for r in want}
+    root = least_roots(fp, [(a, b) for a in fp for b in fp if bin(fp[a] ^ fp[b]).count("1") <= 2])
+    want = [r for r in rows if root[r[0]] == r[0]]
+    assert step("simhash_near_dedup", rows) == Counter(want) and len(rows) - len(want) >= 5
+    rows = want
+    plan = {r["doc_id"]: r["copies"] for r in mixing.mix(spark, spark.createDataFrame(rows, schema)).collect()}
+    want = [r for r in rows for _ in range(plan[r[0]])]
+    assert step("mixing", rows) == Counter(want) and len(plan) == len(rows)
+    library = tokenizers.Tokenizer.from_file(bpe.default_path())
+    digests = Counter()
+    for r in want:
+        ids = library.encode(r[1], add_special_tokens=False).ids
+        digests[r[0], len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()] += 1
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"]) for r in got) == digests
