@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (bpe, html_text, langid, line_dedup, mixing, multi_index, sharding, simhash,
-                            subspace_join, warc)
+from ledgerloom.llm import (bpe, collocations, html_text, langid, line_dedup, mixing, multi_index, sharding, simhash,
+                            subspace_join, twins, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,6 +78,13 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest_neighbours(spark, vectors, vectors.where("vec_id % 50 = 0"))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, _read(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = twins.COLLOCATIONS
+
 ORACLE["op8_warc"] = """
 WITH p AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
