@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (bpe, collocations, html_text, langid, line_dedup, mixing, multi_index, sharding, simhash,
-                            subspace_join, twins, warc)
+                            spelling, subspace_join, twins, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -83,6 +83,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, _read(spark, sf_dir, "documents"))
 
 
+@query
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spark, _read(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_spelling"] = twins.SPELLING
+
 ORACLE["op12_collocations"] = twins.COLLOCATIONS
 
 ORACLE["op8_warc"] = """

@@ -44,3 +44,55 @@ SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(
        CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+# CRC-32 as in zlib: reflected polynomial 0xEDB88320, one byte of the text at a time.
+_STEP = "CASE WHEN {x} & 1 = 1 THEN xor({x} >> 1, 3988292384) ELSE {x} >> 1 END"
+
+SPELLING = rf"""
+WITH RECURSIVE bits(b, c, i) AS (
+  SELECT b, b, 0 FROM (SELECT unnest(range(256))::BIGINT AS b)
+  UNION ALL
+  SELECT b, {_STEP.format(x="c")}, i + 1 FROM bits WHERE i < 8
+), crc AS (
+  SELECT list(c ORDER BY b) AS t FROM bits WHERE i = 8
+), found AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS k FROM found GROUP BY ALL
+), bytes AS (
+  SELECT run, k, list_concat([4294967295::BIGINT], flatten(list_transform(
+           string_split(concat(doc_id, ':', run), ''),
+           lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))) AS bs
+  FROM counted WHERE length(run) >= 5
+), hashed AS (
+  SELECT run, k, xor(list_reduce(bs, lambda acc, b: xor(acc >> 8, t[xor(acc & 255, b) + 1])), 4294967295) AS h
+  FROM bytes, crc
+), spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN concat(run[:h % length(run)], run[h % length(run) + 2:]) ELSE run END AS word, k FROM hashed
+), words AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3
+), less AS (
+  SELECT word, n, length(word) AS len, i, concat(word[:i - 1], word[i + 1:]) AS part
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.part = b.part AND a.i = b.i AND a.len = b.len
+  WHERE a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.part = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.part = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-near_n, near)) AS form, max(near_n) AS form_n FROM near GROUP BY word
+), judged AS (
+  SELECT w.word, w.n, CAST(coalesce(b.n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN b.form_n >= 2 * w.n THEN b.form END AS form, CASE WHEN b.form_n >= 2 * w.n THEN b.form_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), chain(word, here, depth) AS (
+  SELECT word, word, 0 FROM judged
+  UNION ALL
+  SELECT c.word, j.form, depth + 1 FROM chain c JOIN judged j ON j.word = c.here WHERE j.form IS NOT NULL
+), ends AS (
+  SELECT word, arg_max(here, depth) AS root FROM chain GROUP BY word
+)
+SELECT word, n, n_near, form, form_n, root FROM judged JOIN ends USING (word)
+"""
