@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (bpe, collocations, html_text, langid, line_dedup, mixing, multi_index, sharding, simhash,
-                            spelling, subspace_join, twins, warc)
+from ledgerloom.llm import (bpe, collocations, html_text, langid, license_scan, line_dedup, mixing, multi_index,
+                            sharding, simhash, spelling, subspace_join, twins, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,6 +78,11 @@ def op10_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest_neighbours(spark, vectors, vectors.where("vec_id % 50 = 0"))
 
 
+@query
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_digest(spark, _read(spark, sf_dir, "documents"))
+
+
 @query
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(spark, _read(spark, sf_dir, "documents"))
@@ -90,6 +95,8 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op13_spelling"] = twins.SPELLING
 
+ORACLE["op11_license_scan"] = twins.licenses()
+
 ORACLE["op12_collocations"] = twins.COLLOCATIONS
 
 ORACLE["op8_warc"] = """

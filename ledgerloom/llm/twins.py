@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 
+from ledgerloom.llm.license_scan import Template, default_templates
+
 LOWER = f"'{string.ascii_uppercase}', '{string.ascii_lowercase}'"
 
 COLLOCATIONS = rf"""
@@ -96,3 +98,33 @@ WITH RECURSIVE bits(b, c, i) AS (
 )
 SELECT word, n, n_near, form, form_n, root FROM judged JOIN ends USING (word)
 """
+
+
+def licenses(templates: list[Template] | None = None) -> str:
+    """Every word of every template joined to every word of every text."""
+    rows = [f"({k}, '{t.label}', {t.base}, {len(t.words)}, {t.need}, {len(t.must)}, {p}, '{w}', {int(p in t.must)})"
+            for k, t in enumerate(default_templates() if templates is None else templates) for p, w in enumerate(t.words)]
+    return rf"""
+WITH t(k, label, base, n, need, n_must, pos, word, must) AS (VALUES {", ".join(rows)}
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), placed AS (
+  SELECT r, len(ws) AS n_words, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM d
+), stands AS (
+  SELECT r, k, label, base, i - pos AS start, count(*) / n AS coverage
+  FROM placed JOIN t USING (word)
+  WHERE i - pos >= 0 AND i - pos + n <= n_words
+  GROUP BY r, k, label, base, n, need, n_must, i - pos HAVING count(*) >= need AND sum(must) = n_must
+), found AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(coverage) AS score
+  FROM stands GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN found USING (r)
+"""
