@@ -110,6 +110,22 @@ def with_base_rows(series: DataFrame, base: str = "EUR", key: str = "currency",
     return series.select(key, value, date).unionByName(base_rows)
 
 
+def base_rows(quotes: DataFrame, base: str = "EUR", key: str = "currency", date: str = "date",
+              value: str = "exchange_rate", end: _dt.date | str | None = None) -> DataFrame:
+    """``(base, 1.0, date)`` for every date of the gap-filled series, from the
+    sparse quotes alone.
+
+    From the first quote of all to ``end`` the filled series has every day (the
+    key of that quote does), after ``end`` only the quoted days."""
+    days = quotes.select(F.col(date).cast("date").alias(date), F.col(key).alias("_k"), F.col(value).cast("double").alias("_v")).where(
+        F.col("_v").isNotNull() & F.col(date).isNotNull() & F.col("_k").isNotNull()).select(date).distinct()
+    stop = _end_column(days, date, end)
+    first = days.agg(F.min(date).alias("_first"))
+    filled = first.where(F.col("_first") <= stop).select(F.explode(F.sequence(F.col("_first"), stop)).alias(date))
+    later = days.where(F.col(date) > stop)
+    return filled.unionByName(later).select(F.lit(base).alias(key), F.lit(1.0).alias(value), F.col(date))
+
+
 def attach_rate(fact: DataFrame, rates: DataFrame, fact_key: str, fact_date: str,
                 key: str = "currency", date: str = "date", value: str = "exchange_rate",
                 how: str = "inner", rates_unique: bool = False, strategy: str = "merge",

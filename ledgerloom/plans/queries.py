@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.chunking import chunk_of_bigint, chunk_of_text
+from ledgerloom.operators import asof
 from ledgerloom.operators import attributes as attr
 from ledgerloom.operators import checks as ck
 from ledgerloom.operators import chunks as chk
@@ -215,30 +216,54 @@ FROM (FROM filled SELECT currency, exchange_rate, date
 GROUP BY currency, date
 """)
 def rates_with_base(spark, sf):
-    return ser.with_base_rows(_filled(spark, sf))
+    # the base rows' dates come from the sparse quotes: the filled rows are made once
+    quotes = _line_quotes(spark, sf)
+    return ser.gap_fill(quotes, one_per_day=True).unionByName(ser.base_rows(quotes))
 
 
-@register("rate_conversion", "WITH " + S.GAP_FILL + """,
+@register("rates_gap_fill_ranges", GAP_FILL_SQL)
+def rates_gap_fill_ranges(spark, sf):
+    """Carried forward within date ranges of a key, with a boundary table."""
+    return asof.gap_fill_in_ranges(_line_quotes(spark, sf), one_per_day=True)
+
+
+CONVERSION_SQL = "WITH " + S.GAP_FILL + """,
 r AS (SELECT currency, date, min(exchange_rate) AS exchange_rate FROM filled GROUP BY 1, 2)
 SELECT l.l_orderkey, l.l_linenumber, r.currency, r.date, l.l_extendedprice, r.exchange_rate,
        l.l_extendedprice * r.exchange_rate AS converted_amount
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN r ON r.currency = CAST(l.l_suppkey AS VARCHAR) AND r.date = CAST(o.o_orderdate AS DATE)
-""")
+"""
+
+
+def _converted(joined: DataFrame) -> DataFrame:
+    return joined.select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("currency"),
+        F.col("order_date").alias("date"), "l_extendedprice", "exchange_rate",
+        (F.col("l_extendedprice") * F.col("exchange_rate")).alias("converted_amount"))
+
+
+def _ordered_lines(spark, sf) -> DataFrame:
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+    return li.join(o, li.l_orderkey == o.o_orderkey)
+
+
+@register("rate_conversion_as_of", CONVERSION_SQL)
+def rate_conversion_as_of(spark, sf):
+    """The same conversion on the sparse quotes: no key x day row is made."""
+    quotes = _line_quotes(spark, sf, text_key=False)
+    return _converted(asof.as_of_join(_ordered_lines(spark, sf), quotes, "l_suppkey", "order_date", key="l_suppkey", end="last"))
+
+
+@register("rate_conversion", CONVERSION_SQL)
 def rate_conversion(spark, sf):
     """Each line converted at its supplier's rate on the day the order was placed."""
     # The series keeps the bigint supplier key here: the 2.5 M-row join side
     # hashes and sorts a bigint, and only the joined rows get the text key.
     rates = ser.gap_fill(_line_quotes(spark, sf, text_key=False), key="l_suppkey", one_per_day=True)
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
-    fact = li.join(o, li.l_orderkey == o.o_orderkey)
     # one quote per supplier and day, so the filled series is unique per (supplier, day)
-    joined = ser.attach_rate(fact, rates, "l_suppkey", "order_date", key="l_suppkey", rates_unique=True)
-    return joined.select(
-        "l_orderkey", "l_linenumber", F.col("l_suppkey").cast("string").alias("currency"),
-        F.col("order_date").alias("date"), "l_extendedprice", "exchange_rate",
-        (F.col("l_extendedprice") * F.col("exchange_rate")).alias("converted_amount"))
+    return _converted(ser.attach_rate(_ordered_lines(spark, sf), rates, "l_suppkey", "order_date", key="l_suppkey", rates_unique=True))
 
 
 # ------------------------------------------------------------------ chunks
