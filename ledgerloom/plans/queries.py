@@ -18,6 +18,7 @@ from ledgerloom.operators import attributes as attr
 from ledgerloom.operators import checks as ck
 from ledgerloom.operators import chunks as chk
 from ledgerloom.operators import enums as en
+from ledgerloom.operators import gram_index as gi
 from ledgerloom.operators import series as ser
 from ledgerloom.operators import sketches as sk
 from ledgerloom.operators import timedim as td
@@ -79,16 +80,19 @@ def attributes_sink(spark, sf):
     return spark.read.parquet(path).select("attribute", "value", "row_count")
 
 
-@register("attribute_autocomplete", f"""
-SELECT value, row_count FROM ({PART_ATTRS_SQL}) a
-WHERE attribute = 'p_name' AND lower(value) LIKE '%re%'
+AUTOCOMPLETE_SQL = """
+SELECT value, row_count FROM ({attrs}) a
+WHERE attribute = '{attribute}' AND lower(value) LIKE '{pattern}'
 ORDER BY row_count DESC, value LIMIT 10
-""")
+"""
+
+
+@register("attribute_autocomplete", AUTOCOMPLETE_SQL.format(attrs=PART_ATTRS_SQL, attribute="p_name", pattern="%re%"))
 def attribute_autocomplete(spark, sf):
     return attr.autocomplete(attr.attribute_counts(table(spark, sf, "part"), ["p_name"]), "p_name", "Re", k=10)
 
 
-@register("attribute_similarity", f"""
+SIMILARITY_SQL = f"""
 SELECT value, row_count, similarity FROM (
   SELECT value, row_count, round(sim, 6) AS similarity, sim FROM (
     SELECT value, row_count,
@@ -99,11 +103,45 @@ SELECT value, row_count, similarity FROM (
           FROM ({PART_ATTRS_SQL}) a WHERE attribute = 'p_name') x) y
   WHERE sim >= 0.3
   ORDER BY sim DESC, row_count DESC, value LIMIT 10)
-""")
+"""
+
+
+@register("attribute_similarity", SIMILARITY_SQL)
 def attribute_similarity(spark, sf):
     return attr.similar_values(attr.attribute_counts(table(spark, sf, "part"), ["p_name"]), "p_name", "small gear", k=10)
 
 
+def _part_index(spark, sf) -> str:
+    path = scratch_path(spark, "part_grams")
+    gi.write_gram_index(attr.attribute_counts(table(spark, sf, "part")), path)
+    return path
+
+
+def _lookups_sql(asked: list[tuple[str, str]]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{typed}' AS typed, * FROM (" + AUTOCOMPLETE_SQL.format(
+            attrs=PART_ATTRS_SQL, attribute="p_name",
+            pattern=("" if mode == "prefix" else "%") + typed.lower() + "%") + ")" for typed, mode in asked)
+
+
+_ASKED = [("Re", "substring"), ("gear", "substring"), ("sma", "prefix"), ("l ri", "substring"), ("zzzz", "substring")]
+
+
+@register("gram_autocomplete", _lookups_sql(_ASKED))
+def gram_autocomplete(spark, sf):
+    """Lookups in the stored postings: lists of the most frequent values for
+    short texts, the rarest part's postings for longer ones."""
+    path = _part_index(spark, sf)
+    return ck.report(*[gi.indexed_autocomplete(spark, path, "p_name", typed, mode=mode).select(
+        F.lit(typed).alias("typed"), "value", "row_count") for typed, mode in _ASKED])
+
+
+@register("gram_similarity", SIMILARITY_SQL)
+def gram_similarity(spark, sf):
+    """Similarity lookup in the stored postings, prefix and count filters first."""
+    return gi.indexed_similar_values(spark, _part_index(spark, sf), "p_name", "small gear", k=10)
+
+
 # ---------------------------------------------------------- time dimensions
 
 DAY_SQL = S.ORDER_DAYS + f"SELECT {S.DAY_SELECT} FROM days"
