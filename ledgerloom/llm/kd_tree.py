@@ -14,7 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-LETTERS, DIMS = 26, 32
+#: Letters with a dimension of their own, dimensions (four times eight bytes), largest count.
+LETTERS, DIMS, CAP = 26, 32, 63
 
 
 def code_points(words: list[str]) -> np.ndarray:
@@ -34,7 +35,7 @@ def vectors(points: np.ndarray) -> np.ndarray:
         some = dim[at:at + step]
         rows = np.arange(len(some))[:, None] * DIMS
         counts = np.bincount((rows + some).ravel(), minlength=len(some) * DIMS)
-        out[at:at + step] = np.minimum(counts, 255).reshape(-1, DIMS)
+        out[at:at + step] = np.minimum(counts, CAP).reshape(-1, DIMS)
     return out
 
 
@@ -51,7 +52,7 @@ class Tree:
         self.begin, self.end, self.low, self.high = [], [], [], []
         self.order = np.arange(len(points))
         self.leaves = 0
-        self._grow(points, 0, len(points), leaves, tight, np.zeros(DIMS, np.uint8), np.full(DIMS, 255, np.uint8))
+        self._grow(points, 0, len(points), leaves, tight, np.zeros(DIMS, np.uint8), np.full(DIMS, CAP, np.uint8))
         for name in ("left", "right", "dim", "value", "leaf", "begin", "end"):
             setattr(self, name, np.array(getattr(self, name), dtype=np.int64))
         self.low, self.high = np.array(self.low, dtype=np.uint8), np.array(self.high, dtype=np.uint8)
@@ -111,11 +112,22 @@ class Tree:
         return np.concatenate(rows), np.concatenate(nodes)
 
 
+_ONES = np.uint64(0x0101010101010101)
+
+
+def _at_most_one(excess: np.ndarray, most: int) -> np.ndarray:
+    """Whether the bytes of each row sum to ``most`` (0 or 1) at most. Eight are
+    added at a time: counts stop at ``CAP``, so four of them fit in a byte."""
+    lanes = excess.view(np.uint64)
+    total = lanes[:, 0] + lanes[:, 1] + lanes[:, 2] + lanes[:, 3]
+    if not most:
+        return total == 0
+    return ((total & ~_ONES) == 0) & ((total & (total - np.uint64(1))) == 0)
+
+
 def within(q: np.ndarray, low: np.ndarray, high: np.ndarray, up: int, down: int) -> np.ndarray:
     """Whether boxes ``low`` to ``high`` are in reach of ``q``, row by row."""
-    more = (np.maximum(low, q) - q).sum(axis=1, dtype=np.int64)
-    less = (q - np.minimum(high, q)).sum(axis=1, dtype=np.int64)
-    return (more <= up) & (less <= down)
+    return _at_most_one(np.maximum(low, q) - q, up) & _at_most_one(q - np.minimum(high, q), down)
 
 
 def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -129,7 +141,7 @@ def one_edit(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return start + end >= n
 
 
-def near_rows(queries: np.ndarray, index: np.ndarray, leaf: int = 16, block: int = 1 << 11) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def near_rows(queries: np.ndarray, index: np.ndarray, leaf: int = 4, block: int = 1 << 11) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """``(query row, index row)`` of all words of ``index`` (code points) one
     edit away from those of ``queries``; the index words are as long or one
     longer."""
