@@ -17,7 +17,7 @@ WORD_PAD_AFTER = " "
 def row_text(columns: list[str]) -> Column:
     """``k = v, k = v`` for one row; NULL values print as ``null``."""
     parts = [
-        F.concat(F.lit(c + KEY_VALUE_SEPARATOR), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(NULL_TEXT)))
+        F.concat(F.lit(c + KEY_VALUE_SEPARATOR), F.coalesce(F.col("`" + c.replace("`", "``") + "`").cast("string"), F.lit(NULL_TEXT)))
         for c in columns
     ]
     return F.concat_ws(PAIR_SEPARATOR, *parts)

@@ -9,8 +9,10 @@ scalar subqueries, which fail when a query yields more than one row and give
 NULL when it yields none.
 
 Cost at scale: expression checks of one table share a single aggregate pass
-(:func:`check_expressions`); key checks need one shuffle each, and foreign
-keys pre-aggregate the child's key column before joining, so a key that
+(:func:`check_expressions`); key checks need one shuffle each (of hashes
+first where the key is wide), failing rows are counted and sampled in one pass
+(:func:`check_not_found`, which therefore runs when called), and foreign keys
+pre-aggregate the child's key column before joining, so a key that
 holds a third of all rows travels as one row per task.
 """
 
@@ -18,12 +20,12 @@ from __future__ import annotations
 
 import operator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ledgerloom.functions.text import row_text
+from ledgerloom.operators.attributes import quote_name
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("check_name", T.StringType(), False),
@@ -140,39 +142,36 @@ def check_almost_equal(name: str, fraction: float, left: DataFrame | str, right:
     )
 
 
+def failing_rows(failing: DataFrame, order_by: list[str] | None = None,
+                 shown: int = FAILING_ROWS_SHOWN) -> tuple[int, list[str]]:
+    """``(number of rows, the first of them as text)``, in one pass.
+
+    An observation counts the rows on their way into a bounded top-k, so the
+    rows are read once, and each task hands on at most ``shown`` of them."""
+    # map columns cannot be ordered; the others still fix which rows are shown
+    orderable = [f.name for f in failing.schema.fields if not isinstance(f.dataType, T.MapType)]
+    if order_by or orderable:
+        order = [F.col(quote_name(c)).asc_nulls_first() for c in (order_by or orderable)]
+    else:  # nothing orderable: order by the printed row
+        order = [row_text(failing.columns).asc_nulls_first()]
+    seen = Observation()
+    counted = failing.observe(seen, F.count(F.lit(1)).alias("n"))
+    lines = [r["line"] for r in counted.orderBy(*order).limit(shown).select(row_text(failing.columns).alias("line")).collect()]
+    return (seen.get["n"] if lines else 0), lines
+
+
 def check_not_found(name: str, failing: DataFrame | str, order_by: list[str] | None = None,
                     shown: int = FAILING_ROWS_SHOWN) -> DataFrame:
     """Passes when ``failing`` is empty. ``left_value`` counts the failing
     rows; ``detail`` lists the first ``shown`` of them (ordered by
-    ``order_by``, default all columns, NULLs first) as ``k = v, k = v`` lines."""
+    ``order_by``, default all columns, NULLs first) as ``k = v, k = v`` lines.
+
+    The check runs when it is called (see :func:`failing_rows`); the report
+    row it returns holds the outcome."""
     asked, failing = _with_texts(None, query=failing), _frame(failing)
-    spark = failing.sparkSession
-    cols = failing.columns
-    # map columns cannot be ordered; the others still fix which rows are shown
-    orderable = [f.name for f in failing.schema.fields if not isinstance(f.dataType, T.MapType)]
-    if order_by or orderable:
-        order = [F.col(f"`{c}`").asc_nulls_first() for c in (order_by or orderable)]
-    else:  # nothing orderable: order by the printed row
-        order = [row_text(cols).asc_nulls_first()]
-    top = failing.orderBy(*order).limit(shown)
-    lines = top.select(
-        F.row_number().over(Window.orderBy(*order)).alias("_rn"),
-        row_text(cols).alias("_line"),
-    )
-    message = lines.agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_rn", "_line"))),
-                                 lambda x: x["_line"]), "\n")
-    ).scalar()
-    count = failing.agg(F.count(F.lit(1))).scalar()
-    pair = spark.range(1).select(count.alias("n"), message.alias("m"))
-    n = F.col("n")
-    return pair.select(
-        F.lit(name).alias("check_name"),
-        (n == 0).alias("passed"),
-        n.cast("double").alias("left_value"),
-        F.lit(0.0).alias("right_value"),
-        F.when(n > 0, F.concat_ws("\n", F.lit(asked).cast("string"), F.col("m"))).alias("detail"),
-    )
+    n, lines = failing_rows(failing, order_by, shown)
+    detail = "\n".join(([asked] if asked else []) + lines) if n else None
+    return failing.sparkSession.createDataFrame([(name, n == 0, float(n), 0.0, detail)], REPORT_SCHEMA)
 
 
 def check_almost_equal_array(name: str, left: DataFrame | str, right: DataFrame | str, delta: float,
@@ -196,21 +195,58 @@ def check_almost_equal_array(name: str, left: DataFrame | str, right: DataFrame
     )
 
 
+#: Bits of the map that tells which keys' hashes occur twice, and of one of its words.
+SUSPECT_BITS, WORD_BITS = 1 << 20, 64
+
+
+def _wide(df: DataFrame) -> bool:
+    """Whether a key of these columns is larger than its 64-bit hash by much."""
+    sizes = {"tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "boolean": 1}
+    fixed = {"bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+    known = [{**sizes, **fixed}.get(f.dataType.simpleString()) for f in df.schema.fields]
+    return None in known or sum(known) > 16
+
+
+def _repeated(keyed: DataFrame, two_pass: bool | None, null_too: bool) -> DataFrame:
+    """The distinct keys (all columns of ``keyed``) that occur twice or more
+    or, with ``null_too``, hold a null.
+
+    In two passes: hashes are counted first, eight bytes a key and task. Those
+    counted twice set bits of a map of ``SUSPECT_BITS``, and only rows whose
+    hash meets a set bit exchange their key, which is then counted exactly. A
+    key without repeats moves its hashes alone."""
+    cols = [quote_name(c) for c in keyed.columns]
+    null = F.lit(False)
+    for c in cols:
+        null = null | F.col(c).isNull()
+    counted = lambda df: df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).where(
+        (F.col("_n") > 1) | null if null_too else F.col("_n") > 1)
+    if not (_wide(keyed) if two_pass is None else two_pass):
+        return counted(keyed)
+    h = F.xxhash64(*cols)
+    hashes = keyed.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"), F.max(null).alias("_null"))
+    place = F.pmod(F.col("_h"), F.lit(SUSPECT_BITS)).cast("int")
+    words = hashes.where((F.col("_n") > 1) | F.col("_null") if null_too else F.col("_n") > 1).groupBy(
+        (place / WORD_BITS).cast("int").alias("w")).agg(F.bit_or(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(WORD_BITS)))).alias("bits"))
+    suspects = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(SUSPECT_BITS // WORD_BITS - 1)),
+                    lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("long"))).alias("a")).scalar()
+    mine = F.pmod(h, F.lit(SUSPECT_BITS)).cast("int")
+    word = F.get(suspects, (mine / WORD_BITS).cast("int"))
+    return counted(keyed.where(F.getbit(word, F.pmod(mine, F.lit(WORD_BITS))) == 1))
+
+
 def check_primary_key(name: str, df: DataFrame, table: str | None = None,
-                      columns: list[str] | None = None) -> DataFrame:
+                      columns: list[str] | None = None, two_pass: bool | None = None) -> DataFrame:
     """Key columns (default ``<table>_id``) are never NULL and unique.
-    ``left_value`` = number of offending keys (duplicated or NULL)."""
+    ``left_value`` = number of offending keys (duplicated or NULL). Wide keys
+    are checked in two passes, hashes first (``two_pass`` overrides)."""
     if columns is None:
         if table is None:
             raise ValueError("give the key columns or the table name")
         columns = [f"{table}_id"]
-    any_null = F.lit(False)
-    for c in columns:
-        any_null = any_null | F.col(c).isNull()
-    offending = (
-        df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-        .where((F.col("_n") > 1) | any_null)
-    )
+    offending = _repeated(df.select(*[F.col(quote_name(c)) for c in columns]), two_pass, null_too=True)
     n = offending.agg(F.count(F.lit(1))).scalar()
     return _row(df.sparkSession, name, n == 0, n, F.lit(0), f"primary key ({', '.join(columns)})")
 
@@ -312,17 +348,18 @@ def check_aggregates(df: DataFrame, checks: dict[str, Column | tuple]) -> DataFr
     return df.agg(*aggs).select(F.inline(F.array(*structs)))
 
 
-def check_unique(name: str, df: DataFrame, keys: list[Column | str], where: Column | str | None = None) -> DataFrame:
+def check_unique(name: str, df: DataFrame, keys: list[Column | str], where: Column | str | None = None,
+                 two_pass: bool | None = None) -> DataFrame:
     """Uniqueness of key columns or expressions, optionally among rows matching
-    ``where``. Rows with a NULL key part are exempt, as in a unique index.
-    ``left_value`` = duplicated keys."""
+    ``where``. A text key that names a column is that column, else an
+    expression. Rows with a NULL key part are exempt, as in a unique index.
+    ``left_value`` = duplicated keys. Wide keys are checked in two passes."""
     d = df if where is None else df.where(F.expr(where) if isinstance(where, str) else where)
-    cols = [(F.expr(k) if isinstance(k, str) else k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    keyed = d.select(*cols)
-    for i in range(len(cols)):
+    key = lambda k: k if not isinstance(k, str) else F.col(quote_name(k)) if k in df.columns else F.expr(k)
+    keyed = d.select(*[key(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    for i in range(len(keys)):
         keyed = keyed.where(F.col(f"_k{i}").isNotNull())
-    dups = keyed.groupBy(*[f"_k{i}" for i in range(len(cols))]).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    n = dups.agg(F.count(F.lit(1))).scalar()
+    n = _repeated(keyed, two_pass, null_too=False).agg(F.count(F.lit(1))).scalar()
     return _row(df.sparkSession, name, n == 0, n, F.lit(0), "unique")
 
 

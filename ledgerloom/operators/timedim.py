@@ -3,9 +3,9 @@
 Each dimension is generated from a one-row bounds DataFrame ``(start, end)``
 (or ``(start, as_of)``), so the bounds can come from literals or from an
 aggregate over a fact table without a driver round trip. The tables are small
-by nature — one row per calendar day or per day of duration, capped at 30,000
-days by their SMALLINT columns — so generating them from a single row is cheap
-at any data volume; the fact tables only contribute a min/max aggregate.
+by nature — one row per calendar day or per day of duration — so generating
+them from a single row is cheap at any data volume; the fact tables only
+contribute a min/max aggregate.
 """
 
 from __future__ import annotations

@@ -599,6 +599,23 @@ def check_unique_partial(spark, sf):
     return ck.check_unique("large_part_brand_unique", _t(spark, sf, "part"), ["lower(p_brand)"], where="p_size > 40")
 
 
+@register("check_unique_wide", """
+SELECT 'texts_unique' AS check_name, n = 0 AS passed, CAST(n AS DOUBLE) AS left_value, CAST(0 AS DOUBLE) AS right_value,
+       'unique' AS detail
+FROM (SELECT count(*) AS n FROM (SELECT text FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1))
+UNION ALL
+SELECT 'documents_pk', n = 0, CAST(n AS DOUBLE), CAST(0 AS DOUBLE), 'primary key (text, doc_id)'
+FROM (SELECT count(*) AS n FROM (SELECT text, doc_id, count(*) AS c FROM documents GROUP BY 1, 2)
+      WHERE c > 1 OR text IS NULL OR doc_id IS NULL)
+""")
+def check_unique_wide(spark, sf):
+    """Whole texts as keys: their hashes are counted first, and only texts
+    whose hash occurs twice are exchanged."""
+    d = _t(spark, sf, "documents")
+    return ck.report(ck.check_unique("texts_unique", d, ["text"]),
+                     ck.check_primary_key("documents_pk", d, columns=["text", "doc_id"]))
+
+
 # ------------------------------------------------------------------- enums
 
 PRIORITY_ENUM_SQL = """

@@ -22,3 +22,22 @@ def rows_read(df) -> int:
         metric = leaves.apply(i).metrics().get("numOutputRows")
         total += metric.get().value() if metric.isDefined() else 0
     return total
+
+
+def _nodes(plan):
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        yield node
+        for some in (node.children(), node.subqueries()):
+            stack += [some.apply(i) for i in range(some.size())]
+
+
+def bytes_exchanged(df) -> int:
+    """Bytes that the exchanges of ``df``, subqueries included, hand on."""
+    df._jdf.collectToPython()
+    total = 0
+    for node in _nodes(df._jdf.queryExecution().executedPlan()):
+        if node.nodeName() == "Exchange":
+            total += node.metrics().get("shuffleBytesWritten").get().value()
+    return total
