@@ -28,6 +28,7 @@ from ledgerloom.session import scratch_path, unique_name
 from ledgerloom.sources import layout as lay
 from ledgerloom.sources import publish as pub
 from ledgerloom.sources import rates_csv as rc
+from ledgerloom.sources import scans
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -176,6 +177,30 @@ def time_duration(spark, sf):
     return td.extend_durations(None, b)
 
 
+@register("time_duration_extended", S.duration_sql(
+    "SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS a FROM orders"))
+def time_duration_extended(spark, sf):
+    """Durations up to the middle of the range stored first, then extended to
+    all of it: ids that are there add nothing."""
+    full = td.bounds_of(table(spark, sf, "orders"), "o_orderdate", names=("start", "as_of"))
+    half = full.select("start", F.date_add("start", (F.datediff("as_of", "start") / 2).cast("int")).alias("as_of"))
+    path = scratch_path(spark, "time_duration")
+    td.extend_durations(None, half).write.parquet(path)
+    td.insert_if_absent(spark.read.parquet(path), td.duration_dimension(full), ["duration_id"]).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("time_tables_written", DAY_SQL)
+def time_tables_written(spark, sf):
+    """All three time tables as catalog tables, their dates found at run time,
+    created for a part of the range and extended to all of it; the day table."""
+    first, last = td.bounds_of(table(spark, sf, "orders"), "o_orderdate").first()
+    db = unique_name("times")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    td.write_time_dimensions(spark, db, first, first + (last - first) / 2)
+    return spark.table(td.write_time_dimensions(spark, db, first, last)["day"])
+
+
 @register("hour_of_day", """
 SELECT CAST(h AS SMALLINT) AS hour_of_day_id, CAST(h AS VARCHAR) || '-' || CAST(h + 1 AS VARCHAR) AS hour_of_day_name
 FROM (SELECT DISTINCT hour(ts) AS h FROM events WHERE ts IS NOT NULL)
@@ -657,6 +682,24 @@ def enum_sort(spark, sf):
         .orderBy("o_orderpriority_ordinal", "o_orderkey")
 
 
+@register("enum_outside", """
+SELECT p_partkey, p_name FROM part
+WHERE p_name IS NOT NULL AND p_name NOT IN (SELECT p_name FROM part WHERE p_size > 49 AND p_name IS NOT NULL)
+""")
+def enum_outside(spark, sf):
+    """Parts whose name is not in the enum of the largest parts' names."""
+    part = _t(spark, sf, "part")
+    return en.outside_enum(part, "p_name", en.create_enum(part.where("p_size > 49"), "p_name")).select("p_partkey", "p_name")
+
+
+@register("long_labels", """
+SELECT DISTINCT text AS value, CAST(length(text) AS INTEGER) AS chars FROM documents WHERE length(text) > 63
+""")
+def long_labels(spark, sf):
+    """Labels over 63 characters with their length."""
+    return en.long_labels(_t(spark, sf, "documents"), "text")
+
+
 # ---------------------------------------------------------------- sketches
 
 def _supplier_sketches(spark, sf):
@@ -689,6 +732,22 @@ def hll_estimate(spark, sf):
     return _supplier_sketches(spark, sf)[1]
 
 
+@register("hll_stored", """
+SELECT l_suppkey, count(DISTINCT l_partkey) AS distinct_estimate FROM lineitem GROUP BY l_suppkey
+""")
+def hll_stored(spark, sf):
+    """Estimates from the stored sketch table after three loads, the last of
+    which brings rows of a month that is there already. Up to some thousand
+    values a sketch of this size keeps every hash, so the estimates are exact."""
+    li = _t(spark, sf, "lineitem").withColumn("ship_month", F.date_format("l_shipdate", "yyyy-MM"))
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
+    middle = li.agg(F.percentile_approx(day, 0.5)).scalar()
+    path = scratch_path(spark, "sketches")
+    for load in (li.where(day < middle), li.where((day > middle) | day.isNull()), li.where(day == middle)):
+        sk.load_sketches(load, path, ["l_suppkey"], "l_partkey", "ship_month", lg_k=16)
+    return sk.hll_rollup(spark.read.parquet(path), ["l_suppkey"])
+
+
 # ------------------------------------------------------------------ layouts
 
 @register("list_partition_write", """
@@ -743,6 +802,40 @@ def hash_partition_write(spark, sf):
         F.coalesce(F.max(F.when(F.col("o_orderkey").isNotNull(), F.col("b"))) <= 1, F.lit(True)).alias("colocated"))
 
 
+@register("bucketed_join", """
+SELECT o.o_orderkey, o.o_custkey, l.l_linenumber, l.l_extendedprice
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+""")
+def bucketed_join(spark, sf):
+    """Orders and lines in buckets of their order key, as many as the larger
+    table's bytes ask for, joined without an exchange."""
+    o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
+    db = unique_name("cobucket")
+    root = scratch_path(spark, db)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    n = lay.bucket_count(o, li, bucket_bytes=1 << 20)  # small buckets: these tables are small
+    orders = lay.write_hash_partitions(o, f"{db}.orders_b", "o_orderkey", n, f"{root}/orders_b")
+    lines = lay.write_hash_partitions(li, f"{db}.lines_b", "l_orderkey", n, f"{root}/lines_b")
+    return orders.join(lines.hint("merge"), orders["o_orderkey"] == lines["l_orderkey"]).select(
+        "o_orderkey", "o_custkey", "l_linenumber", "l_extendedprice")
+
+
+@register("list_partition_pruned_join", """
+SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day_key, count(*) AS row_count
+FROM events WHERE isodow(ts) = 1 GROUP BY 1
+""")
+def list_partition_pruned_join(spark, sf):
+    """Events of Mondays: a filter on the day table prunes the events' day
+    folders while the query runs."""
+    ev = _t(spark, sf, "events").withColumn("day_key", F.date_format("ts", "yyyyMMdd").cast("int"))
+    path, days_path = scratch_path(spark, "events_by_day"), scratch_path(spark, "days")
+    lay.write_list_partitions(ev.where("day_key IS NOT NULL"), path, "day_key")
+    td.day_dimension(td.bounds_of(ev, "ts")).write.parquet(days_path)
+    events, days = spark.read.parquet(path), spark.read.parquet(days_path)
+    mondays = days.where("day_of_week_id = 1").select(F.col("day_id").alias("day_key"))
+    return events.join(mondays, "day_key").groupBy("day_key").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 @register("columnar_from_view", "SELECT * FROM orders")
 def columnar_from_view(spark, sf):
     """An empty columnar table shaped like a view, then loaded from it."""
@@ -791,6 +884,109 @@ def fk_layout(spark, sf):
     return spark.read.parquet(path)
 
 
+_FKS = {"order_fk": "l_orderkey", "part_fk": "l_partkey", "supplier_fk": "l_suppkey"}
+
+
+@register("fk_layout_skips", " UNION ALL ".join(
+    f"SELECT '{fk}' AS foreign_key, count(DISTINCT {c}) AS keys, true AS most_files_skipped FROM lineitem"
+    for fk, c in _FKS.items()))
+def fk_layout_skips(spark, sf):
+    """For each of three foreign keys: over all of its values, the files whose
+    range holds the value are fewer than six in ten."""
+    li = _t(spark, sf, "lineitem").withColumnsRenamed({c: fk for fk, c in _FKS.items()})
+    path = scratch_path(spark, "lineitem_fk_files")
+    lay.write_foreign_key_layout(li, path, files=64)
+    back = spark.read.parquet(path)
+    ranges = back.groupBy(F.col("_metadata.file_path").alias("file")).agg(*[
+        agg(fk).alias(f"{fk}_{end}") for fk in _FKS for end, agg in (("low", F.min), ("high", F.max))])
+    spans = ranges.select(F.explode(F.array(*[F.struct(
+        F.lit(fk).alias("foreign_key"), F.col(f"{fk}_low").alias("low"), F.col(f"{fk}_high").alias("high")) for fk in _FKS])).alias("s")).select("s.*")
+    keys = back.select(F.explode(F.array(*[F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).alias("key")) for fk in _FKS])).alias("k")) \
+        .select("k.*").where("key IS NOT NULL").distinct()
+    # one span per key and file written: 192 rows at any size of the table
+    held = (keys.join(F.broadcast(spans), "foreign_key").where("key BETWEEN low AND high")
+            .groupBy("foreign_key").agg(F.count(F.lit(1)).alias("met")))
+    held = keys.groupBy("foreign_key").agg(F.count(F.lit(1)).alias("keys")).join(held, "foreign_key").withColumn(
+        "files", F.col("met") / F.col("keys"))
+    total = ranges.agg(F.count(F.lit(1))).scalar()
+    return held.select("foreign_key", "keys", (F.col("files") < 0.6 * total).alias("most_files_skipped"))
+
+
+@register("hash_layout_lookup", """
+SELECT 'present' AS asked, count(*) AS rows_found, true AS read_as_expected FROM documents
+WHERE text = (SELECT min(text) FROM documents)
+UNION ALL SELECT 'absent', 0, true
+""")
+def hash_layout_lookup(spark, sf):
+    """Bloom filters on whole texts: a lookup of a text that is there reads the
+    row groups that have it, of one that is not (though within the range) none."""
+    path = scratch_path(spark, "documents_by_text")
+    lay.write_search_layout(_t(spark, sf, "documents"), path, column_names=["text"], method="hash", replace=True)
+    back = spark.read.parquet(path)
+    there = back.agg(F.min("text")).first()[0]
+    rows = []
+    for asked, text in (("present", there), ("absent", (there or "") + " not there")):
+        found = back.where(F.col("text") == text)
+        read, n = scans.rows_read(found.select("doc_id", "text")), found.count()
+        rows.append((asked, n, read >= n if asked == "present" else read == 0))
+    return spark.createDataFrame(rows, "asked string, rows_found long, read_as_expected boolean")
+
+
+def _layout_copy(spark, sf, name: str, **options) -> DataFrame:
+    path = scratch_path(spark, name)
+    lay.write_search_layout(_t(spark, sf, "orders"), path, replace=True, **options)
+    return spark.read.parquet(path)
+
+
+@register("brin_layout", "SELECT * FROM orders WHERE o_totalprice BETWEEN 1000 AND 50000")
+def brin_layout(spark, sf):
+    """Block ranges on the price: the range filter is pushed into the scan."""
+    return _layout_copy(spark, sf, "orders_brin", column_names=["o_totalprice"], method="brin").where(
+        "o_totalprice BETWEEN 1000 AND 50000")
+
+
+@register("expression_layout", "SELECT *, year(o_orderdate) AS order_year FROM orders WHERE year(o_orderdate) = 1997")
+def expression_layout(spark, sf):
+    """Sorted by a derived key, which lookups filter on."""
+    return _layout_copy(spark, sf, "orders_by_year", expression="cast(year(o_orderdate) as bigint)", index_key="order_year").where(
+        "order_year = 1997")
+
+
+@register("unique_layout", """
+SELECT 'o_orderkey' AS layout_key, count(*) = count(DISTINCT o_orderkey) AS written FROM orders
+UNION ALL SELECT 'o_custkey', count(o_custkey) = count(DISTINCT o_custkey) FROM orders
+""")
+def unique_layout(spark, sf):
+    """A unique layout is written only where the key is unique."""
+    rows = []
+    for key in ("o_orderkey", "o_custkey"):
+        try:
+            written = _layout_copy(spark, sf, f"unique_{key}", column_names=[key], unique=True).columns != []
+        except ck.CheckFailed:
+            written = False
+        rows.append((key, written))
+    return spark.createDataFrame(rows, "layout_key string, written boolean")
+
+
+@register("partial_layout", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
+def partial_layout(spark, sf):
+    """A smaller copy that holds finished orders only."""
+    return _layout_copy(spark, sf, "orders_finished", column_names=["o_custkey"], partial_condition="o_orderstatus = 'F'")
+
+
+@register("analyzed_layout", """
+SELECT 'o_custkey' AS column_name, count(*) - count(o_custkey) AS null_count, count(*) AS row_count FROM orders
+""")
+def analyzed_layout(spark, sf):
+    """Statistics computed after the write, read back from the catalog."""
+    db = unique_name("analyzed")
+    root = scratch_path(spark, db)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{root}'")
+    lay.write_search_layout(_t(spark, sf, "orders"), f"{root}/orders", column_names=["o_custkey"], replace=True,
+                            table=f"{db}.orders", analyze=True)
+    return lay.analyze_table(spark, f"{db}.orders", ["o_custkey"])
+
+
 @register("table_stats", " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) - count({c}) AS null_count, count(*) AS row_count FROM lineitem"
     for c in ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -842,6 +1038,58 @@ def publish_schema(spark, sf):
     return _star(spark, live)
 
 
+@register("copy_schema_layouts", """
+SELECT 'orders_p' AS table_name, count(*) AS row_count, 'o_orderstatus' AS partitions, 0 AS buckets FROM orders
+UNION ALL SELECT 'orders_b', count(*), '', 8 FROM orders
+""")
+def copy_schema_layouts(spark, sf):
+    """A partitioned and a bucketed table copied over an older copy; the
+    copies have the rows and the layout of their sources."""
+    src, dst = unique_name("etl"), unique_name("frontend")
+    root, target = scratch_path(spark, src), scratch_path(spark, dst)
+    pub.create_database(spark, src, root)
+    o = _t(spark, sf, "orders")
+    lay.create_partitioned_table(spark, o, f"{src}.orders_p", f"{root}/orders_p", "o_orderstatus")
+    lay.write_partition(o.where("o_orderkey % 2 = 0"), f"{src}.orders_p")
+    lay.write_hash_partitions(o, f"{src}.orders_b", "o_orderkey", 8, f"{root}/orders_b")
+    pub.copy_database(spark, src, dst, target)
+    lay.write_partition(o, f"{src}.orders_p")
+    pub.copy_database(spark, src, dst, target)
+    rows = []
+    for t in ("orders_p", "orders_b"):
+        partitions, _, buckets, _ = pub.table_shape(spark, f"{dst}.{t}")
+        rows.append(spark.table(f"{dst}.{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                                                  F.lit(",".join(partitions)).alias("partitions"), F.lit(buckets).alias("buckets")))
+    return ck.report(*rows)
+
+
+@register("publish_manifest", """
+SELECT 'first' AS shown, (SELECT count(*) FROM customer WHERE c_acctbal > 0) AS customers, (SELECT count(*) FROM nation WHERE n_regionkey = 1) AS nations
+UNION ALL SELECT 'staged', (SELECT count(*) FROM customer WHERE c_acctbal > 0), (SELECT count(*) FROM nation WHERE n_regionkey = 1)
+UNION ALL SELECT 'switched', (SELECT count(*) FROM customer), (SELECT count(*) FROM nation)
+""")
+def publish_manifest(spark, sf):
+    """Two different versions; readers before, between and after the switch see
+    one whole version each."""
+    live = unique_name("shown")
+    root = scratch_path(spark, live)
+    customer, nation = _t(spark, sf, "customer"), _t(spark, sf, "nation")
+    pub.stage_version(spark, live, root, "v1", {"customer": customer.where("c_acctbal > 0"), "nation": nation.where("n_regionkey = 1")})
+    pub.switch_version(spark, live, root, "v1")
+
+    def seen(step: str) -> tuple:
+        c, n = spark.table(f"{live}.customer"), spark.table(f"{live}.nation")
+        pair = c.agg(F.count(F.lit(1)).alias("c")).crossJoin(n.agg(F.count(F.lit(1)).alias("n"))).first()
+        return step, pair["c"], pair["n"]
+    rows = [seen("first")]
+    pub.stage_version(spark, live, root, "v2", {"customer": customer, "nation": nation})
+    rows.append(seen("staged"))
+    pub.switch_version(spark, live, root, "v2")
+    rows.append(seen("switched"))
+    pub.drop_version(spark, live, "v1")
+    return spark.createDataFrame(rows, "shown string, customers long, nations long")
+
+
 @register("enum_long_labels", """
 SELECT value, CAST(row_number() OVER (ORDER BY value) AS INTEGER) AS ordinal
 FROM (SELECT DISTINCT text AS value FROM documents WHERE text IS NOT NULL)

@@ -3,19 +3,23 @@ original toolkit, expressed as how Parquet files are written.
 
 - btree / brin index, clustering  -> range-partition + sort on the columns;
   Parquet min/max per row group then skips most of the file on a filter.
-- hash index                      -> Parquet bloom filters on the columns.
+- index on every foreign key      -> sort on a space-filling key of all of them.
+- hash index                      -> Parquet bloom filters on the columns, sized
+  by a distinct sketch of each.
 - unique index                    -> a uniqueness check before writing.
 - partial index                   -> a filtered copy.
 - list partitions                 -> ``partitionBy(key)``, dynamic overwrite.
-- hash partitions                 -> ``bucketBy(n, key)``.
+- hash partitions                 -> ``bucketBy(n, key)``, n from the table's bytes.
 - columnar table                  -> Parquet with zstd.
 - ANALYZE                         -> ``ANALYZE TABLE ... COMPUTE STATISTICS``.
 """
 
 from __future__ import annotations
 
+import math
+from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,11 +102,14 @@ def add_partitions(spark: SparkSession, table: str, key: str, keys: DataFrame) -
     # partition names are path-escaped ('a/b' is listed as 'a%2Fb'); a plus sign is not
     listed = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring_index("partition", "=", -1).alias("p"))
     present = listed.select(F.url_decode(F.replace("p", F.lit("+"), F.lit("%2B"))).alias("k"))
-    # only the absent ones reach the driver, which has to name each in a statement
-    added = sorted(r["k"] for r in wanted.join(present, "k", "left_anti").toLocalIterator())
-    for i in range(0, len(added), PARTITIONS_PER_STATEMENT):
-        specs = " ".join(f"PARTITION (`{key}` = '{_sql_text(k)}')" for k in added[i:i + PARTITIONS_PER_STATEMENT])
+    # only the absent ones reach the driver, in order and a statement's worth at
+    # a time; it has to name each (the catalog holds as many names)
+    absent = (r["k"] for r in wanted.join(present, "k", "left_anti").orderBy("k").toLocalIterator())
+    added: list[str] = []
+    while some := list(islice(absent, PARTITIONS_PER_STATEMENT)):
+        specs = " ".join(f"PARTITION (`{key}` = '{_sql_text(k)}')" for k in some)
         spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {specs}")
+        added += some
     return added
 
 
@@ -112,20 +119,104 @@ def row_hash(df: DataFrame):
     return F.xxhash64(*[F.col(quote_name(c)) for c in fit]) if fit else F.lit(0).cast("long")
 
 
-def write_hash_partitions(df: DataFrame, table: str, key: str, n: int, path: str) -> DataFrame:
-    """``n`` buckets by hash of ``key``; joins and aggregations on ``key``
-    against a table bucketed the same way need no shuffle.
+# Bytes a bucket is meant for, and the most buckets of a table.
+BUCKET_BYTES = 256 * 1024 * 1024
+MOST_BUCKETS = 1 << 17
+
+
+def planned_bytes(df: DataFrame) -> int:
+    """The size the planner expects of ``df`` (for a plain table its files')."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bucket_count(*tables: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for tables that are joined with each other: enough for the
+    largest one, a power of two so that tables of other counts still fit."""
+    need = max(1, math.ceil(max(planned_bytes(t) for t in tables) / bucket_bytes))
+    return min(MOST_BUCKETS, 1 << (need - 1).bit_length())
+
+
+def write_hash_partitions(df: DataFrame, table: str, key: str, n: int | None, path: str) -> DataFrame:
+    """``n`` buckets by hash of ``key`` (None: from the table's bytes); joins
+    and aggregations on ``key`` against a table bucketed the same way need no
+    shuffle (see :func:`bucket_count` for tables that belong together).
 
     Before writing, rows are range-partitioned on (bucket id, row hash): each
     task writes about one bucket (files stay near the task count instead of
     tasks x buckets), and a bucket holding a hot key is split over several
     tasks, each writing one file of that bucket."""
-    bucket = F.expr(f"pmod(hash(`{key}`), {int(n)})")
+    n = bucket_count(df) if n is None else int(n)
+    bucket = F.expr(f"pmod(hash({quote_name(key)}), {n})")
     (df.repartitionByRange(bucket, row_hash(df)).write.format("parquet").bucketBy(n, key).sortBy(key)
      .option("path", path).mode("overwrite").saveAsTable(table))
     return df.sparkSession.table(table)
 
 
+# False positives of a bloom filter, and its bits per value at that rate.
+BLOOM_FPP = 0.01
+BLOOM_BITS_PER_VALUE = 10
+
+
+def bloom_options(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """Writer options for bloom filters on ``columns``, sized by an approximate
+    distinct count of each (one aggregate over these columns)."""
+    if not columns:
+        return {}
+    counts = df.agg(*[F.approx_count_distinct(F.col(quote_name(c))).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    options, most = {}, 1
+    for i, c in enumerate(columns):
+        most = max(most, counts[f"n{i}"])
+        options[f"parquet.bloom.filter.enabled#{c}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{c}"] = str(max(1, counts[f"n{i}"]))
+        options[f"parquet.bloom.filter.fpp#{c}"] = str(BLOOM_FPP)
+    # a row group's filter is never larger than what its 128 MB can hold of values of eight bytes
+    size = min(most, 16 << 20) * BLOOM_BITS_PER_VALUE // 8
+    options["parquet.bloom.filter.max.bytes"] = str(max(1 << 20, 1 << size.bit_length()))
+    return options
+
+
+# Bits of a column's rank, and of all ranks together.
+RANK_BITS, KEY_BITS = 6, 60
+
+
+def _sortable(df: DataFrame, column: str) -> Column:
+    """The column as a number in the same order (of texts the first six bytes)."""
+    c, kind = F.col(quote_name(column)), df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.substring(F.hex(F.encode(c, "utf-8")), 1, 12), 12, "0")
+        return F.conv(head, 16, 10).cast("long")
+    return c if isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) else F.hash(c)
+
+
+def _rank(value: Column, cuts: list, low: int = 0) -> Column:
+    """How many of the sorted ``cuts`` are at most ``value``, by halving."""
+    if not cuts:
+        return F.lit(low)
+    middle = len(cuts) // 2
+    return F.when(value >= F.lit(cuts[middle]), _rank(value, cuts[middle + 1:], low + middle + 1)).otherwise(
+        _rank(value, cuts[:middle], low))
+
+
+def interleaved_key(df: DataFrame, columns: list[str]) -> Column:
+    """A space-filling (Z-order) key: the bits of the columns' ranks in turn.
+
+    Ranks come from approximate quantiles (one aggregate; at most 2 ** bits
+    cuts a column reach the driver), so that every column gets its share of the
+    key however its values are spread. Nulls rank first."""
+    bits = max(1, min(RANK_BITS, KEY_BITS // max(1, len(columns))))
+    steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    found = df.agg(*[F.percentile_approx(_sortable(df, c), steps, 10_000).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    key = F.lit(0).cast("long")
+    for i, c in enumerate(columns):
+        cuts = sorted(set(found[f"c{i}"] or []))
+        spare = bits - len(cuts).bit_length()  # fewer ranks than bits: the leading bits count
+        rank = F.shiftleft(F.coalesce(_rank(_sortable(df, c), cuts), F.lit(0)).cast("long"), max(0, spare))
+        for b in range(bits):
+            bit = F.shiftright(rank, b).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(bit, (b + 1) * len(columns) - 1 - i))
+    return key
+
+
 def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None = None,
                         expression: str | None = None, unique: bool = False, method: str = "btree",
                         partial_condition: str | None = None, replace: bool = False,
@@ -134,7 +225,8 @@ def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None
     """Write ``df`` laid out for fast lookups on some columns or an expression.
 
     btree/brin: range-partitioned and sorted on the key, so Parquet row-group
-    statistics prune. hash: bloom filters on the key columns. ``unique`` runs
+    statistics prune. hash: bloom filters on the key columns, sized by their
+    distinct values. ``unique`` runs
     a uniqueness check first and raises on duplicates. ``partial_condition``
     writes only matching rows. ``replace`` overwrites, otherwise an existing
     target is left alone. ``table`` registers the files as a catalog table.
@@ -161,8 +253,7 @@ def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None
         sort = [F.col(quote_name(k)) for k in keys]
         writer_df = data.repartitionByRange(*sort, row_hash(data)).sortWithinPartitions(*sort)
     else:
-        for k in keys:
-            options[f"parquet.bloom.filter.enabled#{k}"] = "true"
+        options = bloom_options(data, keys)
         writer_df = data.sortWithinPartitions(*[F.col(quote_name(k)) for k in keys])
     writer = writer_df.write.format("parquet").options(**options).mode("overwrite" if replace else "ignore")
     if table is None:
@@ -174,13 +265,29 @@ def write_search_layout(df: DataFrame, path: str, column_names: list[str] | None
 
 
 def write_foreign_key_layout(df: DataFrame, path: str, excluded: list[str] | None = None,
-                             replace: bool = True) -> list[str]:
-    """Lay out for lookups on every ``*_fk`` column: bloom filters on each,
-    rows sorted by the first. As in the original toolkit the pattern is LIKE
-    ``'%_fk'``, whose underscore matches any character."""
+                             replace: bool = True, method: str = "brin", files: int | None = None) -> list[str]:
+    """Lay out for lookups on every ``*_fk`` column; returns these columns.
+
+    btree/brin: rows sorted by a space-filling key of all of them, so that row
+    groups have narrow ranges of each, not of the first alone (``files`` sets
+    into how many). hash: sized bloom filters on each. As in the original
+    toolkit the pattern is LIKE ``'%_fk'``, whose underscore matches any
+    character."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
     fks = [c for c in columns_like(df, "%_fk") if c not in set(excluded or [])]
-    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in fks}
-    out = df.repartitionByRange(fks[0], row_hash(df)).sortWithinPartitions(fks[0]) if fks else df
+    out, options = df, {}
+    if method == "hash":
+        options = bloom_options(df, fks)
+    elif fks:
+        place = "_place"
+        while place in df.columns:
+            place += "_"
+        key = interleaved_key(df, fks) if len(fks) > 1 else F.col(quote_name(fks[0]))
+        keyed = df.withColumn(place, key)
+        parts = [files] if files else []
+        sort = [F.col(quote_name(c)) for c in fks]
+        out = keyed.repartitionByRange(*parts, place, row_hash(df)).sortWithinPartitions(place, *sort).drop(place)
     out.write.format("parquet").options(**options).mode("overwrite" if replace else "ignore").save(path)
     return fks
 

@@ -2,6 +2,8 @@
 
 from contextlib import contextmanager
 
+from ledgerloom.sources.scans import rows_read  # noqa: F401
+
 
 @contextmanager
 def plain_plans(spark):
@@ -13,17 +15,6 @@ def plain_plans(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def rows_read(df) -> int:
-    """Rows that the file scans of ``df`` hand on, row groups skipped left out."""
-    df._jdf.collectToPython()
-    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
-    total = 0
-    for i in range(leaves.size()):
-        metric = leaves.apply(i).metrics().get("numOutputRows")
-        total += metric.get().value() if metric.isDefined() else 0
-    return total
-
-
 def _nodes(plan):
     stack = [plan]
     while stack:

@@ -1,0 +1,122 @@
+"""Copies that keep the old target, versions behind a manifest, stored sketches."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import sketches as sk
+from ledgerloom.session import unique_name
+from ledgerloom.sources import layout as lay
+from ledgerloom.sources import publish as pub
+
+
+def database(spark, tmp_out, **tables):
+    name = unique_name("src")
+    root = tmp_out(name)
+    pub.create_database(spark, name, root)
+    for t, df in tables.items():
+        df.write.format("parquet").option("path", f"{root}/{t}").saveAsTable(f"{name}.{t}")
+    return name
+
+
+def test_a_copy_that_fails_leaves_the_target(spark, tmp_out, monkeypatch):
+    src = database(spark, tmp_out, a=spark.range(3), b=spark.range(4))
+    dst, root = unique_name("dst"), tmp_out("dst")
+    assert sorted(pub.copy_database(spark, src, dst, root)) == ["a", "b"]
+    spark.range(9).write.insertInto(f"{src}.a")
+    real = pub.table_shape
+
+    def fails(spark, table):
+        if table.endswith(".b"):
+            raise RuntimeError("no")
+        return real(spark, table)
+    monkeypatch.setattr(pub, "table_shape", fails)
+    with pytest.raises(RuntimeError):
+        pub.copy_database(spark, src, dst, root)
+    monkeypatch.undo()
+    spark.catalog.refreshTable(f"{dst}.a")
+    assert (spark.table(f"{dst}.a").count(), spark.table(f"{dst}.b").count()) == (3, 4)
+    assert not [d.name for d in spark.catalog.listDatabases() if d.name.startswith("copy_")]
+
+
+def test_a_copy_replaces_rows_layout_and_absent_tables(spark, tmp_out):
+    keyed = spark.range(40).select("id", (F.col("id") % 3).cast("string").alias("k"))
+    src = database(spark, tmp_out, a=spark.range(3), old=spark.range(1))
+    dst, root = unique_name("dst"), tmp_out("dst")
+    pub.copy_database(spark, src, dst, root)
+    spark.sql(f"DROP TABLE {src}.old")
+    spark.sql(f"DROP TABLE {src}.a")
+    lay.create_partitioned_table(spark, keyed, f"{src}.a", tmp_out("a2"), "k")
+    lay.write_partition(keyed, f"{src}.a")
+    lay.write_hash_partitions(keyed, f"{src}.b", "id", 4, tmp_out("b2"))
+    files = {f for f in os.listdir(root)}
+    pub.copy_database(spark, src, dst, root)
+    assert {t.name for t in spark.catalog.listTables(dst) if not t.isTemporary} == {"a", "b"}
+    assert spark.table(f"{dst}.a").where("k = '1'").count() == 13 and spark.table(f"{dst}.b").count() == 40
+    assert pub.table_shape(spark, f"{dst}.a")[0] == ["k"] and pub.table_shape(spark, f"{dst}.b")[1:3] == (["id"], 4)
+    assert not files & set(os.listdir(root))  # the old copies' files are gone
+
+
+def test_versions_switch_in_one_step(spark, tmp_out):
+    live, root = unique_name("live"), tmp_out("live")
+    v1 = {"a": spark.range(3), "b": spark.range(4).withColumn("x", F.lit("one"))}
+    v2 = {"a": spark.range(5).withColumn("more", F.lit(1)), "c": spark.range(6)}
+    assert pub.live_version(spark, live) is None
+    pub.stage_version(spark, live, root, "v1", v1)
+    assert pub.switch_version(spark, live, root, "v1") is None
+    count = lambda t: spark.table(f"{live}.{t}").count()
+    before = spark.table(f"{live}.a").crossJoin(spark.table(f"{live}.b").select(F.col("id").alias("i")))
+    assert (count("a"), count("b"), before.count()) == (3, 4, 12)
+    pub.stage_version(spark, live, root, "v2", v2)
+    assert (count("a"), count("b"), pub.live_version(spark, live)) == (3, 4, "v1")
+    assert pub.switch_version(spark, live, root, "v2") == "v1"
+    assert (count("a"), count("b"), count("c")) == (5, 0, 6)
+    assert spark.table(f"{live}.a").columns == ["id", "more"] and spark.table(f"{live}.b").columns == ["id", "x"]
+    assert pub.switch_version(spark, live, root, "v1") == "v2"  # and back
+    assert (count("a"), count("b"), count("c")) == (3, 4, 0)
+    assert spark.table(f"{live}.a").where("more is null").count() == 3
+    with pytest.raises(ValueError, match="live"):
+        pub.drop_version(spark, live, "v1")
+    pub.drop_version(spark, live, "v2")
+    with pytest.raises(ValueError, match="no rows"):
+        pub.switch_version(spark, live, root, "v2")
+    with pytest.raises(ValueError, match="no rows"):
+        pub.switch_version(spark, live, root, "never")
+    with pytest.raises(ValueError):
+        pub.stage_version(spark, live, root, "v3", {})
+    assert count("a") == 3
+
+
+def test_one_query_reads_the_manifest_once(spark, tmp_out):
+    live, root = unique_name("live"), tmp_out("live")
+    pub.stage_version(spark, live, root, "v1", {"a": spark.range(3), "b": spark.range(4)})
+    pub.switch_version(spark, live, root, "v1")
+    both = spark.table(f"{live}.a").join(spark.table(f"{live}.b"), "id")
+    assert both.count() == 3
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedSubquery" in plan and "PartitionFilters: [isnotnull(_version" in plan
+
+
+def test_sketches_merge_load_by_load(spark, tmp_out):
+    rows = [(g, p, v) for g in ("x", "y", None) for p in ("2024-01", "2024-02", None) for v in range(30 if g == "x" else 7)]
+    df = spark.createDataFrame(rows, "g string, p string, v long")
+    path = tmp_out("sketches")
+    assert sk.sketch_table(spark, path) is None
+
+    def estimates():
+        return sorted(((r["g"], r["n"]) for r in sk.hll_rollup(spark.read.parquet(path), ["g"], out="n").collect()), key=repr)
+
+    def files(period):
+        return sorted(f for f in os.listdir(f"{path}/p={period}") if f.endswith(".parquet"))
+    sk.load_sketches(df.where("v < 5"), path, ["g"], "v", "p")
+    assert estimates() == [("x", 5), ("y", 5), (None, 5)]
+    kept = files("2024-01")
+    sk.load_sketches(df.where("p = '2024-02'"), path, ["g"], "v", "p")
+    assert estimates() == [("x", 30), ("y", 7), (None, 7)] and files("2024-01") == kept
+    sk.load_sketches(df.where("p = '2024-02'"), path, ["g"], "v", "p")  # again: nothing changes
+    sk.load_sketches(df.where("p is null"), path, ["g"], "v", "p")
+    sk.load_sketches(df.where("false"), path, ["g"], "v", "p")
+    assert estimates() == [("x", 30), ("y", 7), (None, 7)] and files("2024-01") == kept
+    assert spark.read.parquet(path).count() == 9
