@@ -10,16 +10,19 @@ num / den to an earlier line (by doc_id, then line number) are removed.
    place of the first and what the join needs of the line: its number of words,
    a parity bitmap and its prefix. This table gives each distinct line an id,
    in the order of the places.
-3. Each line is filed under its prefix, its n - ceil(t n) + 1 rarest words:
-   two lines that similar share a prefix word. A pair meeting there survives
-   if the lengths allow the similarity (length filter), if enough words follow
-   both positions (positional filter), and if the lines' parity bitmaps differ
-   in no more bits than the sets may differ in words (bitmap filter).
+3. Each line is filed under its prefix, its n - ceil(t n) + ``SHARED`` rarest
+   words: two lines that similar share ``SHARED`` prefix words (or all words
+   that they must share, if fewer). A word where two lines meet counts if the
+   lengths allow the similarity (length filter), if enough words follow both
+   positions (positional filter), and if the lines' parity bitmaps differ in no
+   more bits than the sets may differ in words (bitmap filter); a pair that
+   meets in ``SHARED`` words survives. Two random lines may share one rare
+   word, hardly ever two.
 4. Survivors are verified on their whole word sets, each line against its
    earliest candidate first.
-5. Before the join, a line is verified against its hub, the earliest line under
-   the prefix words it has. Lines found there do not look for further partners,
-   so that a crowd of near copies is not joined all with all.
+5. Before the join, a line is verified against its hub, the earliest line with
+   the same two of its three rarest words. Lines found there do not look for
+   further partners, so that a crowd of near copies is not joined all with all.
 
 A hot line is one distinct line; words that very many lines share come last in
 the order and are hardly ever in a prefix.
@@ -38,8 +41,10 @@ NUM, DEN = 4, 5  # similarity of at least 0.8
 SKETCH_BITS = 18
 # ASCII white space besides the space and the line feed.
 OTHER_SPACE = "\t\x0b\x0c\r"
-#: XXH64 with seed 42 of the empty string, which splitting leaves between two spaces.
-EMPTY_WORD = -7444071767201028348
+#: Prefix words that two lines must share to be verified.
+SHARED = 2
+#: Rarest words of a line whose pairs name its hubs, and bits of the map of lines whose texts are needed.
+RAREST, NEEDED_BITS = 3, 1 << 22
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -53,12 +58,13 @@ def words_of(line: Column) -> Column:
     odd = F.contains(line, F.lit(OTHER_SPACE[0]))
     for c in OTHER_SPACE[1:]:
         odd = odd | F.contains(line, F.lit(c))
-    return F.split(F.when(odd, F.translate(line, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(line), " ")
+    spaced = F.when(odd, F.translate(line, OTHER_SPACE, " " * len(OTHER_SPACE))).otherwise(line)
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def word_set(line: str) -> Column:
     """The line's distinct words as 64-bit hashes."""
-    return F.array_remove(F.array_distinct(F.transform(words_of(F.col(line)), lambda w: F.xxhash64(w))), EMPTY_WORD)
+    return F.array_distinct(F.transform(words_of(F.col(line)), lambda w: F.xxhash64(w)))
 
 
 def place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
@@ -67,22 +73,17 @@ def place(doc_id: str = "doc_id", line_no: str = "line_no") -> Column:
             + F.col(line_no).cast("decimal(10,0)")).cast("decimal(32,0)")
 
 
-def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``(k1, k2, line)``: one row per distinct line."""
-    return (lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), "line")
-            .groupBy("k1", "k2").agg(F.first("line").alias("line")))
-
-
 def rarity_sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
-    """One row, one array ``s`` of 2 ** bits bytes: a logarithm of the number
-    of words in each hash bucket, over all lines."""
+    """One row, one array ``s`` of 2 ** bits numbers: a logarithm of the number
+    of words in each hash bucket, over all lines, in the upper six bits."""
     size = 1 << bits
     spark = docs.sparkSession
-    words = lines_of(docs).select(F.explode(words_of(F.col("line"))).alias("w")).select(
+    one_line = docs.select(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")).alias("line"))
+    words = one_line.select(F.explode(words_of(F.col("line"))).alias("w")).select(
         F.xxhash64("w").bitwiseAND(F.lit(size - 1)).alias("b"))
     counted = words.groupBy("b").agg(F.count("*").alias("n"))
     every = counted.unionByName(spark.range(size).select(F.col("id").alias("b"), F.lit(0).cast("long").alias("n")))
-    level = F.least(F.lit(31), F.floor(F.log2(F.sum("n") + 1) * 1.5)).cast("tinyint")
+    level = F.shiftleft(F.least(F.lit(31), F.floor(F.log2(F.sum("n") + 1) * 1.5)).cast("long"), 58)
     dense = every.groupBy("b").agg(level.alias("c"))
     chunks = dense.groupBy(F.shiftright("b", 10).alias("g")).agg(
         F.array_sort(F.collect_list(F.struct("b", "c"))).getField("c").alias("a"))
@@ -90,8 +91,8 @@ def rarity_sketch(docs: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
 
 
 def _prefix_of(n: Column, overlap: Column) -> Column:
-    """Words of a set of n that must hold one of ``overlap`` common words."""
-    return (n - overlap + 1).cast("int")
+    """Words of a set of n that must hold ``SHARED`` of ``overlap`` common words."""
+    return F.least(n, n - overlap + SHARED).cast("int")
 
 
 def _ceil(n: Column, num: int, den: int) -> Column:
@@ -113,11 +114,11 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
     exchanged. ``id`` grows with ``first`` (nulls last), so that of two lines the
     one with the smaller id is the earlier; write the table before using it."""
     lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"),
-                                  word_set("line").alias("h"))
-    seen = lines.select("k1", "k2", "p", "h", rarity_sketch(docs, bits).scalar().alias("s"))
-    number = lambda h: (F.shiftleft(F.get(F.col("s"), h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).cast("long"), 58)
-                        .bitwiseOR(F.shiftrightunsigned(h, 6)))
-    ranked = seen.select("k1", "k2", "p", F.sort_array(F.transform("h", number)).alias("ws"))
+                                  words_of(F.col("line")).alias("w"))
+    seen = lines.select("k1", "k2", "p", "w", rarity_sketch(docs, bits).scalar().alias("s"))
+    number = lambda h: F.coalesce(F.get("s", h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).bitwiseOR(
+        F.shiftrightunsigned(h, 6)), F.lit(0).cast("long"))
+    ranked = seen.select("k1", "k2", "p", F.sort_array(F.array_distinct(F.transform("w", lambda w: number(F.xxhash64(w))))).alias("ws"))
     size = F.size("ws")
     mask = F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
@@ -126,65 +127,66 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
     order = [F.col("first").asc_nulls_last(), F.col("k1")]
     return (sized.groupBy("k1", "k2").agg(F.min("p").alias("first"), F.first("n").alias("n"),
                                           F.first("mask").alias("mask"), F.first("pre").alias("pre"))
+            .withColumn("c", F.coalesce(_size_class(F.col("n"), num, den), F.lit(0)))
             .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("id", F.monotonically_increasing_id()))
 
 
-#: Lines with longer prefixes look for their hub under a quarter of the words.
-WHOLE_PREFIX = 16
-
-
 def hub_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(l, e)``: at most one earlier line for each line, the hub it meets most.
-
-    The hub of a prefix word and size class is the earliest line there. Members
-    of a crowd of near copies share most of their prefix and so their hub: one
-    pair a member finds them, where a join would pair all with all."""
-    m = F.size("pre")
-    filed = table.where("pre is not null").select(
-        "id", "n", "mask", m.alias("m"), _size_class(F.col("n"), num, den).alias("c"), F.explode("pre").alias("w"))
-    filed = filed.where((F.col("m") <= WHOLE_PREFIX) | (F.col("w").bitwiseAND(F.lit(3)) == 0)).repartition("w")
-    hubs = filed.groupBy("w", "c").agg(F.min("id").alias("e"), F.min_by("n", "id").alias("e_n"),
-                                       F.min_by("mask", "id").alias("e_mask"), F.count("*").alias("lines"))
+    """``(l, e)``: at most one earlier line for each line, its likeliest hub.
+
+    The hub of two words is the earliest line that has both among its three
+    rarest. Members of a crowd of near copies mostly share two of these, and so
+    their hub: one pair a member finds them, where a join would pair all with
+    all. Of several hubs the one whose bitmap is nearest is taken."""
+    rare = [F.get("pre", i) for i in range(RAREST)]
+    pairs = [F.when(F.size("pre") > j, F.xxhash64(rare[i], rare[j])) for i in range(RAREST) for j in range(i + 1, RAREST)]
+    keys = F.when(F.size("pre") == 1, F.array(F.xxhash64(rare[0]))).otherwise(F.array_compact(F.array(*pairs)))
+    filed = table.where("n > 0").select("id", "n", "mask", F.explode(keys).alias("w")).repartition("w")
+    hubs = filed.groupBy("w").agg(F.min("id").alias("e"), F.min_by("n", "id").alias("e_n"),
+                                  F.min_by("mask", "id").alias("e_mask"), F.count("*").alias("lines"))
     total = F.col("n") + F.col("e_n")
-    least = _ceil(total, num, num + den)
-    met = filed.join(hubs.where("lines > 1"), ["w", "c"]).where(
+    apart = F.bit_count(F.col("mask").bitwiseXOR(F.col("e_mask")))
+    met = filed.join(hubs.where("lines > 1").hint("shuffle_hash"), "w").where(
         (F.col("e") < F.col("id")) & (F.greatest("n", "e_n") * num <= F.least("n", "e_n") * den)
-        & (F.bit_count(F.col("mask").bitwiseXOR(F.col("e_mask"))) <= total - 2 * least))
-    shared = met.groupBy(F.col("id").alias("l"), "e", "m").agg(F.count("*").alias("met"))
-    often = shared.where(F.col("met") * F.when(F.col("m") <= WHOLE_PREFIX, 3).otherwise(12) >= F.col("m"))
-    return often.groupBy("l").agg(F.max_by("e", "met").alias("e"))
+        & (apart <= total - 2 * _ceil(total, num, num + den)))
+    return met.groupBy(F.col("id").alias("l")).agg(F.min_by("e", F.struct(apart, "e")).alias("e"))
 
 
 def candidate_pairs(table: DataFrame, done: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(l, e)``: ids of lines that pass all three filters, the later one
-    first, but for lines ``l`` in ``done``. One exchange by prefix word serves
-    both sides."""
-    known = [F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) for c, t in (("id", "long"), ("n", "int"), ("mask", "long"))]
+    """``(l, e)``: ids of lines that pass all three filters in ``SHARED`` prefix
+    words, the later one first, but for lines ``l`` in ``done``. One exchange by
+    prefix word serves both sides."""
+    known = [F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) for c, t in (("id", "long"), ("n", "int"), ("c", "int"), ("mask", "long"))]
     known.append(F.col("done").isNotNull().alias("done"))
     table = table.join(done.select(F.col("l").alias("id"), F.lit(1).alias("done")), "id", "left")
-    # as no column is null, neither side of the join gets filters of its own below the exchange
+    # as no column is null, no side of the joins gets filters of its own below the exchange; equal words are told by
+    # their difference, as an equality would be a third key
     filed = (table.select(*known, F.posexplode_outer("pre").alias("i", "w"))
-             .where("w is not null and i is not null").repartition("w"))
-    own = F.coalesce(_size_class(F.col("n"), num, den), F.lit(0))
-    # even classes hold the lines not done, odd ones those done, which only the former look up
-    probe = filed.select(*[F.col(c).alias("a_" + c) for c in filed.columns],
-                         F.explode(F.array(own * 2, own * 2 - 2, F.when(~F.col("done"), own * 2 + 1),
-                                           F.when(~F.col("done"), own * 2 - 1))).alias("a_class"))
-    # the smaller of two similar sets has a common word even earlier: only those places are looked up
+             .where("w is not null and i is not null").withColumn("h", F.hash("w")).repartition("h"))
+    # the larger set looks up its own size class and the next smaller one; two int keys are joined as one long
+    larger = filed.select(*[F.col(c).alias("a_" + c) for c in filed.columns if c != "c"],
+                          F.explode(F.array(F.col("c"), F.col("c") - 1)).alias("a_c"))
+    # the smaller of two similar sets has its common words even earlier: only those places are looked up
     early = F.col("i") < _prefix_of(F.col("n"), _ceil(F.col("n"), 2 * num, num + den))
-    index = filed.select(*[F.col(c).alias("b_" + c) for c in filed.columns],
-                         F.when(early, own * 2 + F.col("done").cast("int")).otherwise(F.lit(-9)).alias("b_class"))
+    smaller = filed.where(early).select(*[F.col(c).alias("b_" + c) for c in filed.columns])
     total = F.col("a_n") + F.col("b_n")
     least = _ceil(total, num, num + den)
-    larger = (F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") > F.col("b_id")))
-    met = probe.join(
-        index.hint("shuffle_hash"), (F.col("a_w") == F.col("b_w")) & (F.col("a_class") == F.col("b_class")) & larger
-        & (F.col("b_n") * den >= F.col("a_n") * num)
-        & (F.col("a_n") - F.col("a_i") >= least) & (F.col("b_n") - F.col("b_i") >= least)
-        & ~F.when(F.col("a_id") > F.col("b_id"), F.col("a_done")).otherwise(F.col("b_done"))
-        & (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= total - 2 * least))
-    return met.select(F.greatest("a_id", "b_id").alias("l"), F.least("a_id", "b_id").alias("e")).distinct()
+    # of the common words, the SHARED-th still has this many after it on both sides
+    rest = least - (SHARED - 1)
+    fit = ((F.col("a_h") == F.col("b_h")) & (F.col("a_c") == F.col("b_c")) & (F.col("a_w").bitwiseXOR(F.col("b_w")) == 0)
+           & ((F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") > F.col("b_id"))))
+           & (F.col("b_n") * den >= F.col("a_n") * num)
+           & (F.col("a_n") - F.col("a_i") >= rest) & (F.col("b_n") - F.col("b_i") >= rest)
+           & ~F.when(F.col("a_id") > F.col("b_id"), F.col("a_done")).otherwise(F.col("b_done"))
+           & (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= total - 2 * least))
+    # lines that are done meet those that are not, never each other
+    first = larger.where(~F.col("a_done")).join(smaller.hint("shuffle_hash"), fit)
+    second = smaller.where(~F.col("b_done")).join(larger.where("a_done").hint("shuffle_hash"), fit)
+    met = first.unionByName(second.select(*first.columns))
+    pairs = met.groupBy(F.greatest("a_id", "b_id").alias("l"), F.least("a_id", "b_id").alias("e")).agg(
+        F.count("*").alias("met"), F.min(F.least(F.lit(SHARED).cast("long"), least)).alias("need"))
+    return pairs.where("met >= need").select("l", "e")
 
 
 @contextmanager
@@ -199,11 +201,28 @@ def _joins_on_part_of_the_key(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def candidate_texts(docs: DataFrame, table: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(id, first, line)`` of the lines that occur in ``pairs``."""
+def _bit_map(keys: DataFrame, key: str, bits: int = NEEDED_BITS) -> Column:
+    """An array of 64-bit words with a bit set for each of ``keys``, as a scalar."""
+    words = keys.select((F.pmod(F.col(key), F.lit(bits)) / 64).cast("int").alias("g"), F.call_function(
+        "shiftleft", F.lit(1).cast("long"), F.pmod(F.col(key), F.lit(64)).cast("int")).alias("b"))
+    every = keys.sparkSession.range(bits // 64).select(F.col("id").cast("int").alias("g"), F.lit(0).cast("long").alias("b"))
+    dense = words.groupBy("g").agg(F.bit_or("b").alias("b")).unionByName(every).groupBy("g").agg(F.bit_or("b").alias("b"))
+    chunks = dense.groupBy(F.shiftright("g", 10).alias("h")).agg(
+        F.array_sort(F.collect_list(F.struct("g", "b"))).getField("b").alias("a"))
+    return chunks.agg(F.flatten(F.array_sort(F.collect_list(F.struct("h", "a"))).getField("a")).alias("s")).scalar()
+
+
+def candidate_texts(spark: SparkSession, docs: DataFrame, table: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(id, first, line)`` of the lines that occur in ``pairs``. Only lines
+    whose hash meets the bit of one that is needed are grouped."""
     needed = pairs.select(F.explode(F.array("l", "e")).alias("id")).distinct()
-    keys = table.select("id", "first", "k1", "k2").join(needed, "id", "left_semi")
-    return keys.join(distinct_lines(docs), ["k1", "k2"]).select("id", "first", "line")
+    keys = stored(spark, table.select("id", "first", "k1", "k2").join(needed, "id", "left_semi"), "needed")
+    lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), "line",
+                                  _bit_map(keys, "k1").alias("s"))
+    word = F.get("s", (F.pmod(F.col("k1"), F.lit(NEEDED_BITS)) / 64).cast("int"))
+    some = lines.where(F.getbit(word, F.pmod(F.col("k1"), F.lit(64)).cast("int")) == 1)
+    texts = some.groupBy("k1", "k2").agg(F.first("line").alias("line"))
+    return keys.join(texts, ["k1", "k2"]).select("id", "first", "line")
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, num: int, den: int) -> DataFrame:
@@ -228,12 +247,11 @@ def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: i
     its hub alone. Those found there need no other partner, though they stay
     partners of the others. Lines left are verified against their earliest
     candidate, and those that fail there against all others."""
-    with _joins_on_part_of_the_key(spark):
-        hubs = stored(spark, hub_pairs(table, num, den), "hubs", release=True)
-    copies = stored(spark, _alike(hubs, candidate_texts(docs, table, hubs), num, den), "copies", release=True)
+    hubs = stored(spark, hub_pairs(table, num, den), "hubs", release=True)
+    copies = stored(spark, _alike(hubs, candidate_texts(spark, docs, table, hubs), num, den), "copies", release=True)
     with _joins_on_part_of_the_key(spark):
         pairs = stored(spark, candidate_pairs(table, copies, num, den), "candidates", release=True)
-    texts = stored(spark, candidate_texts(docs, table, pairs), "texts", release=True)
+    texts = stored(spark, candidate_texts(spark, docs, table, pairs), "texts", release=True)
     earliest = pairs.groupBy("l").agg(F.min("e").alias("e"))
     found = stored(spark, _alike(earliest, texts, num, den), "found", release=True)
     open_lines = earliest.join(found, "l", "left_anti").withColumnRenamed("e", "tried")
