@@ -40,6 +40,20 @@ SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|["
            + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
 
+# Letters and numbers that Unicode has got since version 16, which the
+# tokenizer's classes follow: it splits around them as around signs.
+LATER = (
+    "0558 058B-058C 088F 0C5C 0CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D "
+    "107BB-107BF 10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DE0-11DE9 11DF1 1246F "
+    "12475-1247F 12550-12686 16EA0-16EB8 16EBB-16ED3 16FF2-16FF6 187F8-187FF 18CD6-18CDA 18D09-18D20 "
+    "18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 "
+    "1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED 1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F "
+    "2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F")
+_LATER = "".join("-".join(f"\\U{int(x, 16):08X}" for x in r.split("-")) for r in LATER.split())
+#: The pattern for texts that hold some of them.
+PATTERN_LATER = (r"'s|'t|'re|'ve|'m|'ll|'d| ?(?:(?![" + _LATER + r"])\p{L})+| ?(?:(?![" + _LATER + r"])\p{N})+"
+                 + r"| ?(?:[^" + SPACE + r"\p{L}\p{N}]|[" + _LATER + r"])+|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -178,6 +192,8 @@ class Bpe:
 _PLAIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+").findall
 _ODD = re.compile("[^\t-\r -~\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]").search
 _ANY = regex.compile(PATTERN).findall
+_ANY_LATER = regex.compile(PATTERN_LATER).findall
+_HAS_LATER = re.compile(f"[{_LATER}]").search
 
 
 class Coder:
@@ -196,6 +212,8 @@ class Coder:
             for i, part in enumerate(self.marks(text)):
                 out.extend([part] if i % 2 else self.pieces(part))
             return out
+        if not text.isascii() and _HAS_LATER(text):
+            return _ANY_LATER(text)
         return _ANY(text) if _ODD(text) else _PLAIN(text)
 
     def learn(self, words: set[str]) -> None:

@@ -8,8 +8,7 @@ the lineage stays short and a lost executor costs one round at most.
 
 from __future__ import annotations
 
-import gc
-import time
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,17 +16,24 @@ from pyspark.sql import functions as F
 from ledgerloom.session import scratch_path
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str, release: bool = False) -> DataFrame:
-    """``df`` as a written table in the shared folder. ``release`` has Spark
-    notice at once that the shuffles behind it are no longer needed, which it
-    otherwise does when the driver next collects its garbage."""
+@contextmanager
+def _shuffles_end_with_their_query(spark: SparkSession):
+    """Spark removes the shuffle files of a query when it ends, rather than
+    when the driver next collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a written table in the shared folder."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
-    if release:
-        for _ in range(2):  # the first finds the shuffles unreachable, the second what they held
-            gc.collect()
-            spark.sparkContext._jvm.System.gc()
-            time.sleep(0.5)
+    with _shuffles_end_with_their_query(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

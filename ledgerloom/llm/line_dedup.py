@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.graph import stored
+from ledgerloom.operators.attributes import quote_name
 
 NUM, DEN = 4, 5  # similarity of at least 0.8
 SKETCH_BITS = 18
@@ -127,7 +128,6 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
     order = [F.col("first").asc_nulls_last(), F.col("k1")]
     return (sized.groupBy("k1", "k2").agg(F.min("p").alias("first"), F.first("n").alias("n"),
                                           F.first("mask").alias("mask"), F.first("pre").alias("pre"))
-            .withColumn("c", F.coalesce(_size_class(F.col("n"), num, den), F.lit(0)))
             .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("id", F.monotonically_increasing_id()))
 
@@ -157,33 +157,41 @@ def candidate_pairs(table: DataFrame, done: DataFrame, num: int = NUM, den: int
     """``(l, e)``: ids of lines that pass all three filters in ``SHARED`` prefix
     words, the later one first, but for lines ``l`` in ``done``. One exchange by
     prefix word serves both sides."""
-    known = [F.coalesce(F.col(c), F.lit(0).cast(t)).alias(c) for c, t in (("id", "long"), ("n", "int"), ("c", "int"), ("mask", "long"))]
-    known.append(F.col("done").isNotNull().alias("done"))
     table = table.join(done.select(F.col("l").alias("id"), F.lit(1).alias("done")), "id", "left")
-    # as no column is null, no side of the joins gets filters of its own below the exchange; equal words are told by
-    # their difference, as an equality would be a third key
-    filed = (table.select(*known, F.posexplode_outer("pre").alias("i", "w"))
-             .where("w is not null and i is not null").withColumn("h", F.hash("w")).repartition("h"))
-    # the larger set looks up its own size class and the next smaller one; two int keys are joined as one long
-    larger = filed.select(*[F.col(c).alias("a_" + c) for c in filed.columns if c != "c"],
-                          F.explode(F.array(F.col("c"), F.col("c") - 1)).alias("a_c"))
+    # four longs a row: the size, the position and whether the line is done share one. As no column is null, no side
+    # of the joins gets filters of its own below the exchange
+    long = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    packed = F.shiftleft(long("n"), 32).bitwiseOR(F.shiftleft(long("i"), 1)).bitwiseOR(long("done"))
+    filed = (table.select("id", "n", "mask", "done", F.posexplode_outer("pre").alias("i", "w")).where("w is not null and i is not null")
+             .select(long("id").alias("id"), long("mask").alias("mask"), packed.alias("x"), "w").repartition(F.hash("w")))
+
+    n = F.shiftrightunsigned("x", 32).cast("int")
+    i = F.shiftrightunsigned(F.col("x").bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int")
+    late = F.col("x").bitwiseAND(F.lit(1)).cast("int")
+
+    def side(p: str, c: Column) -> DataFrame:
+        return filed.select(F.col("id").alias(p + "id"), F.col("mask").alias(p + "mask"), F.col("w").alias(p + "w"),
+                            n.alias(p + "n"), i.alias(p + "i"), (late == 1).alias(p + "done"), c.alias(p + "c"))
+
+    # the larger set looks up its own size class and the next smaller one: even numbers hold the lines not done, odd
+    # ones those done, which only the former look up. Word and class, two int keys, are joined as one long
+    own = F.coalesce(_size_class(n, num, den), F.lit(0)) * 2
+    larger = side("a_", F.explode(F.when(late == 1, F.array(own, own - 2)).otherwise(F.array(own, own - 2, own + 1, own - 1))))
     # the smaller of two similar sets has its common words even earlier: only those places are looked up
-    early = F.col("i") < _prefix_of(F.col("n"), _ceil(F.col("n"), 2 * num, num + den))
-    smaller = filed.where(early).select(*[F.col(c).alias("b_" + c) for c in filed.columns])
+    early = i < _prefix_of(n, _ceil(n, 2 * num, num + den))
+    smaller = side("b_", F.when(early, own + late).otherwise(F.lit(-9)))
     total = F.col("a_n") + F.col("b_n")
     least = _ceil(total, num, num + den)
-    # of the common words, the SHARED-th still has this many after it on both sides
+    # equal words are told by their difference: an equality would be a third key.
+    # Of the common words, the SHARED-th still has this many after it on both sides
     rest = least - (SHARED - 1)
-    fit = ((F.col("a_h") == F.col("b_h")) & (F.col("a_c") == F.col("b_c")) & (F.col("a_w").bitwiseXOR(F.col("b_w")) == 0)
+    fit = ((F.hash("a_w") == F.hash("b_w")) & (F.col("a_c") == F.col("b_c")) & (F.col("a_w").bitwiseXOR(F.col("b_w")) == 0)
            & ((F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") > F.col("b_id"))))
            & (F.col("b_n") * den >= F.col("a_n") * num)
            & (F.col("a_n") - F.col("a_i") >= rest) & (F.col("b_n") - F.col("b_i") >= rest)
            & ~F.when(F.col("a_id") > F.col("b_id"), F.col("a_done")).otherwise(F.col("b_done"))
            & (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= total - 2 * least))
-    # lines that are done meet those that are not, never each other
-    first = larger.where(~F.col("a_done")).join(smaller.hint("shuffle_hash"), fit)
-    second = smaller.where(~F.col("b_done")).join(larger.where("a_done").hint("shuffle_hash"), fit)
-    met = first.unionByName(second.select(*first.columns))
+    met = larger.join(smaller.hint("shuffle_hash"), fit)
     pairs = met.groupBy(F.greatest("a_id", "b_id").alias("l"), F.least("a_id", "b_id").alias("e")).agg(
         F.count("*").alias("met"), F.min(F.least(F.lit(SHARED).cast("long"), least)).alias("need"))
     return pairs.where("met >= need").select("l", "e")
@@ -247,17 +255,17 @@ def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: i
     its hub alone. Those found there need no other partner, though they stay
     partners of the others. Lines left are verified against their earliest
     candidate, and those that fail there against all others."""
-    hubs = stored(spark, hub_pairs(table, num, den), "hubs", release=True)
-    copies = stored(spark, _alike(hubs, candidate_texts(spark, docs, table, hubs), num, den), "copies", release=True)
+    hubs = stored(spark, hub_pairs(table, num, den), "hubs")
+    copies = stored(spark, _alike(hubs, candidate_texts(spark, docs, table, hubs), num, den), "copies")
     with _joins_on_part_of_the_key(spark):
-        pairs = stored(spark, candidate_pairs(table, copies, num, den), "candidates", release=True)
-    texts = stored(spark, candidate_texts(spark, docs, table, pairs), "texts", release=True)
+        pairs = stored(spark, candidate_pairs(table, copies, num, den), "candidates")
+    texts = stored(spark, candidate_texts(spark, docs, table, pairs), "texts")
     earliest = pairs.groupBy("l").agg(F.min("e").alias("e"))
-    found = stored(spark, _alike(earliest, texts, num, den), "found", release=True)
+    found = stored(spark, _alike(earliest, texts, num, den), "found")
     open_lines = earliest.join(found, "l", "left_anti").withColumnRenamed("e", "tried")
     rest = pairs.join(open_lines, "l").where("e > tried").select("l", "e")
     later = copies.unionByName(found).unionByName(_alike(rest, texts, num, den).distinct())
-    return stored(spark, later.withColumnRenamed("l", "id"), "later", release=True)
+    return stored(spark, later.withColumnRenamed("l", "id"), "later")
 
 
 def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -269,8 +277,10 @@ def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
     lines, an empty one a single blank line. Rows that share a doc_id are the
     same document. Documents without id come after all others, as one
     document, and are not told apart: a line they alone hold stays wherever it
-    is. Tokens are compared by 64-bit hashes. An empty table gives no rows."""
-    table = stored(spark, line_table(docs, num, den), "lines", release=True)
+    is. Tokens are compared by 64-bit hashes. An empty table gives no rows. Ids
+    are whole numbers of up to 20 digits; others fail in the cast. Further columns
+    are ignored, whatever their names."""
+    table = stored(spark, line_table(docs, num, den), "lines")
     similar = later_matches(spark, docs, table, num, den).withColumn("similar", F.lit(True))
     lines = docs.select(F.col("doc_id"), F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line")).select(
         "doc_id", "line_no", F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"))
@@ -287,14 +297,15 @@ def removed_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int
 
 def drop_similar_lines(spark: SparkSession, docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs`` without the removed lines; a document that loses all of its
-    words that way goes. Documents without an id are not changed."""
-    removed = stored(spark, removed_lines(spark, docs, num, den).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("removed").alias("_removed")), "removed", release=True)
-    joined = docs.join(removed, F.col("doc_id") == F.col("_id"), "left")
-    parts = F.split("text", "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
-    text = F.array_join(F.transform(kept, lambda i: F.get(F.col("_parts"), i)), "\n")
-    done = joined.withColumn("_parts", parts).withColumn(
-        "text", F.when(F.col("_id").isNull(), F.col("text")).otherwise(text))
+    words that way goes. Documents without an id are not changed. All columns
+    but text are kept as they are, whatever their names."""
+    removed = stored(spark, removed_lines(spark, docs, num, den).where("n_removed > 0").select("doc_id", "removed"), "removed")
+    rows = docs.select(F.struct(*[F.col(quote_name(c)) for c in docs.columns]).alias("row"), F.col("doc_id").alias("of"),
+                       F.col("text"), F.split("text", "\n").alias("parts"))
+    joined = rows.join(removed, F.col("of") == F.col("doc_id"), "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("parts") - 1), F.col("removed"))
+    text = F.array_join(F.transform(kept, lambda i: F.get(F.col("parts"), i)), "\n")
+    done = joined.select("row", "doc_id", F.when(F.col("doc_id").isNull(), F.col("text")).otherwise(text).alias("text"))
     worded = F.rlike(F.col("text"), F.lit(r"[^\x20\x09-\x0D]"))
-    return done.where(F.col("_id").isNull() | worded).select(*docs.columns)
+    return done.where(F.col("doc_id").isNull() | worded).select(
+        *[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.llm.graph import components, stored
 from ledgerloom.llm.workers import ready
+from ledgerloom.operators.attributes import quote_name
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 # Generator polynomial of the binary Golay code (23, 12, 7);
@@ -74,15 +75,15 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id"
 
 
 def _with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
-    """The rows of ``docs`` with the fingerprint of their text as ``_row_fp``."""
+    """The rows of ``docs`` with the fingerprint of their text as ``row_fp``."""
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_py(), shingle) for t in b.column(at)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))], names=[*b.schema.names, "_row_fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps.view(np.int64))], names=[*b.schema.names, "row_fp"])
 
-    return ready(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_row_fp", T.LongType())]))
+    return ready(docs).mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("row_fp", T.LongType())]))
 
 
 def _syndromes(words: np.ndarray) -> np.ndarray:
@@ -188,29 +189,28 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, shingle: int = SHINGLE,
     """The rows of ``docs`` that stay: of each group the document with the
     smallest doc_id (once, if its row is repeated; of rows that share this id
     the one with the group's smallest fingerprint, then text; a group whose ids
-    are all null keeps one row). Columns are those of ``docs``."""
+    are all null keeps one row). Columns are those of ``docs``, whatever their
+    names; they travel as one struct beside the id and the text."""
     groups = simhash_groups(spark, docs, shingle, max_bits)
     kept = (groups.where("doc_id = component_id").groupBy("root").agg(F.min(F.struct("doc_id", "fp")).alias("k"))
-            .select(F.col("k.doc_id").alias("_id"), F.col("k.fp").alias("_fp")))
-    ids = kept.select("_id").distinct()
-    shared = stored(spark, groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).count()
-                    .where("count > 1").select("_id"), "shared")
-    named = docs.join(ids, docs["doc_id"] == ids["_id"], "left_semi")
+            .select(F.col("k.doc_id").alias("id"), F.col("k.fp").alias("kept_fp")))
+    ids = kept.select("id").distinct()
+    shared = stored(spark, groups.where("doc_id is not null").groupBy(F.col("doc_id").alias("id")).count()
+                    .where("count > 1").select("id"), "shared")
+    rows = docs.select(F.struct(*[F.col(quote_name(c)) for c in docs.columns]).alias("row"), F.col("doc_id").alias("of"), "text")
+    named = rows.join(ids, rows["of"] == ids["id"], "left_semi")
     if not shared.isEmpty():
         # rows that share an id may differ in text: the fingerprint tells which of them the group keeps
-        several = _with_fingerprint(named.join(shared, named["doc_id"] == shared["_id"], "left_semi"), shingle)
-        several = several.join(kept, (several["doc_id"] == kept["_id"]) & several["_row_fp"].eqNullSafe(kept["_fp"]), "left_semi")
-        several = (several.groupBy("doc_id", "_row_fp")
-                   .agg(F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns))).alias("_row"))
-                   .select("_row.*"))
-        named = named.join(shared, named["doc_id"] == shared["_id"], "left_anti").unionByName(several)
-    lost = groups.where("component_id is null").select(F.col("fp").alias("_fp"), F.col("root").alias("_root"))
-    if lost.isEmpty():
-        return named
-    pick = lost.groupBy("_root").agg(F.min("_fp").alias("_fp")).select("_fp")
-    nameless = docs.where("doc_id is null")
-    at = fingerprints(nameless.select(F.xxhash64("text").alias("doc_id"), "text"), shingle)
-    texts = at.join(pick, at["fp"] == pick["_fp"], "left_semi").groupBy("fp").agg(F.min("doc_id").alias("_t"))
-    return named.unionByName(
-        nameless.withColumn("_t", F.xxhash64("text")).join(texts.select("_t"), "_t", "left_semi")
-        .dropDuplicates(["_t"]).select(*docs.columns))
+        several = _with_fingerprint(named.join(shared, named["of"] == shared["id"], "left_semi"), shingle)
+        several = several.join(kept, (several["of"] == kept["id"]) & several["row_fp"].eqNullSafe(kept["kept_fp"]), "left_semi")
+        several = several.groupBy("of", "row_fp").agg(F.min_by("row", F.struct("text", F.xxhash64("row"))).alias("row"))
+        named = named.join(shared, named["of"] == shared["id"], "left_anti").select("row").unionByName(several.select("row"))
+    lost = groups.where("component_id is null").select("fp", "root")
+    if not lost.isEmpty():
+        pick = lost.groupBy("root").agg(F.min("fp").alias("least")).select("least")
+        nameless = rows.where("of is null").withColumn("key", F.xxhash64("text"))
+        at = fingerprints(nameless.select("key", "text"), shingle, id_col="key")
+        texts = at.join(pick, at["fp"] == pick["least"], "left_semi").groupBy("fp").agg(F.min("doc_id").alias("key"))
+        named = named.select("row").unionByName(
+            nameless.join(texts.select("key"), "key", "left_semi").dropDuplicates(["key"]).select("row"))
+    return named.select("row.*")
