@@ -226,12 +226,13 @@ def _repeated(keyed: DataFrame, two_pass: bool | None, null_too: bool) -> DataFr
     h = F.xxhash64(*cols)
     hashes = keyed.groupBy(h.alias("_h")).agg(F.count(F.lit(1)).alias("_n"), F.max(null).alias("_null"))
     place = F.pmod(F.col("_h"), F.lit(SUSPECT_BITS)).cast("int")
-    words = hashes.where((F.col("_n") > 1) | F.col("_null") if null_too else F.col("_n") > 1).groupBy(
-        (place / WORD_BITS).cast("int").alias("w")).agg(F.bit_or(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(WORD_BITS)))).alias("bits"))
-    suspects = words.agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m")).select(
-        F.transform(F.sequence(F.lit(0), F.lit(SUSPECT_BITS // WORD_BITS - 1)),
-                    lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0).cast("long"))).alias("a")).scalar()
+    words = hashes.where((F.col("_n") > 1) | F.col("_null") if null_too else F.col("_n") > 1).select(
+        (place / WORD_BITS).cast("int").alias("w"),
+        F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(WORD_BITS))).alias("bits"))
+    # every word of the map, those without a suspect as zero, in order
+    empty = keyed.sparkSession.range(SUSPECT_BITS // WORD_BITS).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("bits"))
+    dense = words.groupBy("w").agg(F.bit_or("bits").alias("bits")).unionByName(empty).groupBy("w").agg(F.bit_or("bits").alias("bits"))
+    suspects = dense.agg(F.array_sort(F.collect_list(F.struct("w", "bits"))).getField("bits").alias("a")).scalar()
     mine = F.pmod(h, F.lit(SUSPECT_BITS)).cast("int")
     word = F.get(suspects, (mine / WORD_BITS).cast("int"))
     return counted(keyed.where(F.getbit(word, F.pmod(mine, F.lit(WORD_BITS))) == 1))

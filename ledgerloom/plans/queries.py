@@ -81,6 +81,19 @@ def attributes_sink(spark, sf):
     return spark.read.parquet(path).select("attribute", "value", "row_count")
 
 
+@register("attributes_catalog_table", PART_ATTRS_SQL)
+def attributes_catalog_table(spark, sf):
+    """``<table>_attributes`` made from a catalog table, one partition per text
+    column, rebuilt over an older one."""
+    db = unique_name("attrs")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch_path(spark, db)}'")
+    part = table(spark, sf, "part")
+    part.where("p_size > 25").write.saveAsTable(f"{db}.part")
+    attr.create_attributes_table(spark, f"{db}.part")
+    part.write.mode("overwrite").saveAsTable(f"{db}.part")
+    return spark.table(attr.create_attributes_table(spark, f"{db}.part")).select("attribute", "value", "row_count")
+
+
 AUTOCOMPLETE_SQL = """
 SELECT value, row_count FROM ({attrs}) a
 WHERE attribute = '{attribute}' AND lower(value) LIKE '{pattern}'
@@ -221,6 +234,10 @@ GROUP BY 1, 3
 def rates_melt(spark, sf):
     """Lay orders out as a wide rate file (one column per 3-letter priority
     code, N/A where a day has no order of that priority), then load it."""
+    return rc.load_rates(spark, _wide_rate_file(spark, sf))
+
+
+def _wide_rate_file(spark, sf) -> str:
     o = table(spark, sf, "orders")
     wide = (
         o.where("o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL")
@@ -232,7 +249,25 @@ def rates_melt(spark, sf):
     text = wide.select("Date", *[F.coalesce(F.col(c).cast("string"), F.lit(rc.MISSING)).alias(c) for c in codes])
     path = scratch_path(spark, "rates_csv")
     text.write.option("header", True).mode("overwrite").csv(path)
-    return rc.load_rates(spark, path)
+    return path
+
+
+@register("rate_table_written", """
+WITH q AS (SELECT substr(o_orderpriority, 3, 3) AS currency, min(o_totalprice) AS exchange_rate, CAST(o_orderdate AS DATE) AS date
+           FROM orders WHERE o_totalprice IS NOT NULL AND o_orderdate IS NOT NULL AND o_orderpriority IS NOT NULL
+             AND length(trim(substr(o_orderpriority, 3, 3))) = 3
+           GROUP BY 1, 3),
+cal AS (SELECT currency, CAST(unnest(generate_series(min(date), (SELECT max(date) FROM q), INTERVAL 1 DAY)) AS DATE) AS date
+        FROM q GROUP BY currency)
+SELECT cal.currency, q.exchange_rate, cal.date FROM cal ASOF JOIN q ON cal.currency = q.currency AND cal.date >= q.date
+UNION ALL SELECT 'EUR', 1.0::DOUBLE, date FROM (SELECT DISTINCT date FROM cal)
+""")
+def rate_table_written(spark, sf):
+    """The whole rate table from a wide file (quotes, filled days, base rows),
+    stored laid out for lookups by currency and date, read back."""
+    path = scratch_path(spark, "rate_table")
+    rc.write_rate_table(rc.build_rate_table(spark, _wide_rate_file(spark, sf)), path)
+    return spark.read.parquet(path)
 
 
 def _line_quotes(spark, sf, text_key: bool = True) -> DataFrame:

@@ -88,9 +88,10 @@ def load_rates(spark: SparkSession, path: str) -> DataFrame:
 def build_rate_table(spark: SparkSession, path: str, end=None, base: str = "EUR") -> DataFrame:
     """The complete daily rate table from a wide rate file: load, carry the
     last quote forward through ``end`` (default: the last quoted day), add
-    ``base`` at rate 1 on every date."""
-    from ledgerloom.operators.series import gap_fill, with_base_rows
-    return with_base_rows(gap_fill(load_rates(spark, path), end=end), base=base)
+    ``base`` at rate 1 on every date (found from the quotes, not the dense rows)."""
+    from ledgerloom.operators.series import base_rows, gap_fill
+    quotes = load_rates(spark, path)
+    return gap_fill(quotes, end=end).unionByName(base_rows(quotes, base=base, end=end))
 
 
 def write_rate_table(rates: DataFrame, path: str) -> None:
