@@ -21,7 +21,7 @@ num / den to an earlier line (by doc_id, then line number) are removed.
 4. Survivors are verified on their whole word sets, each line against its
    earliest candidate first.
 5. Before the join, a line is verified against its hub, the earliest line with
-   the same two of its three rarest words. Lines found there do not look for
+   the same two of its four rarest words. Lines found there do not look for
    further partners, so that a crowd of near copies is not joined all with all.
 
 A hot line is one distinct line; words that very many lines share come last in
@@ -45,7 +45,7 @@ OTHER_SPACE = "\t\x0b\x0c\r"
 #: Prefix words that two lines must share to be verified.
 SHARED = 2
 #: Rarest words of a line whose pairs name its hubs, and bits of the map of lines whose texts are needed.
-RAREST, NEEDED_BITS = 3, 1 << 22
+RAREST, NEEDED_BITS = 4, 1 << 22
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,7 +135,7 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
 def hub_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """``(l, e)``: at most one earlier line for each line, its likeliest hub.
 
-    The hub of two words is the earliest line that has both among its three
+    The hub of two words is the earliest line that has both among its four
     rarest. Members of a crowd of near copies mostly share two of these, and so
     their hub: one pair a member finds them, where a join would pair all with
     all. Of several hubs the one whose bitmap is nearest is taken."""

@@ -3,17 +3,18 @@
 Vectors become binary codes: several rotations are learned on a bounded
 sample (iterative quantisation, one per 64 bits or fewer, each from its own
 random start) and the signs of the rotated vector are the code. A code is
-cut into ``parts`` substrings. Codes within Hamming radius r of a query agree
-with it, in some substring, up to r // parts bits: the index of a block of
-vectors lists, per substring, its values and the rows that have them, and a
-query probes the values that near. What the probes return is checked on the
-whole code, and every vector within the radius is reranked by its exact cosine.
-
-The radius belongs to the query. It grows by one bit per substring until k
-codes are found, whose cosines follow; a vector at least as near as the k-th
-of these has a code within ``reach`` standard deviations of its expected
-distance, and that is the radius probed next. The best k of all blocks are
-merged per query.
+cut into ``parts`` substrings of 16 bits. By the pigeonhole principle, codes
+within Hamming radius r of a query agree with it, in some substring, up to
+r // parts bits: the index of a block of vectors lists, per substring and
+value, the rows that have it, and a query looks up all values that near. So
+probing up to t bits retrieves every code within radius parts (t + 1) - 1, and
+many beyond; all that the probes return are reranked by their exact cosine.
+
+How far a query probes is its own: t grows until k rows are found, then to
+where a vector as near as the k-th of these would be retrieved with probability
+``recall``: its bits differ from the query's with probability arccos(cosine) /
+pi each. That is the least of the k: nearer ones are likelier, and each block of
+vectors sets it by its own k-th. The best k of all blocks are merged per query.
 
 Queries and vectors meet in blocks of bounded size, each pair of blocks being
 one row of work, so nothing grows with the table but the number of blocks.
@@ -22,6 +23,7 @@ one row of work, so nothing grows with the table but the number of blocks.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,10 @@ from pyspark.sql import window as W
 from ledgerloom.llm.graph import stored
 from ledgerloom.llm.workers import ready
 
-BITS, PARTS, REACH = 256, 16, 2.0
-FIT_ROWS, BLOCK, QUERY_BLOCK = 4096, 4096, 1024
+BITS, RECALL = 512, 0.6
+FIT_ROWS, BLOCK, QUERY_BLOCK = 4096, 16384, 256
+#: Bits of a substring; from so many differing ones on, a probe returns all rows.
+WIDTH, ALL_FROM = 16, 6
 
 
 def usable(vector: str = "embedding"):
@@ -74,79 +78,91 @@ def flips(most: int) -> np.ndarray:
 
 
 class BlockIndex:
-    """The substring tables of one block of codes: per substring its values in
-    order and the row of each."""
+    """The substring tables of one block of codes: per substring, where each of
+    its 65,536 values begins in the list of rows sorted by value."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
         self.words = np.ascontiguousarray(codes).view(np.uint64)
-        self.rows = np.argsort(codes, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(codes.T, self.rows, axis=1)
-        self.masks = {n: flips(n) for n in range(3)}
-
-    def _probe(self, code: np.ndarray, near: int) -> np.ndarray:
+        n, parts = codes.shape
+        self.rows = np.argsort(codes, axis=0, kind="stable").T.astype(np.int32).ravel()
+        self.begin = np.zeros((parts, (1 << WIDTH) + 1), dtype=np.int64)
+        for i in range(parts):
+            np.cumsum(np.bincount(codes[:, i], minlength=1 << WIDTH), out=self.begin[i, 1:])
+        self.begin += (np.arange(parts) * n)[:, None]
+        self.masks: dict[int, np.ndarray] = {}
+
+    def probe(self, code: np.ndarray, near: int) -> np.ndarray:
         """Rows that agree with the query in some substring up to ``near`` bits."""
-        hit = np.zeros(len(self.codes), dtype=bool)
-        if near in self.masks and len(self.masks[near]) * 16 < len(self.codes):
-            for values, rows, part in zip(self.values, self.rows, code):
-                probe = self.masks[near] ^ part
-                low, high = np.searchsorted(values, probe), np.searchsorted(values, probe, side="right")
-                for a, z in zip(low[high > low].tolist(), high[high > low].tolist()):
-                    hit[rows[a:z]] = True
-        else:  # fewer values than masks: compare the values that the tables hold
-            hit[self.rows[np.bitwise_count(self.values ^ code[:, None]) <= near]] = True
+        n, parts = self.codes.shape
+        if near >= ALL_FROM:
+            return np.arange(n)
+        if near not in self.masks:
+            self.masks[near] = flips(near)
+        values = (self.masks[near][None, :] ^ code[:, None]).astype(np.int64)
+        part = np.arange(parts)[:, None]
+        low, high = self.begin[part, values].ravel(), self.begin[part, values + 1].ravel()
+        size = high - low
+        full = size > 0
+        low, size = low[full], size[full]
+        at = np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum())
+        hit = np.zeros(n, dtype=bool)
+        hit[self.rows[at]] = True
         return np.flatnonzero(hit)
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code is within ``radius`` bits, all of them."""
-        rows = self._probe(code, radius // len(self.values))
+        rows = self.probe(code, radius // self.codes.shape[1])
         return rows[self.distances(code, rows) <= radius]
 
     def distances(self, code: np.ndarray, rows: np.ndarray) -> np.ndarray:
         return np.bitwise_count(self.words[rows] ^ code.view(np.uint64)).sum(axis=1, dtype=np.int64)
 
 
-def radius_for(cosine: float, bits: int, reach: float) -> int:
-    """Code distance that a vector of this cosine exceeds only beyond ``reach``
-    standard deviations of the binomial its sign flips follow."""
+def near_for(cosine: float, parts: int, recall: float) -> int:
+    """Differing bits up to which a substring must be probed so that a vector
+    of this cosine agrees in one of them with probability ``recall``."""
     p = np.arccos(np.clip(cosine, -1.0, 1.0)) / np.pi
-    return int(np.ceil(bits * p + reach * np.sqrt(bits * p * (1 - p)))) + 1
+    agree = 0.0
+    for near in range(WIDTH):
+        agree += math.comb(WIDTH, near) * p**near * (1 - p)**(WIDTH - near)
+        if 1 - (1 - min(1.0, agree))**parts >= recall:
+            return near
+    return WIDTH
 
 
 def search_block(index: BlockIndex, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
-                 queries: np.ndarray, query_codes: np.ndarray, k: int, reach: float, rows: np.ndarray,
+                 queries: np.ndarray, query_codes: np.ndarray, k: int, recall: float, rows: np.ndarray,
                  query_rows: np.ndarray):
-    """(query, rows found, cosines) for every query of a block."""
+    """(query, rows found, cosines, rows probed) for every query of a block."""
     norms = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
-    parts = index.codes.shape[1]
-    bits, near = parts * 16, 0
+    parts, start = index.codes.shape[1], 0
     for q in range(len(query_ids)):
         v, code = queries[q], query_codes[q]
         norm = np.sqrt(v @ v)
         own = rows == query_rows[q]
 
-        def nearest(radius: int):
-            got = index.within(code, radius)
+        def nearest(near: int):
+            got = index.probe(code, near)
             got = got[~own[got]]
             cos = np.einsum("ij,j->i", vectors[got], v) / (norms[got] * norm)
-            many = len(got) > 50 * k
             order = np.lexsort((ids[got], -cos))[:k]
-            return got[order], cos[order], many
+            return got[order], cos[order], len(got)
 
         want = min(k, len(own) - int(own.sum()))
         if want == 0:
             continue
-        # from where the query before began, or one less where that found far more than it needed
-        got, cos, many = nearest(first := parts * (near + 1) - 1)
+        # from where the query before began, or one bit less where that found far more than it needed
+        near = start
+        got, cos, probed = nearest(near)
         while len(got) < want:
             near += 1
-            got, cos, many = nearest(first := parts * (near + 1) - 1)
-        begun, many_begun = near, many
-        radius = radius_for(float(cos[-1]), bits, reach)
-        if radius > first:
-            got, cos, many = nearest(radius)
-        near = max(0, begun - many_begun)
-        yield q, got, cos
+            got, cos, probed = nearest(near)
+        start = max(0, near - (probed > 50 * k))
+        wide = near_for(float(cos[-1]), parts, recall)
+        if wide > near:
+            got, cos, probed = nearest(wide)
+        yield q, got, cos, probed
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -170,7 +186,7 @@ def _blocked(rows: DataFrame, size: int, name: str) -> DataFrame:
 
 
 def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFrame, k: int = 5, bits: int = BITS,
-                       reach: float = REACH, id_col: str = "vec_id", vector_col: str = "embedding",
+                       recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding",
                        fit_rows: int = FIT_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest rows of
     ``vectors`` found for each row of ``queries``, by cosine in double
@@ -179,7 +195,8 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
     own neighbour.
 
     Vectors that are null, zero or hold a null or non-finite component take no
-    part on either side, nor do null ids. Vectors of a table share one length.
+    part on either side, nor do null ids. Only vectors of the table's most
+    frequent length take part (of several lengths as frequent, the largest).
     Empty tables give no rows; other columns are ignored."""
     def clean(df):
         return (df.where(F.col(id_col).isNotNull() & usable(vector_col))
@@ -187,6 +204,8 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
                         F.col(vector_col).cast("array<double>").alias("v")))
 
     data = clean(vectors)
+    length = data.groupBy(F.size("v").alias("dims")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("dims")).first()
+    data = data.where(F.size("v") == (length["dims"] if length else 0))
     sample = data.select("v").orderBy(F.xxhash64("id")).limit(fit_rows).collect()
     schema = "query_id long, rank int, vec_id long, score double"
     if not sample:
@@ -195,7 +214,7 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
     mean, matrix = learn_rotations(x / np.linalg.norm(x, axis=1, keepdims=True), bits)
     dims = x.shape[1]
     blocks = stored(spark, _blocked(data, BLOCK, "blocks").withColumn("b", F.monotonically_increasing_id()), "blocks")
-    asked = stored(spark, _blocked(clean(queries).dropDuplicates(["id", "row"])
+    asked = stored(spark, _blocked(clean(queries).where(F.size("v") == dims).dropDuplicates(["id", "row"])
                                    .repartition(1 + queries.count() // QUERY_BLOCK, "id"),
                                    QUERY_BLOCK, "queries").withColumn("q", F.monotonically_increasing_id())
                    .selectExpr("ids as q_ids", "rows as q_rows", "vs as q_vs", "q"), "queries")
@@ -214,9 +233,9 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, queries: DataFra
                 qs = np.frombuffer(r["q_vs"]).reshape(-1, dims)
                 unit = [a / np.sqrt(np.einsum("ij,ij->i", a, a))[:, None] for a in (vs, qs)]
                 index = BlockIndex(codes_of(unit[0], mean, matrix))
-                hits = search_block(index, ids, vs, qids, qs, codes_of(unit[1], mean, matrix), k, reach, rows, qrows)
+                hits = search_block(index, ids, vs, qids, qs, codes_of(unit[1], mean, matrix), k, recall, rows, qrows)
                 found = [(np.full(len(got), qids[q]), np.full(len(got), qrows[q]), ids[got], rows[got], cos)
-                         for q, got, cos in hits]
+                         for q, got, cos, _ in hits]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)],
                                                      names=["query_id", "query_row", "vec_id", "vec_row", "score"])
