@@ -34,7 +34,9 @@ SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 100_000, 100_000
 LEAST_ROWS = 20
 LONGEST = 4
 UNKNOWN = "und"
-CACHE_TOKENS = 250_000
+CACHE_TOKENS = 150_000
+#: Rows scored at a time: their words are held at once.
+ROWS_AT_ONCE = 250
 _LETTERS = re.compile(r"[^\W\d_]+").findall
 
 
@@ -212,10 +214,10 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         scorer = Scorer(model)
         for b in batches:
             texts = b.column(len(keep))
-            for at in range(0, b.num_rows, 1000):
-                names, scores = scorer.predict(texts.slice(at, 1000).to_pylist())
+            for at in range(0, b.num_rows, ROWS_AT_ONCE):
+                names, scores = scorer.predict(texts.slice(at, ROWS_AT_ONCE).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(i).slice(at, 1000) for i in range(len(keep))] + [pa.array(names), pa.array(scores)],
+                    [b.column(i).slice(at, ROWS_AT_ONCE) for i in range(len(keep))] + [pa.array(names), pa.array(scores)],
                     names=[*keep, "lang_pred", "score"])
 
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("lang_pred", T.StringType()),
@@ -240,8 +242,8 @@ def keep_identified(docs: DataFrame, **options) -> DataFrame:
     def run(batches):
         scorer = Scorer(model)
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                part = b.slice(at, 1000)
+            for at in range(0, b.num_rows, ROWS_AT_ONCE):
+                part = b.slice(at, ROWS_AT_ONCE)
                 names, _ = scorer.predict(part.column("text").to_pylist())
                 yield part.filter(pa.array([n != UNKNOWN for n in names]))
 
