@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import collocations, kd_tree, license_scan, quotient_filter, spelling, twins
+from ledgerloom.llm import collocations, kd_tree, license_scan, quotient_filter, spelling
 
 WORDS = ["alpha", "alphas", "alphb", "Beta", "betas", "gamma", "gama", "été", "étés", "ete", "of", "the"]
 random.seed(11)
