@@ -4,7 +4,7 @@ The words of a batch of documents lie in one flat array of symbols. A round
 looks every neighbouring pair up in the sorted pair keys by binary search,
 takes each word's lowest rank, and merges all its places at once, left to
 right where places overlap; words without a mergeable pair drop out. Words met
-before come from a bounded cache.
+lately come from a bounded cache.
 
 Words of more than ``LONG_WORD`` = 1,024 bytes leave that method for a heap of
 pairs in plain Python, with the same ids: a round merges one rank per word, so
@@ -32,7 +32,8 @@ from pyspark.sql import types as T
 from ledgerloom.llm.workers import ready
 
 DEFAULT = "byte_bpe_50k.json"
-CACHE_WORDS = 400_000
+#: Words a worker process keeps between tasks, and words learned at a time.
+CACHE_WORDS, LEARNED_AT_ONCE = 300_000, 20_000
 LONG_WORD = 1024
 # Fixed value: white space as the pattern's \s means it (Unicode White_Space).
 SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
@@ -197,13 +198,17 @@ _HAS_LATER = re.compile(f"[{_LATER}]").search
 
 
 class Coder:
-    """Texts to tokens with a cache of the words met so far."""
+    """Texts to tokens with a bounded cache of the words met lately.
+
+    Words are learned into the young half; when that is full it becomes the old
+    half, whose words return to the young one as they are met again."""
 
     def __init__(self, model: Bpe):
         self.model = model
         names = sorted(model.special, key=len, reverse=True)
         self.marks = regex.compile("(" + "|".join(map(regex.escape, names)) + ")").split if names else None
         self.known: dict[str, tuple[int, str, bytes]] = {}
+        self.old: dict[str, tuple[int, str, bytes]] = {}
 
     def pieces(self, text: str) -> list[str]:
         """A text's words in order; the strings of special tokens are pieces."""
@@ -217,15 +222,22 @@ class Coder:
         return _ANY(text) if _ODD(text) else _PLAIN(text)
 
     def learn(self, words: set[str]) -> None:
-        fresh = list(words.difference(self.known))
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            # start over; what the current documents need is learned in any case
-            self.known = {}
-            fresh = list(words)
+        fresh = words.difference(self.known)
+        if len(self.known) + len(fresh) > CACHE_WORDS // 2:
+            # what the current documents need is kept or learned in any case
+            self.old, self.known = self.known, {}
+            fresh = words
+        met = [w for w in fresh if w in self.old]
+        self.known.update(zip(met, map(self.old.pop, met)))
+        new = [w for w in fresh if w not in self.known]
+        for at in range(0, len(new), LEARNED_AT_ONCE):
+            self._learn(new[at:at + LEARNED_AT_ONCE])
+
+    def _learn(self, new: list[str]) -> None:
         special, known = self.model.special, self.known
         token, text = self.model.bytes, self.model.text
-        ids = self.model.encode_words([b"" if w in special else w.encode("utf-8", "surrogatepass") for w in fresh])
-        for w, got in zip(fresh, map(np.ndarray.tolist, ids)):
+        ids = self.model.encode_words([b"" if w in special else w.encode("utf-8", "surrogatepass") for w in new])
+        for w, got in zip(new, map(np.ndarray.tolist, ids)):
             got = got if w not in special else [special[w]]
             known[w] = (len(got), ",".join([text[i] for i in got]), b"".join([token[i] for i in got]))
 
@@ -252,7 +264,7 @@ def _coder(model: Bpe) -> Coder:
     return _CODERS[key]
 
 
-def _groups(texts: list[str], most: int = 4_000_000) -> Iterator[list[str]]:
+def _groups(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
     """Runs of texts of about ``most`` characters; a longer text stands alone."""
     run, size = [], 0
     for t in texts:

@@ -447,6 +447,23 @@ def test_damaged_archives_are_refused():
 
 # -- 9 BPE
 
+def test_bpe_coder_holds_few_words_at_once(monkeypatch):
+    """A worker process keeps its coder between tasks: what it holds, and learns at once, is bounded."""
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 60)
+    monkeypatch.setattr(bpe, "LEARNED_AT_ONCE", 7)
+    model = bpe.Bpe(bpe.default_path())
+    whole, sizes = bpe.Coder(model), []
+    rng = random.Random(5)
+    texts = [" ".join("word%d" % min(rng.randrange(400), rng.randrange(400)) for _ in range(20)) for _ in range(60)]
+    encode = model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda words: sizes.append(len(words)) or encode(words))
+    for t in texts:
+        ids = [i for w in encode([p.encode() for p in whole.pieces(t)]) for i in w.tolist()]
+        assert whole.encode([t]) == [(len(ids), ",".join(map(str, ids)), t)]
+        assert len(whole.known) + len(whole.old) <= 60
+    assert max(sizes) <= 7
+
+
 def test_bpe_equals_the_library(spark, docs, none):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(bpe.default_path())
