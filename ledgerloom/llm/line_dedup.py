@@ -15,8 +15,9 @@ num / den to an earlier line (by doc_id, then line number) are removed.
    that they must share, if fewer). A word where two lines meet counts if the
    lengths allow the similarity (length filter), if enough words follow both
    positions (positional filter), and if the lines' parity bitmaps differ in no
-   more bits than the sets may differ in words (bitmap filter); a pair that
-   meets in ``SHARED`` words survives. Two random lines may share one rare
+   more bits than the sets may differ in words (bitmap filter; 64 bits, and 128
+   between lines of ``LONG`` words or more, as many words fill 64 bits); a pair
+   that meets in ``SHARED`` words survives. Two random lines may share one rare
    word, hardly ever two.
 4. Survivors are verified on their whole word sets, each line against its
    earliest candidate first.
@@ -44,6 +45,8 @@ SKETCH_BITS = 18
 OTHER_SPACE = "\t\x0b\x0c\r"
 #: Prefix words that two lines must share to be verified.
 SHARED = 2
+#: Words from which a line has the second half of the bitmap.
+LONG = 64
 #: Rarest words of a line whose pairs name its hubs, and bits of the map of lines whose texts are needed.
 RAREST, NEEDED_BITS = 4, 1 << 22
 
@@ -106,10 +109,11 @@ def _size_class(n: Column, num: int, den: int) -> Column:
 
 
 def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKETCH_BITS) -> DataFrame:
-    """``(k1, k2, first, n, mask, pre, id)``: one row per distinct line.
+    """``(k1, k2, first, n, mask, wide, pre, id)``: one row per distinct line.
 
     ``first`` is where it occurs first (null: only in documents without id),
-    ``n`` its number of words, ``mask`` their parity bitmap, ``pre`` its prefix,
+    ``n`` its number of words, ``mask`` their parity bitmap, ``wide`` that of half
+    of them (by a further bit; 0 below ``LONG`` words), ``pre`` its prefix,
     rarest word first (null: no words). A word is a number there: its bucket's
     level and the upper 58 bits of its hash. Only these, never the text, are
     exchanged. ``id`` grows with ``first`` (nulls last), so that of two lines the
@@ -121,13 +125,15 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
         F.shiftrightunsigned(h, 6)), F.lit(0).cast("long"))
     ranked = seen.select("k1", "k2", "p", F.sort_array(F.array_distinct(F.transform("w", lambda w: number(F.xxhash64(w))))).alias("ws"))
     size = F.size("ws")
-    mask = F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(
-        F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
-    sized = ranked.select("k1", "k2", "p", size.alias("n"), mask.alias("mask"), F.when(
+    one = F.lit(1).cast("long")
+    parity = lambda bit: F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(
+        F.call_function("shiftleft", bit(w), w.bitwiseAND(F.lit(63)).cast("int"))))
+    wide = F.when(size >= LONG, parity(lambda w: F.shiftrightunsigned(w, 6).bitwiseAND(one))).otherwise(F.lit(0).cast("long"))
+    sized = ranked.select("k1", "k2", "p", size.alias("n"), parity(lambda w: one).alias("mask"), wide.alias("wide"), F.when(
         size > 0, F.slice("ws", F.lit(1), _prefix_of(size, _ceil(size, num, den)))).alias("pre"))
     order = [F.col("first").asc_nulls_last(), F.col("k1")]
     return (sized.groupBy("k1", "k2").agg(F.min("p").alias("first"), F.first("n").alias("n"),
-                                          F.first("mask").alias("mask"), F.first("pre").alias("pre"))
+                                          F.first("mask").alias("mask"), F.first("wide").alias("wide"), F.first("pre").alias("pre"))
             .repartitionByRange(*order).sortWithinPartitions(*order)
             .withColumn("id", F.monotonically_increasing_id()))
 
@@ -153,47 +159,57 @@ def hub_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     return met.groupBy(F.col("id").alias("l")).agg(F.min_by("e", F.struct(apart, "e")).alias("e"))
 
 
-def candidate_pairs(table: DataFrame, done: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(l, e)``: ids of lines that pass all three filters in ``SHARED`` prefix
-    words, the later one first, but for lines ``l`` in ``done``. One exchange by
-    prefix word serves both sides."""
+def meetings(table: DataFrame, done: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(l, e, need)`` for each prefix word in which two lines pass all three
+    filters, the later one first, but for lines ``l`` in ``done``; ``need`` is in
+    how many words they must meet. One exchange by prefix word serves both sides."""
     table = table.join(done.select(F.col("l").alias("id"), F.lit(1).alias("done")), "id", "left")
-    # four longs a row: the size, the position and whether the line is done share one. As no column is null, no side
+    # five longs a row: the size, the position and whether the line is done share one. As no column is null, no side
     # of the joins gets filters of its own below the exchange
     long = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     packed = F.shiftleft(long("n"), 32).bitwiseOR(F.shiftleft(long("i"), 1)).bitwiseOR(long("done"))
-    filed = (table.select("id", "n", "mask", "done", F.posexplode_outer("pre").alias("i", "w")).where("w is not null and i is not null")
-             .select(long("id").alias("id"), long("mask").alias("mask"), packed.alias("x"), "w").repartition(F.hash("w")))
+    filed = (table.select("id", "n", "mask", "wide", "done", F.posexplode_outer("pre").alias("i", "w")).where("w is not null and i is not null")
+             .select(long("id").alias("id"), long("mask").alias("mask"), long("wide").alias("wide"), packed.alias("x"), "w")
+             .repartition(F.hash("w")))
 
     n = F.shiftrightunsigned("x", 32).cast("int")
     i = F.shiftrightunsigned(F.col("x").bitwiseAND(F.lit(0xFFFFFFFF)), 1).cast("int")
     late = F.col("x").bitwiseAND(F.lit(1)).cast("int")
 
-    def side(p: str, c: Column) -> DataFrame:
-        return filed.select(F.col("id").alias(p + "id"), F.col("mask").alias(p + "mask"), F.col("w").alias(p + "w"),
-                            n.alias(p + "n"), i.alias(p + "i"), (late == 1).alias(p + "done"), c.alias(p + "c"))
+    def side(p: str, classes: Column) -> DataFrame:
+        return filed.select(F.col("id").alias(p + "id"), F.col("mask").alias(p + "mask"), F.col("wide").alias(p + "wide"),
+                            F.col("w").alias(p + "w"), n.alias(p + "n"), i.alias(p + "i"), (late == 1).alias(p + "done"),
+                            F.explode(classes).alias(p + "c"))
 
     # the larger set looks up its own size class and the next smaller one: even numbers hold the lines not done, odd
     # ones those done, which only the former look up. Word and class, two int keys, are joined as one long
     own = F.coalesce(_size_class(n, num, den), F.lit(0)) * 2
-    larger = side("a_", F.explode(F.when(late == 1, F.array(own, own - 2)).otherwise(F.array(own, own - 2, own + 1, own - 1))))
+    larger = side("a_", F.when(late == 1, F.array(own, own - 2)).otherwise(F.array(own, own - 2, own + 1, own - 1)))
     # the smaller of two similar sets has its common words even earlier: only those places are looked up
     early = i < _prefix_of(n, _ceil(n, 2 * num, num + den))
-    smaller = side("b_", F.when(early, own + late).otherwise(F.lit(-9)))
+    smaller = side("b_", F.when(early, F.array(own + late)).otherwise(F.array().cast("array<int>")))
     total = F.col("a_n") + F.col("b_n")
     least = _ceil(total, num, num + den)
     # equal words are told by their difference: an equality would be a third key.
     # Of the common words, the SHARED-th still has this many after it on both sides
     rest = least - (SHARED - 1)
+    # the bitmap of the other half of a long line's words is the difference of its two
+    apart, half = F.col("a_mask").bitwiseXOR(F.col("b_mask")), F.col("a_wide").bitwiseXOR(F.col("b_wide"))
     fit = ((F.hash("a_w") == F.hash("b_w")) & (F.col("a_c") == F.col("b_c")) & (F.col("a_w").bitwiseXOR(F.col("b_w")) == 0)
            & ((F.col("a_n") > F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_id") > F.col("b_id"))))
            & (F.col("b_n") * den >= F.col("a_n") * num)
            & (F.col("a_n") - F.col("a_i") >= rest) & (F.col("b_n") - F.col("b_i") >= rest)
            & ~F.when(F.col("a_id") > F.col("b_id"), F.col("a_done")).otherwise(F.col("b_done"))
-           & (F.bit_count(F.col("a_mask").bitwiseXOR(F.col("b_mask"))) <= total - 2 * least))
+           & (F.bit_count(apart) <= total - 2 * least)
+           & ((F.col("b_n") < LONG) | (F.bit_count(half) + F.bit_count(apart.bitwiseXOR(half)) <= total - 2 * least)))
     met = larger.join(smaller.hint("shuffle_hash"), fit)
-    pairs = met.groupBy(F.greatest("a_id", "b_id").alias("l"), F.least("a_id", "b_id").alias("e")).agg(
-        F.count("*").alias("met"), F.min(F.least(F.lit(SHARED).cast("long"), least)).alias("need"))
+    return met.select(F.greatest("a_id", "b_id").alias("l"), F.least("a_id", "b_id").alias("e"),
+                      F.least(F.lit(SHARED).cast("long"), least).alias("need"))
+
+
+def candidate_pairs(table: DataFrame, done: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(l, e)``: ids of lines that meet in ``SHARED`` prefix words."""
+    pairs = meetings(table, done, num, den).groupBy("l", "e").agg(F.count("*").alias("met"), F.min("need").alias("need"))
     return pairs.where("met >= need").select("l", "e")
 
 

@@ -122,6 +122,20 @@ def test_line_dedup_stays_in_dataframe_operations(spark, docs):
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
 
 
+def test_long_lines_that_share_a_rare_word_do_not_meet(spark):
+    """The join's rows grow with similar lines, not with the square of the lines that share a rare word."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(["shared%d" % (i % 2), *("w%d" % rng.randrange(10**9) for _ in range(149))])) for i in range(200)]
+    rows += [(1000 + i, t + " more") for i, t in rows[:20]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = line_dedup.stored(spark, line_dedup.line_table(docs), "lines")
+    none = spark.createDataFrame([], "l long")
+    met = line_dedup.meetings(table, none).collect()
+    assert 40 <= len(met) and len({(r["l"], r["e"]) for r in met}) <= 30
+    assert line_dedup.candidate_pairs(table, none).count() == 20
+    assert sum(r["n_removed"] for r in line_dedup.removed_lines(spark, docs).collect()) == 20
+
+
 # -- 2 SimHash
 
 def brute_fingerprint(text):
