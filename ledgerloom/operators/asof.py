@@ -38,15 +38,18 @@ def range_start(date: Column, range_days: int = RANGE_DAYS) -> Column:
 
 
 def boundaries(quotes: DataFrame, asked: DataFrame) -> DataFrame:
-    """``(_k, _r, rows, before)``: for every range in ``asked (_k, _r, rows)``
-    the last quote of an earlier range. ``quotes`` is ``(_k, _r, _d, _q)``."""
-    last = quotes.groupBy("_k", "_r").agg(F.max_by("_q", "_d").alias("last"))
-    kind = last.schema["last"].dataType
-    ranges = asked.withColumn("last", F.lit(None).cast(kind)).unionByName(
-        last.withColumn("rows", F.lit(0).cast("long")).select(*asked.columns, "last"))
-    one = ranges.groupBy("_k", "_r").agg(F.sum("rows").alias("rows"), F.max("last").alias("last"))
+    """``(_k, _r, rows, before, since)``: for every range in ``asked (_k, _r,
+    rows)`` the last quote of an earlier range and its day. ``quotes`` is ``(_k,
+    _r, _d, _q)``, one number a day. Day and number are aggregated apart: a
+    struct of them would have all quotes sorted instead of hashed."""
+    last = quotes.groupBy("_k", "_r").agg(F.max_by("_q", "_d").alias("last"), F.max("_d").alias("day"))
+    nothing = F.lit(None)
+    ranges = asked.withColumns({"last": nothing.cast(last.schema["last"].dataType), "day": nothing.cast("date")}).unionByName(
+        last.withColumn("rows", F.lit(0).cast("long")).select(*asked.columns, "last", "day"))
+    one = ranges.groupBy("_k", "_r").agg(F.sum("rows").alias("rows"), F.max("last").alias("last"), F.max("day").alias("day"))
     earlier = Window.partitionBy("_k").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    return one.withColumn("before", F.last("last", ignorenulls=True).over(earlier)).drop("last")
+    return one.withColumns({"before": F.last("last", ignorenulls=True).over(earlier),
+                            "since": F.last("day", ignorenulls=True).over(earlier)}).drop("last", "day")
 
 
 def _hash_of(df: DataFrame) -> Column:
@@ -57,8 +60,8 @@ def _hash_of(df: DataFrame) -> Column:
 
 def as_of_join(fact: DataFrame, quotes: DataFrame, fact_key: str, fact_date: str, key: str = "currency",
                date: str = "date", value: str = "exchange_rate", out: str | None = None, how: str = "inner",
-               end: _dt.date | str | None = None, tolerance_days: int | None = None, range_days: int = RANGE_DAYS,
-               rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+               end: _dt.date | str | None = None, tolerance_days: int | None = None, one_per_day: bool = False,
+               range_days: int = RANGE_DAYS, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Each fact row with the last value of its key on or before its day.
 
     The result equals a join with the gap-filled (dense) series: several quotes
@@ -66,23 +69,27 @@ def as_of_join(fact: DataFrame, quotes: DataFrame, fact_key: str, fact_date: str
     find none, and with ``end`` facts after that day find none either ("last"
     means the last quoted day). ``tolerance_days`` limits the age of a quote.
     ``how`` is "inner" or "left"; a left join keeps facts that find none,
-    rows with a null key or day among them. ``out`` names the added column."""
+    rows with a null key or day among them. ``one_per_day=True`` promises at
+    most one quote per key and day and skips the per-day minimum. ``out`` names
+    the added column."""
     out = out or value
     if out in fact.columns:
         raise ValueError(f"the fact has a column {out} already; pass out with another name")
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    q = _clean(quotes, key, date, value).groupBy(F.col(key).alias("_k"), F.col(date).alias("_d")).agg(F.min(value).alias("v"))
+    q = _clean(quotes, key, date, value).select(F.col(key).alias("_k"), F.col(date).alias("_d"), F.col(value).alias("v"))
+    if not one_per_day:
+        q = q.groupBy("_k", "_d").agg(F.min("v").alias("v"))
     limit = None if end is None else _end_column(q, "_d", None if end == "last" else end)
-    q = q.select("_k", "_d", range_start(F.col("_d"), range_days).alias("_r"),
-                 F.struct(F.col("_d").alias("day"), F.col("v").alias("value")).alias("_q"))
+    numbers = q.select("_k", "_d", range_start(F.col("_d"), range_days).alias("_r"), F.col("v").alias("_q"))
+    q = numbers.select("_k", "_d", "_r", F.struct(F.col("_d").alias("day"), F.col("_q").alias("value")).alias("_q"))
     day = F.col(quote_name(fact_date)).cast("date")
     rows = fact.select(
         F.col(quote_name(fact_key)).alias("_k"), day.alias("_d"), range_start(day, range_days).alias("_r"),
         _hash_of(fact).alias("_h"), F.struct(*[F.col(quote_name(c)) for c in fact.columns]).alias("_row"))
     known = rows.where(F.col("_k").isNotNull() & F.col("_d").isNotNull())
     asked = known.groupBy("_k", "_r").agg(F.count(F.lit(1)).alias("rows"))
-    bounds = boundaries(q, asked).withColumn("groups", F.ceil(F.col("rows") / rows_per_group)).where("rows > 0")
+    bounds = boundaries(numbers, asked).withColumn("groups", F.ceil(F.col("rows") / rows_per_group)).where("rows > 0")
     full = bounds.where("groups > 1").select("_k", "_r", "groups")
     several = F.coalesce("groups", F.lit(1))
     copies = F.explode(F.sequence(F.lit(0).cast("long"), several.cast("long") - 1)).alias("_g")
@@ -93,7 +100,8 @@ def as_of_join(fact: DataFrame, quotes: DataFrame, fact_key: str, fact_date: str
     told = q.join(full, ["_k", "_r"], "left").select(
         "_k", "_r", copies, "_d", F.lit(0).alias("_side"), "_q", nothing.cast(rows.schema["_row"].dataType).alias("_row"))
     carried = bounds.where("before is not null").select(
-        "_k", "_r", copies, nothing.cast("date").alias("_d"), F.lit(0).alias("_side"), F.col("before").alias("_q"),
+        "_k", "_r", copies, nothing.cast("date").alias("_d"), F.lit(0).alias("_side"),
+        F.struct(F.col("since").alias("day"), F.col("before").alias("value")).alias("_q"),
         nothing.cast(rows.schema["_row"].dataType).alias("_row"))
     running = (Window.partitionBy("_k", "_r", "_g").orderBy(F.col("_d").asc_nulls_first(), "_side")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -270,12 +270,29 @@ def rate_table_written(spark, sf):
     return spark.read.parquet(path)
 
 
+# Fixed value: rows that one task of the tables below takes, whatever their number or compression.
+ROWS_PER_TASK = 1 << 19
+
+
+def _dealt(df: DataFrame, tasks: int, *columns: str) -> DataFrame:
+    """``df`` dealt by ``columns`` to a number of tasks that adaptive execution
+    keeps: it gathers small partitions by compressed bytes, of which a task's
+    hash tables and sorts take many times as much memory."""
+    return df.repartition(tasks, *columns)
+
+
+def _tasks_for(df: DataFrame) -> int:
+    """Tasks of ``ROWS_PER_TASK`` rows; counting reads no column."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_TASK))
+
+
 def _line_quotes(spark, sf, text_key: bool = True) -> DataFrame:
     """The quote table: one (smallest) unit price per supplier and ship day.
 
     Aggregated on the bigint supplier key (cheaper to hash than its text),
     which becomes the text ``currency`` column on the aggregated rows unless
-    ``text_key`` is false."""
+    ``text_key`` is false. Hardly any two lines share supplier and day, so lines
+    are dealt first: a scan task's own partial table would be as large as its split."""
     li = table(spark, sf, "lineitem")
     q = li.select(
         "l_suppkey",
@@ -283,7 +300,8 @@ def _line_quotes(spark, sf, text_key: bool = True) -> DataFrame:
         F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("exchange_rate"),
         F.col("l_shipdate").cast("date").alias("date"),
     ).where("l_suppkey IS NOT NULL AND date IS NOT NULL AND exchange_rate IS NOT NULL")
-    daily = q.groupBy("l_suppkey", "date").agg(F.min("exchange_rate").alias("exchange_rate"))
+    daily = _dealt(q, _tasks_for(li), "l_suppkey", "date").groupBy("l_suppkey", "date").agg(
+        F.min("exchange_rate").alias("exchange_rate"))
     if not text_key:
         return daily
     return daily.select(F.col("l_suppkey").cast("string").alias("currency"), "exchange_rate", "date")
@@ -344,14 +362,17 @@ def _converted(joined: DataFrame) -> DataFrame:
 def _ordered_lines(spark, sf) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
-    return li.join(o, li.l_orderkey == o.o_orderkey)
+    # dealt alike, and merged: a broadcast of orders, whose estimate follows their compressed bytes, would be held by each task
+    tasks = _tasks_for(li)
+    return _dealt(li, tasks, "l_orderkey").join(_dealt(o, tasks, "o_orderkey").hint("merge"), li.l_orderkey == o.o_orderkey)
 
 
 @register("rate_conversion_as_of", CONVERSION_SQL)
 def rate_conversion_as_of(spark, sf):
     """The same conversion on the sparse quotes: no key x day row is made."""
     quotes = _line_quotes(spark, sf, text_key=False)
-    return _converted(asof.as_of_join(_ordered_lines(spark, sf), quotes, "l_suppkey", "order_date", key="l_suppkey", end="last"))
+    return _converted(asof.as_of_join(_ordered_lines(spark, sf), quotes, "l_suppkey", "order_date", key="l_suppkey", end="last",
+                                     one_per_day=True))
 
 
 @register("rate_conversion", CONVERSION_SQL)
