@@ -29,12 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ledgerloom.llm.workers import ready
+from ledgerloom.llm.workers import kept, ready
 
 DEFAULT = "byte_bpe_50k.json"
 #: Words a worker process keeps between tasks, and words learned at a time.
 CACHE_WORDS, LEARNED_AT_ONCE = 300_000, 20_000
 LONG_WORD = 1024
+#: Rows taken from a batch at a time: their texts are held at once.
+ROWS_AT_ONCE = 1_000
 # Fixed value: white space as the pattern's \s means it (Unicode White_Space).
 SPACE = r"\x09-\x0D\x20\x85\xA0  -     　"
 # Fixed value: the pattern that splits a text before any merge.
@@ -253,15 +255,10 @@ class Coder:
         return out
 
 
-_CODERS: dict[tuple, Coder] = {}
-
-
 def _coder(model: Bpe) -> Coder:
-    """The worker process's coder for this vocabulary (kept between tasks)."""
-    key = (len(model.keys), int(model.keys.sum()), int((model.keys * model.rank).sum()), tuple(model.special))
-    if key not in _CODERS:
-        _CODERS[key] = Coder(model)
-    return _CODERS[key]
+    """The worker process's coder for this vocabulary (kept between tasks, until another operator's come)."""
+    key = ("bpe", len(model.keys), int(model.keys.sum()), int((model.keys * model.rank).sum()), tuple(model.special))
+    return kept(key, lambda: Coder(model))
 
 
 def _groups(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
@@ -288,7 +285,7 @@ def bpe_digests(docs: DataFrame, path: str | None = None, id_col: str = "doc_id"
 
     def run(batches):
         coder = _coder(model)
-        for b in batches:
+        for b in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             texts = [t or "" for t in b.column(1).to_pylist()]
             at = 0
             for some in _groups(texts):

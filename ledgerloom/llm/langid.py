@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.llm.graph import stored
-from ledgerloom.llm.workers import ready
+from ledgerloom.llm.workers import ready, release
 
 SAMPLE_ROWS, MAX_WORDS, MAX_GRAMS = 20_000, 100_000, 100_000
 LEAST_ROWS = 20
@@ -51,38 +51,70 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 class Model:
-    """Fitted tables: gram -> row of log frequencies, one column a language."""
+    """Fitted tables: gram -> row of log frequencies, one column a language.
+
+    A gram is found by binary search for its 64-bit string hash, which is made
+    where the model is used: no table of strings is held in a worker."""
 
     def __init__(self, languages: list[str], prior: list[int], names: list[str], table: np.ndarray):
         self.languages = languages
         self.prior = np.log(np.array(prior, dtype=float) / max(1, sum(prior))) if languages else np.zeros(0)
-        self.row = {g: i for i, g in enumerate(names)}
+        self.names, self._index = pa.array(names, pa.string()), None
         kind = np.array([0 if g[0] == "w" else int(g[0]) for g in names], dtype=int)
         totals = np.zeros((LONGEST + 1, len(languages)))
         np.add.at(totals, kind, table)
         self.log = np.log((table + 0.5) / (totals[kind] + 0.5 * max(1, len(names))))
 
-    def rows_of(self, word: str) -> list[int]:
-        """Rows that score a word: its own, or its longest known n-grams'."""
-        if (i := self.row.get("w" + word)) is not None:
-            return [i]
-        for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            got = [i for g in grams(word, n) if (i := self.row.get(f"{n}{g}")) is not None]
-            if got:
-                return got
-        return []
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_index": None}
+
+    @property
+    def row(self) -> dict[str, int]:
+        """Every gram and its row, to look into a model."""
+        return {g: i for i, g in enumerate(self.names.to_pylist())}
+
+    def index(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted hashes of the grams and their rows. String hashes differ between processes, so it does not travel."""
+        if self._index is None:
+            parts = (self.names[at:at + 10_000].to_pylist() for at in range(0, len(self.names), 10_000))
+            hashes = np.fromiter((hash(g) for part in parts for g in part), dtype=np.int64, count=len(self.names))
+            rows = np.argsort(hashes, kind="stable")
+            self._index = hashes[rows], rows
+        return self._index
+
+    def rows(self, names: list[str]) -> np.ndarray:
+        """Row of each gram, -1 if unknown."""
+        hashes, rows = self.index()
+        if not len(hashes) or not names:
+            return np.full(len(names), -1)
+        wanted = np.fromiter(map(hash, names), dtype=np.int64, count=len(names))
+        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+        return np.where(hashes[at] == wanted, rows[at], -1)
+
+    def rows_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that score the words, word after word, and how many each has: its
+        own, or those of its longest known n-grams."""
+        found = self.rows(["w" + w for w in words])
+        of, got = np.flatnonzero(found >= 0), found[found >= 0]
+        left = np.flatnonzero(found < 0).tolist()
+        for n in range(LONGEST, 0, -1):
+            cut = [grams(words[i], n) for i in left]
+            found = self.rows([f"{n}{g}" for gs in cut for g in gs])
+            owner = np.repeat(np.array(left, dtype=np.int64), [len(gs) for gs in cut])[found >= 0]
+            of, got = np.append(of, owner), np.append(got, found[found >= 0])
+            left = sorted(set(left).difference(owner.tolist()))
+        order = np.argsort(of, kind="stable")
+        return got[order], np.bincount(of, minlength=len(words))
 
     def vectors(self, tokens: list[str]) -> np.ndarray:
         """Scores of white-space tokens, one row each; all zero without letters known."""
-        rows, ends = [], []
-        for t in tokens:
-            for w in _LETTERS(t):
-                rows.extend(self.rows_of(w))
-            ends.append(len(rows))
+        cut = [_LETTERS(t) for t in tokens]
+        rows, per_word = self.rows_of([w for ws in cut for w in ws])
         sums = np.zeros((len(rows) + 1, len(self.languages)))
-        if rows:
+        if len(rows):
             np.cumsum(self.log[rows], axis=0, out=sums[1:])
-        at = np.array([0, *ends])
+        ends = np.append(0, np.cumsum(per_word))  # of the words' rows
+        at = ends[np.append(0, np.cumsum([len(ws) for ws in cut], dtype=np.int64))]
         return sums[at[1:]] - sums[at[:-1]]
 
 
@@ -211,6 +243,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     keep = keep or [id_col]
 
     def run(batches):
+        release()
         scorer = Scorer(model)
         for b in batches:
             texts = b.column(len(keep))
@@ -240,6 +273,7 @@ def keep_identified(docs: DataFrame, **options) -> DataFrame:
     model = fit(docs, usable, **options)
 
     def run(batches):
+        release()
         scorer = Scorer(model)
         for b in batches:
             for at in range(0, b.num_rows, ROWS_AT_ONCE):

@@ -389,6 +389,27 @@ def test_language_id_backs_off_and_says_und(spark):
     assert langid.predict_languages(docs.where("false")).count() == 0
 
 
+def test_language_model_holds_no_table_of_strings():
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(3000)})
+    model = langid.Model(["x", "y"], [1, 2], ["w" + w for w in words] + ["1a", "2ab"], np.ones((len(words) + 2, 2)))
+    model.vectors(words[:10] + ["ab-zz", "..."])
+    assert not [k for k, v in model.__dict__.items() if isinstance(v, dict | list) and len(v) > 2]
+    assert model._index is not None and model.__getstate__()["_index"] is None
+    assert [x.tolist() for x in model.rows_of([words[7], "zab", "zz", "ya"])] == [[7, len(words) + 1, len(words)], [1, 1, 0, 1]]
+
+
+def test_language_tasks_drop_what_a_worker_keeps():
+    from ledgerloom.llm import workers
+    first = workers.kept("a", lambda: [1])
+    assert workers.kept("a", lambda: [2]) is first
+    assert workers.kept("b", lambda: [3]) == [3] and list(workers._KEPT) == ["b"]
+    coder = bpe._coder(bpe.Bpe(bpe.default_path()))
+    assert list(workers._KEPT.values()) == [coder]
+    workers.release()
+    assert not workers._KEPT
+
+
 def test_language_id_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.predict_languages(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out and lang is not null")
