@@ -21,9 +21,10 @@ num / den to an earlier line (by doc_id, then line number) are removed.
    word, hardly ever two.
 4. Survivors are verified on their whole word sets, each line against its
    earliest candidate first.
-5. Before the join, a line is verified against its hub, the earliest line with
-   the same two of its four rarest words. Lines found there do not look for
-   further partners, so that a crowd of near copies is not joined all with all.
+5. Before the join, a line is verified against its hubs, the earliest lines with
+   the same two neighbours among the words of its prefix, then against a few more
+   lines that have hubs. Lines found there do not look for further partners, so
+   that a crowd of near copies is not joined all with all.
 
 A hot line is one distinct line; words that very many lines share come last in
 the order and are hardly ever in a prefix.
@@ -47,8 +48,10 @@ OTHER_SPACE = "\t\x0b\x0c\r"
 SHARED = 2
 #: Words from which a line has the second half of the bitmap.
 LONG = 64
-#: Rarest words of a line whose pairs name its hubs, and bits of the map of lines whose texts are needed.
+#: Words at either end of a prefix whose pairs name a line's hubs, and bits of the map of lines whose texts are needed.
 RAREST, NEEDED_BITS = 4, 1 << 22
+#: Lines of a crowd that are looked at for one that is like none of its hubs, by key, and of them those verified.
+CROWD_HUBS, TRIES = 32, 24
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -119,11 +122,11 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
     exchanged. ``id`` grows with ``first`` (nulls last), so that of two lines the
     one with the smaller id is the earlier; write the table before using it."""
     lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), place().alias("p"),
-                                  words_of(F.col("line")).alias("w"))
+                                  F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)).alias("w"))
     seen = lines.select("k1", "k2", "p", "w", rarity_sketch(docs, bits).scalar().alias("s"))
     number = lambda h: F.coalesce(F.get("s", h.bitwiseAND(F.lit((1 << bits) - 1)).cast("int")).bitwiseOR(
         F.shiftrightunsigned(h, 6)), F.lit(0).cast("long"))
-    ranked = seen.select("k1", "k2", "p", F.sort_array(F.array_distinct(F.transform("w", lambda w: number(F.xxhash64(w))))).alias("ws"))
+    ranked = seen.select("k1", "k2", "p", F.sort_array(F.array_distinct(F.transform("w", number))).alias("ws"))
     size = F.size("ws")
     one = F.lit(1).cast("long")
     parity = lambda bit: F.aggregate("ws", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(
@@ -138,25 +141,69 @@ def line_table(docs: DataFrame, num: int = NUM, den: int = DEN, bits: int = SKET
             .withColumn("id", F.monotonically_increasing_id()))
 
 
+def _hub_keys() -> Column:
+    """Hashes of pairs of prefix words that name a line's hubs.
+
+    The rarest words of a near copy are often its own changes. So beside the
+    neighbouring pairs at the front of the prefix those at its end count, where
+    the words lie that it shares; of a short prefix, all pairs."""
+    size = F.size("pre")
+    pair = lambda i, j: F.xxhash64(F.get("pre", i), F.get("pre", j))
+    every = [F.when(size > j, pair(F.lit(i), F.lit(j))) for i in range(RAREST) for j in range(i + 1, RAREST)]
+    front = [pair(F.lit(i), F.lit(i + 1)) for i in range(RAREST - 1)]
+    end = [pair(size - i - 1, size - i) for i in range(1, RAREST + 1)]
+    return (F.when(size == 1, F.array(F.xxhash64(F.get("pre", F.lit(0))))).when(size <= RAREST, F.array_compact(F.array(*every)))
+            .otherwise(F.array_distinct(F.array(*front, *end))))
+
+
 def hub_pairs(table: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
-    """``(l, e)``: at most one earlier line for each line, its likeliest hub.
-
-    The hub of two words is the earliest line that has both among its four
-    rarest. Members of a crowd of near copies mostly share two of these, and so
-    their hub: one pair a member finds them, where a join would pair all with
-    all. Of several hubs the one whose bitmap is nearest is taken."""
-    rare = [F.get("pre", i) for i in range(RAREST)]
-    pairs = [F.when(F.size("pre") > j, F.xxhash64(rare[i], rare[j])) for i in range(RAREST) for j in range(i + 1, RAREST)]
-    keys = F.when(F.size("pre") == 1, F.array(F.xxhash64(rare[0]))).otherwise(F.array_compact(F.array(*pairs)))
-    filed = table.where("n > 0").select("id", "n", "mask", F.explode(keys).alias("w")).repartition("w")
+    """``(l, e)``: at most three earlier lines for each line, its likeliest hubs.
+
+    The hub of two words is the earliest line that has both among the words of
+    its ``_hub_keys``. Members of a crowd of near copies mostly share two of
+    these, and so their hub: a few pairs a member find them, where a join would
+    pair all with all. Of the hubs that pass the length and bitmap filters the
+    one whose bitmap is nearest is taken, the first and the last; ``e`` is null
+    if only hubs of crowds are near that fail the latter by less than half."""
+    # no column is null, so that both sides of the join read one exchange
+    long = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    filed = (table.where("n > 0").select("id", "n", "mask", F.explode(_hub_keys()).alias("w"))
+             .select(long(F.col("id")).alias("id"), F.coalesce("n", F.lit(0)).alias("n"), long(F.col("mask")).alias("mask"),
+                     long(F.col("w")).alias("w")).repartition("w"))
     hubs = filed.groupBy("w").agg(F.min("id").alias("e"), F.min_by("n", "id").alias("e_n"),
                                   F.min_by("mask", "id").alias("e_mask"), F.count("*").alias("lines"))
     total = F.col("n") + F.col("e_n")
     apart = F.bit_count(F.col("mask").bitwiseXOR(F.col("e_mask")))
+    most = total - 2 * _ceil(total, num, num + den)
     met = filed.join(hubs.where("lines > 1").hint("shuffle_hash"), "w").where(
+        (F.col("e") < F.col("id")) & (F.greatest("n", "e_n") * num <= F.least("n", "e_n") * den)
+        & (apart <= F.when(F.col("lines") < CROWD_HUBS, most).otherwise(F.floor(most * 1.5))))
+    near = met.select("id", "e", apart.alias("apart"), F.when(apart <= most, F.col("e")).alias("hub"))
+    picked = near.groupBy(F.col("id").alias("l")).agg(
+        F.min_by("hub", F.when(F.col("hub").isNotNull(), F.col("apart"))).alias("near"), F.min("hub").alias("first"), F.max("hub").alias("last"))
+    return picked.select("l", F.explode(F.array_distinct(F.array("near", "first", "last"))).alias("e"))
+
+
+def crowd_pairs(table: DataFrame, hubs: DataFrame, copies: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """``(l, e)``: for each line of ``hubs`` that is like none of its hubs, at most
+    ``TRIES`` other earlier lines of ``hubs``, those with the nearest bitmaps.
+
+    Lines of one crowd may be like each other and not like its first. Each key's
+    lines are dealt by a hash over ``CROWD_HUBS`` parts, and the earliest of each
+    part is looked at: a fixed number for a line, however large the crowd."""
+    members = hubs.select(F.col("l").alias("id")).distinct().join(
+        copies.select(F.col("l").alias("id"), F.lit(1).alias("found")), "id", "left")
+    rows = table.join(members, "id").select("id", "n", "mask", "found", F.explode(_hub_keys()).alias("w"))
+    part = F.pmod(F.xxhash64("id"), F.lit(CROWD_HUBS))
+    firsts = rows.groupBy("w", part.alias("part")).agg(F.min("id").alias("e"), F.min_by("n", "id").alias("e_n"),
+                                                       F.min_by("mask", "id").alias("e_mask"))
+    total = F.col("n") + F.col("e_n")
+    apart = F.bit_count(F.col("mask").bitwiseXOR(F.col("e_mask")))
+    met = rows.where("found is null").join(firsts, "w").where(
         (F.col("e") < F.col("id")) & (F.greatest("n", "e_n") * num <= F.least("n", "e_n") * den)
         & (apart <= total - 2 * _ceil(total, num, num + den)))
-    return met.groupBy(F.col("id").alias("l")).agg(F.min_by("e", F.struct(apart, "e")).alias("e"))
+    nearest = met.groupBy(F.col("id").alias("l")).agg(F.slice(F.array_sort(F.collect_set(F.struct(apart.alias("apart"), "e"))), 1, TRIES).alias("es"))
+    return nearest.select("l", F.explode(F.col("es").getField("e")).alias("e"))
 
 
 def meetings(table: DataFrame, done: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -239,7 +286,7 @@ def _bit_map(keys: DataFrame, key: str, bits: int = NEEDED_BITS) -> Column:
 def candidate_texts(spark: SparkSession, docs: DataFrame, table: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(id, first, line)`` of the lines that occur in ``pairs``. Only lines
     whose hash meets the bit of one that is needed are grouped."""
-    needed = pairs.select(F.explode(F.array("l", "e")).alias("id")).distinct()
+    needed = pairs.select(F.col("l").alias("id")).distinct().unionByName(pairs.select(F.col("e").alias("id")).distinct()).distinct()
     keys = stored(spark, table.select("id", "first", "k1", "k2").join(needed, "id", "left_semi"), "needed")
     lines = lines_of(docs).select(F.xxhash64("line").alias("k1"), F.hash("line").alias("k2"), "line",
                                   _bit_map(keys, "k1").alias("s"))
@@ -268,11 +315,15 @@ def later_matches(spark: SparkSession, docs: DataFrame, table: DataFrame, num: i
     similar to an earlier one, as a written table.
 
     One earlier match removes a line, so each line is first verified against
-    its hub alone. Those found there need no other partner, though they stay
-    partners of the others. Lines left are verified against their earliest
+    its hubs alone, and if it is like none of them against a few more of their
+    crowd. Those found there need no other partner, though they stay partners of
+    the others. Lines left are verified against their earliest
     candidate, and those that fail there against all others."""
     hubs = stored(spark, hub_pairs(table, num, den), "hubs")
-    copies = stored(spark, _alike(hubs, candidate_texts(spark, docs, table, hubs), num, den), "copies")
+    texts = stored(spark, candidate_texts(spark, docs, table, hubs), "hub-texts")
+    first = stored(spark, _alike(hubs, texts, num, den).distinct(), "copies-of-hubs")
+    more = stored(spark, crowd_pairs(table, hubs, first, num, den), "crowd")
+    copies = stored(spark, first.unionByName(_alike(more, texts, num, den).distinct()), "copies")
     with _joins_on_part_of_the_key(spark):
         pairs = stored(spark, candidate_pairs(table, copies, num, den), "candidates")
     texts = stored(spark, candidate_texts(spark, docs, table, pairs), "texts")

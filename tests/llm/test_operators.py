@@ -104,6 +104,31 @@ def test_line_dedup_of_crowds_of_near_copies(spark):
     assert got == want and sum(map(len, want.values())) > 50
 
 
+def test_pairs_of_a_crowd_grow_with_its_lines(spark, monkeypatch):
+    """Copies whose rarest words are their own changes find their crowd without a join of all with all."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(240):
+        words = [f"t{k}" for k in range(60)]
+        for at in rng.sample(range(60), 3):
+            words[at] = "own%d" % rng.randrange(10**9)
+        rows.append((i, " ".join(words)))
+    made = Counter()
+    stored = line_dedup.stored
+
+    def counting(spark, df, name):
+        made[name] += (got := stored(spark, df, name)).count()
+        return got
+
+    monkeypatch.setattr(line_dedup, "stored", counting)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.removed_lines(spark, docs).collect()}
+    want = brute_lines(rows)
+    assert got == want and sum(map(len, want.values())) > 100
+    assert made["hubs"] <= 3 * len(rows) and made["crowd"] <= line_dedup.TRIES * len(rows)
+    assert made["candidates"] <= 5 * len(rows)
+
+
 def test_line_dedup_drops_lines_and_emptied_documents(spark, docs, none):
     kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_similar_lines(spark, docs).collect() if r["doc_id"] is not None}
     rows = {r[0]: r[1] for r in documents() if r[0] is not None}
